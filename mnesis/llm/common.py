@@ -52,7 +52,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = stop
 
 
-def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """The words between ASCII white space: the code of each, the word of each code, and where each text's codes start
     and end. Null texts have none."""
     parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -65,7 +65,12 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
         offsets = np.concatenate(([0], np.cumsum(mask)))[offsets]
         flat = flat.filter(full)
     coded = flat.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), plain_list(coded.dictionary), offsets
+    return coded.indices.to_numpy(), coded.dictionary, offsets
+
+
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    codes, words, offsets = coded_words(texts)
+    return codes, plain_list(words), offsets
 
 
 def plain_list(words: pa.Array) -> list[str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import mixing, toxicity
+from mnesis.llm import mixing, packing, toxicity
 from mnesis.llm.common import crc32_of
 
 
@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where the public tokenizer's file is, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = F.pmod(crc32_of(F.col("doc_id")), F.lit(3))
@@ -26,9 +33,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op8_mixing": op8_mixing,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
