@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import mixing, packing, toxicity
+from mnesis.llm import mixing, packing, repair, toxicity
 from mnesis.llm.common import crc32_of
 
 
@@ -29,6 +29,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end=2)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -40,6 +44,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op4_repair": op4_repair,
     "op8_mixing": op8_mixing,
     "op10_packing": op10_packing,
 }
