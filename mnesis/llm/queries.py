@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import mixing, packing, repair, toxicity
+from mnesis.llm import dartminhash, mixing, packing, repair, toxicity
 from mnesis.llm.common import crc32_of
 
 
@@ -37,6 +37,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
     return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -46,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_repair": op4_repair,
     "op8_mixing": op8_mixing,
+    "op9_dartminhash": op9_dartminhash,
     "op10_packing": op10_packing,
 }
 
