@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import dartminhash, mixing, packing, repair, toxicity
+from mnesis.llm import dartminhash, mixing, packing, quality, repair, telephony, toxicity
 from mnesis.llm.common import crc32_of
 
 
@@ -33,6 +33,17 @@ def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end=2)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(crc32_of(F.col("doc_id")), F.lit(5))
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), keep=fold != 0)
+    return quality.score(docs, model).select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
+def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telephony.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -49,6 +60,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_repair": op4_repair,
+    "op6_quality": op6_quality,
+    "op7_telephony": op7_telephony,
     "op8_mixing": op8_mixing,
     "op9_dartminhash": op9_dartminhash,
     "op10_packing": op10_packing,
