@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import dartminhash, mixing, packing, quality, repair, telephony, toxicity
+from mnesis.llm import dartminhash, mixing, packing, quality, repair, telephony, toxicity, warc
 from mnesis.llm.common import crc32_of
 
 
@@ -33,6 +33,20 @@ def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end=2)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+a AS (SELECT payload_digest, max(page_id) AS answer FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN answer <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN answer <> page_id THEN answer END AS refers_to
+FROM p LEFT JOIN a ON p.payload_digest = a.payload_digest AND payload_bytes >= 1000
+"""
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = F.pmod(crc32_of(F.col("doc_id")), F.lit(5))
@@ -60,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op4_repair": op4_repair,
+    "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op7_telephony": op7_telephony,
     "op8_mixing": op8_mixing,
@@ -68,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_warc": OP5_SQL,
     "op8_mixing": mixing.SQL,
 }
