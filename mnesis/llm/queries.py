@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import dartminhash, mixing, packing, quality, repair, telephony, toxicity, warc
+from mnesis.llm import dartminhash, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
 from mnesis.llm.common import crc32_of
 
 
@@ -29,6 +29,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op3_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = multi_index.codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return multi_index.search(codes, codes.where(F.pmod("id", F.lit(100)) == 0), k=10)
+
+
 def op4_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end=2)
 
@@ -73,6 +82,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_token_counts": op2_token_counts,
+    "op3_multi_index": op3_multi_index,
     "op4_repair": op4_repair,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
@@ -83,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_multi_index": multi_index.SQL,
     "op5_warc": OP5_SQL,
     "op8_mixing": mixing.SQL,
 }
