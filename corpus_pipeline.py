@@ -1,13 +1,64 @@
-"""The corpus pipeline: stages of the training-data operators, applied to ``documents`` one after the other."""
+"""The corpus pipeline: five stages over ``documents``, each working on all that the one before it kept.
+
+Toxic documents go, then documents of low quality; of each class of near copies the one with the least doc_id stays; the
+rest is mixed to the sources' target weights, which repeats or leaves out documents, and packed into sequences. All
+stages but the last return the columns of documents.
+
+Defined results: each stage treats nulls, empty and repeated rows as its operator does. The near-copy stage keeps one row
+of a repeated doc_id and every row without a doc_id. An empty table passes through as an empty table.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mnesis.llm import dartminhash, mixing, packing, quality, toxicity
+from mnesis.llm.common import settled
+
+TOXIC = 0.7
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model, keep=docs.columns).where(F.col("score") < TOXIC).select(*docs.columns)
+
+
+def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model, keep=docs.columns).where(F.col("score") >= quality.CUT).select(*docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    first = dartminhash.classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id").select(*docs.columns).dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality classifier", of_quality),
+    ("minhash near-dedup", without_near_copies),
+    ("mixing to target weights", mixed),
+    ("best-fit packing", packed),
+]
+
+#: SQL can't express the learnt stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = settled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
