@@ -35,8 +35,8 @@ from mnesis.llm.encoding import Encoder, with_ends
 
 MAGIC = b"RPG1"
 SHARD = 1 << 20
-MIN_COUNT, PER_ROUND, ROUNDS = 12, 4096, 16
-SLOTS = 17
+MIN_COUNT, PER_ROUND, ROUNDS = 12, 32_768, 16
+SLOTS = 19
 ARRAYS = ("left", "right", "lengths", "bounds", "symbols", "doc_symbols", "doc_tokens", "doc_ids", "doc_null")
 
 
