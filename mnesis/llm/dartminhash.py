@@ -12,9 +12,12 @@ Classes are the connected components of links of similarity 0.8 or more.
 1. Equal shingle sets are joined at once by a hash of the whole set; one document stands for them.
 2. Documents that agree in all ``ROWS`` coordinates of one of ``BANDS`` bands meet in a bucket. Each is checked exactly
    against the bucket's first document, and all pairs are in buckets of up to ``SMALL`` documents.
-3. In larger buckets that still hold more than one class, documents that agree in a second band as well, and are not in
-   one class yet, are checked pair by pair. So large groups of near copies cost a pair for each document and band, and
-   a pair of different classes is only left out if it meets in no second band (under 1 in 1000 at 0.8).
+3. In larger buckets the first document p serves as a pivot for what is left. Two members x and y that share no shingle
+   outside p have at most min(|x n p|, |y n p|) shingles in common, which the check against p has counted. So a pair can
+   only be a link if it shares a shingle that p lacks, which a join on (p, shingle) finds, or if |x| + |y| is within
+   (1 + s) / s times that minimum for the similarity s, which a join on p with that condition finds. Pairs of one class
+   need no check. So this loses no link, and a large group of near copies costs a pair for each document and pivot and
+   the few pairs that its members' own edits have in common.
 
 The exact check compares the whole multisets of shingles, as 64-bit hashes.
 
@@ -146,8 +149,9 @@ def with_units(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, "doc_id long, units array<long>")
 
 
-def similar(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``."""
+def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = False) -> DataFrame:
+    """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``. With keep, every pair
+    with na, nb and common (the sizes), linked, and for pairs marked ``wide`` the shingles of b that a lacks, as extra."""
     left = contents.select(F.col("doc_id").alias("a"), F.col("units").alias("a_units"))
     right = contents.select(F.col("doc_id").alias("b"), F.col("units").alias("b_units"))
 
@@ -155,16 +159,52 @@ def similar(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             x, y = batch.column("a_units"), batch.column("b_units")
             xo, xv, yo, yv = x.offsets.to_numpy(), x.values.to_numpy(), y.offsets.to_numpy(), y.values.to_numpy()
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
+            n = batch.num_rows
+            common, linked = np.zeros(n, np.int64), np.zeros(n, bool)
+            wide = batch.column("wide").to_numpy(zero_copy_only=False) if keep else np.zeros(n, bool)
+            extra: list[np.ndarray] = []
+            for i in range(n):
                 u, v = xv[xo[i] : xo[i + 1]], yv[yo[i] : yo[i + 1]]
-                if min(len(u), len(v)) >= least * max(len(u), len(v)):
+                if wide[i]:
+                    alone = v[~np.isin(v, u, assume_unique=True)]
+                    extra.append(alone)
+                    common[i] = len(v) - len(alone)
+                elif keep or min(len(u), len(v)) >= least * max(len(u), len(v)):
                     both = np.sort(np.concatenate((u, v)))
-                    common = int((both[1:] == both[:-1]).sum())
-                    keep[i] = common >= least * (len(both) - common)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "a_units", "b_units").mapInArrow(check, "a long, b long")
+                    common[i] = int((both[1:] == both[:-1]).sum())
+                linked[i] = common[i] > 0 and common[i] >= least * (len(u) + len(v) - common[i])
+                if keep and not wide[i]:
+                    extra.append(v[:0])
+            if keep:
+                ends = np.cumsum([0, *map(len, extra)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(extra) if extra else np.zeros(0, np.int64)))
+                values = [batch.column("a"), batch.column("b"), batch.column("wide"), pa.array(np.diff(xo).astype(np.int64)), pa.array(np.diff(yo).astype(np.int64)), pa.array(common), pa.array(linked), lists]
+                yield pa.RecordBatch.from_arrays(values, ["a", "b", "wide", "na", "nb", "common", "linked", "extra"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], ["a", "b"])
+
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", *(["wide"] if keep else []), "a_units", "b_units")
+    return rows.mapInArrow(check, "a long, b long" + ", wide boolean, na long, nb long, common long, linked boolean, extra array<long>" * keep)
+
+
+def beyond_pivots(checked: DataFrame, names: DataFrame, least: float, salts: int = 16) -> DataFrame:
+    """The pairs of members of large buckets that may be links although neither is the pivot: a pivot's rows by shingles
+    that it lacks and by sizes. Only members outside the pivot's class look for partners, in other classes."""
+    comp = lambda c, n: names.select(F.col("doc_id").alias(c), F.col("comp").alias(n))
+    rows = checked.where("wide").select("a", "b", "nb", "common", "extra").join(comp("b", "bc"), "b", "left").join(comp("a", "ac"), "a", "left")
+    rows = settled(rows.withColumns({"bc": F.coalesce("bc", "b"), "ac": F.coalesce("ac", "a")}), "wide")
+    looking = rows.where("bc <> ac")
+    y = looking.select("a", F.col("b").alias("y"), F.col("bc").alias("yc"), F.col("nb").alias("ny"), F.col("common").alias("cy"), "extra")
+    x = rows.join(looking.select("a").distinct(), "a", "left_semi").select("a", F.col("b").alias("x"), F.col("bc").alias("xc"), F.col("nb").alias("nx"), F.col("common").alias("cx"), "extra")
+    other = (F.col("xc") < F.col("yc")) | ((F.col("xc") > F.col("yc")) & (F.col("xc") == F.col("xa")))  # each pair once
+    shingle = lambda t: t.withColumn("u", F.explode("extra")).drop("extra")
+    x = x.join(comp("a", "xa"), "a", "left").withColumn("xa", F.coalesce("xa", "a"))
+    by_shingle = shingle(x).join(shingle(y), ["a", "u"]).where(other)
+    dealt = x.drop("extra").withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(salts)))
+    copied = y.drop("extra").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    by_size = dealt.join(copied, ["a", "salt"]).where(other & (least * (F.col("nx") + F.col("ny")) <= (1 + least) * F.least("cx", "cy")))
+    found = by_shingle.select("x", "y").union(by_size.select("x", "y"))
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(links: DataFrame, least_rounds: int = 1) -> DataFrame:
@@ -192,27 +232,19 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
     spread = stands.select("doc_id", F.posexplode("bands").alias("band", "key"))
     buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
     members = settled(spread.join(buckets, ["band", "key"]), "members")
-    stars = members.where(F.col("doc_id") != F.col("first")).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    stars = members.where(F.col("doc_id") != F.col("first")).groupBy(F.col("first").alias("a"), F.col("doc_id").alias("b")).agg((F.max("n") > small).alias("wide"))
     few = members.where((F.col("n") > 2) & (F.col("n") <= small)).select("band", "key", "doc_id")
     within = few.select("band", "key", F.col("doc_id").alias("a")).join(few.select("band", "key", F.col("doc_id").alias("b")), ["band", "key"]).where("a < b").select("a", "b")
-    pairs = stars.union(within).distinct()
     involved = members.select("doc_id").distinct()
     contents = settled(with_units(docs.join(involved, "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])), "contents")
-    links = settled(similar(pairs, contents, least), "links")
+    checked = settled(compared(stars, contents, least, keep=True), "checked")
+    direct = checked.where("linked").select("a", "b")
+    rest = within.distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    links = settled(direct.union(compared(rest, contents, least)), "links")
     names = components(links)
-    # buckets too large for all pairs, where more than one class is left
-    named = members.where(F.col("n") > small).select("band", "key", "doc_id").join(names, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    mixed = named.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "key")
-    if not mixed.isEmpty():
-        left = named.join(mixed, ["band", "key"]).withColumnRenamed("key", "first_key").withColumnRenamed("band", "first_band")
-        second = left.join(stands.select("doc_id", F.posexplode("bands").alias("band", "key")), "doc_id").where("band <> first_band")
-        by = ["first_band", "first_key", "band", "key"]
-        still = second.groupBy(*by).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select(*by)
-        second = settled(second.join(still, by), "second")
-        cross = second.select(*by, F.col("doc_id").alias("a"), F.col("comp").alias("ac")).join(second.select(*by, F.col("doc_id").alias("b"), F.col("comp").alias("bc")), by).where("ac < bc").select("a", "b").distinct()
-        more = similar(cross, contents, least)
-        links = settled(links.union(more).distinct(), "links")
-        names = components(links)
+    more = settled(compared(beyond_pivots(checked, names, least), contents, least), "more")
+    if not more.isEmpty():
+        names = components(links.union(more))
     sets = stands.select("set", F.col("doc_id").alias("stand")).join(names.withColumnRenamed("doc_id", "stand"), "stand", "left").select("set", F.coalesce("comp", "stand").alias("class_id"))
     named = usable.join(sets, "set").select("doc_id", "class_id")
     alone = signs.where(F.col("set").isNull() | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
