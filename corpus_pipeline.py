@@ -18,16 +18,18 @@ from mnesis.llm import dartminhash, mixing, packing, quality, toxicity
 from mnesis.llm.common import settled
 
 TOXIC = 0.7
+#: A name that no column of documents has.
+SCORE = "__score__"
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, keep=docs.columns).where(F.col("score") < TOXIC).select(*docs.columns)
+    return toxicity.score(docs, model, keep=docs.columns, name=SCORE).where(F.col(SCORE) < TOXIC).select(*docs.columns)
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, keep=docs.columns).where(F.col("score") >= quality.CUT).select(*docs.columns)
+    return quality.score(docs, model, keep=docs.columns, name=SCORE).where(F.col(SCORE) >= quality.CUT).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

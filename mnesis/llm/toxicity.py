@@ -6,8 +6,8 @@ coordinate, and the L1 term leaves most weights at exactly zero, so that the mod
 pairs, small enough to broadcast at any size of corpus.
 
 Defined results: a null or empty text, or one of marks alone, has no features and gets the model's bias as its score;
-repeated rows get equal scores; an empty table gives an empty table; without labelled rows of both kinds every score is
-the share of label 1 (0.5 without any). Columns other than those named are ignored.
+repeated rows get equal scores; an empty table gives an empty table; without labelled rows every score is 0.5, and with
+rows of one label alone scores lean to it. Columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -133,8 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p:
     return at.astype(np.int64), w[at]
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl(), keep: list[str] | None = None) -> DataFrame:
-    """docs' columns ``keep`` with score, a double from 0 to 1; one pass, no shuffle."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl(), keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """docs' columns ``keep`` with score (under ``name``), a double from 0 to 1; one pass, no shuffle."""
     keep = ["doc_id"] if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -145,8 +145,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl(
         for b in slices(batches):
             row, found = features(b.column("text"), p.bits)
             total = np.bincount(row, table[found], b.num_rows) + table[-1]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(1 / (1 + np.exp(-np.clip(total, -500, 500))))], [*keep, name])
 
     types = dict(docs.dtypes)
     columns = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*columns).mapInArrow(scored, ", ".join([*(f"`{c}` {types[c]}" for c in keep), "score double"]))
+    return docs.select(*columns).mapInArrow(scored, ", ".join([*(f"`{c}` {types[c]}" for c in keep), f"`{name}` double"]))
