@@ -14,7 +14,8 @@ Classes are the connected components of links of similarity 0.8 or more.
    against the bucket's first document, and all pairs are in buckets of up to ``SMALL`` documents.
 3. In larger buckets the first document p serves as a pivot for what is left. Two members x and y that share no shingle
    outside p have at most min(|x n p|, |y n p|) shingles in common, which the check against p has counted. So a pair can
-   only be a link if it shares a shingle that p lacks, which a join on (p, shingle) finds, or if |x| + |y| is within
+   only be a link if it shares a shingle that p lacks, which a join on (p, shingle) finds (of prefixes, and without the
+   shingles that only one member has), or if |x| + |y| is within
    (1 + s) / s times that minimum for the similarity s, which a join on p with that condition finds. Pairs of one class
    need no check. So this loses no link, and a large group of near copies costs a pair for each document and pivot and
    the few pairs that its members' own edits have in common.
@@ -42,7 +43,7 @@ from mnesis.llm.toxicity import MARKS
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 8
-SMALL = 16
+SMALL = 32
 #: How many darts a cell of area 1 gets: the chances of a Poisson variable of mean 1 to be at most 0, 1, 2, ...
 POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1, *range(1, 16)]))
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -151,7 +152,8 @@ def with_units(docs: DataFrame) -> DataFrame:
 
 def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = False) -> DataFrame:
     """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``. With keep, every pair
-    with na, nb and common (the sizes), linked, and for pairs marked ``wide`` the shingles of b that a lacks, as extra."""
+    with na, nb and common (the sizes), linked, and for pairs marked ``wide`` extra: of the shingles of b that a lacks, the
+    first in order of hash, as many as must hold one that b shares with any partner in a link (prefix filtering)."""
     left = contents.select(F.col("doc_id").alias("a"), F.col("units").alias("a_units"))
     right = contents.select(F.col("doc_id").alias("b"), F.col("units").alias("b_units"))
 
@@ -166,9 +168,11 @@ def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = F
             for i in range(n):
                 u, v = xv[xo[i] : xo[i + 1]], yv[yo[i] : yo[i + 1]]
                 if wide[i]:
-                    alone = v[~np.isin(v, u, assume_unique=True)]
-                    extra.append(alone)
+                    alone = np.sort(v[~np.isin(v, u, assume_unique=True)])
                     common[i] = len(v) - len(alone)
+                    # a partner has at least least * len(v) shingles, so this many of those outside a are in common with it
+                    needed = max(1, int(np.ceil(least * len(v) - common[i] - 1e-9)))
+                    extra.append(alone[: len(alone) - needed + 1])
                 elif keep or min(len(u), len(v)) >= least * max(len(u), len(v)):
                     both = np.sort(np.concatenate((u, v)))
                     common[i] = int((both[1:] == both[:-1]).sum())
@@ -187,12 +191,67 @@ def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = F
     return rows.mapInArrow(check, "a long, b long" + ", wide boolean, na long, nb long, common long, linked boolean, extra array<long>" * keep)
 
 
+def only_shared(rows: DataFrame, most_bits: int = 26, chunks: int = 64) -> DataFrame:
+    """rows without those shingles in ``extra`` that no other row of the same pivot has, or none that looks for partners, so
+    that only shingles which can meet go into the join. Every task marks tables of bits with the hashes that it has seen
+    once, twice, and in a looking row, 8 bits or more for each shingle up to 2 ** most_bits in all; the tables are merged
+    piece by piece. Two shingles under one hash only mean that some are kept in vain."""
+    total = rows.agg(F.sum(F.size("extra"))).first()[0] or 0
+    bits = int(min(most_bits, max(16, np.ceil(np.log2(8 * total + 1)))))
+
+    def places(pivot: int, extra: np.ndarray) -> np.ndarray:
+        own = mix(np.array([pivot], np.int64).view(np.uint64) + GOLDEN)
+        return (mix(extra.view(np.uint64) ^ own) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def each(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        lists = b.column("extra")
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        for i, pivot in enumerate(b.column("a").to_pylist()):
+            yield places(pivot, flat[ends[i] : ends[i + 1]])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << bits, np.uint8)  # 1: once, 2: twice, 4: in a looking row
+        for b in batches:
+            for at, looks in zip(each(b), pc.not_equal(b.column("bc"), b.column("ac")).to_pylist(), strict=True):
+                at = np.unique(at)
+                seen[at] |= ((seen[at] & 1) << 1) | (5 if looks else 1)
+        pieces = [(c, zlib.compress(b"".join(np.packbits(x & k > 0).tobytes() for k in (1, 2, 4)), 1)) for c, x in enumerate(np.split(seen, chunks)) if x.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary())], ["chunk", "marks"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        once = twice = looking = np.zeros((1 << bits) // chunks // 8, np.uint8)
+        for m in table.column("marks").to_pylist():
+            new_once, new_twice, new_looking = np.split(np.frombuffer(zlib.decompress(m), np.uint8), 3)
+            twice = twice | new_twice | (once & new_once)
+            once, looking = once | new_once, looking | new_looking
+        return pa.Table.from_arrays([table.column("chunk").slice(0, 1).combine_chunks(), pa.array([zlib.compress((twice & looking).tobytes(), 1)], pa.binary())], ["chunk", "marks"])
+
+    marks = rows.select("a", "bc", "ac", "extra").mapInArrow(mark, "chunk int, marks binary").groupBy("chunk").applyInArrow(merge, "chunk int, marks binary").collect()
+    shared = rows.sparkSession.sparkContext.broadcast([(r.chunk, bytes(r.marks)) for r in marks])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(1 << bits, bool)
+        size = (1 << bits) // chunks
+        for c, m in shared.value:
+            often[c * size : (c + 1) * size] = np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8)).astype(bool)
+        for b in batches:
+            lists = b.column("extra")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            stays = [often[at] for at in each(b)]
+            own = [flat[ends[i] : ends[i + 1]][m] for i, m in enumerate(stays)]
+            new = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32)), pa.array(np.concatenate(own) if own else flat[:0]))
+            yield pa.RecordBatch.from_arrays([new if c == "extra" else b.column(c) for c in b.schema.names], b.schema.names)
+
+    return rows.mapInArrow(keep, ", ".join(f"`{c}` {t}" for c, t in rows.dtypes))
+
+
 def beyond_pivots(checked: DataFrame, names: DataFrame, least: float, salts: int = 16) -> DataFrame:
     """The pairs of members of large buckets that may be links although neither is the pivot: a pivot's rows by shingles
     that it lacks and by sizes. Only members outside the pivot's class look for partners, in other classes."""
     comp = lambda c, n: names.select(F.col("doc_id").alias(c), F.col("comp").alias(n))
     rows = checked.where("wide").select("a", "b", "nb", "common", "extra").join(comp("b", "bc"), "b", "left").join(comp("a", "ac"), "a", "left")
     rows = settled(rows.withColumns({"bc": F.coalesce("bc", "b"), "ac": F.coalesce("ac", "a")}), "wide")
+    rows = settled(only_shared(rows), "shared")
     looking = rows.where("bc <> ac")
     y = looking.select("a", F.col("b").alias("y"), F.col("bc").alias("yc"), F.col("nb").alias("ny"), F.col("common").alias("cy"), "extra")
     x = rows.join(looking.select("a").distinct(), "a", "left_semi").select("a", F.col("b").alias("x"), F.col("bc").alias("xc"), F.col("nb").alias("nx"), F.col("common").alias("cx"), "extra")
