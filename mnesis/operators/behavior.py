@@ -214,3 +214,45 @@ def first_model(models: DataFrame, keys: list[str], order: list[str]) -> DataFra
 
 def subject_level(sessions: DataFrame, metric: str) -> DataFrame:
     return sessions.groupBy("subject", "experiment").agg(F.sort_array(F.collect_set("session")).alias("sessions"), F.count("*").alias("n_sessions"), F.avg(metric).alias("mean"))
+
+
+def stim_item_table(items: DataFrame, stim: DataFrame, locations: DataFrame, order: list[str]) -> DataFrame:
+    """Word rows with the parameters of their stimulation (the first in ``order`` for a session, list and item), its location
+    by anode and cathode, and null parameters where there was none. stim: (session, list, item_name, stimAnodeTag,
+    stimCathodeTag, amplitude, stim_duration, pulse_freq and order). locations: (label, location)."""
+    keys = ["session", "list", "item_name"]
+    values = [c for c in STIM_PARAMETERS if c != "location"]
+    first = stim.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_p")).select(*keys, *[F.col(f"_p.{c}").alias(c) for c in values])
+    known = locations.select(F.col("label").alias("_label"), "location").dropDuplicates(["_label"])
+    rows = items.join(first, keys, "left").withColumn("_label", F.concat(F.col("stimAnodeTag"), F.lit("-"), F.col("stimCathodeTag")))
+    return rows.join(known, "_label", "left").drop("_label")
+
+
+def with_outputs(items: DataFrame, outputs: DataFrame, thresholds: DataFrame | None = None, keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
+    """Items with their classifier output, and their session's threshold (0.5 where there is none)."""
+    rows = items.join(outputs.select(*keys, F.col("probability").alias("classifier_output")), list(keys), "left")
+    if thresholds is None:
+        return rows.withColumn("thresh", F.lit(0.5))
+    return rows.join(thresholds.select("session", F.col("threshold").alias("_t")), "session", "left").withColumn("thresh", F.coalesce("_t", F.lit(0.5))).drop("_t")
+
+
+def stim_outputs(items: DataFrame, post: bool = False) -> DataFrame:
+    """Outputs before stimulation of the stimulated items, or all post-stim outputs."""
+    return items.where(F.col("post_stim_output").isNotNull()).select("post_stim_output") if post else items.where("is_stim_item").select("classifier_output")
+
+
+def tstats_by_condition(channels: DataFrame, level: float = 0.001) -> DataFrame:
+    """Arrays of t over channels with p below the level and of the others."""
+    return channels.agg(F.array_sort(F.collect_list(F.when(F.col("p") < level, F.col("t_stat")))).alias("significant"), F.array_sort(F.collect_list(F.when(F.col("p") >= level, F.col("t_stat")))).alias("others"))
+
+
+def location_search_table(events: DataFrame, stim: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Distinct targets of a location search by session, with the pair of their contact numbers. stim: (event_id,
+    anode_number, cathode_number, amplitude)."""
+    rows = events.join(stim, "event_id")
+    known = pairs.select(F.col("channel_1").alias("anode_number"), F.col("channel_2").alias("cathode_number"), F.col("pair_idx").alias("stim_idx"), "label")
+    return rows.join(known, ["anode_number", "cathode_number"], "left").groupBy("session", "anode_number", "cathode_number", "stim_idx", "label").agg(F.count("*").alias("n_stims"), F.max("amplitude").alias("amplitude"))
+
+
+def classifier_regions(pairs: DataFrame) -> DataFrame:
+    return pairs.select("region").distinct()

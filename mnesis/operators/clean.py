@@ -165,3 +165,18 @@ def training_events(df: DataFrame, partition: list[str], order: list[str], encod
     """Record-only experiments, cleaned and combined, as word (and retrieval) rows."""
     events, _ = clean_events(df.where(F.col("experiment").isin("FR1", "catFR1", "PAL1")), partition, order)
     return events.where(masks.word_event(events, encoding_only))
+
+
+def trial_column(df: DataFrame) -> DataFrame:
+    """list from trial where the table has trials; practice left out."""
+    rows = df.withColumn("list", F.coalesce("trial", "list")) if "trial" in df.columns else df
+    return rows.where("list >= 0")
+
+
+def test_events(df: DataFrame, partition: list[str], order: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all events without practice and with their list's phase, word and retrieval rows, stim rows), from one scan."""
+    from mnesis.operators import sequence
+
+    everything = sequence.list_phase(masks.remove_negative_offsets(df).where("list > -1"), [*partition, "list"], order)
+    events, stim = clean_events(df, partition, order)
+    return everything, events.where(masks.word_event(events, encoding_only=False)), stim

@@ -185,3 +185,45 @@ def invalid_as_null(epochs: DataFrame, bad_events: DataFrame, bad_pairs: DataFra
     p = bad_pairs.select("pair_idx", F.lit(True).alias("_p")).distinct()
     rows = epochs.join(e, "event_id", "left").join(p, "pair_idx", "left")
     return rows.withColumn("samples", F.when(F.col("_e").isNull() & F.col("_p").isNull(), F.col("samples"))).drop("_e", "_p")
+
+
+def sample_rate_of(epochs: DataFrame, keys: list[str]) -> DataFrame:
+    return epochs.groupBy(*keys).agg(F.first("samplerate").alias("samplerate"))
+
+
+def resampled(epochs: DataFrame, keys: list[str], rate: float = 256.0, low: float = 58.0, high: float = 62.0) -> DataFrame:
+    """(keys, samplerate, samples): epochs without the band from low to high, at another rate by cutting or filling the
+    spectrum."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, x in by_length(frame):
+                old = float(own["samplerate"].iloc[0])
+                n = max(1, round(x.shape[1] * rate / old))
+                spectrum = np.fft.rfft(band_stop(x, old, low, high), axis=1)
+                new = np.zeros((len(x), n // 2 + 1), complex)
+                k = min(new.shape[1], spectrum.shape[1])
+                new[:, :k] = spectrum[:, :k]
+                yield own[keys].assign(samplerate=rate, samples=list(np.fft.irfft(new, n, axis=1) * (n / x.shape[1])))
+
+    types = dict(epochs.dtypes)
+    return epochs.select(*keys, "samples", "samplerate").mapInPandas(run, ", ".join([*(f"`{k}` {types[k]}" for k in keys), "samplerate double, samples array<double>"]))
+
+
+def stim_epochs(events: DataFrame, chunks: DataFrame, after: bool, buffer: int = 50, window: int = 900, duration: int = 500) -> DataFrame:
+    """Epochs of ``window`` milliseconds that end ``buffer`` before stimulation, or begin ``buffer`` after its end."""
+    return cut_epochs(events, chunks, duration + buffer, duration + buffer + window) if after else cut_epochs(events, chunks, -(buffer + window), -buffer)
+
+
+def bad_events(epochs: DataFrame, events: DataFrame, keys: list[str], order: list[str], least_ms: int = 1500) -> DataFrame:
+    """event_id and bad: adjacent to another event, or saturated on a pair. (event_id, pair) rows of saturation come along as
+    ``bad`` of ``bad_pairs`` by behavior.bad_channels."""
+    flat = epochs.groupBy("event_id").agg(F.bool_or(sequence.saturated(F.col("samples"))).alias("_s"))
+    rows = sequence.adjacent(events, keys, order, least_ms).join(flat, "event_id", "left")
+    return rows.select("event_id", (F.col("adjacent") | F.coalesce("_s", F.lit(False))).alias("bad"))
+
+
+def psd_pair(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(event_id, pair_idx, pre, post): multitaper power of epochs before and after stimulation."""
+    keys = ["event_id", "pair_idx"]
+    return multitaper_psd(before, keys).withColumnRenamed("power", "pre").join(multitaper_psd(after, keys).withColumnRenamed("power", "post"), keys)

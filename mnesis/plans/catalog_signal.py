@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mnesis.functions import text
-from mnesis.operators import clean, features, masks, model, montage, retrieval, sequence, stats, tmi
+from mnesis.operators import behavior, clean, features, masks, model, montage, retrieval, sequence, stats, tmi
 from mnesis.plans import adapters as a
 from mnesis.plans.catalog import LIST_KEYS, query, rounded
 
@@ -230,3 +230,32 @@ def reshape_powers(spark, d):
     return back.select("event_id", F.round(F.aggregate("features", F.lit(0.0), lambda s, x: s + x), 6).alias("total"), F.size("features").alias("n"))
 
 
+
+
+@query(
+    """, w AS (SELECT seq, session, list, serialpos AS item_name FROM session_log WHERE type = 'WORD'),
+    s AS (SELECT session, list, serialpos AS item_name, arg_min('A' || category_num, seq) AS stimAnodeTag, arg_min(round(value, 1), seq) AS amplitude FROM session_log WHERE type = 'STIM_ON' GROUP BY 1, 2, 3)
+    SELECT w.seq, s.stimAnodeTag, s.amplitude, CASE stimAnodeTag WHEN 'A1' THEN 'Hipp' WHEN 'A2' THEN 'MTL' END AS location FROM w LEFT JOIN s USING (session, list, item_name)""",
+    a.SESSION_LOG,
+)
+def stim_item_table(spark, d):
+    log = a.session_log(spark, d).withColumn("item_name", F.col("serialpos"))
+    words = log.where(masks.encoding()).select("seq", "session", "list", "item_name")
+    stim = log.where(masks.kind("STIM_ON")).select(
+        "session", "list", "item_name", F.concat(F.lit("A"), F.col("category_num").cast("string")).alias("stimAnodeTag"), F.lit("C").alias("stimCathodeTag"), F.round("value", 1).alias("amplitude"),
+        F.lit(500).alias("stim_duration"), F.lit(200).alias("pulse_freq"), F.col("seq").alias("n"),
+    )
+    places = spark.createDataFrame([("A1-C", "Hipp"), ("A2-C", "MTL")], "label string, location string")
+    return behavior.stim_item_table(words, stim, places, ["n"]).select("seq", "stimAnodeTag", "amplitude", "location")
+
+
+@query(
+    """, g AS (SELECT seq, recalled, lead(mstime) OVER w - mstime AS gap FROM session_log WINDOW w AS (PARTITION BY subject, session ORDER BY mstime, seq)) SELECT seq, gap IS NULL AS is_last FROM g WHERE gap IS NULL""",
+    a.SESSION_LOG,
+)
+def last_events_are_bad(spark, d):
+    """With no gap small enough, bad events are the last of each session alone."""
+    log = a.session_log(spark, d).withColumn("event_id", F.col("seq"))
+    none = epochs(spark, d).where("pair_idx < 0")
+    bad = features.bad_events(none, log, ["subject", "session"], a.LOG_ORDER, least_ms=0).where("bad")
+    return bad.select(F.col("event_id").alias("seq"), F.lit(True).alias("is_last"))

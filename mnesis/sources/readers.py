@@ -119,3 +119,9 @@ def artifact_detection(rows: DataFrame) -> DataFrame:
 def stim_events(rows: DataFrame) -> DataFrame:
     """Stimulations with a recording."""
     return rows.where((F.col("type") == "STIM_ON") & (F.coalesce("eegfile", F.lit("")) != ""))
+
+
+def connectivity(spark: SparkSession, path: str) -> DataFrame | None:
+    """Edges (roi_i, roi_j, w) of a structural connectivity table, None where there isn't exactly one file."""
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").limit(2).count()
+    return spark.read.parquet(path).select("roi_i", "roi_j", "w") if there == 1 else None

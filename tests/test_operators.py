@@ -348,3 +348,22 @@ def test_stimulation_report(spark):
 def test_frequencies():
     f = FRParameters().frequencies
     assert np.allclose(f, np.logspace(np.log10(6), np.log10(180), 8)) and int(f[6]) == 110
+
+
+def test_resampling_and_stim_epochs(spark):
+    t = np.arange(512) / 512
+    got = features.resampled(epochs(spark, {(0, 0): np.sin(2 * np.pi * 5 * t) + np.sin(2 * np.pi * 60 * t)}, 512.0), ["event_id", "pair_idx"]).first()
+    assert got.samplerate == 256.0 and np.allclose(got.samples, np.sin(2 * np.pi * 5 * np.arange(256) / 256), atol=1e-9)
+    chunks = spark.createDataFrame([("f", 0, 1000.0, k, [float(v) for v in range(1000 * k, 1000 * k + 1000)]) for k in range(4)], "eegfile string, pair_idx int, samplerate double, chunk_id long, samples array<double>")
+    events = spark.createDataFrame([(1, "f", 1500)], "event_id long, eegfile string, eegoffset long")
+    before, after = (features.stim_epochs(events, chunks, a).first().samples for a in (False, True))
+    assert (before[0], before[-1], after[0], after[-1]) == (550.0, 1449.0, 2050.0, 2949.0)
+
+
+def test_outputs_and_thresholds(spark):
+    items = spark.createDataFrame([(1, 0), (2, 1)], "event_id long, session long")
+    outputs = spark.createDataFrame([(1, 0.25)], "event_id long, probability double")
+    got = behavior.with_outputs(items, outputs, spark.createDataFrame([(0, 0.4)], "session long, threshold double")).orderBy("event_id").collect()
+    assert [(r.classifier_output, r.thresh) for r in got] == [(0.25, 0.4), (None, 0.5)]
+    channels = spark.createDataFrame([(5.0, 0.0001), (1.0, 0.4)], "t_stat double, p double")
+    assert tuple(behavior.tstats_by_condition(channels).first()) == ([5.0], [1.0])
