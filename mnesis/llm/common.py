@@ -50,6 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def coded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:

@@ -168,7 +168,7 @@ def decode(media: DataFrame, with_pcm: bool = False, also: tuple[str, ...] = ())
     kind = dict(media.dtypes)["doc_id"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "media", 1 << 20):
+        for b in slices(batches, "media", 1 << 19):
             stored = b.column("media").to_pylist()
             parsed = [read_wav(m) for m in stored]
             payloads = [p for _, _, p in parsed]
