@@ -68,9 +68,9 @@ def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
 class State:
     """The sums z and n of each coordinate; the last coordinate is the bias, which L1 spares."""
 
-    def __init__(self, p: Ftrl, z: np.ndarray | None = None, n: np.ndarray | None = None):
+    def __init__(self, p: Ftrl):
         size = (1 << p.bits) + 1
-        self.p, self.z, self.n = p, np.zeros(size) if z is None else z, np.zeros(size) if n is None else n
+        self.p, self.z, self.n = p, np.zeros(size), np.zeros(size)
         self.l1 = np.full(size, p.l1)
         self.l1[-1] = 0
 
@@ -97,9 +97,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, p_docs: int, k
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p: Ftrl = Ftrl()) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and weights that aren't zero, the bias last. Learning reads the sample in one task for each pass, a
-    row at a time, in hash order; only the sums of the coordinates stay in memory."""
-    spark = docs.sparkSession
+    """Coordinates and weights that aren't zero, the bias last. Learning reads the sample in one task, as often
+    as there are epochs, a row at a time in hash order; only the sums of the coordinates stay in its memory, and only the
+    weights come to the driver."""
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -108,29 +108,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.ListArray.from_arrays(ends, at.astype(np.int32))], ["doc_id", "label", "at"])
 
     sample = settled(training_rows(docs, labels, label, p.max_docs, keep).mapInArrow(featured, "doc_id long, label double, at array<int>"), "toxicity")
-    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(5)), "doc_id")
-    z = n = None
-    for _ in range(p.epochs):
-        begun = spark.sparkContext.broadcast((z, n))
-
-        def one_pass(batches: Iterator[pa.RecordBatch], begun=begun) -> Iterator[pa.RecordBatch]:
-            z, n = begun.value
-            s = State(p, None if z is None else z.astype(np.float64), None if n is None else n.astype(np.float64))
-            bias = np.array([1 << p.bits])
-            for b in batches:
-                lists, ys = b.column("at"), b.column("label").to_numpy()
-                ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-                for i, y in enumerate(ys):
-                    s.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), y)
-            yield pa.RecordBatch.from_arrays([pa.array([s.z.astype(np.float32).tobytes()], pa.binary()), pa.array([s.n.astype(np.float32).tobytes()], pa.binary())], ["z", "n"])
-
-        row = ordered.mapInArrow(one_pass, "z binary, n binary").first()
-        if row is None:
-            break
-        z, n = np.frombuffer(row.z, np.float32), np.frombuffer(row.n, np.float32)
-    w = State(p, None if z is None else z.astype(np.float64), None if n is None else n.astype(np.float64)).weights()
-    at = np.union1d(np.flatnonzero(w), [1 << p.bits])
-    return at.astype(np.int64), w[at]
+    passes = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(p.epochs))))
+    ordered = passes.repartition(1).sortWithinPartitions("epoch", F.xxhash64("doc_id", F.lit(5)), "doc_id").select("label", "at")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s, bias = State(p), np.array([1 << p.bits])
+        for b in batches:
+            lists, ys = b.column("at"), b.column("label").to_numpy()
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for i, y in enumerate(ys):
+                s.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), y)
+        w = s.weights()
+        at = np.union1d(np.flatnonzero(w), bias)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(w[at])], ["at", "w"])
+
+    rows = ordered.mapInArrow(learn, "at long, w double").collect()
+    if not rows:
+        return np.array([1 << p.bits]), np.zeros(1)
+    return np.array([r.at for r in rows], np.int64), np.array([r.w for r in rows])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl(), keep: list[str] | None = None, name: str = "score") -> DataFrame:
