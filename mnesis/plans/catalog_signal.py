@@ -58,8 +58,7 @@ def loso_cv(spark, d):
 
 @query()
 def lolo_cv(spark, d):
-    rows = training(spark, d).where("session < 2")
-    return model.summary(model.cross_validate(rows, ["subject"], "list"), ["subject"]).drop("p_value")
+    return model.summary(model.cross_validate(training(spark, d), ["subject"], "list"), ["subject"]).drop("p_value")
 
 
 @query()
