@@ -1,7 +1,7 @@
 """Recall classifiers: sample weights, logistic regression, cross-validation and permutation tests.
 
 A training table has one row for each event: event_id, session, list, type, recalled, weight and an array of features. A
-fold's fit is a task of its own: the grid of (permutation, fold) is distributed, and each task gets the group's rows, which
+fold's fits are tasks of their own: the grid of (permutations, fold) is distributed, and each task gets the group's rows, which
 are those of one subject's sessions (some thousand rows of some hundred features).
 """
 
@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from mnesis.operators import masks, stats
 
+#: Permutations of a fold that one task fits; each task gets the group's rows once.
+PERMUTATIONS = 50
+
 
 def scheme(df: DataFrame, keys: list[str]) -> DataFrame:
     """The weighting scheme of each group: PAL if it has PAL rows, equal for PS5, FR if it has encoding and retrieval rows of
@@ -127,39 +130,47 @@ def predict(df: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
 def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, permutations: int = 0, permute_training: bool = False, seed: int = 0) -> DataFrame:
     """Out-of-fold probabilities of word rows: (keys, perm, fold, event_id, outcome, probability). by: ``list`` leaves out a
     session's list, ``session`` a session. perm 0 has the true outcomes; in perm 1, 2, ... they are shuffled within session
-    (and list) by a hash of seed, permutation and event, for scoring, and with permute_training for learning, too."""
+    (and list) by a hash of seed, permutation and event, for scoring, and with permute_training for learning, too. A task
+    fits up to ``PERMUTATIONS`` permutations of a fold; without permute_training a fold is fit once for all of them."""
     types = dict(df.dtypes)
     fold_of = ["session", "list"] if by == "list" else ["session"]
     fold = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*fold_of)) - 1
     rows = df.withColumn("fold", fold)
     last = rows.groupBy(*keys).agg(F.max("fold").alias("_last"))
-    grid = last.select(*keys, F.explode(F.sequence(F.lit(0), "_last")).alias("_fold")).withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(permutations))))
+    parts = permutations // PERMUTATIONS if permute_training else 0
+    grid = last.select(*keys, F.explode(F.sequence(F.lit(0), "_last")).alias("_fold")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts))))
     work = rows.join(grid, keys)
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("event_id").reset_index(drop=True)
-        perm, hold = int(own["perm"].iloc[0]), int(own["_fold"].iloc[0])
-        true = own["recalled"].to_numpy()
-        outcome = true.copy()
-        if perm:
-            rng = np.random.default_rng([seed, perm])
-            for _, at in own.groupby(fold_of, sort=True).indices.items():
-                outcome[at] = true[rng.permutation(at)]
+        part, hold = int(own["_part"].iloc[0]), int(own["_fold"].iloc[0])
+        perms = range(part * PERMUTATIONS, min((part + 1) * PERMUTATIONS, permutations + 1)) if permute_training else range(permutations + 1)
+        true, weight = own["recalled"].to_numpy(), own["weight"].to_numpy()
         x, out = np.stack(own["features"].to_numpy()).astype(float), (own["fold"] == hold).to_numpy()
         test = out & (own["type"] == "WORD").to_numpy()
-        learn = outcome if permute_training else true
-        columns = [*keys, "perm"]
+        columns = [*keys, "perm", "fold", "event_id", "outcome", "probability"]
         if not test.any() or out.all():
-            return pd.DataFrame({c: [] for c in [*columns, "fold", "event_id", "outcome", "probability"]}).astype({"perm": "int32", "fold": "int32"})
-        w = fit_logistic(x[~out], learn[~out], own["weight"].to_numpy()[~out], c)
-        got = own.loc[test, [*columns, "event_id"]].copy()
-        got["perm"], got["fold"], got["outcome"] = np.int32(perm), np.int32(hold), outcome[test].astype(np.int64)
-        got["probability"] = 1 / (1 + np.exp(-(x[test] @ w[:-1] + w[-1])))
-        return got[[*columns, "fold", "event_id", "outcome", "probability"]]
+            return pd.DataFrame({c: [] for c in columns}).astype({"perm": "int32", "fold": "int32"})
+        groups = [at for _, at in own.groupby(fold_of, sort=True).indices.items()]
+        outcomes, probabilities, w = [], [], None
+        for perm in perms:
+            outcome = true.copy()
+            if perm:
+                rng = np.random.default_rng([seed, perm])
+                for at in groups:
+                    outcome[at] = true[rng.permutation(at)]
+            if w is None or permute_training:
+                w = fit_logistic(x[~out], (outcome if permute_training else true)[~out], weight[~out], c)
+            outcomes.append(outcome[test].astype(np.int64))
+            probabilities.append(1 / (1 + np.exp(-(x[test] @ w[:-1] + w[-1]))))
+        got = pd.concat([own.loc[test, [*keys, "event_id"]]] * len(perms), ignore_index=True)
+        got["perm"], got["fold"] = np.repeat(np.array(perms, np.int32), int(test.sum())), np.int32(hold)
+        got["outcome"], got["probability"] = np.concatenate(outcomes), np.concatenate(probabilities)
+        return got[columns]
 
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "perm int, fold int, event_id long, outcome long, probability double"])
-    needed = [*dict.fromkeys([*keys, "session", "list"]), "perm", "_fold", "fold", "event_id", "type", "recalled", "weight", "features"]
-    return work.select(*needed).groupBy(*keys, "perm", "_fold").applyInPandas(run, schema)
+    needed = [*dict.fromkeys([*keys, "session", "list"]), "_part", "_fold", "fold", "event_id", "type", "recalled", "weight", "features"]
+    return work.select(*needed).groupBy(*keys, "_part", "_fold").applyInPandas(run, schema)
 
 
 def scheme_of_validation(df: DataFrame, keys: list[str]) -> DataFrame:

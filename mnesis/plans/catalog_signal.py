@@ -8,6 +8,7 @@ from mnesis.functions import text
 from mnesis.operators import behavior, clean, features, masks, model, montage, retrieval, sequence, stats, tmi
 from mnesis.plans import adapters as a
 from mnesis.plans.catalog import LIST_KEYS, query, rounded
+from mnesis.schemas import FRParameters
 
 #: Log rows as encoding (WORD) and retrieval (REC_EVENT) rows of FR and PAL.
 WEIGHT_ROWS = """w AS (SELECT seq, subject, session, CASE experiment WHEN 'PAL1' THEN 'PAL1' ELSE 'FR1' END AS experiment, CASE type WHEN 'WORD' THEN 'WORD' ELSE 'REC_EVENT' END AS type, recalled
@@ -63,14 +64,16 @@ def lolo_cv(spark, d):
 
 @query()
 def perm_cv(spark, d):
-    cv = model.cross_validate(training(spark, d), ["subject"], "session", permutations=10, permute_training=True)
+    cv = model.cross_validate(training(spark, d), ["subject"], "session", permutations=FRParameters().n_permutations, permute_training=True)
     return stats.auc(cv, ["subject", "perm"], "probability", "outcome")
 
 
 @query()
 def perm_pvalue(spark, d):
-    cv = model.cross_validate(training(spark, d), ["subject"], "session", permutations=10)
-    own, shuffled = stats.auc(cv.where("perm = 0"), ["subject"], "probability", "outcome"), stats.auc(cv.where("perm > 0"), ["subject", "perm"], "probability", "outcome")
+    rows = training(spark, d)
+    true = model.cross_validate(rows, ["subject"], "session")
+    cv = model.cross_validate(rows, ["subject"], "session", permutations=FRParameters().n_permutations, permute_training=True)
+    own, shuffled = stats.auc(true, ["subject"], "probability", "outcome"), stats.auc(cv.where("perm > 0"), ["subject", "perm"], "probability", "outcome")
     return stats.permutation_pvalue(shuffled, own, ["subject"])
 
 
@@ -129,7 +132,7 @@ def theta_modulation(spark, d):
     channels = p.select((F.col("pair_idx") * 4 + (F.col("freq_idx") % 4)).alias("pair_idx")).distinct()
     value = lambda c: channels.select(F.lit(0).alias("stim_idx"), "pair_idx", c.alias("value"))
     rows = tmi.design(change, value((F.col("pair_idx") * 7 % 31 + 1) / 33), value(F.exp(-F.col("pair_idx") / 20)), ["session"])
-    return tmi.regress(rows, ["session"], permutations=200)
+    return tmi.regress(rows, ["session"])
 
 
 def recall_log(spark, d):
