@@ -5,7 +5,7 @@ rest is mixed to the sources' target weights, which repeats or leaves out docume
 stages but the last return the columns of documents.
 
 Defined results: each stage treats nulls, empty and repeated rows as its operator does. The near-copy stage keeps one row
-of a repeated doc_id and every row without a doc_id. An empty table passes through as an empty table.
+of each class, of a doc_id with texts of several classes one for each class that it names, and every row without a doc_id. An empty table passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -33,8 +33,9 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    first = dartminhash.classes(docs).where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id").select(*docs.columns).dropDuplicates(["doc_id"])
+    first = dartminhash.rows_with_classes(docs).where(F.col("doc_id") == F.col("class_id"))
+    first = first.groupBy("doc_id", F.coalesce("comp", "text_hash").alias("of")).agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
+    kept = docs.withColumn("text_hash", dartminhash.text_hash()).join(first, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns)
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -9,7 +9,8 @@ all coordinates, about K ln K + 2 K whatever its size, so that K can be large.
 
 Classes are the connected components of links of similarity 0.8 or more.
 
-1. Equal shingle sets are joined at once by a hash of the whole set; one document stands for them.
+1. Equal shingle sets are joined at once by a hash of the whole set, which stands for its documents in all that follows;
+   sets become least doc_ids at the end. So rows that share a doc_id and differ in text have links of their own.
 2. Documents that agree in all ``ROWS`` coordinates of one of ``BANDS`` bands meet in a bucket. Each is checked exactly
    against the bucket's first document, and all pairs are in buckets of up to ``SMALL`` documents.
 3. In larger buckets the first document p serves as a pivot for what is left. Two members x and y that share no shingle
@@ -23,7 +24,8 @@ Classes are the connected components of links of similarity 0.8 or more.
 The exact check compares the whole multisets of shingles, as 64-bit hashes.
 
 Defined results: null and empty texts and texts of marks alone have no shingles and are classes of their own, a row
-each; repeated rows and exact copies share a class; a class is named by its least doc_id; rows without doc_id are left
+each; repeated rows and exact copies share a class; a class is named by its least doc_id, so the classes of two texts of
+one doc_id may have one name; rows without doc_id are left
 as they are, each with class null; an empty table gives an empty table.
 """
 
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnesis.llm.common import mix, settled, slices, word_codes
@@ -121,41 +123,51 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def whole_sets(row: np.ndarray, unit: np.ndarray, rows: int) -> np.ndarray:
+    """A hash of each text's whole multiset of shingles."""
+    whole = np.zeros(rows, np.uint64)
+    with np.errstate(over="ignore"):
+        np.add.at(whole, row, mix(unit + np.uint64(3)))
+    return whole.view(np.int64)
+
+
+def text_hash() -> Column:
+    """What tells the texts of one doc_id apart."""
+    return F.xxhash64("text").alias("text_hash")
+
+
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, set (a hash of the whole multiset; null without shingles), bands."""
+    """doc_id, text_hash, set (a hash of the whole multiset; null without shingles), bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=1 << 20):
             row, unit = units(*shingles(b.column("text")))
             size = np.bincount(row, minlength=b.num_rows)
-            with np.errstate(over="ignore"):
-                whole = np.zeros(b.num_rows, np.uint64)
-                np.add.at(whole, row, mix(unit + np.uint64(3)))
             keys = band_keys(signatures(row, unit, b.num_rows, bands * rows), bands, rows).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(whole.view(np.int64), mask=size == 0), lists], ["doc_id", "set", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(whole_sets(row, unit, b.num_rows), mask=size == 0), lists], ["doc_id", "text_hash", "set", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, "doc_id long, `set` long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(), "text").mapInArrow(sign, "doc_id long, text_hash long, `set` long, bands array<long>")
 
 
 def with_units(docs: DataFrame) -> DataFrame:
-    """doc_id, units: the multiset of shingles as an array without repeats."""
+    """set (the hash of the whole multiset), units: the multiset of shingles as an array without repeats."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             row, unit = units(*shingles(b.column("text")))
             ends = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.view(np.int64)))], ["doc_id", "units"])
+            yield pa.RecordBatch.from_arrays([pa.array(whole_sets(row, unit, b.num_rows)), pa.ListArray.from_arrays(pa.array(ends), pa.array(unit.view(np.int64)))], ["set", "units"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(make, "doc_id long, units array<long>")
+    return docs.select("text").mapInArrow(make, "`set` long, units array<long>")
 
 
 def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = False) -> DataFrame:
     """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``. With keep, every pair
     with na, nb and common (the sizes), linked, and for pairs marked ``wide`` extra: of the shingles of b that a lacks, the
     first in order of hash, as many as must hold one that b shares with any partner in a link (prefix filtering)."""
-    left = contents.select(F.col("doc_id").alias("a"), F.col("units").alias("a_units"))
-    right = contents.select(F.col("doc_id").alias("b"), F.col("units").alias("b_units"))
+    left = contents.select(F.col("set").alias("a"), F.col("units").alias("a_units"))
+    right = contents.select(F.col("set").alias("b"), F.col("units").alias("b_units"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,19 +295,23 @@ def components(links: DataFrame, least_rounds: int = 1) -> DataFrame:
             return names
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
-    """(doc_id, class_id) for every row of docs."""
+def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+    """(doc_id, text_hash, comp, class_id) for every row of docs. comp tells classes apart that have the same least doc_id;
+    it is null for texts without shingles and rows without doc_id. Links and components are those of sets: what they call
+    doc_id is a set."""
     signs = settled(signed(docs, bands, rows), "signs")
     usable = signs.where(F.col("set").isNotNull() & F.col("doc_id").isNotNull())
     stands = settled(usable.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands")), "stands")
-    spread = stands.select("doc_id", F.posexplode("bands").alias("band", "key"))
-    buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1")
+    spread = stands.select("set", F.posexplode("bands").alias("band", "key"))
+    buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("set").alias("first")).where("n > 1")
     members = settled(spread.join(buckets, ["band", "key"]), "members")
-    stars = members.where(F.col("doc_id") != F.col("first")).groupBy(F.col("first").alias("a"), F.col("doc_id").alias("b")).agg((F.max("n") > small).alias("wide"))
-    few = members.where((F.col("n") > 2) & (F.col("n") <= small)).select("band", "key", "doc_id")
-    within = few.select("band", "key", F.col("doc_id").alias("a")).join(few.select("band", "key", F.col("doc_id").alias("b")), ["band", "key"]).where("a < b").select("a", "b")
-    involved = members.select("doc_id").distinct()
-    contents = settled(with_units(docs.join(involved, "doc_id").select("doc_id", "text").dropDuplicates(["doc_id"])), "contents")
+    stars = members.where(F.col("set") != F.col("first")).groupBy(F.col("first").alias("a"), F.col("set").alias("b")).agg((F.max("n") > small).alias("wide"))
+    few = members.where((F.col("n") > 2) & (F.col("n") <= small)).select("band", "key", "set")
+    within = few.select("band", "key", F.col("set").alias("a")).join(few.select("band", "key", F.col("set").alias("b")), ["band", "key"]).where("a < b").select("a", "b")
+    involved = members.select("set").distinct()
+    # a doc_id of several texts brings all of them; only the sets that are asked for stay
+    texts = docs.join(stands.join(involved, "set", "left_semi").select("doc_id").distinct(), "doc_id").select("text")
+    contents = settled(with_units(texts).join(involved, "set", "left_semi").dropDuplicates(["set"]), "contents")
     checked = settled(compared(stars, contents, least, keep=True), "checked")
     direct = checked.where("linked").select("a", "b")
     rest = within.distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
@@ -304,7 +320,15 @@ def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows
     more = settled(compared(beyond_pivots(checked, names, least), contents, least), "more")
     if not more.isEmpty():
         names = components(links.union(more))
-    sets = stands.select("set", F.col("doc_id").alias("stand")).join(names.withColumnRenamed("doc_id", "stand"), "stand", "left").select("set", F.coalesce("comp", "stand").alias("class_id"))
-    named = usable.join(sets, "set").select("doc_id", "class_id")
-    alone = signs.where(F.col("set").isNull() | F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
-    return named.union(alone)
+    names = names.withColumnRenamed("doc_id", "set")
+    linked = names.join(stands.select("set", "doc_id"), "set").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    named = names.join(linked, "comp").select("set", "comp", "least")
+    sets = stands.select("set", "doc_id").join(named, "set", "left").select("set", F.coalesce("comp", "set").alias("comp"), F.coalesce("least", "doc_id").alias("class_id"))
+    found = usable.join(sets, "set").select("doc_id", "text_hash", "comp", "class_id")
+    alone = signs.where(F.col("set").isNull() | F.col("doc_id").isNull())
+    return found.union(alone.select("doc_id", "text_hash", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("class_id")))
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+    """(doc_id, class_id) for every row of docs."""
+    return rows_with_classes(docs, least, bands, rows, small).select("doc_id", "class_id")

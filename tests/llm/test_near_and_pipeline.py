@@ -7,6 +7,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 from llm_words import clean_text, junk_text, toxic_text
+from pyspark.sql import functions as F
 
 from mnesis.llm import dartminhash as dmh
 from mnesis.llm import queries
@@ -137,3 +138,15 @@ def test_stages_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
 def test_registry():
     assert {int(q.split("_")[0][2:]) for q in queries.QUERIES} == set(range(1, 11))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+
+
+def test_texts_of_one_doc_id_have_links_of_their_own(spark, tmp_path):
+    word = lambda k, n=60: " ".join(f"w{k}x{i}" for i in range(n))
+    # 9 has a near copy of 5's text, one of 6's, and a text of its own
+    rows = [(5, word(1)), (6, word(2)), (9, word(1) + " more"), (9, word(2) + " more"), (9, word(3)), (9, word(3)), (9, "..."), (12, word(4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for dealt in (docs, docs.orderBy(F.desc("text")).coalesce(1)):
+        got = sorted(map(tuple, dmh.classes(dealt).collect()))
+        assert got == [(5, 5), (6, 6), (9, 5), (9, 6), (9, 9), (9, 9), (9, 9), (12, 12)]
+        kept = sorted(map(tuple, corpus_pipeline.without_near_copies(spark, dealt, str(tmp_path)).collect()))
+        assert kept == sorted({(5, word(1)), (6, word(2)), (9, word(3)), (9, "..."), (12, word(4))})
