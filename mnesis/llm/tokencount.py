@@ -4,7 +4,8 @@ Words are cut greedily into the longest pieces of a word-piece vocabulary (piece
 ``##`` by default). The vocabulary is a trie whose nodes carry a failure link and the number of pieces that are popped on
 following it, computed once in the order of depth. A word is then read once from left to right: where the trie has no
 edge, the count grows by what the node pops and the failure link is followed, so no piece is built and no letter is
-read twice. Words that can't be cut count as one unknown piece, as do words over ``max_letters`` long.
+read twice. Words that can't be cut count as one unknown piece, as do words over ``max_letters`` long where
+that is set.
 
 Text is cut into words at white space and around marks, in lower case if asked. Each distinct word of a slice is counted
 once.
@@ -30,7 +31,7 @@ WORD = re.compile(r"\w+|[^\w\s]")
 class Automaton:
     """Counts the pieces of words; -1 for words that can't be cut."""
 
-    def __init__(self, vocabulary: list[str], prefix: str = "##", max_letters: int = 100):
+    def __init__(self, vocabulary: list[str], prefix: str = "##", max_letters: int | None = 100):
         self.max_letters = max_letters
         self.edges: list[dict[str, int]] = [{}, {}]  # node 0: a word's start; node 1: the start of a piece inside
         self.ends = [False, False]
@@ -70,7 +71,7 @@ class Automaton:
             level = below
 
     def count(self, word: str) -> int:
-        if not word or len(word) > self.max_letters:
+        if not word or (self.max_letters is not None and len(word) > self.max_letters):
             return -1 if word else 0
         edges, fail, pops = self.edges, self.fail, self.pops
         node, total = 0, 0
@@ -102,8 +103,9 @@ def sentencepiece_vocabulary(path: str) -> list[str]:
     return list(dict.fromkeys([*start, *(f"##{p}" for p in inside), *(p for p in inside if len(p) == 1)]))
 
 
-def token_counts(docs: DataFrame, model_path: str, lower: bool = False, max_letters: int = 100) -> DataFrame:
-    """(doc_id, n_words, n_tokens, n_unknown) of every whole text; one pass, no shuffle."""
+def token_counts(docs: DataFrame, model_path: str, lower: bool = False, max_letters: int | None = None) -> DataFrame:
+    """(doc_id, n_words, n_tokens, n_unknown) of every whole text; one pass, no shuffle. Words of any length are cut;
+    max_letters=100 gives the counts of the library's WordPiece."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(sentencepiece_vocabulary(model_path), max_letters=max_letters)

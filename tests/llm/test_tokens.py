@@ -127,3 +127,12 @@ def test_local_search_betters_best_fit():
     assert sum(map(bool, items)) <= before and sum((2048 - x) ** 2 for x in room) >= square
     assert sorted(i for b in items for i in b) == list(range(800))
     assert all(sum(lengths[i] for i in b) == 2048 - x <= 2048 for b, x in zip(items, room) if b)
+
+
+def test_long_words_are_cut_unless_limited(spark):
+    docs = spark.createDataFrame([(1, "a" * 1000), (2, "a" * 100)], "doc_id long, text string")
+    path = files.path("piece_bpe_32k.model")
+    whole = {r.doc_id: r for r in tokencount.token_counts(docs, path).collect()}
+    assert whole[1].n_unknown == 0 and whole[1].n_tokens > whole[2].n_tokens > 1
+    limited = {r.doc_id: r for r in tokencount.token_counts(docs, path, max_letters=100).collect()}
+    assert (limited[1].n_tokens, limited[1].n_unknown) == (1, 1) and limited[2] == whole[2]
