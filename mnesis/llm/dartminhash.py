@@ -12,14 +12,14 @@ Classes are the connected components of links of similarity 0.8 or more.
 1. Equal shingle sets are joined at once by a hash of the whole set, which stands for its documents in all that follows;
    sets become least doc_ids at the end. So rows that share a doc_id and differ in text have links of their own.
 2. Documents that agree in all ``ROWS`` coordinates of one of ``BANDS`` bands meet in a bucket. Each is checked exactly
-   against the bucket's first document, and all pairs are in buckets of up to ``SMALL`` documents.
-3. In larger buckets the first document p serves as a pivot for what is left. Two members x and y that share no shingle
-   outside p have at most min(|x n p|, |y n p|) shingles in common, which the check against p has counted. So a pair can
-   only be a link if it shares a shingle that p lacks, which a join on (p, shingle) finds (of prefixes, and without the
-   shingles that only one member has), or if |x| + |y| is within
-   (1 + s) / s times that minimum for the similarity s, which a join on p with that condition finds. Pairs of one class
-   need no check. So this loses no link, and a large group of near copies costs a pair for each document and pivot and
-   the few pairs that its members' own edits have in common.
+   against the bucket's first document, its hub.
+3. Buckets whose hubs are in one class form a group. Groups with members of several classes are gone through again, in
+   rounds, by what most members have in common: a pair of different classes can only be a link if it shares a shingle
+   that few others of its group have, or lacks the same of the common ones; ``resolved`` has the conditions. Members whose
+   rare shingles aren't rare enough wait for the next round, for a family of their own. The rounds end when no member
+   waits; in the last of ``ROUNDS`` none does. No link is lost, whatever a group's size. Near copies of one text cost a
+   pair for each document and hub, and the few pairs whose edits coincide. Groups in which many texts differ from what
+   is common to them in just the same places, a little too much to be links, cost pairs beyond that.
 
 The exact check compares the whole multisets of shingles, as 64-bit hashes.
 
@@ -36,8 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mnesis.llm.common import mix, settled, slices, word_codes
@@ -45,7 +44,8 @@ from mnesis.llm.toxicity import MARKS
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 8
-SMALL = 32
+#: The pairs of one document that a task checks; how many members of a group may have a shingle that finds pairs; rounds.
+PER_TASK, POPULAR, ROUNDS = 1024, 32, 8
 #: How many darts a cell of area 1 gets: the chances of a Poisson variable of mean 1 to be at most 0, 1, 2, ...
 POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1, *range(1, 16)]))
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -162,120 +162,120 @@ def with_units(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(make, "`set` long, units array<long>")
 
 
-def compared(pairs: DataFrame, contents: DataFrame, least: float, keep: bool = False) -> DataFrame:
-    """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``. With keep, every pair
-    with na, nb and common (the sizes), linked, and for pairs marked ``wide`` extra: of the shingles of b that a lacks, the
-    first in order of hash, as many as must hold one that b shares with any partner in a link (prefix filtering)."""
-    left = contents.select(F.col("set").alias("a"), F.col("units").alias("a_units"))
+def compared(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose multisets have a weighted Jaccard similarity of at least ``least``. The pairs of an a are dealt
+    to as many tasks as their number asks for, and a's shingles to each of them."""
+    salts = F.ceil(F.col("n") / PER_TASK).cast("int")
+    many = pairs.groupBy("a").agg(F.count("*").alias("n"))
+    left = contents.select(F.col("set").alias("a"), F.col("units").alias("a_units")).join(many, "a").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("n")
     right = contents.select(F.col("set").alias("b"), F.col("units").alias("b_units"))
+    dealt = pairs.join(many, "a").withColumn("salt", F.pmod(F.xxhash64("b"), salts).cast("int")).drop("n")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = batch.column("a_units"), batch.column("b_units")
             xo, xv, yo, yv = x.offsets.to_numpy(), x.values.to_numpy(), y.offsets.to_numpy(), y.values.to_numpy()
-            n = batch.num_rows
-            common, linked = np.zeros(n, np.int64), np.zeros(n, bool)
-            wide = batch.column("wide").to_numpy(zero_copy_only=False) if keep else np.zeros(n, bool)
-            extra: list[np.ndarray] = []
-            for i in range(n):
+            linked = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
                 u, v = xv[xo[i] : xo[i + 1]], yv[yo[i] : yo[i + 1]]
-                if wide[i]:
-                    alone = np.sort(v[~np.isin(v, u, assume_unique=True)])
-                    common[i] = len(v) - len(alone)
-                    # a partner has at least least * len(v) shingles, so this many of those outside a are in common with it
-                    needed = max(1, int(np.ceil(least * len(v) - common[i] - 1e-9)))
-                    extra.append(alone[: len(alone) - needed + 1])
-                elif keep or min(len(u), len(v)) >= least * max(len(u), len(v)):
+                if min(len(u), len(v)) >= least * max(len(u), len(v)):
                     both = np.sort(np.concatenate((u, v)))
-                    common[i] = int((both[1:] == both[:-1]).sum())
-                linked[i] = common[i] > 0 and common[i] >= least * (len(u) + len(v) - common[i])
-                if keep and not wide[i]:
-                    extra.append(v[:0])
-            if keep:
-                ends = np.cumsum([0, *map(len, extra)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(extra) if extra else np.zeros(0, np.int64)))
-                values = [batch.column("a"), batch.column("b"), batch.column("wide"), pa.array(np.diff(xo).astype(np.int64)), pa.array(np.diff(yo).astype(np.int64)), pa.array(common), pa.array(linked), lists]
-                yield pa.RecordBatch.from_arrays(values, ["a", "b", "wide", "na", "nb", "common", "linked", "extra"])
-            else:
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], ["a", "b"])
-
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", *(["wide"] if keep else []), "a_units", "b_units")
-    return rows.mapInArrow(check, "a long, b long" + ", wide boolean, na long, nb long, common long, linked boolean, extra array<long>" * keep)
-
-
-def only_shared(rows: DataFrame, most_bits: int = 26, chunks: int = 64) -> DataFrame:
-    """rows without those shingles in ``extra`` that no other row of the same pivot has, or none that looks for partners, so
-    that only shingles which can meet go into the join. Every task marks tables of bits with the hashes that it has seen
-    once, twice, and in a looking row, 8 bits or more for each shingle up to 2 ** most_bits in all; the tables are merged
-    piece by piece. Two shingles under one hash only mean that some are kept in vain."""
-    total = rows.agg(F.sum(F.size("extra"))).first()[0] or 0
-    bits = int(min(most_bits, max(16, np.ceil(np.log2(8 * total + 1)))))
-
-    def places(pivot: int, extra: np.ndarray) -> np.ndarray:
-        own = mix(np.array([pivot], np.int64).view(np.uint64) + GOLDEN)
-        return (mix(extra.view(np.uint64) ^ own) >> np.uint64(64 - bits)).astype(np.int64)
-
-    def each(b: pa.RecordBatch) -> Iterator[np.ndarray]:
-        lists = b.column("extra")
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        for i, pivot in enumerate(b.column("a").to_pylist()):
-            yield places(pivot, flat[ends[i] : ends[i + 1]])
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << bits, np.uint8)  # 1: once, 2: twice, 4: in a looking row
-        for b in batches:
-            for at, looks in zip(each(b), pc.not_equal(b.column("bc"), b.column("ac")).to_pylist(), strict=True):
-                at = np.unique(at)
-                seen[at] |= ((seen[at] & 1) << 1) | (5 if looks else 1)
-        pieces = [(c, zlib.compress(b"".join(np.packbits(x & k > 0).tobytes() for k in (1, 2, 4)), 1)) for c, x in enumerate(np.split(seen, chunks)) if x.any()]
-        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in pieces], pa.int32()), pa.array([x for _, x in pieces], pa.binary())], ["chunk", "marks"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        once = twice = looking = np.zeros((1 << bits) // chunks // 8, np.uint8)
-        for m in table.column("marks").to_pylist():
-            new_once, new_twice, new_looking = np.split(np.frombuffer(zlib.decompress(m), np.uint8), 3)
-            twice = twice | new_twice | (once & new_once)
-            once, looking = once | new_once, looking | new_looking
-        return pa.Table.from_arrays([table.column("chunk").slice(0, 1).combine_chunks(), pa.array([zlib.compress((twice & looking).tobytes(), 1)], pa.binary())], ["chunk", "marks"])
-
-    marks = rows.select("a", "bc", "ac", "extra").mapInArrow(mark, "chunk int, marks binary").groupBy("chunk").applyInArrow(merge, "chunk int, marks binary").collect()
-    shared = rows.sparkSession.sparkContext.broadcast([(r.chunk, bytes(r.marks)) for r in marks])
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.zeros(1 << bits, bool)
-        size = (1 << bits) // chunks
-        for c, m in shared.value:
-            often[c * size : (c + 1) * size] = np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8)).astype(bool)
-        for b in batches:
-            lists = b.column("extra")
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            stays = [often[at] for at in each(b)]
-            own = [flat[ends[i] : ends[i + 1]][m] for i, m in enumerate(stays)]
-            new = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, own)]).astype(np.int32)), pa.array(np.concatenate(own) if own else flat[:0]))
-            yield pa.RecordBatch.from_arrays([new if c == "extra" else b.column(c) for c in b.schema.names], b.schema.names)
-
-    return rows.mapInArrow(keep, ", ".join(f"`{c}` {t}" for c, t in rows.dtypes))
-
-
-def beyond_pivots(checked: DataFrame, names: DataFrame, least: float, salts: int = 16) -> DataFrame:
-    """The pairs of members of large buckets that may be links although neither is the pivot: a pivot's rows by shingles
-    that it lacks and by sizes. Only members outside the pivot's class look for partners, in other classes."""
-    comp = lambda c, n: names.select(F.col("doc_id").alias(c), F.col("comp").alias(n))
-    rows = checked.where("wide").select("a", "b", "nb", "common", "extra").join(comp("b", "bc"), "b", "left").join(comp("a", "ac"), "a", "left")
-    rows = settled(rows.withColumns({"bc": F.coalesce("bc", "b"), "ac": F.coalesce("ac", "a")}), "wide")
-    rows = settled(only_shared(rows), "shared")
-    looking = rows.where("bc <> ac")
-    y = looking.select("a", F.col("b").alias("y"), F.col("bc").alias("yc"), F.col("nb").alias("ny"), F.col("common").alias("cy"), "extra")
-    x = rows.join(looking.select("a").distinct(), "a", "left_semi").select("a", F.col("b").alias("x"), F.col("bc").alias("xc"), F.col("nb").alias("nx"), F.col("common").alias("cx"), "extra")
-    other = (F.col("xc") < F.col("yc")) | ((F.col("xc") > F.col("yc")) & (F.col("xc") == F.col("xa")))  # each pair once
-    shingle = lambda t: t.withColumn("u", F.explode("extra")).drop("extra")
-    x = x.join(comp("a", "xa"), "a", "left").withColumn("xa", F.coalesce("xa", "a"))
-    by_shingle = shingle(x).join(shingle(y), ["a", "u"]).where(other)
-    dealt = x.drop("extra").withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(salts)))
-    copied = y.drop("extra").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    by_size = dealt.join(copied, ["a", "salt"]).where(other & (least * (F.col("nx") + F.col("ny")) <= (1 + least) * F.least("cx", "cy")))
-    found = by_shingle.select("x", "y").union(by_size.select("x", "y"))
-    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+                    common = int((both[1:] == both[:-1]).sum())
+                    linked[i] = common > 0 and common >= least * (len(u) + len(v) - common)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(linked)) for c in ("a", "b")], ["a", "b"])
+
+    rows = dealt.join(right, "b").join(left, ["a", "salt"]).select("a", "b", "a_units", "b_units")
+    return rows.mapInArrow(check, "a long, b long")
+
+
+def open_groups(groups: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows (g, b, focus) of groups with members of several classes, with each member's class as comp."""
+    comp = names.select(F.col("doc_id").alias("b"), "comp")
+    rows = groups.join(comp, "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    several = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
+    return rows.join(several, "g").select("g", "b", "comp", "focus")
+
+
+def resolved(rows: DataFrame, contents: DataFrame, least: float, popular: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    """(a, b): pairs of different classes, among which are enough of the links that touch a member which is settled in this
+    round to join all that they join; and the rows of the members that aren't settled. With last, all are settled.
+
+    P is what most members of a group (of those with all its ``focus`` shingles) have in common. For members x and y let c
+    be how many shingles each has in P, M those of P that it lacks, O those that it has outside P, t = s / (1 + s) for the
+    similarity s, and f = c - t |x|. A link needs |x n y| >= t (|x| + |y|) and |x n y| >= s |x|.
+
+    1. As y has just c_y shingles in P, a link of y shares at least s |y| - c_y shingles of O_y, if any at all. So y looks for
+       partners under its rarest shingles of O_y, all but that number less one. If one of these is in more than
+       ``popular`` members, y waits for a later round, in which what it shares with many is part of P.
+    2. A link that shares nothing of O needs |M_x n M_y| >= |P| - f_x - f_y, and t |x| <= f_y, t |y| <= f_x. Where the sum
+       f_x + f_y reaches |P|, that of y and the member z with the highest f does too, so all such members are linked with z,
+       and a pair with z stands for them. Any other y looks for partners under its rarest shingles of M_y, all but the least
+       number that a partner must share less one, among the members of a size (in steps of 2 in 100) that admits a link."""
+    t, eps = least / (1 + least), 1e-6
+    m = settled(rows.join(contents.select(F.col("set").alias("b"), "units"), "b"), "group")
+    counts = settled(m.select("g", F.explode("units").alias("u")).groupBy("g", "u").agg(F.count("*").alias("n_u")).where("n_u > 1"), "counts")
+    inside = m.where(F.forall("focus", lambda x: F.array_contains("units", x)))
+    sizes = inside.groupBy("g").agg(F.count("*").alias("n"))
+    own = inside.where(F.size("focus") > 0).select("g", F.explode("units").alias("u")).groupBy("g", "u").agg(F.count("*").alias("n_u"))
+    whole = counts.join(m.groupBy("g").agg(F.max(F.size("focus")).alias("k")).where("k = 0").select("g"), "g")
+    common = whole.unionByName(own).join(sizes, "g").where(2 * F.col("n_u") > F.col("n"))
+    core = common.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n_u")).alias("k"), "u"))), lambda x: x.u).alias("core"))
+    d = m.join(core, "g", "left").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
+    d = d.select("g", "b", "comp", "focus", F.size("units").alias("size"), F.size("core").alias("p"), F.array_except("units", "core").alias("o"), F.array_except("core", "units").alias("m"))
+    d = settled(d.withColumn("c", F.col("p") - F.size("m")).withColumn("f", F.col("c") - t * F.col("size")), "deltas")
+
+    # 1: shared shingles outside the core
+    shared = d.select("g", "b", "comp", F.explode("o").alias("u")).join(counts, ["g", "u"])
+    lists = shared.groupBy("g", "b").agg(F.sort_array(F.collect_list(F.struct("n_u", "u"))).alias("list"))
+    needed = F.greatest(F.lit(1), F.ceil(least * F.col("size") - F.col("c") - eps)).cast("int")
+    look = F.size("list") - needed + 1  # what no other member has can't be shared
+    looks = d.join(lists, ["g", "b"]).withColumn("look", F.slice("list", F.lit(1), F.greatest(F.lit(0), look)))
+    waits = F.lit(False) if last else F.exists("look", lambda x: x.n_u > popular)
+    looks = settled(looks.select("g", "b", "comp", "focus", "look", waits.alias("waits")), "looks")
+    y = looks.where("not waits").select("g", F.col("b").alias("y"), F.col("comp").alias("yc"), F.explode(F.transform("look", lambda x: x.u)).alias("u"))
+    x = shared.where(F.lit(True) if last else F.col("n_u") <= popular).select("g", "u", F.col("b").alias("x"), F.col("comp").alias("xc"))
+    found = x.join(y, ["g", "u"]).where("xc <> yc").select("x", "y")
+
+    # 2: nothing shared outside the core
+    z = d.where("p > 0").groupBy("g").agg(F.max_by(F.struct("b", "comp"), F.struct("f", "b")).alias("z"), F.max("f").alias("top"))
+    near = d.where("p > 0").join(z, "g").withColumn("sure", F.col("f") + F.col("top") >= F.col("p") - eps)
+    stars = near.where(F.col("sure") & (F.col("comp") != F.col("z.comp"))).select(F.col("z.b").alias("x"), F.col("b").alias("y"))
+    step = F.floor(F.log("size") / float(np.log(1.02))).cast("int")
+    may = near.where(F.col("c") >= least * F.col("size") - eps).withColumn("step", step)  # c < s |x| allows no partner
+    bins = may.groupBy("g", "step").agg(F.min("size").alias("least_size"), F.max("f").alias("most_f"))
+    seekers = may.where("not sure").drop("step").join(bins, "g").where((t * F.col("least_size") <= F.col("f") + eps) & (t * F.col("size") <= F.col("most_f") + eps))
+    shares = F.greatest(F.lit(1), F.ceil(F.col("p") - F.col("f") - F.col("most_f") - eps)).cast("int")
+    under = F.slice("m", F.lit(1), F.greatest(F.lit(0), F.size("m") - shares + 1))
+    seek = seekers.select("g", "step", F.col("b").alias("y"), F.col("comp").alias("yc"), F.col("size").alias("ny"), F.col("f").alias("fy"), F.explode(under).alias("u"))
+    lack = may.select("g", "step", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("size").alias("nx"), F.col("f").alias("fx"), F.explode("m").alias("u"))
+    fits = (F.col("xc") != F.col("yc")) & (t * F.col("nx") <= F.col("fy") + eps) & (t * F.col("ny") <= F.col("fx") + eps)
+    missing = lack.join(seek, ["g", "step", "u"]).where(fits).select("x", "y")
+
+    pairs = found.union(stars).union(missing).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # a group that hardly shrinks is seen next time from those members that have its most frequent shingle outside P, too
+    left = looks.where("waits").select("g", "b", "focus")
+    kept = left.groupBy("g").agg(F.count("*").alias("kept")).join(m.groupBy("g").agg(F.count("*").alias("of")), "g").where("4 * kept > 3 * of")
+    often = shared.join(kept, "g").join(inside.join(left.select("g", "b"), ["g", "b"]).select("g", "b"), ["g", "b"]).groupBy("g", "u").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("u", F.struct("k", "u")).alias("next"))
+    ahead = F.when(F.col("next").isNotNull(), F.concat("focus", F.array("next"))).otherwise(F.array().cast("array<long>"))
+    return pairs, left.join(often, "g", "left").select("g", "b", ahead.alias("focus"))
+
+
+def beyond_pivots(groups: DataFrame, contents: DataFrame, links: DataFrame, names: DataFrame, least: float, popular: int = POPULAR, rounds: int = ROUNDS) -> DataFrame:
+    """names, once every link within a group has been found or its ends are in one class. groups: (g, b). links: those that
+    were found before, with the classes names."""
+    groups = groups.withColumn("focus", F.array().cast("array<long>"))
+    for k in range(rounds):
+        rows = settled(open_groups(groups, names), "open")
+        if rows.isEmpty():
+            break
+        pairs, left = resolved(rows, contents, least, popular, k == rounds - 1)
+        left = settled(left, "left")
+        more = settled(compared(settled(pairs, "pairs"), contents, least), "more")
+        if not more.isEmpty():
+            links = links.union(more)
+            names = components(links)
+        groups = left
+    return names
 
 
 def components(links: DataFrame, least_rounds: int = 1) -> DataFrame:
@@ -295,7 +295,7 @@ def components(links: DataFrame, least_rounds: int = 1) -> DataFrame:
             return names
 
 
-def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_hash, comp, class_id) for every row of docs. comp tells classes apart that have the same least doc_id;
     it is null for texts without shingles and rows without doc_id. Links and components are those of sets: what they call
     doc_id is a set."""
@@ -304,23 +304,16 @@ def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = B
     stands = settled(usable.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands")), "stands")
     spread = stands.select("set", F.posexplode("bands").alias("band", "key"))
     buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("set").alias("first")).where("n > 1")
-    members = settled(spread.join(buckets, ["band", "key"]), "members")
-    stars = members.where(F.col("set") != F.col("first")).groupBy(F.col("first").alias("a"), F.col("set").alias("b")).agg((F.max("n") > small).alias("wide"))
-    few = members.where((F.col("n") > 2) & (F.col("n") <= small)).select("band", "key", "set")
-    within = few.select("band", "key", F.col("set").alias("a")).join(few.select("band", "key", F.col("set").alias("b")), ["band", "key"]).where("a < b").select("a", "b")
-    involved = members.select("set").distinct()
+    members = settled(spread.join(buckets, ["band", "key"]).groupBy(F.col("first").alias("a"), F.col("set").alias("b")).agg(F.max("n").alias("n")), "members")
+    involved = members.select(F.col("b").alias("set")).distinct()
     # a doc_id of several texts brings all of them; only the sets that are asked for stay
     texts = docs.join(stands.join(involved, "set", "left_semi").select("doc_id").distinct(), "doc_id").select("text")
     contents = settled(with_units(texts).join(involved, "set", "left_semi").dropDuplicates(["set"]), "contents")
-    checked = settled(compared(stars, contents, least, keep=True), "checked")
-    direct = checked.where("linked").select("a", "b")
-    rest = within.distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    links = settled(direct.union(compared(rest, contents, least)), "links")
+    links = settled(compared(members.where("a <> b").select("a", "b"), contents, least), "links")
     names = components(links)
-    more = settled(compared(beyond_pivots(checked, names, least), contents, least), "more")
-    if not more.isEmpty():
-        names = components(links.union(more))
-    names = names.withColumnRenamed("doc_id", "set")
+    hubs = members.where("n > 2").join(names.withColumnRenamed("doc_id", "a"), "a", "left")
+    groups = hubs.select(F.coalesce("comp", "a").alias("g"), "b").distinct()
+    names = beyond_pivots(groups, contents, links, names, least).withColumnRenamed("doc_id", "set")
     linked = names.join(stands.select("set", "doc_id"), "set").groupBy("comp").agg(F.min("doc_id").alias("least"))
     named = names.join(linked, "comp").select("set", "comp", "least")
     sets = stands.select("set", "doc_id").join(named, "set", "left").select("set", F.coalesce("comp", "set").alias("comp"), F.coalesce("least", "doc_id").alias("class_id"))
@@ -329,6 +322,6 @@ def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = B
     return found.union(alone.select("doc_id", "text_hash", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("class_id")))
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, small: int = SMALL) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, class_id) for every row of docs."""
-    return rows_with_classes(docs, least, bands, rows, small).select("doc_id", "class_id")
+    return rows_with_classes(docs, least, bands, rows).select("doc_id", "class_id")

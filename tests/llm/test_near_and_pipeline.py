@@ -6,6 +6,7 @@ import re
 import corpus_pipeline
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_words import clean_text, junk_text, toxic_text
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def corpus(seed=0):
 def test_classes_are_the_components(spark, empty):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.class_id for r in dmh.classes(docs, small=4).collect()}
+    got = {r.doc_id: r.class_id for r in dmh.classes(docs).collect()}
     assert got == brute_classes(rows)
     assert dmh.classes(empty).count() == 0
 
@@ -76,12 +77,54 @@ def test_rows_without_id_and_repeated_rows(spark, odd):
     assert by[106] == by[107] == 106 and by[5] == 5 and by[100] == 100
 
 
-def test_what_pivots_leave_is_found(spark):
-    """x and y are links although the pivot is near neither: they share what the pivot lacks."""
-    own = spark.createDataFrame([(1, 2, True, 10, 10, 6, False, [91, 92, 93]), (1, 3, True, 10, 10, 6, False, [91, 92]), (1, 4, True, 10, 10, 9, True, [95]), (1, 5, True, 10, 6, 6, False, [])], "a long, b long, wide boolean, na long, nb long, common long, linked boolean, extra array<long>")
-    names = spark.createDataFrame([(1, 1), (4, 1)], "doc_id long, comp long")
-    got = {tuple(r) for r in dmh.beyond_pivots(own, names, 0.8).collect()}
-    assert (2, 3) in got and (2, 4) not in got
+def families(seed):
+    """Sets of numbers in groups: edits of one template, of templates that share most, of nothing in common, of sizes
+    that differ; with and without a member that is the template itself."""
+    r = random.Random(seed)
+    groups = []
+    for kind in range(7):
+        members = []
+        templates = [list(range(1000 * kind, 1000 * kind + 40))] * 40
+        if kind in (1, 2):  # versions with 10 of 40 elements of their own
+            templates = [[*range(1000 * kind, 1000 * kind + 30), *range(1000 * kind + 100 * v, 1000 * kind + 100 * v + 10)] for v in r.choices(range(1, 2 + 2 * kind), k=40)]
+        for n, t in enumerate(templates):
+            own = set(t)
+            if kind == 3:
+                own = set(r.sample(range(3000, 3060), 30))
+            if kind == 4:
+                own = set(t[: r.randint(20, 40)])
+            edits = 0 if kind == 0 and n == 0 else r.randint(2 if kind == 5 else 0, 5)
+            for x in r.sample(sorted(own), edits):
+                own.discard(x)
+                own.add(10**6 + r.randrange(40 if kind == 6 else 10**6))
+            members.append(frozenset(own))
+        groups.append(list(dict.fromkeys(members)))
+    return groups
+
+
+def joined(sets, links, start):
+    """The least member that each is joined with, by links and by what start has joined."""
+    name = dict(start)
+    for a, b in links:
+        old, new = max(name[a], name[b]), min(name[a], name[b])
+        name = {k: new if v == old else v for k, v in name.items()}
+    return name
+
+
+@pytest.mark.parametrize("seed, popular, rounds", [(0, 32, 8), (1, 4, 8), (2, 2, 3), (3, 2, 1)])
+def test_groups_are_resolved_as_by_all_pairs(spark, seed, popular, rounds):
+    rows, contents, want = [], [], {}
+    for g, members in enumerate(families(seed)):
+        ids = [100 * g + i for i in range(len(members))]
+        contents += [(i, sorted(m)) for i, m in zip(ids, members)]
+        rows += [(g, i) for i in ids]
+        near = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if len(members[i] & members[j]) >= 0.8 * len(members[i] | members[j])]
+        want |= joined(ids, near, {i: i for i in ids})
+    contents = spark.createDataFrame(contents, "set long, units array<long>")
+    none = spark.createDataFrame([], "a long, b long")
+    names = dmh.beyond_pivots(spark.createDataFrame(rows, "g long, b long"), contents, none, spark.createDataFrame([], "doc_id long, comp long"), 0.8, popular, rounds)
+    got = {r.doc_id: r.comp for r in names.collect()}
+    assert {i: got.get(i, i) for i in want} == want
 
 
 def test_signature_estimates_similarity():
