@@ -15,7 +15,7 @@ Classes are the connected components of links of similarity 0.8 or more.
    against the bucket's first document, its hub.
 3. Buckets whose hubs are in one class form a group. Groups with members of several classes are gone through again, in
    rounds, by what most members have in common: a pair of different classes can only be a link if it shares a shingle
-   that few others of its group have, or lacks the same of the common ones; ``resolved`` has the conditions. Members whose
+   that few others of its group have, or lacks the same of the common ones. Members whose
    rare shingles aren't rare enough wait for the next round, for a family of their own. The rounds end when no member
    waits; in the last of ``ROUNDS`` none does. No link is lost, whatever a group's size. Near copies of one text cost a
    pair for each document and hub, and the few pairs whose edits coincide. Groups in which many texts differ from what
@@ -46,6 +46,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 8
 #: The pairs of one document that a task checks; how many members of a group may have a shingle that finds pairs; rounds.
 PER_TASK, POPULAR, ROUNDS = 1024, 32, 8
+EPS = 1e-6
 #: How many darts a cell of area 1 gets: the chances of a Poisson variable of mean 1 to be at most 0, 1, 2, ...
 POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1, *range(1, 16)]))
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -188,93 +189,131 @@ def compared(pairs: DataFrame, contents: DataFrame, least: float) -> DataFrame:
     return rows.mapInArrow(check, "a long, b long")
 
 
-def open_groups(groups: DataFrame, names: DataFrame) -> DataFrame:
-    """The rows (g, b, focus) of groups with members of several classes, with each member's class as comp."""
-    comp = names.select(F.col("doc_id").alias("b"), "comp")
-    rows = groups.join(comp, "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+def with_classes(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """rows (g, b, ...) of groups with members of several classes, with each member's class as comp."""
+    rows = rows.join(names.select(F.col("doc_id").alias("b"), "comp"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
     several = rows.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("g")
-    return rows.join(several, "g").select("g", "b", "comp", "focus")
-
-
-def resolved(rows: DataFrame, contents: DataFrame, least: float, popular: int, last: bool) -> tuple[DataFrame, DataFrame]:
-    """(a, b): pairs of different classes, among which are enough of the links that touch a member which is settled in this
-    round to join all that they join; and the rows of the members that aren't settled. With last, all are settled.
-
-    P is what most members of a group (of those with all its ``focus`` shingles) have in common. For members x and y let c
-    be how many shingles each has in P, M those of P that it lacks, O those that it has outside P, t = s / (1 + s) for the
-    similarity s, and f = c - t |x|. A link needs |x n y| >= t (|x| + |y|) and |x n y| >= s |x|.
-
-    1. As y has just c_y shingles in P, a link of y shares at least s |y| - c_y shingles of O_y, if any at all. So y looks for
-       partners under its rarest shingles of O_y, all but that number less one. If one of these is in more than
-       ``popular`` members, y waits for a later round, in which what it shares with many is part of P.
-    2. A link that shares nothing of O needs |M_x n M_y| >= |P| - f_x - f_y, and t |x| <= f_y, t |y| <= f_x. Where the sum
-       f_x + f_y reaches |P|, that of y and the member z with the highest f does too, so all such members are linked with z,
-       and a pair with z stands for them. Any other y looks for partners under its rarest shingles of M_y, all but the least
-       number that a partner must share less one, among the members of a size (in steps of 2 in 100) that admits a link."""
-    t, eps = least / (1 + least), 1e-6
-    m = settled(rows.join(contents.select(F.col("set").alias("b"), "units"), "b"), "group")
+    return rows.join(several, "g")
+
+
+def deltas(rows: DataFrame, contents: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Members of groups by how they differ from the core of their group, which is what most members (of those with all its
+    ``focus`` shingles) have in common: g, b, focus, size, p (the core's size), o (shingles outside the core), m (those of
+    the core that are missing, rarest first), c (how many of the core it has), f (c - t * size for t = s / (1 + s)), inside, n_g (how many members the group has).
+    Also (g, u, n_u): in how many members a shingle is, where in several."""
+    t = least / (1 + least)
+    m = settled(rows.select("g", "b", "focus").join(contents.select(F.col("set").alias("b"), "units"), "b"), "group")
     counts = settled(m.select("g", F.explode("units").alias("u")).groupBy("g", "u").agg(F.count("*").alias("n_u")).where("n_u > 1"), "counts")
-    inside = m.where(F.forall("focus", lambda x: F.array_contains("units", x)))
-    sizes = inside.groupBy("g").agg(F.count("*").alias("n"))
-    own = inside.where(F.size("focus") > 0).select("g", F.explode("units").alias("u")).groupBy("g", "u").agg(F.count("*").alias("n_u"))
-    whole = counts.join(m.groupBy("g").agg(F.max(F.size("focus")).alias("k")).where("k = 0").select("g"), "g")
-    common = whole.unionByName(own).join(sizes, "g").where(2 * F.col("n_u") > F.col("n"))
-    core = common.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n_u")).alias("k"), "u"))), lambda x: x.u).alias("core"))
-    d = m.join(core, "g", "left").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
-    d = d.select("g", "b", "comp", "focus", F.size("units").alias("size"), F.size("core").alias("p"), F.array_except("units", "core").alias("o"), F.array_except("core", "units").alias("m"))
-    d = settled(d.withColumn("c", F.col("p") - F.size("m")).withColumn("f", F.col("c") - t * F.col("size")), "deltas")
-
-    # 1: shared shingles outside the core
-    shared = d.select("g", "b", "comp", F.explode("o").alias("u")).join(counts, ["g", "u"])
+    m = m.withColumn("inside", F.forall("focus", lambda x: F.array_contains("units", x)))
+    narrow = m.where(F.col("inside") & (F.size("focus") > 0)).select("g", F.explode("units").alias("u")).groupBy("g", "u").agg(F.count("*").alias("n_u"))
+    wide = counts.join(m.where(F.size("focus") == 0).select("g").distinct(), "g")
+    most = wide.unionByName(narrow).join(m.where("inside").groupBy("g").agg(F.count("*").alias("n")), "g").where(2 * F.col("n_u") > F.col("n"))
+    core = most.groupBy("g").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("n_u")).alias("k"), "u"))), lambda x: x.u).alias("core"))
+    members = m.groupBy("g").agg(F.count("*").alias("n_g"))
+    d = m.join(members, "g").join(core, "g", "left").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
+    d = d.select("g", "b", "focus", "inside", F.size("units").alias("size"), "n_g", F.size("core").alias("p"), F.array_except("units", "core").alias("o"), F.array_except("core", "units").alias("m"))
+    return settled(d.withColumn("c", F.col("p") - F.size("m")).withColumn("f", F.col("c") - t * F.col("size")), "deltas"), counts
+
+
+def outside_core(d: DataFrame, counts: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(g, b, comp, u, n_u) for the shingles outside the core that several members have, and for each member the list look
+    of those, rarest first, under which it has to look for partners: a link shares at least s |x| shingles, of which at most
+    c are in the core, so that it must share one of all but that number less one."""
+    shared = d.select("g", "b", "comp", "f", "n_g", F.explode("o").alias("u")).join(counts, ["g", "u"])
+    needed = F.greatest(F.lit(1), F.ceil(least * F.col("size") - F.col("c") - EPS)).cast("int")
     lists = shared.groupBy("g", "b").agg(F.sort_array(F.collect_list(F.struct("n_u", "u"))).alias("list"))
-    needed = F.greatest(F.lit(1), F.ceil(least * F.col("size") - F.col("c") - eps)).cast("int")
-    look = F.size("list") - needed + 1  # what no other member has can't be shared
-    looks = d.join(lists, ["g", "b"]).withColumn("look", F.slice("list", F.lit(1), F.greatest(F.lit(0), look)))
-    waits = F.lit(False) if last else F.exists("look", lambda x: x.n_u > popular)
-    looks = settled(looks.select("g", "b", "comp", "focus", "look", waits.alias("waits")), "looks")
-    y = looks.where("not waits").select("g", F.col("b").alias("y"), F.col("comp").alias("yc"), F.explode(F.transform("look", lambda x: x.u)).alias("u"))
-    x = shared.where(F.lit(True) if last else F.col("n_u") <= popular).select("g", "u", F.col("b").alias("x"), F.col("comp").alias("xc"))
-    found = x.join(y, ["g", "u"]).where("xc <> yc").select("x", "y")
+    look = F.slice("list", F.lit(1), F.greatest(F.lit(0), F.size("list") - needed + 1))
+    return shared, d.select("g", "b", "comp", "focus", "size", "c", "inside", "n_g").join(lists, ["g", "b"]).withColumn("look", look).drop("list")
 
-    # 2: nothing shared outside the core
-    z = d.where("p > 0").groupBy("g").agg(F.max_by(F.struct("b", "comp"), F.struct("f", "b")).alias("z"), F.max("f").alias("top"))
-    near = d.where("p > 0").join(z, "g").withColumn("sure", F.col("f") + F.col("top") >= F.col("p") - eps)
-    stars = near.where(F.col("sure") & (F.col("comp") != F.col("z.comp"))).select(F.col("z.b").alias("x"), F.col("b").alias("y"))
+
+def inside_core(d: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Seekers and partners of links that share nothing outside the core: (g, step, u, y, yc, ny, fy) and (g, step, u, x, xc, nx, fx).
+
+    Such a link needs |M_x n M_y| >= p - f_x - f_y, and t |x| <= f_y, t |y| <= f_x. Where f_x + f_y reaches p, that of y and
+    the member z with the highest f does too, so all such members are linked with z. Any other y seeks under its rarest
+    shingles of M_y, all but the least number that a partner must share less one, among the members of a size (in steps of
+    2 in 100) that admits a link."""
+    t = least / (1 + least)
+    top = d.where("p > 0").groupBy("g").agg(F.max("f").alias("top"))
     step = F.floor(F.log("size") / float(np.log(1.02))).cast("int")
-    may = near.where(F.col("c") >= least * F.col("size") - eps).withColumn("step", step)  # c < s |x| allows no partner
+    may = d.join(top, "g").where(F.col("c") >= least * F.col("size") - EPS).withColumn("step", step)  # c < s |x| admits no partner
     bins = may.groupBy("g", "step").agg(F.min("size").alias("least_size"), F.max("f").alias("most_f"))
-    seekers = may.where("not sure").drop("step").join(bins, "g").where((t * F.col("least_size") <= F.col("f") + eps) & (t * F.col("size") <= F.col("most_f") + eps))
-    shares = F.greatest(F.lit(1), F.ceil(F.col("p") - F.col("f") - F.col("most_f") - eps)).cast("int")
+    open_ones = may.where(F.col("f") + F.col("top") < F.col("p") - EPS).drop("step").join(bins, "g")
+    seekers = open_ones.where((t * F.col("least_size") <= F.col("f") + EPS) & (t * F.col("size") <= F.col("most_f") + EPS))
+    shares = F.greatest(F.lit(1), F.ceil(F.col("p") - F.col("f") - F.col("most_f") - EPS)).cast("int")
     under = F.slice("m", F.lit(1), F.greatest(F.lit(0), F.size("m") - shares + 1))
     seek = seekers.select("g", "step", F.col("b").alias("y"), F.col("comp").alias("yc"), F.col("size").alias("ny"), F.col("f").alias("fy"), F.explode(under).alias("u"))
     lack = may.select("g", "step", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("size").alias("nx"), F.col("f").alias("fx"), F.explode("m").alias("u"))
-    fits = (F.col("xc") != F.col("yc")) & (t * F.col("nx") <= F.col("fy") + eps) & (t * F.col("ny") <= F.col("fx") + eps)
+    return seek, lack
+
+
+def as_pairs(found: DataFrame) -> DataFrame:
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def stars(d: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """(a, b): each member with the member z of the highest f, if that must be a link; and with the member of the highest f
+    among those that have (or lack) one of the shingles under which it looks for partners. As many pairs as such shingles."""
+    best = lambda x, n: F.max_by(F.struct(F.col(x).alias("x"), F.col(n).alias("xc")), F.struct("f", x)).alias("best")
+    z = d.where("p > 0").groupBy("g").agg(best("b", "comp"), F.max("f").alias("top"))
+    sure = d.join(z, "g").where((F.col("f") + F.col("top") >= F.col("p") - EPS) & (F.col("comp") != F.col("best.xc"))).select("best.x", F.col("b").alias("y"))
+    shared, looks = outside_core(d, counts, least)
+    have = shared.groupBy("g", "u").agg(best("b", "comp"))
+    found = looks.select("g", "b", "comp", F.explode("look.u").alias("u")).join(have, ["g", "u"]).where(F.col("comp") != F.col("best.xc")).select("best.x", F.col("b").alias("y"))
+    seek, lack = inside_core(d, least)
+    without = lack.withColumnRenamed("fx", "f").groupBy("g", "step", "u").agg(best("x", "xc"))
+    missing = seek.join(without, ["g", "step", "u"]).where(F.col("yc") != F.col("best.xc")).select("best.x", "y")
+    return as_pairs(sure.union(found).union(missing))
+
+
+def all_left(d: DataFrame, counts: DataFrame, least: float, popular: int, last: bool) -> tuple[DataFrame, DataFrame]:
+    """(a, b): every pair of members of different classes that may be a link and isn't one of a star, if one of them is
+    settled in this round; and (g, b, focus) for the members that aren't. In groups of over 8 * ``popular`` members, those are
+    the members that would look for partners under a shingle that more than ``popular`` members have; they wait for a round
+    in which it is part of the core. In smaller groups a member has no more than 8 * popular partners. With last, none
+    waits."""
+    shared, looks = outside_core(d, counts, least)
+    large = F.col("n_g") > 8 * popular
+    waits = F.lit(False) if last else large & F.exists("look", lambda x: x.n_u > popular)
+    looks = settled(looks.withColumn("waits", waits), "looks")
+    y = looks.where("not waits").select("g", F.col("b").alias("y"), F.col("comp").alias("yc"), F.explode("look.u").alias("u"))
+    x = shared.where(F.lit(True) if last else ~large | (F.col("n_u") <= popular)).select("g", "u", F.col("b").alias("x"), F.col("comp").alias("xc"))
+    found = x.join(y, ["g", "u"]).where("xc <> yc").select("x", "y")
+    seek, lack = inside_core(d, least)
+    t = least / (1 + least)
+    fits = (F.col("xc") != F.col("yc")) & (t * F.col("nx") <= F.col("fy") + EPS) & (t * F.col("ny") <= F.col("fx") + EPS)
     missing = lack.join(seek, ["g", "step", "u"]).where(fits).select("x", "y")
-
-    pairs = found.union(stars).union(missing).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    # a group that hardly shrinks is seen next time from those members that have its most frequent shingle outside P, too
-    left = looks.where("waits").select("g", "b", "focus")
-    kept = left.groupBy("g").agg(F.count("*").alias("kept")).join(m.groupBy("g").agg(F.count("*").alias("of")), "g").where("4 * kept > 3 * of")
-    often = shared.join(kept, "g").join(inside.join(left.select("g", "b"), ["g", "b"]).select("g", "b"), ["g", "b"]).groupBy("g", "u").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("u", F.struct("k", "u")).alias("next"))
+    # a group that hardly shrinks is seen next time from those members that have its most frequent shingle outside the core, too
+    left = looks.where("waits").select("g", "b", "focus", "inside")
+    kept = left.groupBy("g").agg(F.count("*").alias("kept")).join(d.groupBy("g").agg(F.count("*").alias("of")), "g").where("4 * kept > 3 * of")
+    often = shared.join(kept, "g").join(left.where("inside").select("g", "b"), ["g", "b"]).groupBy("g", "u").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("u", F.struct("k", "u")).alias("next"))
     ahead = F.when(F.col("next").isNotNull(), F.concat("focus", F.array("next"))).otherwise(F.array().cast("array<long>"))
-    return pairs, left.join(often, "g", "left").select("g", "b", ahead.alias("focus"))
+    return as_pairs(found.union(missing)), left.join(often, "g", "left").select("g", "b", ahead.alias("focus"))
+
+
+def within_groups(groups: DataFrame, contents: DataFrame, names: DataFrame, least: float, popular: int = POPULAR, rounds: int = ROUNDS) -> DataFrame:
+    """names, the classes by the links that were found before, once the ends of every link within a group (g, b) are in one
+    class."""
 
+    def after(pairs: DataFrame) -> None:
+        nonlocal names
+        links = settled(compared(settled(pairs, "pairs"), contents, least), "links")
+        if not links.isEmpty():
+            names = merged(names, links)
 
-def beyond_pivots(groups: DataFrame, contents: DataFrame, links: DataFrame, names: DataFrame, least: float, popular: int = POPULAR, rounds: int = ROUNDS) -> DataFrame:
-    """names, once every link within a group has been found or its ends are in one class. groups: (g, b). links: those that
-    were found before, with the classes names."""
     groups = groups.withColumn("focus", F.array().cast("array<long>"))
     for k in range(rounds):
-        rows = settled(open_groups(groups, names), "open")
+        rows = settled(with_classes(groups, names), "open")
         if rows.isEmpty():
             break
-        pairs, left = resolved(rows, contents, least, popular, k == rounds - 1)
-        left = settled(left, "left")
-        more = settled(compared(settled(pairs, "pairs"), contents, least), "more")
-        if not more.isEmpty():
-            links = links.union(more)
-            names = components(links)
-        groups = left
+        d, counts = deltas(rows, contents, least)
+        after(stars(with_classes(d, names), counts, least))
+        d = settled(with_classes(d, names), "still-open")
+        if d.isEmpty():
+            break
+        pairs, left = all_left(d, counts, least, popular, k == rounds - 1)
+        groups = settled(left, "left")
+        after(pairs)
     return names
 
 
@@ -295,6 +334,15 @@ def components(links: DataFrame, least_rounds: int = 1) -> DataFrame:
             return names
 
 
+def merged(names: DataFrame, links: DataFrame) -> DataFrame:
+    """names after further links: their components are found among the classes that they touch."""
+    comp = lambda c: names.select(F.col("doc_id").alias(c), F.col("comp").alias(f"{c}_comp"))
+    ends = links.join(comp("a"), "a", "left").join(comp("b"), "b", "left").select(F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
+    renamed = components(ends.where("a <> b")).select(F.col("doc_id").alias("comp"), F.col("comp").alias("new"))
+    single = links.select(F.col("a").alias("doc_id")).union(links.select("b")).distinct().join(names, "doc_id", "left_anti").select("doc_id", F.col("doc_id").alias("comp"))
+    return settled(names.unionByName(single).join(renamed, "comp", "left").select("doc_id", F.coalesce("new", "comp").alias("comp")), "names")
+
+
 def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, text_hash, comp, class_id) for every row of docs. comp tells classes apart that have the same least doc_id;
     it is null for texts without shingles and rows without doc_id. Links and components are those of sets: what they call
@@ -309,11 +357,10 @@ def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = B
     # a doc_id of several texts brings all of them; only the sets that are asked for stay
     texts = docs.join(stands.join(involved, "set", "left_semi").select("doc_id").distinct(), "doc_id").select("text")
     contents = settled(with_units(texts).join(involved, "set", "left_semi").dropDuplicates(["set"]), "contents")
-    links = settled(compared(members.where("a <> b").select("a", "b"), contents, least), "links")
-    names = components(links)
+    names = components(settled(compared(members.where("a <> b").select("a", "b"), contents, least), "links"))
     hubs = members.where("n > 2").join(names.withColumnRenamed("doc_id", "a"), "a", "left")
     groups = hubs.select(F.coalesce("comp", "a").alias("g"), "b").distinct()
-    names = beyond_pivots(groups, contents, links, names, least).withColumnRenamed("doc_id", "set")
+    names = within_groups(groups, contents, names, least).withColumnRenamed("doc_id", "set")
     linked = names.join(stands.select("set", "doc_id"), "set").groupBy("comp").agg(F.min("doc_id").alias("least"))
     named = names.join(linked, "comp").select("set", "comp", "least")
     sets = stands.select("set", "doc_id").join(named, "set", "left").select("set", F.coalesce("comp", "set").alias("comp"), F.coalesce("least", "doc_id").alias("class_id"))
