@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +141,12 @@ class Encoder:
         return ids, np.concatenate(([0], ends[1::2]))[offsets]
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a tokenizer's file; a Python worker keeps it, and the words that it knows, from task to task."""
+    return Encoder(path)
+
+
 def with_ends(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids with ``end`` after each text's."""
     at = offsets[1:] + np.arange(len(offsets) - 1)

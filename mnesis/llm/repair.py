@@ -2,8 +2,8 @@
 
 Documents are range-partitioned by doc_id and sorted; each task encodes its documents in turn and closes a shard at
 ``SHARD`` ids. A shard is compressed by repeated replacement: in each round the most frequent pairs of neighbouring
-symbols, all that occur ``MIN_COUNT`` times up to ``PER_ROUND``, become new symbols, left to right, until no pair is
-frequent enough. Pairs don't cross documents, so a document is a run of symbols. A file holds the rules (two symbols
+symbols, up to ``PER_ROUND`` at once, become new symbols, left to right, until no pair occurs twice; every rule stands for
+two places at least. Pairs don't cross documents, so a document is a run of symbols. A file holds the rules (two symbols
 each), how many ids each rule stands for, the symbols and each document's place; ``read_ids`` finds ids by the running
 sum of those lengths and expands only the symbols that it needs.
 
@@ -11,7 +11,9 @@ Files have the number of the task's attempt in their names and only those of the
 so a task can run again anywhere.
 
 Defined results: a null text is empty, its document the end id alone; null doc_ids come first; repeated rows are stored
-each, equal doc_ids in the order of their texts' hashes; an empty table gives no shards and no rows.
+each, equal doc_ids in the order of their texts' hashes, and any number of equal rows is spread over tasks; a text of any
+length is encoded whole and stays in one shard; other columns, whatever their names, are ignored; an empty table gives
+no shards and no rows.
 """
 
 from __future__ import annotations
@@ -31,11 +33,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnesis.llm.common import settled, shared_folder, slices
-from mnesis.llm.encoding import Encoder, with_ends
+from mnesis.llm.encoding import encoder_of, with_ends
 
 MAGIC = b"RPG1"
 SHARD = 1 << 20
-MIN_COUNT, PER_ROUND, ROUNDS = 12, 32_768, 16
+PER_ROUND = 32_768
 SLOTS = 19
 ARRAYS = ("left", "right", "lengths", "bounds", "symbols", "doc_symbols", "doc_tokens", "doc_ids", "doc_null")
 
@@ -51,41 +53,61 @@ class Grammar:
     bounds: np.ndarray
 
 
+def every_other(places: np.ndarray) -> np.ndarray:
+    """The first, third, fifth, ... of each run of successive places."""
+    begun = np.maximum.accumulate(np.where(np.append(True, np.diff(places) != 1)[: len(places)], places, 0))
+    return places[(places - begun) % 2 == 0]
+
+
+def repeated_pairs(pair: np.ndarray, free: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """The pairs that occur at two places at least which don't overlap, the most frequent last. free: where a pair stands.
+    slot: a number for each pair; those with a slot of their own aren't sorted."""
+    counted = free.copy()
+    counted[every_other(np.flatnonzero((pair[1:] == pair[:-1]) & free[1:] & free[:-1]) + 1)] = False  # of aaa, the second aa overlaps the first
+    ordered = np.sort(pair[counted & (np.bincount(slot[counted], minlength=1 << SLOTS) > 1)[slot]])
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    count = np.diff(np.append(starts, len(ordered)))
+    often = np.flatnonzero(count >= 2)
+    return ordered[starts[often[np.argsort(count[often], kind="stable")]]]
+
+
+def slot_of(pair: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.ndarray]:
     """The grammar and the symbols of ids; last: true where a document ends. base: above all ids."""
     symbols, last = ids.astype(np.uint64), last.copy()
     left, right, bounds = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [0]
-    for _ in range(ROUNDS):
-        if len(symbols) < 2:
-            break
-        pair = (symbols[:-1] << np.uint64(32)) | symbols[1:]
-        ordered = np.sort(pair[~last[:-1]])
-        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
-        count = np.diff(np.append(starts, len(ordered)))
-        often = np.flatnonzero(count >= MIN_COUNT)
-        often = often[np.argsort(count[often], kind="stable")][-PER_ROUND:]
-        if not len(often):
+    rng = np.random.default_rng(0)
+    while len(symbols) > 1:
+        pair, free = (symbols[:-1] << np.uint64(32)) | symbols[1:], ~last[:-1]
+        slot = slot_of(pair)
+        chosen = repeated_pairs(pair, free, slot)[-PER_ROUND:]
+        if not len(chosen):
             break
-        chosen = ordered[starts[often]]
-        slot_of = lambda p: ((p * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
-        with np.errstate(over="ignore"):
-            table, number = np.full(1 << SLOTS, ~np.uint64(0)), np.zeros(1 << SLOTS, np.uint64)
+        while True:
+            table = np.full(1 << SLOTS, ~np.uint64(0))
             table[slot_of(chosen)] = chosen  # of two pairs in a slot the more frequent stays, the other waits for the next round
-            at = slot_of(pair)
-        hit = (table[at] == pair) & ~last[:-1]
-        place = np.arange(len(hit))
-        begun = np.maximum.accumulate(np.where(hit & ~np.append(False, hit[:-1]), place, 0))
-        use = np.flatnonzero(hit & ((place - begun) % 2 == 0))
-        used, which = np.unique(pair[use], return_inverse=True)
-        number = np.uint64(base + bounds[-1])
-        symbols[use] = number + which.reshape(-1).astype(np.uint64)
+            use = every_other(np.flatnonzero((table[slot] == pair) & free))
+            count = np.bincount(slot[use], minlength=1 << SLOTS)
+            twice = np.flatnonzero(count >= 2)
+            if len(twice):
+                break
+            chosen = rng.permutation(chosen)[: -(-len(chosen) // 2)]  # all were in each other's way; one alone never is
+        twice = twice[np.argsort(table[twice])]
+        number = np.zeros(1 << SLOTS, np.uint64)
+        number[twice] = np.arange(len(twice), dtype=np.uint64) + np.uint64(base + bounds[-1])
+        use = use[count[slot[use]] >= 2]
+        symbols[use] = number[slot[use]]
         last[use] = last[use + 1]
         keep = np.ones(len(symbols), bool)
         keep[use + 1] = False
         symbols, last = symbols[keep], last[keep]
-        left.append(used >> np.uint64(32))
-        right.append(used & np.uint64(0xFFFFFFFF))
-        bounds.append(bounds[-1] + len(used))
+        left.append(table[twice] >> np.uint64(32))
+        right.append(table[twice] & np.uint64(0xFFFFFFFF))
+        bounds.append(bounds[-1] + len(twice))
     lengths = np.ones(base + bounds[-1], np.int64)
     for k in range(1, len(bounds)):
         lengths[base + bounds[k - 1] : base + bounds[k]] = lengths[left[k].astype(np.int64)] + lengths[right[k].astype(np.int64)]
@@ -171,7 +193,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end: int, shard:
     with the ids before each shard."""
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, context = Encoder(tokenizer), TaskContext.get()
+        encoder, context = encoder_of(tokenizer), TaskContext.get()
         base = max(encoder.whole.get_vocab_size(), end + 1)
         store, path = pafs.FileSystem.from_uri(folder)
         store.create_dir(path, recursive=True)
@@ -197,8 +219,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end: int, shard:
         if held:
             yield close()
 
-    order = ["doc_id", "tie"]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    order = ["doc_id", "tie", "nth"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("nth"))
     manifest = settled(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(written, "part int, shard int, path string, n_docs long, n_tokens long"), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -87,6 +87,22 @@ def test_grammar_shrinks_what_repeats():
     assert len(symbols) < len(ids) / 10 and len(grammar.left) == len(grammar.lengths) and grammar.lengths.max() <= 100
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 4), min_size=1, max_size=80), min_size=1, max_size=6))
+def test_no_pair_is_left_twice_and_every_rule_is_used_twice(documents):
+    ids, last = np.array([x for d in documents for x in d], np.uint32), np.zeros(sum(map(len, documents)), bool)
+    last[np.cumsum([*map(len, documents)]) - 1] = True
+    grammar, symbols = repair.compress(ids, last, 5)
+    ends = np.cumsum(repair.symbol_lengths(grammar, symbols))
+    stops, seen = set(np.flatnonzero(last) + 1), {}
+    for k in range(len(symbols) - 1):
+        if int(ends[k]) not in stops:
+            seen.setdefault((int(symbols[k]), int(symbols[k + 1])), []).append(k)
+    assert all(max(at) - min(at) < 2 for at in seen.values())
+    uses = np.bincount(np.concatenate((symbols, grammar.left, grammar.right)).astype(np.int64), minlength=5 + len(grammar.left))[5:]
+    assert (uses >= 1).all() and repair.expand(grammar, symbols).tolist() == ids.tolist()
+
+
 def test_shards_on_disk(spark, odd, odd_rows, empty):
     got = repair.round_trip(odd, files.path("word_bpe_49k.json"), 2).collect()
     ordered = sorted(got, key=lambda r: r.start)
