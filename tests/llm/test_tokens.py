@@ -134,15 +134,38 @@ def test_packing_keeps_every_token(spark, odd, odd_rows, empty):
     assert packing.pack(packing.pieces(empty, files.path("byte_bpe_50k.json"))).count() == 0
 
 
-def test_local_search_betters_best_fit():
-    r = np.random.default_rng(2)
-    lengths = r.integers(500, 1100, 800)
-    items, room = packing.best_fit(lengths, 2048)
-    before, square = len(items), sum((2048 - x) ** 2 for x in room)
-    packing.local_search(items, room, lengths)
-    assert sum(map(bool, items)) <= before and sum((2048 - x) ** 2 for x in room) >= square
-    assert sorted(i for b in items for i in b) == list(range(800))
-    assert all(sum(lengths[i] for i in b) == 2048 - x <= 2048 for b, x in zip(items, room) if b)
+def searched(lengths, limit):
+    items, room = packing.best_fit(lengths, limit)
+    before, square = len(items), sum((limit - x) ** 2 for x in room)
+    items, room = packing.local_search(items, room, lengths, limit)
+    assert sum((limit - x) ** 2 for x in room) >= square
+    assert sorted(i for b in items for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) == limit - x <= limit for b, x in zip(items, room) if b)
+    return before, sum(map(bool, items))
+
+
+def test_local_search_empties_bins_that_best_fit_leaves():
+    assert searched(np.array([44, 24, 24, 22, 21, 17, 8, 8, 6, 6]), 60) == (4, 3)
+    for seed in range(4):
+        r = np.random.default_rng(seed)
+        for lo, hi in ((500, 1100), (400, 1000), (600, 800)):
+            before, after = searched(r.integers(lo, hi, 400), 2048)
+            assert after < before
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=40))
+def test_local_search_keeps_every_piece(lengths):
+    before, after = searched(np.array(lengths, np.int64), 30)
+    assert -(-sum(lengths) // 30) <= after <= before
+
+
+def test_thin_bins_of_many_groups_are_joined(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, 0, 0, int(n), 7) for i, n in enumerate(r.integers(1, 400, 3000))]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(cut, limit=400, group=200)
+    assert got.count() == 3000 and got.select("sequence_id").distinct().count() <= -(-sum(x[3] for x in rows) // 400) + 3
 
 
 def test_long_words_are_cut_unless_limited(spark):
