@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -17,21 +16,21 @@ SLICE_BYTES = 4 << 20
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which all executors see; a temporary one where that is unset."""
+    """A new folder under ``spark.checkpoint.dir``, which all executors see. There is no other place that they must share, so
+    a session without that setting is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+def settled(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df written as a table to the shared folder and read again: its lineage ends there, and a lost executor costs no
-    work that was done before."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    (df.select(*columns) if columns else df).write.parquet(path)
-    return spark.read.schema((df.select(*columns) if columns else df).schema).parquet(path)
+    work that was done before. The results that are made of it read it when they run, so it stays; the folder is for
+    scratch data and is cleared as a whole."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(column: str = "text"):

@@ -64,7 +64,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_telephony(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telephony.round_trip(table(spark, sf_dir, "documents"))
+    return telephony.round_trip(table(spark, sf_dir, "documents"), rate=telephony.RATE // 2)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

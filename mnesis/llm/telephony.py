@@ -3,11 +3,14 @@
 A medium is a WAV file of one channel at 8000 samples a second whose data chunk is the payload as it is: 8-bit codes for
 mu-law and A-law, blocks of ``block`` bytes for ADPCM. The codes of the two laws are expanded by tables of 256 values.
 ADPCM keeps its state within a block, so the blocks of many media are decoded at once: numpy steps through the samples
-of a block, over all blocks in parallel. PCM at twice the rate keeps the samples and sets between two of them the value
-of a half-band filter of eight taps.
+of a block, over all blocks in parallel. PCM is stored at a rate of 16000 or 4000: twice the rate keeps the samples and sets
+between two of them the value of a half-band filter of eight taps; half the rate takes the mean of two neighbours.
+
+``round_trip`` writes media and then PCM to tables in the shared folder and takes its results from what it reads back.
 
 Defined results: a null payload is empty; an empty medium has no samples and zero features; repeated rows get equal
-media; ADPCM needs a multiple of the block, and a payload that isn't one raises ValueError; an empty table gives an empty table.
+media; a text of any length is one medium; ADPCM needs a multiple of the block, and a payload that isn't one raises
+ValueError; other columns, whatever their names, are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -119,6 +122,13 @@ def doubled(samples: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def halved(samples: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Samples of several media in a row at half the rate, of each an even number."""
+    if (np.diff(bounds) % 2).any():
+        raise ValueError("an odd number of samples can't be halved")
+    return ((samples[0::2].astype(np.int32) + samples[1::2]) // 2).astype(np.int16)
+
+
 def pcm(payloads: list[bytes], codec: str, block: int = 192) -> tuple[np.ndarray, np.ndarray]:
     """The samples of all payloads in a row, and where each one's start and end."""
     data = np.frombuffer(b"".join(payloads), np.uint8)
@@ -132,7 +142,7 @@ def pcm(payloads: list[bytes], codec: str, block: int = 192) -> tuple[np.ndarray
 
 
 def features(samples: np.ndarray, bounds: np.ndarray) -> list[str]:
-    """Root mean square, share of sign changes and peak of each medium, and the crc32 of its PCM at twice the rate."""
+    """Root mean square, number of sign changes and peak of each medium."""
     starts, size = bounds[:-1], np.diff(bounds)
     total = np.concatenate(([0], np.cumsum(samples.astype(np.int64) ** 2)))
     energy = np.sqrt((total[bounds[1:]] - total[starts]) / np.maximum(size, 1))
@@ -140,13 +150,9 @@ def features(samples: np.ndarray, bounds: np.ndarray) -> list[str]:
     if len(samples):
         turned[-1] = turned[len(samples) - 1]
     changes = np.where(size > 1, turned[np.maximum(bounds[1:] - 1, starts)] - turned[starts], 0)
-    double = doubled(samples, bounds)
-    data = memoryview(double.astype("<i2").tobytes())
-    out = []
-    for i, (a, b) in enumerate(zip(starts, bounds[1:], strict=True)):
-        peak = int(np.abs(samples[a:b].astype(np.int32)).max()) if b > a else 0
-        out.append(f"rms={energy[i]:.3f},zc={changes[i]},peak={peak},pcm16k={zlib.crc32(data[4 * a : 4 * b]):08x}")
-    return out
+    size_of = np.abs(samples.astype(np.int32))
+    peak = [int(size_of[a:b].max()) if b > a else 0 for a, b in zip(starts, bounds[1:], strict=True)]
+    return [f"rms={e:.3f},zc={n},peak={p}" for e, n, p in zip(energy, changes, peak, strict=True)]
 
 
 def encode(docs: DataFrame, codec: str, unit: int = 192) -> DataFrame:
@@ -162,10 +168,11 @@ def encode(docs: DataFrame, codec: str, unit: int = 192) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(store, f"doc_id {types['doc_id']}, n_bytes long, media binary")
 
 
-def decode(media: DataFrame, with_pcm: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_bytes, digests of payload and medium, feature, and with with_pcm the 16-bit PCM at twice the rate. also:
-    codecs as which the payload is read besides its own, for their features."""
+def decode(media: DataFrame, also: tuple[str, ...] = (), rate: int = 2 * RATE) -> DataFrame:
+    """doc_id, n_bytes, digests of payload and medium, feature, and the 16-bit PCM at ``rate``, twice or half that of the
+    medium. also: codecs as which the payload is read besides its own, for their features."""
     kind = dict(media.dtypes)["doc_id"]
+    resampled, bytes_each = {2 * RATE: (doubled, 4), RATE // 2: (halved, 1)}[rate]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "media", 1 << 19):
@@ -177,12 +184,9 @@ def decode(media: DataFrame, with_pcm: bool = False, also: tuple[str, ...] = ())
             for codec, block in {(c, k) for c, k, _ in parsed}:
                 at = [i for i, p in enumerate(parsed) if p[:2] == (codec, block)]
                 samples, bounds = pcm([payloads[i] for i in at], codec, block)
-                for i, f in zip(at, features(samples, bounds), strict=True):
-                    own[i] = f"{codec}:{f}"
-                if with_pcm:
-                    double = doubled(samples, bounds)
-                    for k, i in enumerate(at):
-                        wide[i] = double[2 * bounds[k] : 2 * bounds[k + 1]].astype("<i2").tobytes()
+                data = memoryview(resampled(samples, bounds).astype("<i2").tobytes())
+                for k, (i, f) in enumerate(zip(at, features(samples, bounds), strict=True)):
+                    own[i], wide[i] = f"{codec}:{f}", bytes(data[bytes_each * bounds[k] : bytes_each * bounds[k + 1]])
             for codec in also:
                 own = [f"{x};{codec}:{f}" for x, f in zip(own, features(*pcm(payloads, codec)), strict=True)]
             columns = {
@@ -192,12 +196,17 @@ def decode(media: DataFrame, with_pcm: bool = False, also: tuple[str, ...] = ())
                 "media_bytes": pa.array([len(m) for m in stored], pa.int64()),
                 "media_sha256": pa.array([hashlib.sha256(m).hexdigest() for m in stored]),
                 "feature": pa.array(own),
-            } | ({"pcm": pa.array(wide, pa.binary())} if with_pcm else {})
+                "pcm": pa.array(wide, pa.binary()),
+            }
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_bytes"), *columns.values()], ["doc_id", "n_bytes", *columns])
 
-    return media.mapInArrow(read, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string" + ", pcm binary" * with_pcm)
+    return media.mapInArrow(read, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pcm binary")
 
 
-def round_trip(docs: DataFrame, codec: str = "mulaw", also: tuple[str, ...] = ("alaw", "adpcm")) -> DataFrame:
-    """docs stored as media in the shared folder, read back and described."""
-    return decode(settled(encode(docs, codec), "media"), also=also)
+def round_trip(docs: DataFrame, codec: str = "mulaw", also: tuple[str, ...] = ("alaw", "adpcm"), rate: int = 2 * RATE) -> DataFrame:
+    """docs stored as media, and as PCM at ``rate``, in the shared folder, read back and described; the feature ends in the
+    PCM's length and crc32."""
+    media = settled(encode(docs, codec), "media", "zstd")
+    read = settled(decode(media, also, rate), "pcm", "zstd")
+    crc = F.lpad(F.lower(F.hex(F.crc32("pcm"))), 8, "0")
+    return read.withColumn("feature", F.concat("feature", F.lit(f";pcm{rate}:bytes="), F.octet_length("pcm").cast("string"), F.lit(",crc="), crc)).drop("pcm")

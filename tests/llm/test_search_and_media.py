@@ -117,6 +117,20 @@ def test_resampling_keeps_media_apart():
     assert np.abs(middle - 8000 * np.sin((np.arange(50, 350) + 0.5) / 6)).max() < 40
 
 
+def by_loops(payload):
+    """The feature of a payload, a sample at a time."""
+
+    def said(samples):
+        changes = sum((a < 0) != (b < 0) for a, b in zip(samples, samples[1:]))
+        return f"rms={(sum(x * x for x in samples) / len(samples)) ** 0.5:.3f},zc={changes},peak={max(map(abs, samples))}"
+
+    mu, a = telephony.mulaw_table().tolist(), telephony.alaw_table().tolist()
+    own = [mu[b] for b in payload]
+    steps = [x for k in range(0, len(payload), 192) for x in adpcm_by_steps(payload[k : k + 192])]
+    stored = b"".join(((x + y) // 2).to_bytes(2, "little", signed=True) for x, y in zip(own[::2], own[1::2]))
+    return f"mulaw:{said(own)};alaw:{said([a[b] for b in payload])};adpcm:{said(steps)};pcm4000:bytes={len(stored)},crc={zlib.crc32(stored):08x}"
+
+
 def test_media_round_trip(spark, odd, odd_rows, empty):
     rows = telephony.round_trip(odd).collect()
     want = []
@@ -126,8 +140,13 @@ def test_media_round_trip(spark, odd, odd_rows, empty):
         want.append((r[0], len(t), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:])))
     assert sorted([(r.doc_id, r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) for r in rows], key=str) == sorted(want, key=str)
     assert len({(r.media_sha256, r.feature) for r in rows if r.doc_id in (100, 101)}) == 1
-    wide = telephony.decode(telephony.encode(odd, "alaw"), with_pcm=True).collect()
+    wide = telephony.decode(telephony.encode(odd, "alaw")).collect()
     assert all(len(r.pcm) == 4 * r.payload_bytes for r in wide)
+    texts = {r[0]: r[1] for r in odd_rows}
+    half = {r.doc_id: r for r in telephony.round_trip(odd, rate=4000).collect()}
+    for key in (0, 101, 104, 108):
+        p = (texts[key] or "").encode()
+        assert half[key].feature == by_loops(p + b" " * (-len(p) % 192 if p else 192))
     assert telephony.round_trip(empty).count() == 0
 
 

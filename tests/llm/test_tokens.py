@@ -162,7 +162,7 @@ def test_local_search_keeps_every_piece(lengths):
 
 def test_thin_bins_of_many_groups_are_joined(spark):
     r = np.random.default_rng(5)
-    rows = [(i, 0, 0, int(n), 7) for i, n in enumerate(r.integers(1, 400, 3000))]
+    rows = [(i, 0, 0, int(n), 7) for i, n in enumerate(r.integers(1, 200, 3000))]
     cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
     got = packing.pack(cut, limit=400, group=200)
     assert got.count() == 3000 and got.select("sequence_id").distinct().count() <= -(-sum(x[3] for x in rows) // 400) + 3
