@@ -13,11 +13,12 @@ Classes are the connected components of links of similarity 0.8 or more.
    sets become least doc_ids at the end. So rows that share a doc_id and differ in text have links of their own.
 2. Documents that agree in all ``ROWS`` coordinates of one of ``BANDS`` bands meet in a bucket. Each is checked exactly
    against the bucket's first document, its hub.
-3. Buckets whose hubs are in one class form a group. Groups with members of several classes are gone through again, in
-   rounds, by what most members have in common: a pair of different classes can only be a link if it shares a shingle
-   that few others of its group have, or lacks the same of the common ones. Members whose
-   rare shingles aren't rare enough wait for the next round, for a family of their own. The rounds end when no member
-   waits; in the last of ``ROUNDS`` none does. No link is lost, whatever a group's size. Near copies of one text cost a
+3. Buckets most of whose members are in one class form a group. Groups with members of several classes are gone through
+   again. A group of up to ``SMALL`` members is compared by one task, all pairs at once. Larger ones are spread, in rounds,
+   by what most members have in common: a pair of different classes can only be a link if it shares a shingle that few
+   others of its group have, or lacks the same of the common ones. Members whose rare shingles aren't rare enough wait for
+   the next round, for a family of their own. The rounds end when no member waits; in the last of ``ROUNDS`` none does. So
+   both ways find the same links, and none is lost, whatever a group's size. Near copies of one text cost a
    pair for each document and hub, and the few pairs whose edits coincide. Groups in which many texts differ from what
    is common to them in just the same places, a little too much to be links, cost pairs beyond that.
 
@@ -46,6 +47,8 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 8
 #: The pairs of one document that a task checks; how many members of a group may have a shingle that finds pairs; rounds.
 PER_TASK, POPULAR, ROUNDS = 1024, 32, 8
+#: Groups of so many members, with so many shingles each on average, are one task's; larger ones are spread over all.
+SMALL, SHINGLES = 1024, 2048
 EPS = 1e-6
 #: How many darts a cell of area 1 gets: the chances of a Poisson variable of mean 1 to be at most 0, 1, 2, ...
 POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1, *range(1, 16)]))
@@ -196,6 +199,47 @@ def with_classes(rows: DataFrame, names: DataFrame) -> DataFrame:
     return rows.join(several, "g")
 
 
+def common_shingles(row: np.ndarray, unit: np.ndarray, n: int, rare: int = 8, width: int = 2048) -> np.ndarray:
+    """How many shingles each two of n members share: those that more than ``rare`` members have by products of matrices of
+    ``width`` columns, the others by their pairs."""
+    _, code, count = np.unique(unit, return_inverse=True, return_counts=True)
+    code, common = code.reshape(-1), np.zeros((n, n), np.int32)
+    order = np.flatnonzero((count[code] > 1) & (count[code] <= rare))
+    order = order[np.lexsort((row[order], code[order]))]
+    for d in range(1, rare):
+        same = code[order[d:]] == code[order[:-d]]
+        np.add.at(common, (row[order[:-d]][same], row[order[d:]][same]), 1)
+    common += common.T
+    place = np.cumsum(count > rare) - 1
+    often = np.flatnonzero(count[code] > rare)
+    often = often[np.argsort(place[code[often]], kind="stable")]
+    cuts = np.searchsorted(place[code[often]], np.arange(0, len(count) + width, width))
+    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if lo < hi:
+            block = np.zeros((n, width), np.float32)
+            block[row[often[lo:hi]], place[code[often[lo:hi]]] - k * width] = 1
+            common += (block @ block.T).astype(np.int32)
+    return common
+
+
+def links_of_small_groups(rows: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """(a, b): for each two classes of a group with links between them one such link. Each group is a task's."""
+
+    def links(own: pa.Table) -> pa.Table:
+        own = own.sort_by("b")
+        lists, name, comp = own.column("units").combine_chunks(), own.column("b").to_numpy(), own.column("comp").to_numpy()
+        size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        common = common_shingles(np.repeat(np.arange(len(size)), size), lists.flatten().to_numpy(), len(size))
+        linked = (common > 0) & (common >= least * (size[:, None] + size[None, :] - common)) & (comp[:, None] < comp[None, :])
+        i, j = np.nonzero(linked)
+        _, first = np.unique(np.stack((comp[i], comp[j])), axis=1, return_index=True)
+        i, j = i[first], j[first]
+        return pa.table({"a": pa.array(np.minimum(name[i], name[j])), "b": pa.array(np.maximum(name[i], name[j]))})
+
+    with_units = rows.select("g", "b", "comp").join(contents.select(F.col("set").alias("b"), "units"), "b")
+    return with_units.groupBy("g").applyInArrow(links, "a long, b long").distinct()
+
+
 def deltas(rows: DataFrame, contents: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """Members of groups by how they differ from the core of their group, which is what most members (of those with all its
     ``focus`` shingles) have in common: g, b, focus, size, p (the core's size), o (shingles outside the core), m (those of
@@ -219,7 +263,7 @@ def outside_core(d: DataFrame, counts: DataFrame, least: float) -> tuple[DataFra
     """(g, b, comp, u, n_u) for the shingles outside the core that several members have, and for each member the list look
     of those, rarest first, under which it has to look for partners: a link shares at least s |x| shingles, of which at most
     c are in the core, so that it must share one of all but that number less one."""
-    shared = d.select("g", "b", "comp", "f", "n_g", F.explode("o").alias("u")).join(counts, ["g", "u"])
+    shared = settled(d.select("g", "b", "comp", "f", "n_g", F.explode("o").alias("u")).join(counts, ["g", "u"]), "shared")
     needed = F.greatest(F.lit(1), F.ceil(least * F.col("size") - F.col("c") - EPS)).cast("int")
     lists = shared.groupBy("g", "b").agg(F.sort_array(F.collect_list(F.struct("n_u", "u"))).alias("list"))
     look = F.slice("list", F.lit(1), F.greatest(F.lit(0), F.size("list") - needed + 1))
@@ -291,29 +335,34 @@ def all_left(d: DataFrame, counts: DataFrame, least: float, popular: int, last:
     return as_pairs(found.union(missing)), left.join(often, "g", "left").select("g", "b", ahead.alias("focus"))
 
 
-def within_groups(groups: DataFrame, contents: DataFrame, names: DataFrame, least: float, popular: int = POPULAR, rounds: int = ROUNDS) -> DataFrame:
+def within_groups(groups: DataFrame, contents: DataFrame, names: DataFrame, least: float, small: int = SMALL, popular: int = POPULAR, rounds: int = ROUNDS) -> DataFrame:
     """names, the classes by the links that were found before, once the ends of every link within a group (g, b) are in one
     class."""
 
-    def after(pairs: DataFrame) -> None:
+    def after(links: DataFrame) -> None:
         nonlocal names
-        links = settled(compared(settled(pairs, "pairs"), contents, least), "links")
+        links = settled(links, "links")
         if not links.isEmpty():
             names = merged(names, links)
 
     groups = groups.withColumn("focus", F.array().cast("array<long>"))
     for k in range(rounds):
         rows = settled(with_classes(groups, names), "open")
-        if rows.isEmpty():
+        weights = rows.join(contents.select(F.col("set").alias("b"), F.size("units").alias("size")), "b").groupBy("g").agg(F.count("*").alias("n_g"), F.sum("size").alias("n_u"))
+        is_small = (F.col("n_g") <= small) & (F.col("n_u") <= small * SHINGLES)
+        dealt = settled(rows.join(weights, "g"), "dealt")
+        if dealt.isEmpty():
             break
-        d, counts = deltas(rows, contents, least)
-        after(stars(with_classes(d, names), counts, least))
-        d = settled(with_classes(d, names), "still-open")
-        if d.isEmpty():
+        after(links_of_small_groups(dealt.where(is_small), contents, least))
+        large = dealt.where(~is_small).select("g", "b", "focus")
+        if large.isEmpty():
             break
+        d, counts = deltas(large, contents, least)
+        after(compared(settled(stars(with_classes(d, names), counts, least), "pairs"), contents, least))
+        d = settled(with_classes(d, names), "still-open")
         pairs, left = all_left(d, counts, least, popular, k == rounds - 1)
         groups = settled(left, "left")
-        after(pairs)
+        after(compared(settled(pairs, "pairs"), contents, least))
     return names
 
 
@@ -358,8 +407,10 @@ def rows_with_classes(docs: DataFrame, least: float = SIMILARITY, bands: int = B
     texts = docs.join(stands.join(involved, "set", "left_semi").select("doc_id").distinct(), "doc_id").select("text")
     contents = settled(with_units(texts).join(involved, "set", "left_semi").dropDuplicates(["set"]), "contents")
     names = components(settled(compared(members.where("a <> b").select("a", "b"), contents, least), "links"))
-    hubs = members.where("n > 2").join(names.withColumnRenamed("doc_id", "a"), "a", "left")
-    groups = hubs.select(F.coalesce("comp", "a").alias("g"), "b").distinct()
+    # a hub's pairs have been checked, so it is no member of its own buckets' group
+    rest = members.where("n > 2 AND a <> b").join(names.withColumnRenamed("doc_id", "b"), "b", "left").select("a", "b", F.coalesce("comp", "b").alias("comp"))
+    label = rest.groupBy("a", "comp").agg(F.count("*").alias("k")).groupBy("a").agg(F.max_by("comp", F.struct("k", "comp")).alias("g"))
+    groups = rest.join(label, "a").select("g", "b").distinct()
     names = within_groups(groups, contents, names, least).withColumnRenamed("doc_id", "set")
     linked = names.join(stands.select("set", "doc_id"), "set").groupBy("comp").agg(F.min("doc_id").alias("least"))
     named = names.join(linked, "comp").select("set", "comp", "least")

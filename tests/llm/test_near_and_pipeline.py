@@ -111,8 +111,8 @@ def joined(sets, links, start):
     return name
 
 
-@pytest.mark.parametrize("seed, popular, rounds", [(0, 32, 8), (1, 3, 4), (2, 2, 1)])
-def test_groups_are_resolved_as_by_all_pairs(spark, seed, popular, rounds):
+@pytest.mark.parametrize("seed, small, popular, rounds", [(0, 64, 32, 1), (1, 10, 3, 4), (2, 10, 2, 1)])
+def test_groups_are_resolved_as_by_all_pairs(spark, seed, small, popular, rounds):
     rows, contents, want = [], [], {}
     for g, members in enumerate(families(seed)):
         ids = [100 * g + i for i in range(len(members))]
@@ -121,7 +121,7 @@ def test_groups_are_resolved_as_by_all_pairs(spark, seed, popular, rounds):
         near = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if len(members[i] & members[j]) >= 0.8 * len(members[i] | members[j])]
         want |= joined(ids, near, {i: i for i in ids})
     contents = spark.createDataFrame(contents, "set long, units array<long>")
-    names = dmh.within_groups(spark.createDataFrame(rows, "g long, b long"), contents, spark.createDataFrame([], "doc_id long, comp long"), 0.8, popular, rounds)
+    names = dmh.within_groups(spark.createDataFrame(rows, "g long, b long"), contents, spark.createDataFrame([], "doc_id long, comp long"), 0.8, small, popular, rounds)
     got = {r.doc_id: r.comp for r in names.collect()}
     assert {i: got.get(i, i) for i in want} == want
 
