@@ -8,27 +8,34 @@ r - 1, each code within s + segments * r - 1 bits has been met (the others diffe
 search ends as soon as the k-th verified distance is within this.
 
 Equal codes are one code in the tables with the least k + 1 of its ids, as no more can be answers; Spark keeps just those
-on each side of the shuffle. Distinct codes are dealt to shards of about ``SHARD`` by hash, and the distinct codes of the
-queries to blocks of ``BLOCK``; each pair of shard and block is a task of bounded size with an exact answer for its
-shard, and the answers of a query's shards are merged by distance and id.
+on each side of the shuffle. Distinct codes are dealt to shards of about ``SHARD`` by hash; a shard's tables are made once and
+written to the shared folder. The distinct codes of the queries travel in blocks of ``BLOCK`` to every shard; a task
+reads a shard's tables once for all blocks that it gets and has exact answers for its shard, and the answers of a query's
+shards are merged by distance and id.
 
 Defined results: rows without id or vector are neither found nor search; missing or null dimensions are bits of 0; a
 query doesn't find its own id; fewer than k other rows give fewer answers; ties go to the lower id; rows that repeat an
-id count once; an empty table gives an empty table. Other columns are ignored.
+id count once; codes may be of any length, shorter ones are filled with 0; an empty table gives an empty table. Other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mnesis.llm.common import settled
+from mnesis.llm.common import settled, shared_folder
 
-SHARD, BLOCK = 1 << 15, 1 << 9
+#: Codes of a shard, queries of a block, and blocks that read a shard's tables once.
+SHARD, BLOCK, TOGETHER = 1 << 18, 1 << 9, 64
 
 
 def codes(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -43,19 +50,37 @@ def bit_matrix(texts: list[str], width: int) -> np.ndarray:
 
 
 class Tables:
-    """The tables of one shard's codes, a row of bits each."""
+    """The tables of one shard's codes: packed (a row of bits each), cuts (where segments start and end), orders and starts
+    of each segment's table, and each code's ids (flat, with their ends)."""
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.arrays, self.packed, self.cuts = arrays, arrays["packed"], arrays["cuts"]
+        widths = np.diff(self.cuts)
+        self.segments = [(arrays[f"order{k}"], arrays[f"starts{k}"], int(w)) for k, w in enumerate(widths)]
+        self.held, self.ids, self.ends = np.diff(arrays["ends"]), arrays["ids"], arrays["ends"]
+        self.flips: dict[tuple[int, int], np.ndarray] = {}
 
-    def __init__(self, bits: np.ndarray):
+    @classmethod
+    def of(cls, bits: np.ndarray, ids: list[list[int]]) -> Tables:
         n, width = bits.shape
         count = max(1, round(width / max(1.0, min(16.0, np.log2(max(n, 2))))))
-        self.cuts = np.linspace(0, width, count + 1).round().astype(int)
-        self.packed = np.packbits(bits, axis=1)
-        self.segments = []
-        for lo, hi in zip(self.cuts[:-1], self.cuts[1:], strict=True):
+        cuts = np.linspace(0, width, count + 1).round().astype(int)
+        arrays = {"packed": np.packbits(bits, axis=1), "cuts": cuts, "ids": np.array([x for own in ids for x in own], np.int64), "ends": np.cumsum([0, *map(len, ids)])}
+        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             value = bits[:, lo:hi] @ (1 << np.arange(hi - lo))
-            order = np.argsort(value, kind="stable")
-            self.segments.append((order, np.searchsorted(value[order], np.arange((1 << (hi - lo)) + 1)), hi - lo))
-        self.flips: dict[tuple[int, int], np.ndarray] = {}
+            arrays[f"order{k}"] = order = np.argsort(value, kind="stable")
+            arrays[f"starts{k}"] = np.searchsorted(value[order], np.arange((1 << (hi - lo)) + 1))
+        return cls(arrays)
+
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, **self.arrays)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Tables:
+        with np.load(io.BytesIO(data)) as arrays:
+            return cls(dict(arrays))
 
     def flip(self, width: int, radius: int) -> np.ndarray:
         if (width, radius) not in self.flips:
@@ -87,6 +112,39 @@ class Tables:
         return met, far
 
 
+    def answers(self, query: np.ndarray, k: int) -> list[tuple[int, int]]:
+        """The k nearest (distance, id), ties by id."""
+
+        def enough(met: np.ndarray, far: np.ndarray) -> int | None:
+            if self.held[met].sum() < k:
+                return None
+            order = np.argsort(far, kind="stable")
+            return int(far[order][np.searchsorted(np.cumsum(self.held[met][order]), k)])
+
+        met, far = self.nearest(query, enough)
+        within = enough(met, far)
+        near = np.flatnonzero(far <= within) if within is not None else np.arange(len(met))
+        return sorted((int(far[i]), int(x)) for i in near for x in self.ids[self.ends[met[i]] : self.ends[met[i] + 1]])[:k]
+
+
+def write_tables(kept: DataFrame, width: int, shards: int) -> DataFrame:
+    """(shard, path) of the tables of each shard of (code, ids)."""
+    folder = shared_folder(kept.sparkSession, "tables")
+
+    def write(own: pa.Table) -> pa.Table:
+        store, path = pafs.FileSystem.from_uri(folder)
+        store.create_dir(path, recursive=True)
+        shard = own.column("shard")[0].as_py()
+        name = f"{path}/{shard:06d}-{TaskContext.get().taskAttemptId()}.npz"
+        own = own.sort_by("code")
+        with store.open_output_stream(name, compression=None) as f:
+            f.write(Tables.of(bit_matrix(own.column("code").to_pylist(), width), own.column("ids").to_pylist()).to_bytes())
+        return pa.table({"shard": pa.array([shard], pa.int32()), "path": pa.array([name]), "folder": pa.array([folder])})
+
+    dealt = kept.withColumn("shard", F.pmod(F.xxhash64("code", F.lit(9)), F.lit(shards)).cast("int"))
+    return settled(dealt.groupBy("shard").applyInArrow(write, "shard int, path string, folder string"), "shards")
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, neighbour_id, distance) of the k nearest ids of each query. vectors, queries: (id, code)."""
     vectors, queries = settled(vectors, "codes"), settled(queries.dropDuplicates(["id"]), "queries")
@@ -96,36 +154,22 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, shard: int = SHARD, b
     kept = settled(vectors.distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids")), "kept")
     wanted = settled(queries.select("code").distinct(), "wanted")
     shards, blocks = max(1, -(-kept.count() // shard)), max(1, -(-wanted.count() // block))
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    dealt = lambda n: F.pmod(F.xxhash64("code", F.lit(9)), F.lit(n)).cast("int")
-    left = kept.withColumn("shard", dealt(shards)).withColumn("block", each(blocks))
-    right = wanted.withColumn("block", dealt(blocks)).withColumn("shard", each(shards))
-
-    def answer(own: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
-        if own.num_rows and asked.num_rows:
-            ids = own.column("ids").to_pylist()
-            held = np.fromiter(map(len, ids), np.int64, len(ids))
-            tables = Tables(bit_matrix(own.column("code").to_pylist(), width))
-
-            def enough(met: np.ndarray, far: np.ndarray) -> int | None:
-                if held[met].sum() < k + 1:
-                    return None
-                order = np.argsort(far, kind="stable")
-                return int(far[order][np.searchsorted(np.cumsum(held[met][order]), k + 1)])
-
-            texts = asked.column("code").to_pylist()
-            for text, bits in zip(texts, bit_matrix(texts, width), strict=True):
-                met, far = tables.nearest(bits, enough)
-                within = enough(met, far)
-                near = np.flatnonzero(far <= within) if within is not None else np.arange(len(met))
-                pairs = sorted((int(far[i]), x) for i in near for x in ids[met[i]])[: k + 1]
-                out[0] += [text] * len(pairs)
-                out[1] += [x for _, x in pairs]
-                out[2] += [d for d, _ in pairs]
-        return pa.Table.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32())], ["code", "neighbour_id", "distance"])
-
-    near = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(answer, "code string, neighbour_id long, distance int")
+    tables = write_tables(kept, width, shards)
+    asked = wanted.groupBy(F.pmod(F.xxhash64("code", F.lit(9)), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list("code").alias("codes"))
+    grid = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(tables, "shard")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, own = None, None
+        for b in batches:
+            for path, folder, texts in zip(*(b.column(c).to_pylist() for c in ("path", "folder", "codes")), strict=True):
+                if path != held:
+                    with pafs.FileSystem.from_uri(folder)[0].open_input_file(path) as f:
+                        held, own = path, Tables.from_bytes(f.read())
+                out = [(text, x, d) for text, bits in zip(texts, bit_matrix(texts, width), strict=True) for d, x in own.answers(bits, k + 1)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in out], t) for n, t in enumerate((pa.string(), pa.int64(), pa.int32()))], ["code", "neighbour_id", "distance"])
+
+    # a task's blocks of one shard follow each other
+    near = grid.repartition("shard", F.floor(F.col("block") / TOGETHER)).sortWithinPartitions("shard").select("path", "folder", "codes").mapInArrow(answer, "code string, neighbour_id long, distance int")
     merged = Window.partitionBy("code").orderBy("distance", "neighbour_id")
     best = near.withColumn("n", F.row_number().over(merged)).where(F.col("n") <= k + 1).groupBy("code").agg(F.sort_array(F.collect_list(F.struct("distance", "neighbour_id"))).alias("near"))
     others = F.slice(F.filter("near", lambda x: x.neighbour_id != F.col("query_id")), 1, k)

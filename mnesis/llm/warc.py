@@ -5,14 +5,15 @@ of at least ``REVISIT_BYTES`` the one with the largest page_id is a response rec
 which hold the response's HTTP headers and no payload. The index is sorted by the URL with its host reversed: blocks of
 ``BLOCK`` entries, compressed, one after the other in a file for each range of keys, and a sparse directory with the first
 key and the place of each block. A look-up finds the range by bisection, the block by bisection in the range's part of the
-directory, reads and searches that block, and reads the records' bytes. Reading everything takes the blocks, brings the entries of a file
-together in the order of their offsets and reads the file in long stretches.
+directory, reads and searches that block, and reads the records' bytes. Many records are read in the order of their places,
+in long stretches.
 
 File names carry the number of the task's attempt, and only files of successful attempts are in the manifest.
 
 Defined results: null html is an empty payload; a null url has the empty key; a null page_id stays null and is a revisit
 where its payload has another response; rows that repeat a page_id and its payload are responses each if that page_id is
-the largest; an empty table gives an empty archive. Other columns are ignored.
+the largest; a page of any length is one record; an empty table gives an empty archive. Other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from mnesis.llm.common import settled, shared_folder, slices
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
 BLOCK = 1000
+#: How many keys a task looks up in a range of the index.
+KEYS = 100_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ENTRY = "surt string, page_id long, file string, offset long, length long"
@@ -56,6 +59,8 @@ def deduplicated(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     long = F.octet_length("html") >= least
     answers = rows.where(long).groupBy("digest").agg(F.max("page_id").alias("answer"), F.count("*").alias("n")).where((F.col("n") > 1) & F.col("answer").isNotNull()).drop("n")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("answer")), F.col("answer"))
+    # short payloads have no answer; a key of their own keeps equal ones from meeting in one task
+    rows = rows.withColumn("digest", F.when(long, F.col("digest")).otherwise(F.concat(F.lit("short "), F.xxhash64("page_id", "url").cast("string"))))
     return rows.join(answers, "digest", "left").select("page_id", "url", "surt", "html", refers.alias("refers_to"))
 
 
@@ -198,22 +203,10 @@ def read_records(entries: DataFrame, folder: str, with_payload: bool = False, fi
     return near.sortWithinPartitions("file", "offset").select("file", "offset", "length").mapInArrow(read, schema)
 
 
-def all_entries(directory: DataFrame, folder: str) -> DataFrame:
-    """Every entry of the index, from its blocks."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(folder)
-        for b in batches:
-            for path, offset, length in zip(*(b.column(c).to_pylist() for c in ("path", "offset", "length")), strict=True):
-                rows = block_entries(store, path, offset, length)
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["surt", "page_id", "file", "offset", "length"])
-
-    return directory.mapInArrow(read, ENTRY)
-
-
 def look_up(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     """The entries for the column url of urls. The first keys of the index's ranges, one for each task that wrote it, are
-    all that is broadcast; within a range its own directory is searched by bisection."""
+    all that is broadcast; within a range its own directory is searched by bisection. A range with many wanted keys is
+    searched by several tasks."""
     ranges = sorted((r.first, r.part) for r in directory.groupBy("part").agg(F.min("first_key").alias("first")).collect())
     keys = urls.select(surt(F.col("url")).alias("surt")).distinct()
     firsts = keys.sparkSession.sparkContext.broadcast(ranges)
@@ -230,21 +223,29 @@ def look_up(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     def search(wanted: pa.Table, blocks: pa.Table) -> pa.Table:
         store, _ = pafs.FileSystem.from_uri(folder)
         own = sorted(zip(*(blocks.column(c).to_pylist() for c in ("first_key", "offset", "length", "path")), strict=True))
-        starts, found, kept = [x[0] for x in own], [], {}
-        for key in wanted.column("surt").to_pylist():
+        starts, found, held, kept = [x[0] for x in own], [], None, {}
+        for key in sorted(wanted.column("surt").to_pylist()):
             for i in range(max(0, bisect.bisect_left(starts, key) - 1), bisect.bisect_right(starts, key)):
-                if i not in kept:
-                    kept = {i: block_entries(store, own[i][3], own[i][1], own[i][2])}
-                found += [e for e in kept[i] if e[0] == key]
+                if i != held:
+                    held, kept = i, {}
+                    for e in block_entries(store, own[i][3], own[i][1], own[i][2]):
+                        kept.setdefault(e[0], []).append(e)
+                found += kept.get(key, [])
         return pa.Table.from_arrays([pa.array([e[k] for e in found], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["surt", "page_id", "file", "offset", "length"])
 
-    return keys.mapInArrow(place, "surt string, part int").groupBy("part").cogroup(directory.groupBy("part")).applyInArrow(search, ENTRY)
+    placed = settled(keys.mapInArrow(place, "surt string, part int"), "wanted")
+    tasks = F.ceil(F.col("n") / KEYS).cast("int")
+    many = placed.groupBy("part").agg(F.count("*").alias("n")).select("part", tasks.alias("tasks"))
+    wanted = settled(placed.join(many, "part").withColumn("task", F.expr("pmod(xxhash64(surt), tasks)").cast("int")), "wanted").drop("tasks")
+    blocks = directory.join(many, "part").withColumn("task", F.expr("explode(sequence(0, tasks - 1))")).drop("tasks")
+    return wanted.groupBy("part", "task").cogroup(blocks.groupBy("part", "task")).applyInArrow(search, ENTRY)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """pages written to archives with an index in the shared folder, and every record read back by way of the index."""
+    """pages written to archives with an index in the shared folder, and the records of every page's URL looked up in the
+    index and read back."""
     folder = shared_folder(pages.sparkSession, "warc")
     manifest = write_archives(deduplicated(pages), f"{folder}/archives")
     directory = write_index(manifest, f"{folder}/index")
     files = manifest.select("file").distinct().count()
-    return read_records(all_entries(directory, f"{folder}/index"), f"{folder}/archives", files=max(1, min(files, 10_000)))
+    return read_records(look_up(pages.select("url"), directory, f"{folder}/index"), f"{folder}/archives", files=max(1, min(files, 10_000)))
