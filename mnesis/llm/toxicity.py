@@ -1,13 +1,15 @@
 """Toxicity scores: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 A text's words are what stands between white space, lower-cased and without marks. Its features are the hashes of the
-words, of neighbouring words and of words with one word between; each counts once. Learning keeps a rate for each
-coordinate, and the L1 term leaves most weights at exactly zero, so that the model is a short list of (hash, weight)
-pairs, small enough to broadcast at any size of corpus.
+words, of their stems (the first ``STEMS`` letters of longer words, for inflected and compound forms), of neighbouring
+words and of words with one word between; each counts once. Learning keeps a rate for each coordinate, and the L1 term
+leaves most weights at exactly zero, so that the model is a short list of (hash, weight) pairs, small enough to
+broadcast at any size of corpus.
 
 Defined results: a null or empty text, or one of marks alone, has no features and gets the model's bias as its score;
-repeated rows get equal scores; an empty table gives an empty table; without labelled rows every score is 0.5, and with
-rows of one label alone scores lean to it. Columns other than those named are ignored.
+repeated rows get equal scores, and repeated labelled rows are learnt from each; a doc_id with several labels counts as
+its highest; a text of any length is read whole; an empty table gives an empty table; without labelled rows every score is
+0.5, and with rows of one label alone scores lean to it. Columns other than those named, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnesis.llm.common import mix, settled, slices, word_codes
+from mnesis.llm.common import mix, shared_folder, slices, word_codes
 
+STEMS = (4, 6)
+#: Files of the training sample.
+PARTS = 16
 MARKS = re.compile(r"[^\w\n]+|_+")
 
 
@@ -41,19 +48,23 @@ class Ftrl:
     max_docs: int = 20_000
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    """A 64-bit hash of each word without marks and case; 0 where nothing is left."""
+def word_hashes(words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A 64-bit hash of each word without marks and case, 0 where nothing is left, and of each of its stems, 0 where the word
+    is no longer than that."""
     plain = MARKS.sub("", "\n".join(words).lower()).split("\n")
-    return mix(np.fromiter((zlib.crc32(w.encode()) + 1 if w else 0 for w in plain), np.uint64, len(plain)))
+    stems = [np.fromiter((zlib.crc32(w[:n].encode(), n) + 1 if len(w) > n else 0 for w in plain), np.uint64, len(plain)) for n in STEMS]
+    return mix(np.fromiter((zlib.crc32(w.encode()) + 1 if w else 0 for w in plain), np.uint64, len(plain))), [mix(x) for x in stems]
 
 
 def features(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The features of each text: row numbers in order, and hashes below 2 ** bits, none twice in a row."""
     codes, words, offsets = word_codes(texts)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    word = word_hashes(words)[codes] if len(words) else np.zeros(0, np.uint64)
+    known, stems = word_hashes(words) if len(words) else (np.zeros(0, np.uint64), [])
+    word = known[codes]
+    found = [(row[x[codes] != 0], mix(x[codes][x[codes] != 0] + np.uint64(11 + k))) for k, x in enumerate(stems)]
     row, word = row[word != 0], word[word != 0]
-    found = [(row, mix(word + np.uint64(1)))]
+    found.append((row, mix(word + np.uint64(1))))
     with np.errstate(over="ignore"):
         for gap in (1, 2):
             same = row[:-gap] == row[gap:]
@@ -97,9 +108,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, p_docs: int, k
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p: Ftrl = Ftrl()) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and weights that aren't zero, the bias last. Learning reads the sample in one task, as often
-    as there are epochs, a row at a time in hash order; only the sums of the coordinates stay in its memory, and only the
-    weights come to the driver."""
+    """Coordinates and weights that aren't zero, the bias last. The features of the sample are written in hash order to
+    files in the shared folder. Learning is one task that reads them as often as there are epochs, a row at a time; only the
+    sums of the coordinates stay in its memory, and only the weights come to the driver."""
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -107,24 +118,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p:
             ends = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.ListArray.from_arrays(ends, at.astype(np.int32))], ["doc_id", "label", "at"])
 
-    sample = settled(training_rows(docs, labels, label, p.max_docs, keep).mapInArrow(featured, "doc_id long, label double, at array<int>"), "toxicity")
-    passes = sample.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(p.epochs))))
-    ordered = passes.repartition(1).sortWithinPartitions("epoch", F.xxhash64("doc_id", F.lit(5)), "doc_id").select("label", "at")
+    folder = shared_folder(docs.sparkSession, "toxicity")
+    sample = training_rows(docs, labels, label, p.max_docs, keep).mapInArrow(featured, "doc_id long, label double, at array<int>")
+    order = [F.xxhash64("doc_id", F.lit(5)), "doc_id", F.xxhash64("at")]
+    sample.withColumn("turn", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(PARTS))).repartition(PARTS, "turn").sortWithinPartitions("turn", *order).select("label", "at").write.parquet(folder)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, bias = State(p), np.array([1 << p.bits])
-        for b in batches:
-            lists, ys = b.column("at"), b.column("label").to_numpy()
-            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for i, y in enumerate(ys):
-                s.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), y)
-        w = s.weights()
-        at = np.union1d(np.flatnonzero(w), bias)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(w[at])], ["at", "w"])
-
-    rows = ordered.mapInArrow(learn, "at long, w double").collect()
-    if not rows:
-        return np.array([1 << p.bits]), np.zeros(1)
+        for _ in batches:
+            s, bias = State(p), np.array([1 << p.bits])
+            store, path = pafs.FileSystem.from_uri(folder)
+            files = sorted(f.path for f in store.get_file_info(pafs.FileSelector(path)) if f.base_name.startswith("part-"))
+            for name in [*files] * p.epochs:
+                with store.open_input_file(name) as f:
+                    for b in pq.ParquetFile(f).iter_batches(256):
+                        lists, ys = b.column("at"), b.column("label").to_numpy()
+                        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+                        for i, y in enumerate(ys):
+                            s.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), y)
+            w = s.weights()
+            at = np.union1d(np.flatnonzero(w), bias)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(w[at])], ["at", "w"])
+
+    rows = docs.sparkSession.range(0, 1, 1, 1).mapInArrow(learn, "at long, w double").collect()
     return np.array([r.at for r in rows], np.int64), np.array([r.w for r in rows])
 
 
