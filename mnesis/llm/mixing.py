@@ -3,8 +3,9 @@
 Every document gets a hash-random key. Within a source, documents stand in the order of their keys; a prefix sum of
 their sizes says how much of the source comes before each, and the mix is cut where the source's budget ends, in the
 middle of a document if need be. A budget over the source's size takes the source whole as often as it fits and cuts
-the rest. The prefix sums are made in two steps: over ranges of the key (4096 for each source, so that a source with a
-third of all rows is spread over as many groups), and within each range.
+the rest. The prefix sums are made in two steps: over ranges of the key (as many for each source as there would be of
+``RANGE`` rows if it had all of them), and within each range. Only the sums of ranges, and one row for each source, meet in
+one task.
 
 Sources rank by code point, null last, and their weights repeat along that order. Targets share ``share`` times all
 words by weight; a target stops at ``cap`` times its source's size, and what it leaves is shared again by weight. The
@@ -12,22 +13,29 @@ level at which that settles is computed at once: with sources in order of cap ov
 that result when the first 0, 1, 2, ... sources stop at their caps.
 
 Defined results: a null text has size 0 and stays, with nothing taken; null sources are a source of their own; repeated
-rows count each; a source without words has target 0; an empty table gives an empty table. Clashing extra columns don't
-matter: only doc_id, source and text are read, and the columns of ``carry`` go along.
+rows count each; a source without words has target 0; a text of any length counts whole; rows of equal keys (equal doc_id and text) follow each other; an
+empty table gives an empty table. Clashing extra columns don't matter: only doc_id, source and text are read, and the
+columns of ``carry`` go along.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The pattern of a word.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a range of keys, about.
+RANGE = 256
 
 
 def sized(docs: DataFrame, carry: list[str], seed: str) -> DataFrame:
     """Columns of carry as fields of ``row``, size, and what orders the mix: grp, bucket and key."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    text = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))  # so that rows without doc_id, and rows that share one, spread
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
+    digits = max(2, math.ceil(math.log(max(1, docs.count() / RANGE), 16)))
     return docs.select(
         F.struct(*carry).alias("row"),
         F.col("doc_id").alias("tie"),
@@ -35,7 +43,7 @@ def sized(docs: DataFrame, carry: list[str], seed: str) -> DataFrame:
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("grp"),
         F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         key.alias("key"),
-        F.substring(key, 1, 3).alias("bucket"),
+        F.substring(key, 1, digits).alias("bucket"),
     )
 
 
@@ -92,7 +100,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
 #: DuckDB's SQL for ``mix`` with its defaults over documents.
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
+  SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
