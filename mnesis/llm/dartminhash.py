@@ -27,7 +27,8 @@ The exact check compares the whole multisets of shingles, as 64-bit hashes.
 Defined results: null and empty texts and texts of marks alone have no shingles and are classes of their own, a row
 each; repeated rows and exact copies share a class; a class is named by its least doc_id, so the classes of two texts of
 one doc_id may have one name; rows without doc_id are left
-as they are, each with class null; an empty table gives an empty table.
+as they are, each with class null; a text of any length counts with all its shingles; ties between hubs go to the lesser
+hash; other columns, whatever their names, are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations

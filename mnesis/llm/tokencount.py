@@ -10,8 +10,8 @@ that is set.
 Text is cut into words at white space and around marks, in lower case if asked. Each distinct word of a slice is counted
 once.
 
-Defined results: null and empty texts have 0 words and 0 tokens; repeated rows get equal counts; an empty table gives an
-empty table; other columns are ignored.
+Defined results: null and empty texts have 0 words and 0 tokens; repeated rows get equal counts; texts and words of any
+length are counted whole; an empty table gives an empty table; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ WORD = re.compile(r"\w+|[^\w\s]")
 class Automaton:
     """Counts the pieces of words; -1 for words that can't be cut."""
 
-    def __init__(self, vocabulary: list[str], prefix: str = "##", max_letters: int | None = 100):
+    def __init__(self, vocabulary: list[str], prefix: str = "##", max_letters: int | None = None):
         self.max_letters = max_letters
         self.edges: list[dict[str, int]] = [{}, {}]  # node 0: a word's start; node 1: the start of a piece inside
         self.ends = [False, False]
