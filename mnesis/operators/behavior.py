@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mnesis.functions import tails
 from mnesis.functions.text import safe_divide
 from mnesis.operators import masks, sequence
 
@@ -18,12 +19,12 @@ def count_if(mask: Column) -> Column:
     return F.count(F.when(mask, 1))
 
 
-def event_metadata(df: DataFrame) -> DataFrame:
-    """One row: subject, experiments joined by commas, sessions joined by underscores."""
+def event_metadata(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each group: subject, experiments joined by commas, sessions joined by underscores."""
     distinct = lambda c: F.sort_array(F.collect_set(c))
-    return df.agg(
-        F.array_join(distinct(F.when(F.col("subject") != "", F.col("subject"))), ",").alias("subject"),
-        F.array_join(distinct("experiment"), ",").alias("experiment"),
+    return df.groupBy(*keys).agg(
+        F.array_join(distinct(F.when(F.col("subject") != "", F.col("subject"))), ",").alias("subjects"),
+        F.array_join(distinct("experiment"), ",").alias("experiments"),
         F.array_join(F.transform(distinct("session"), lambda s: s.cast("string")), "_").alias("sessions"),
     )
 
@@ -66,13 +67,19 @@ def recall_by_serialpos(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFra
     return items.groupBy(*keys, "serialpos").agg(F.avg("recalled").alias("probability"))
 
 
-def first_recall_by_serialpos(items: DataFrame, order: list[str], positions: int = 12) -> DataFrame:
-    """How often each position is a list's first recalled word, over the highest list number; a row for every position."""
-    first = items.where(masks.recalled()).groupBy("list").agg(F.min_by("serialpos", F.struct(*order)).alias("serialpos"))
-    count = first.groupBy("serialpos").agg(F.count("*").alias("n"))
-    last = items.agg(F.max("list").alias("last"))
-    every = items.sparkSession.range(1, positions + 1).select(F.col("id").cast("int").alias("serialpos"))
-    return every.join(count, "serialpos", "left").join(F.broadcast(last), F.lit(True)).select("serialpos", safe_divide(F.coalesce("n", F.lit(0)).cast("double"), F.col("last")).alias("probability"))
+def first_recall_by_serialpos(items: DataFrame, order: list[str], positions: int = 12, stim: bool | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """How often each position is a list's first recalled word, over the highest list number; a row for every position of
+    each group. stim: stimulated items only, or the others only."""
+    items = items if stim is None else items.where(F.col("is_stim_item") == stim)
+    first = items.where(masks.recalled()).groupBy(*keys, "list").agg(F.min_by("serialpos", F.struct(*order)).alias("serialpos"))
+    count = first.groupBy(*keys, F.col("serialpos").cast("int").alias("serialpos")).agg(F.count("*").alias("n"))
+    every = items.groupBy(*keys).agg(F.max("list").alias("last")).withColumn("serialpos", F.explode(F.sequence(F.lit(1), F.lit(positions))))
+    return every.join(count, [*keys, "serialpos"], "left").select(*keys, "serialpos", safe_divide(F.coalesce("n", F.lit(0)).cast("double"), F.col("last")).alias("probability"))
+
+
+def recall_by_stim(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Recall by position, of stimulated items and of the others."""
+    return items.groupBy(*keys, "is_stim_item", "serialpos").agg(F.avg("recalled").alias("probability"))
 
 
 def repeated_words(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -103,17 +110,17 @@ def subject_repetition_ratio(ratios: DataFrame) -> DataFrame:
     return ratios.groupBy("subject").agg(F.avg("ratio").alias("repetition_ratio"))
 
 
-def stim_list_counts(items: DataFrame) -> DataFrame:
-    lists = items.groupBy("list").agg(F.bool_and("is_stim_list").alias("stim"))
-    return lists.agg(count_if(F.col("stim")).alias("num_stim_lists"), count_if(~F.col("stim")).alias("num_nonstim_lists"))
+def stim_list_counts(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    lists = items.groupBy(*keys, "list").agg(F.bool_and("is_stim_list").alias("stim"))
+    return lists.groupBy(*keys).agg(count_if(F.col("stim")).alias("num_stim_lists"), count_if(~F.col("stim")).alias("num_nonstim_lists"))
 
 
-def stim_events_by_list(items: DataFrame) -> DataFrame:
-    return items.groupBy("list").agg(count_if(F.col("is_stim_item")).alias("n_stim_events"))
+def stim_events_by_list(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return items.groupBy(*keys, "list").agg(count_if(F.col("is_stim_item")).alias("n_stim_events"))
 
 
-def output_by_serialpos(items: DataFrame) -> DataFrame:
-    return items.groupBy("serialpos").agg(F.avg("classifier_output").alias("mean_output"))
+def output_by_serialpos(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return items.groupBy(*keys, "serialpos").agg(F.avg("classifier_output").alias("mean_output"))
 
 
 def lists_of_kind(items: DataFrame, stim: bool | None = None) -> DataFrame:
@@ -121,9 +128,9 @@ def lists_of_kind(items: DataFrame, stim: bool | None = None) -> DataFrame:
     return rows.select("list").distinct()
 
 
-def recalls_by_list(items: DataFrame, stim_lists_only: bool = False) -> DataFrame:
+def recalls_by_list(items: DataFrame, stim_lists_only: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
     rows = items.where("is_stim_list") if stim_lists_only else items
-    return rows.groupBy("list").agg(F.sum("recalled").cast("long").alias("n_recalls"))
+    return rows.groupBy(*keys, "list").agg(F.sum("recalled").cast("long").alias("n_recalls"))
 
 
 def stim_params_by_list(items: DataFrame) -> DataFrame:
@@ -154,7 +161,8 @@ def recall_tests(items: DataFrame, least_list: int = 4) -> DataFrame:
         for name, own, other in (("stim lists", "stim_list", "list"), ("stim items", "stim_item", "low"), ("post-stim items", "post_item", "low"))
     ])
     flat = sets.join(F.broadcast(controls), F.lit(True)).select(*by, F.explode(tests).alias("t")).select(*by, "t.*")
-    return flat.withColumn("chi2", two_proportions(F.col("stim_correct"), F.col("stim_items"), F.col("control_correct"), F.col("control_items")))
+    tested = flat.withColumn("chi2", two_proportions(F.col("stim_correct"), F.col("stim_items"), F.col("control_correct"), F.col("control_items")))
+    return tested.withColumn("p_value", tails.chi2_1_pvalue("chi2"))
 
 
 def two_proportions(c1: Column, n1: Column, c2: Column, n2: Column) -> Column:
@@ -164,16 +172,16 @@ def two_proportions(c1: Column, n1: Column, c2: Column, n2: Column) -> Column:
     return part(c1, n1) + part(c2, n2)
 
 
-def delta_recall(items: DataFrame) -> DataFrame:
+def delta_recall(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Percent change of recall of stimulated and of post-stim items against items of low output on lists without
     stimulation, relative to mean recall."""
     mean = lambda mask: F.avg(F.when(mask, F.col("recalled")))
-    row = items.agg(
+    row = items.groupBy(*keys).agg(
         mean((F.col("classifier_output") < F.col("thresh")) & ~F.col("is_stim_list")).alias("low"),
         mean(F.col("is_stim_item")).alias("stim"), mean(F.col("is_post_stim_item")).alias("post"), F.avg("recalled").alias("all"),
     )
     change = lambda c: 100 * F.try_divide(F.col(c) - F.col("low"), F.col("all"))
-    return row.select(change("stim").alias("delta_recall_stim"), change("post").alias("delta_recall_post_stim"))
+    return row.select(*keys, change("stim").alias("delta_recall_stim"), change("post").alias("delta_recall_post_stim"))
 
 
 def matched_biomarkers(rows: DataFrame, phases: list[str] | None = None) -> DataFrame:
@@ -183,6 +191,22 @@ def matched_biomarkers(rows: DataFrame, phases: list[str] | None = None) -> Data
     return chosen.where(F.col("position") == "pre").join(after, "id", "left_semi").select(*rows.columns)
 
 
+def pair_counts(pairs: DataFrame, excluded: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """How many pairs each montage has, and how many of them are excluded."""
+    known = excluded.select(*keys, "label").distinct().withColumn("_x", F.lit(1))
+    return pairs.join(known, [*keys, "label"], "left").groupBy(*keys).agg(F.count("*").alias("n_pairs"), F.count("_x").alias("n_excluded_pairs"))
+
+
+def delta_against_auc(sessions: DataFrame, deltas: DataFrame, keys: list[str]) -> DataFrame:
+    """Each session's AUC beside its change of recall, for those that have both."""
+    return sessions.join(deltas, keys).where("auc IS NOT NULL AND delta_recall_stim IS NOT NULL").select(*keys, "auc", "delta_recall_stim")
+
+
+def per_session(df: DataFrame, keys: list[str], summaries: dict) -> DataFrame:
+    """A user's own summaries: (keys and a column for each name), each an aggregate of the session's rows."""
+    return df.groupBy(*keys).agg(*[column.alias(name) for name, column in summaries.items()])
+
+
 def stim_count_by_phase(df: DataFrame) -> DataFrame:
     return df.where(masks.kind("STIM_ON")).groupBy("phase").agg(F.count("*").alias("n_stims"))
 
@@ -236,8 +260,9 @@ def with_outputs(items: DataFrame, outputs: DataFrame, thresholds: DataFrame | N
     return rows.join(thresholds.select("session", F.col("threshold").alias("_t")), "session", "left").withColumn("thresh", F.coalesce("_t", F.lit(0.5))).drop("_t")
 
 
-def stim_outputs(items: DataFrame, post: bool = False) -> DataFrame:
-    """Outputs before stimulation of the stimulated items, or all post-stim outputs."""
+def stim_outputs(items: DataFrame, post: bool = False, phases: list[str] | None = None) -> DataFrame:
+    """Outputs before stimulation of the stimulated items, or all post-stim outputs; of the named phases alone, if any."""
+    items = items if phases is None else items.where(F.col("phase").isin(*phases))
     return items.where(F.col("post_stim_output").isNotNull()).select("post_stim_output") if post else items.where("is_stim_item").select("classifier_output")
 
 

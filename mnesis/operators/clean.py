@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mnesis.operators import masks
+from mnesis.operators import masks, retrieval
 from mnesis.schemas import EVENTS, STIM_COLUMNS, STIM_EVENTS, required_columns
 
 
@@ -91,7 +91,8 @@ def surrogate_response_times(df: DataFrame, keys: list[str], seed: int = 0) -> D
     rows become REC_EVENT and start at their response. Sessions without correct RTs keep -999."""
     correct = F.array_sort(F.collect_list(F.when((F.col("correct") == 1) & (F.col("RT") != -999), F.col("RT"))))
     drawn = df.join(df.groupBy(*keys).agg(correct.alias("_rts")), keys)
-    pick = F.pmod(F.xxhash64(*[F.col(c) for c in (*keys, "mstime", "eegoffset")], F.lit(seed)), F.greatest(F.size("_rts"), F.lit(1)))
+    said = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in (*keys, "mstime", "eegoffset")], F.lit(str(seed))).cast("binary"))
+    pick = F.pmod(F.conv(F.substring(said, 1, 8), 16, 10).cast("long"), F.greatest(F.size("_rts"), F.lit(1)))
     rt = F.when(F.col("RT") == -999, F.coalesce(F.get("_rts", pick.cast("int")), F.lit(-999))).otherwise(F.col("RT"))
     return drawn.withColumn("RT", rt).withColumns({"type": F.lit("REC_EVENT"), "eegoffset": F.col("eegoffset") + F.col("RT")}).select(*df.columns)
 
@@ -102,7 +103,7 @@ def union_experiments(tables: list[DataFrame], step: int = 100) -> DataFrame:
     marked = [t.withColumn("_table", F.lit(k)) for k, t in enumerate(tables)]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     present = rows.select("_table").distinct()
-    rank = present.select("_table", (F.row_number().over(Window.orderBy("_table")) - 1).alias("_rank"))
+    rank = present.select("_table", (F.row_number().over(Window.orderBy("_table")) - 1).alias("_rank"))  # a row for each table
     return rows.join(F.broadcast(rank), "_table").withColumn("session", F.col("session") + step * F.col("_rank")).drop("_table", "_rank")
 
 
@@ -135,10 +136,17 @@ def biomarkers(df: DataFrame) -> DataFrame:
     return rows.select(first["position"].alias("position"), "phase", first["biomarker_value"].alias("biomarker_value"), first["id"].alias("id"))
 
 
-def clean_fr(df: DataFrame, partition: list[str], order: list[str], keep_intrusions: bool = False) -> DataFrame:
-    """The free-recall branch: no bad offsets, voice detections, practice or unfinished lists, and no intrusions."""
-    rows = df.transform(masks.remove_negative_offsets).transform(masks.remove_voice_detection).transform(masks.remove_practice_lists)
+def clean_fr(df: DataFrame, partition: list[str], order: list[str], keep_intrusions: bool = False, baseline: dict | None = None) -> DataFrame:
+    """The free-recall branch: no bad offsets, voice detections, practice or unfinished lists, and no intrusions. PS5 keeps
+    its practice list -1. With baseline (settings of retrieval.insert_baseline, {} for the defaults) periods of failure to
+    recall come in as REC_BASE rows before intrusions go; TICL experiments have none."""
+    ps5 = F.col("experiment").contains("PS5")
+    rows = df.transform(masks.remove_negative_offsets).transform(masks.remove_voice_detection).where(F.col("list") >= F.when(ps5, -1).otherwise(0))
     rows = masks.remove_incomplete_lists(rows, [*dict.fromkeys([*partition, "list"])])
+    if baseline is not None:
+        ticl = F.col("experiment").contains("TICL")
+        with_base = retrieval.insert_baseline(rows.where(~ticl), partition, order, **baseline)
+        rows = with_base.unionByName(rows.where(ticl), allowMissingColumns=True)
     rows = rows if keep_intrusions else masks.remove_intrusions(rows, partition, order)
     return rows.transform(recall_outcome).transform(normalize_fr)
 
@@ -151,26 +159,28 @@ def clean_pal(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     return normalize_pal(study.unionByName(probes))
 
 
-def clean_events(df: DataFrame, partition: list[str], order: list[str], seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(events, stim rows) of a table that may hold free recall and paired associates."""
-    events, stim = separate_stim(df)
+def clean_events(df: DataFrame, partition: list[str], order: list[str], seed: int = 0, baseline: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(events, stim rows) of a table that may hold free recall and paired associates. A column trial stands for list, and
+    every row of a group gets the subject that one of its rows has. baseline: see ``clean_fr``."""
+    named = fill_subject(trial_column(df), [k for k in partition if k != "subject"]) if "subject" in df.columns else trial_column(df)
+    events, stim = separate_stim(named)
     pal = F.col("experiment").contains("PAL")
-    parts = [clean_fr(events.where(~pal), partition, order)]
+    parts = [clean_fr(events.where(~pal), partition, order, baseline=baseline)]
     if {"correct", "RT"} <= set(df.columns):
         parts.append(clean_pal(events.where(pal), partition, seed))
     return union_sessions(parts), stim
 
 
-def training_events(df: DataFrame, partition: list[str], order: list[str], encoding_only: bool = False) -> DataFrame:
-    """Record-only experiments, cleaned and combined, as word (and retrieval) rows."""
-    events, _ = clean_events(df.where(F.col("experiment").isin("FR1", "catFR1", "PAL1")), partition, order)
+def training_events(df: DataFrame, partition: list[str], order: list[str], encoding_only: bool = False, baseline: dict | None = None) -> DataFrame:
+    """Record-only experiments, cleaned and combined, as word (and retrieval) rows. With baseline, retrieval rows are recalls
+    that found a match, and their matches."""
+    events, _ = clean_events(df.where(F.col("experiment").isin("FR1", "catFR1", "PAL1")), partition, order, baseline=None if encoding_only else baseline)
     return events.where(masks.word_event(events, encoding_only))
 
 
 def trial_column(df: DataFrame) -> DataFrame:
-    """list from trial where the table has trials; practice left out."""
-    rows = df.withColumn("list", F.coalesce("trial", "list")) if "trial" in df.columns else df
-    return rows.where("list >= 0")
+    """list from trial where the table has trials."""
+    return df.withColumn("list", F.coalesce("trial", "list")).drop("trial") if "trial" in df.columns else df
 
 
 def test_events(df: DataFrame, partition: list[str], order: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -160,7 +160,7 @@ def as_arrays(rows: DataFrame, keys: list[str]) -> DataFrame:
     return got.select(*keys, F.transform("_v", lambda v: v["power"]).alias("features"))
 
 
-def cut_epochs(events: DataFrame, chunks: DataFrame, start_ms: int, stop_ms: int, mirror: bool = False) -> DataFrame:
+def cut_epochs(events: DataFrame, chunks: DataFrame, start_ms: int, stop_ms: int) -> DataFrame:
     """(event_id, pair_idx, samplerate, samples) of [eegoffset + start, eegoffset + stop) around each event. chunks: (eegfile,
     pair_idx, samplerate, chunk_id, samples) of equal length ``chunk_len``; an event touches a few chunks, so the join is on
     file and chunk number. Events whose window isn't wholly recorded give no row."""

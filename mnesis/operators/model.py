@@ -50,7 +50,7 @@ def _weighted(df: DataFrame, keys: list[str], classes: dict[str, Column], boosts
     table = counts.select(*keys, *[v.alias(f"_w_{k}") for k, v in scaled(inverse).items()])
     for text, factor in boosts:
         table = table.select(*keys, *[v.alias(f"_w_{k}") for k, v in scaled({k: F.col(f"_w_{k}") * (factor if text in k else 1.0) for k in classes}).items()])
-    rows = df.join(F.broadcast(table), keys) if keys else df.join(F.broadcast(table), F.lit(True))
+    rows = df.join(table, keys) if keys else df.join(F.broadcast(table), F.lit(True))  # without keys it is one row
     weight = F.coalesce(*[F.when(c, F.col(f"_w_{k}")) for k, c in classes.items()], F.lit(1.0))
     return rows.withColumn("weight", weight).drop(*[f"_w_{k}" for k in classes])
 
@@ -77,6 +77,49 @@ def sample_weights(df: DataFrame, keys: list[str], kind: str, encoding_multiplie
     raise ValueError(f"{kind}: no such weighting scheme")
 
 
+def class_of(experiment: np.ndarray, kind: np.ndarray, outcome: np.ndarray, pal: bool) -> np.ndarray:
+    """The number of each row's class: its phase, outcome and, with pal, whether it is of paired associates; -1 for none."""
+    retrieval = np.isin(kind, masks.RETRIEVAL_TYPES)
+    known = (retrieval | (kind == "WORD")) & np.isin(outcome, (0, 1))
+    return np.where(known, 4 * (pal & (experiment != "PAL1")) + 2 * retrieval + (outcome == 1), -1)
+
+
+def weights_in_sample(classes: np.ndarray, pal: bool, encoding_multiplier: float, pal_multiplier: float) -> np.ndarray:
+    """As ``fr_weights`` and ``pal_weights``, for the rows of one fold."""
+    n = 8 if pal else 4
+    count = np.bincount(classes[classes >= 0], minlength=n)
+    w = np.divide(1.0, count, out=np.zeros(n), where=count > 0)
+    for boost in (1.0, *([np.where(np.arange(n) < 4, pal_multiplier, 1.0)] if pal else []), np.where(np.arange(n) % 4 < 2, encoding_multiplier, 1.0)):
+        w = w * boost
+        w = w / w.mean() if w.any() else w
+    return np.where(classes >= 0, w[classes], 1.0)
+
+
+def fold_weights(df: DataFrame, keys: list[str], by: str, kind: str, encoding_multiplier: float = 4.375, pal_multiplier: float = 1.93) -> DataFrame:
+    """(keys, fold, row's class columns, weight): what a row of a class weighs where a fold is left out. Only counts of
+    classes meet: a class's rows outside a fold are all of its rows less the fold's."""
+    if kind not in ("FR", "PAL"):
+        raise ValueError(f"{kind}: no weights by class")
+    fold_of = ["session", "list"] if by == "list" else ["session"]
+    retrieval = masks.kind(*masks.RETRIEVAL_TYPES)
+    family = F.when(F.col("experiment") == "PAL1", "pal").otherwise("fr") if kind == "PAL" else F.lit("fr")
+    phase = F.when(masks.encoding(), "enc").when(retrieval, "ret")
+    rows = df.select(*keys, *fold_of, family.alias("family"), phase.alias("phase"), "recalled").where("phase IS NOT NULL AND recalled IN (0, 1)")
+    by_fold = rows.groupBy(*keys, *fold_of, "family", "phase", "recalled").agg(F.count("*").alias("n"))
+    folds = df.select(*keys, *fold_of).distinct().withColumn("fold", F.row_number().over(Window.partitionBy(*keys).orderBy(*fold_of)) - 1)
+    cells = [(f, p, o) for f in (("pal", "fr") if kind == "PAL" else ("fr",)) for p in ("enc", "ret") for o in (0, 1)]
+    every = folds.withColumn("_c", F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.lit(p).alias("phase"), F.lit(o).alias("recalled")) for f, p, o in cells]))).select(*keys, *fold_of, "fold", "_c.*")
+    whole = by_fold.groupBy(*keys, "family", "phase", "recalled").agg(F.sum("n").alias("_all"))
+    counted = every.join(whole, [*keys, "family", "phase", "recalled"], "left").join(by_fold, [*keys, *fold_of, "family", "phase", "recalled"], "left")
+    left = F.coalesce("_all", F.lit(0)) - F.coalesce("n", F.lit(0))
+    w = counted.withColumn("weight", F.coalesce(F.try_divide(F.lit(1.0), left.cast("double")), F.lit(0.0)))
+    one = Window.partitionBy(*keys, "fold")
+    boosts = [F.lit(1.0), *([F.when(F.col("family") == "pal", pal_multiplier).otherwise(1.0)] if kind == "PAL" else []), F.when(F.col("phase") == "enc", encoding_multiplier).otherwise(1.0)]
+    for boost in boosts:
+        w = w.withColumn("weight", F.col("weight") * boost).withColumn("weight", F.try_divide(F.col("weight"), F.avg("weight").over(one)))
+    return w.select(*keys, "fold", "family", "phase", "recalled", "weight")
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float, steps: int = 60) -> np.ndarray:
     """Weights and, last, the intercept that minimise |w|^2 / 2 + c * sum of weighted logistic losses, the intercept being
     penalised like a weight, with classes balanced: Newton steps, halved where they don't lower the loss. With fewer rows
@@ -127,11 +170,13 @@ def predict(df: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("probability", 1 / (1 + F.exp(-total))).drop("coefficients", "intercept")
 
 
-def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, permutations: int = 0, permute_training: bool = False, seed: int = 0) -> DataFrame:
+def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, permutations: int = 0, permute_training: bool = False, seed: int = 0, weights: str | None = None, encoding_multiplier: float = 4.375, pal_multiplier: float = 1.93) -> DataFrame:
     """Out-of-fold probabilities of word rows: (keys, perm, fold, event_id, outcome, probability). by: ``list`` leaves out a
     session's list, ``session`` a session. perm 0 has the true outcomes; in perm 1, 2, ... they are shuffled within session
     (and list) by a hash of seed, permutation and event, for scoring, and with permute_training for learning, too. A task
-    fits up to ``PERMUTATIONS`` permutations of a fold; without permute_training a fold is fit once for all of them."""
+    fits up to ``PERMUTATIONS`` permutations of a fold; without permute_training a fold is fit once for all of them. weights:
+    the scheme (FR or PAL, which need a column experiment; EQUAL) by which a fold's rows are weighed, from the rows outside
+    the fold alone and their true outcomes; None takes the column weight as it is."""
     types = dict(df.dtypes)
     fold_of = ["session", "list"] if by == "list" else ["session"]
     fold = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*fold_of)) - 1
@@ -145,12 +190,15 @@ def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, p
         own = own.sort_values("event_id").reset_index(drop=True)
         part, hold = int(own["_part"].iloc[0]), int(own["_fold"].iloc[0])
         perms = range(part * PERMUTATIONS, min((part + 1) * PERMUTATIONS, permutations + 1)) if permute_training else range(permutations + 1)
-        true, weight = own["recalled"].to_numpy(), own["weight"].to_numpy()
+        true, weight = own["recalled"].to_numpy(), own["weight"].to_numpy() if weights is None else np.ones(len(own))
         x, out = np.stack(own["features"].to_numpy()).astype(float), (own["fold"] == hold).to_numpy()
         test = out & (own["type"] == "WORD").to_numpy()
         columns = [*keys, "perm", "fold", "event_id", "outcome", "probability"]
         if not test.any() or out.all():
             return pd.DataFrame({c: [] for c in columns}).astype({"perm": "int32", "fold": "int32"})
+        if weights in ("FR", "PAL"):
+            classes = class_of(own["experiment"].to_numpy(), own["type"].to_numpy(), true, weights == "PAL")
+            weight[~out] = weights_in_sample(classes[~out], weights == "PAL", encoding_multiplier, pal_multiplier)
         groups = [at for _, at in own.groupby(fold_of, sort=True).indices.items()]
         outcomes, probabilities, w = [], [], None
         for perm in perms:
@@ -169,7 +217,7 @@ def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, p
         return got[columns]
 
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "perm int, fold int, event_id long, outcome long, probability double"])
-    needed = [*dict.fromkeys([*keys, "session", "list"]), "_part", "_fold", "fold", "event_id", "type", "recalled", "weight", "features"]
+    needed = [*dict.fromkeys([*keys, "session", "list"]), "_part", "_fold", "fold", "event_id", "type", "recalled", *(["weight"] if weights is None else []), *(["experiment"] if weights in ("FR", "PAL") else []), "features"]
     return work.select(*needed).groupBy(*keys, "_part", "_fold").applyInPandas(run, schema)
 
 
@@ -194,6 +242,16 @@ def latest_model(registry: DataFrame, keys: list[str]) -> DataFrame:
     return registry.groupBy(*keys).agg(F.max_by("path", F.struct("is_retrained", "created")).alias("path"))
 
 
+def with_stored_features(df: DataFrame, models: DataFrame, used: DataFrame) -> DataFrame:
+    """df's features cut to the pairs that each session's stored model uses, in their order. used: (session, pair_idx) of each
+    model; a feature array holds the frequencies of pair 0, then of pair 1, and so on."""
+    pairs = used.groupBy("session").agg(F.sort_array(F.collect_set("pair_idx")).alias("_p"))
+    rows = df.join(pairs, "session").join(models.select("session", F.size("coefficients").alias("_n")), "session")
+    each = (F.col("_n") / F.size("_p")).cast("int")
+    cut = F.flatten(F.transform("_p", lambda k: F.slice("features", k * each + 1, each)))
+    return rows.withColumn("features", cut).drop("_p", "_n")
+
+
 def post_hoc(df: DataFrame, models: DataFrame, retrained: DataFrame | None = None) -> DataFrame:
     """Outputs of each session's stored model, or of the retrained one where a session has none (or retrained is all there is)."""
     if retrained is None:

@@ -95,18 +95,20 @@ def match_session(recalls: list[tuple[int, int]], free: FreeTime, trials: list[i
         if not choices:
             continue
         rank = min(range(len(choices)), key=lambda k: (abs(choices[k] - recalls[i][0]), k))
-        starts = [(k, x) for k, tr in enumerate(trials) if first[tr] is not None for x in _starts(free, tr, low, high, length)]
-        start = starts[0][1]
+        start = first[choices[0]]
         found[i] = (choices[rank], start, start + length, 0)
-        free.take(trials[starts[rank][0]], start, start + length)
+        free.take(trial_of_start(free, choices, rank, low, high, length), start, start + length)
     return found
 
 
-def _starts(free: FreeTime, trial: int, low: int, high: int, length: int) -> range | list[int]:
-    out: list[int] = []
-    for b, e in free.spans[trial]:
-        out += range(max(b, low), min(e, high) - length + 1)
-    return out
+def trial_of_start(free: FreeTime, trials: list[int], k: int, low: int, high: int, length: int) -> int:
+    """The trial that the k-th start belongs to, when the starts of all trials stand in a row: their intervals are counted."""
+    for trial in trials:
+        n = sum(max(0, min(e, high) - length + 1 - max(b, low)) for b, e in free.spans[trial])
+        if k < n:
+            return trial
+        k -= n
+    raise IndexError(k)
 
 
 def matched_deliberation(df: DataFrame, keys: list[str], order: list[str], period: int = 30_000, inclusion_before: int = 2000, inclusion_after: int = 1000, start: int = -1250, end: int = 250, tolerance: int = 3000, remove_before: int = 2000, remove_after: int = 2000) -> DataFrame:
@@ -150,6 +152,29 @@ def matched_deliberation(df: DataFrame, keys: list[str], order: list[str], perio
     return together.groupBy(*keys).applyInPandas(match, schema)
 
 
+def insert_baseline(df: DataFrame, keys: list[str], order: list[str], duration: int = 500, pre: int = 2000, post: int = 1000, inclusion: int = 1000, **settings) -> DataFrame:
+    """df with a column ``matched`` and a REC_BASE row for each recall that found a matching period of failure to recall.
+
+    A REC_BASE row is its recall's row in the matched list: type, list, rectime, mstime and eegoffset are those of the
+    period, item_name is ``N/A``, recalled 0. matched is true for it and its recall, false for all other rows. The period ends
+    where the recall begins; recalls with less than ``inclusion`` milliseconds to a neighbour find none."""
+    found = matched_deliberation(df, keys, order, inclusion_before=inclusion, inclusion_after=inclusion, start=-duration, end=0, remove_before=pre, remove_after=post, **settings)
+    recall = [*keys, "list", "mstime", "rectime"]
+    pairs = found.where(masks.kind("REC_BASE")).select(*keys, F.col("matched_list").alias("list"), F.col("matched_rectime").alias("rectime"), F.col("list").alias("_list"), F.col("mstime").alias("_mstime"), F.col("rectime").alias("_rectime"))
+    marked = found.where(masks.kind("REC_WORD")).select(*recall, F.lit(True).alias("_found")).distinct()
+    rows = df.join(marked, recall, "left").withColumn("matched", F.col("_found").isNotNull() & masks.kind("REC_WORD")).drop("_found")
+    begun = df.where(masks.kind("REC_START")).groupBy(*keys, F.col("list").alias("_list")).agg(F.min("eegoffset").alias("_offset"))
+    rates = sample_rate(df, keys, order)
+    base = df.where(masks.kind("REC_WORD")).join(pairs, [*keys, "list", "rectime"]).join(begun, [*keys, "_list"], "left").join(rates, keys, "left")
+    values = {
+        "type": F.lit("REC_BASE"), "list": F.col("_list"), "rectime": F.col("_rectime"), "mstime": F.col("_mstime"), "recalled": F.lit(0), "matched": F.lit(True), "item_name": F.lit("N/A"),
+        "eegoffset": F.coalesce(F.col("_offset") + F.round(F.coalesce("samplerate", F.lit(1000.0)) * F.col("_rectime") / 1000), F.lit(-999)),
+    }
+    types = dict(rows.dtypes)
+    made = base.select(*[(values.get(c, F.lit(True)) if c in values else F.col(c)).cast(types[c]).alias(c) for c in rows.columns])
+    return rows.unionByName(made)
+
+
 def free_epoch_baseline(df: DataFrame, keys: list[str], order: list[str], duration: int = 500, pre: int = 2000, post: int = 1000, reach: int = 3000) -> DataFrame:
     """The older search: each recall takes the first unused free epoch within ``reach`` milliseconds of its own time since the
     start of recall, in the nearest other list. The candidates come from an equi-join on time blocks of ``reach``."""

@@ -84,7 +84,7 @@ def repetition_ratio(recalls: DataFrame, keys: list[str], order: list[str], cate
     return same.groupBy(*keys).agg(F.try_divide(F.sum("_same"), F.count("_same")).alias("ratio"))
 
 
-def running_threshold(df: DataFrame, keys: list[str], order: list[str], value: str) -> Column:
+def running_threshold(keys: list[str], order: list[str], value: str) -> Column:
     """The mean of all earlier values, null for the first."""
     return F.avg(value).over(window(keys, order).rowsBetween(Window.unboundedPreceding, -1))
 

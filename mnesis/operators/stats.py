@@ -39,16 +39,18 @@ def benjamini_hochberg(table: DataFrame, p: str, keys: tuple[str, ...] = ()) ->
     return ranked.withColumn("adjusted", F.least(F.lit(1.0), F.min(raw).over(up))).drop("_m", "_r")
 
 
-def delta_hfa_table(pairs: DataFrame, powers: DataFrame, frequencies: list[float], cutoff: float = 65.0, trigger: int = 110) -> DataFrame:
-    """Pairs with t, p and adjusted p of high-frequency power, and of power at the trigger frequency."""
+def delta_hfa_table(pairs: DataFrame, powers: DataFrame, frequencies: list[float], cutoff: float = 65.0, trigger: int = 110, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs with t, p and adjusted p of high-frequency power, and of power at the trigger frequency. keys: what tells the
+    montages of powers and pairs apart (subject); p is adjusted within each."""
+    on = [*keys, "pair_idx"]
     high = next(k for k, f in enumerate(frequencies) if f > cutoff)
     at = next(k for k, f in enumerate(frequencies) if int(f) == trigger)
 
     def tested(lo: int, hi: int, name: str) -> DataFrame:
-        t = pair_t_table(powers, lo, hi).withColumn("p", tails.t_pvalue("t_stat", F.col("df").cast("double")))
-        return benjamini_hochberg(t, "p").select("pair_idx", F.col("t_stat").alias(f"{name}_t_stat"), F.col("adjusted").alias(f"{name}_p_value"))
+        t = pair_t_table(powers, lo, hi, tuple(on)).withColumn("p", tails.t_pvalue("t_stat", F.col("df").cast("double")))
+        return benjamini_hochberg(t, "p", keys).select(*on, F.col("t_stat").alias(f"{name}_t_stat"), F.col("adjusted").alias(f"{name}_p_value"))
 
-    return pairs.join(tested(high, len(frequencies) - 1, "hfa"), "pair_idx", "left").join(tested(at, at, str(trigger)), "pair_idx", "left")
+    return pairs.join(tested(high, len(frequencies) - 1, "hfa"), on, "left").join(tested(at, at, str(trigger)), on, "left")
 
 
 def target_selection(table: DataFrame, controllability: DataFrame | None = None) -> DataFrame:
@@ -116,7 +118,7 @@ def terciles(df: DataFrame, keys: list[str], score: str, outcome: str) -> DataFr
     """Recall rates of the lowest, middle and highest third of scores (cuts belong to both sides), their percent difference
     from the mean rate, and the median score."""
     cuts = df.groupBy(*keys).agg(F.percentile(score, F.array(F.lit(1 / 3), F.lit(2 / 3))).alias("_c"), F.median(score).alias("median_output"))
-    rows = df.join(F.broadcast(cuts), keys) if keys else df.join(F.broadcast(cuts), F.lit(True))
+    rows = df.join(cuts, keys) if keys else df.join(F.broadcast(cuts), F.lit(True))  # without keys it is one row
     lo, hi = F.col("_c")[0], F.col("_c")[1]
     rate = lambda mask: F.avg(F.when(mask, F.col(outcome)))
     got = rows.groupBy(*keys, "median_output").agg(
@@ -133,7 +135,7 @@ def median_interval(df: DataFrame, keys: list[str], score: str) -> DataFrame:
     half = 1.96 * F.sqrt(F.col("n").cast("double")) / 2
     ranks = n.select(*keys, F.greatest(F.lit(0), F.bround(F.col("n") / 2 - half)).cast("long").alias("_lo"), F.least(F.col("n") - 1, F.bround(F.col("n") / 2 + half) + 1).cast("long").alias("_hi"))
     placed = df.where(F.col(score).isNotNull()).withColumn("_i", F.row_number().over(Window.partitionBy(*keys).orderBy(score)) - 1)
-    rows = placed.join(F.broadcast(ranks), keys) if keys else placed.join(F.broadcast(ranks), F.lit(True))
+    rows = placed.join(ranks, keys) if keys else placed.join(F.broadcast(ranks), F.lit(True))
     return rows.groupBy(*keys).agg(F.max(F.when(F.col("_i") == F.col("_lo"), F.col(score))).alias("lower"), F.max(F.when(F.col("_i") == F.col("_hi"), F.col(score))).alias("upper"))
 
 
@@ -143,15 +145,22 @@ def permutation_pvalue(permuted: DataFrame, observed: DataFrame, keys: list[str]
     return rows.groupBy(*keys).agg(F.avg((F.col("auc") >= F.col("_own")).cast("double")).alias("p_value"))
 
 
-def haufe_activation(powers: DataFrame, weights: DataFrame) -> DataFrame:
+def haufe_activation(powers: DataFrame, weights: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Each feature's covariance with the model's output: what the covariance matrix times the weights is, without the
-    matrix. powers: (event_id, pair_idx, freq_idx, power). weights: (pair_idx, freq_idx, weight)."""
-    output = powers.join(weights, ["pair_idx", "freq_idx"]).groupBy("event_id").agg(F.sum(F.col("power") * F.col("weight")).alias("_y"))
-    return powers.join(output, "event_id").groupBy("pair_idx", "freq_idx").agg(F.covar_samp("power", "_y").alias("activation"))
+    matrix. powers: (keys, event_id, pair_idx, freq_idx, power). weights: (keys, pair_idx, freq_idx, weight). keys: of a model."""
+    output = powers.join(weights, [*keys, "pair_idx", "freq_idx"]).groupBy(*keys, "event_id").agg(F.sum(F.col("power") * F.col("weight")).alias("_y"))
+    return powers.join(output, [*keys, "event_id"]).groupBy(*keys, "pair_idx", "freq_idx").agg(F.covar_samp("power", "_y").alias("activation"))
 
 
-def activation_by_region(activation: DataFrame, pairs: DataFrame) -> DataFrame:
-    return activation.join(pairs.select("pair_idx", "region"), "pair_idx").groupBy("region", "freq_idx").agg(F.avg("activation").alias("activation"))
+def activation_by_region(activation: DataFrame, pairs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return activation.join(pairs.select(*keys, "pair_idx", "region"), [*keys, "pair_idx"]).groupBy(*keys, "region", "freq_idx").agg(F.avg("activation").alias("activation"))
+
+
+def reduce_powers(powers: DataFrame, pairs: DataFrame | None = None, frequencies: DataFrame | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Powers of the pairs (keys, pair_idx) and frequencies (freq_idx) that the masks hold; no mask keeps all."""
+    rows = powers if pairs is None else powers.join(pairs.select(*keys, "pair_idx").distinct(), [*keys, "pair_idx"], "left_semi")
+    rows = rows if frequencies is None else rows.join(frequencies.select("freq_idx").distinct(), "freq_idx", "left_semi")
+    return rows.select(*powers.columns)
 
 
 def covariance(powers: DataFrame, keys: list[str]) -> DataFrame:

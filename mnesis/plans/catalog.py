@@ -465,7 +465,7 @@ def subject_level(spark, d):
 
 @query("SELECT seq, avg(value) OVER (PARTITION BY subject, session ORDER BY mstime, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NULL AS first, round(avg(value) OVER (PARTITION BY subject, session ORDER BY mstime, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 9) AS thresh FROM session_log", a.SESSION_LOG)
 def running_threshold(spark, d):
-    log = a.session_log(spark, d).withColumn("thresh", F.round(sequence.running_threshold(None, ["subject", "session"], a.LOG_ORDER, "value"), DIGITS))
+    log = a.session_log(spark, d).withColumn("thresh", F.round(sequence.running_threshold(["subject", "session"], a.LOG_ORDER, "value"), DIGITS))
     return log.select("seq", F.col("thresh").isNull().alias("first"), "thresh")
 
 

@@ -115,7 +115,7 @@ def ps5(events: DataFrame, items: DataFrame, powers: DataFrame, pair_idx: int, p
     """Power at the trigger pair and frequency, its running threshold, and stimulation; all lists from 0 count."""
     at = next(k for k, f in enumerate(p.frequencies) if int(f) == p.trigger_frequency)
     trigger = powers.where((F.col("pair_idx") == pair_idx) & (F.col("freq_idx") == at))
-    threshold = trigger.withColumn("thresh", sequence.running_threshold(trigger, ["session"], ["event_id"], "power"))
+    threshold = trigger.withColumn("thresh", sequence.running_threshold(["session"], ["event_id"], "power"))
     return {**behaviour(events), **stimulation(items), "recall_tests": behavior.recall_tests(items, least_list=0), "trigger_power": threshold}
 
 

@@ -34,12 +34,13 @@ def completed_sessions(index: DataFrame, subject: str, experiment: str) -> DataF
 def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS) -> DataFrame:
     """Events of all sessions of an index that have a file, one scan over their JSON files, with subject, experiment and session
     of the index. The list of files is what the driver holds: one path for each session. No session gives an empty table."""
-    known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.col(file_type).alias("_path"))
-    paths = [root + r["_path"] for r in known.select("_path").distinct().collect()]
+    plain = lambda c: F.regexp_replace(c, "^(file:/+|/+)", "/")  # noqa: E731  file:///a, file:/a and /a are one path
+    known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.concat(F.lit(root), F.col(file_type)).alias("_path"))
+    paths = [r["_path"] for r in known.select("_path").distinct().collect()]
     if not paths:
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).json(paths, multiLine=True).withColumn("_file", F.col("_metadata.file_path"))
-    rows = rows.drop("subject", "experiment", "session").join(known, F.col("_file").endswith(F.concat(F.lit(root), F.col("_path")))).select(*[f.name for f in schema])
+    rows = rows.drop("subject", "experiment", "session").withColumn("_file", plain("_file")).join(known.withColumn("_file", plain("_path")), "_file").select(*[f.name for f in schema])
     return rows.where(F.col("eegfile") != "") if with_eeg else rows
 
 
@@ -117,8 +118,11 @@ def artifact_detection(rows: DataFrame) -> DataFrame:
 
 
 def stim_events(rows: DataFrame) -> DataFrame:
-    """Stimulations with a recording."""
-    return rows.where((F.col("type") == "STIM_ON") & (F.coalesce("eegfile", F.lit("")) != ""))
+    """Stimulations with a recording; an error where there is none."""
+    found = rows.where((F.col("type") == "STIM_ON") & (F.coalesce("eegfile", F.lit("")) != ""))
+    if found.isEmpty():
+        raise ValueError("no stimulation with a recording")
+    return found
 
 
 def connectivity(spark: SparkSession, path: str) -> DataFrame | None:
