@@ -129,3 +129,46 @@ def voxels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VOXELS = "voxels AS (SELECT s_suppkey AS region, CAST(s_suppkey * 7 % 50 AS DOUBLE) AS x, CAST(s_nationkey * 4 AS DOUBLE) AS y, CAST(s_suppkey * 13 % 50 AS DOUBLE) AS z FROM supplier)"
+
+
+#: Event types of ``full_log`` in turn, so that every predicate meets rows that it holds for.
+KINDS = "WORD REC_WORD WORD REC_BASE REC_EVENT TEST_PROBE PROBE_START STUDY_PAIR PROB START STOP REC_WORD_VV STIM_OFF REC_END VOCALIZATION_START REC_START".split()
+
+
+def full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with all columns of event tables and rows of every kind; seq tells rows apart."""
+    e = table(spark, sf_dir, "events")
+    k = F.regexp_extract("props", r"(\d+)", 1).cast("long")
+    ts = F.col("ts").cast("timestamp")
+    day = F.dayofmonth(ts).cast("long") % 12
+    pick = lambda names, at: F.element_at(F.array(*map(F.lit, names)), (at % len(names) + 1).cast("int"))
+    return e.select(
+        F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("subject"),
+        pick(["FR1", "PAL1", "catFR1", "FR2", "PS5_FR", "TICL_FR"], F.col("user_id")).alias("experiment"),
+        F.col("user_id").alias("session"),
+        F.when(day == 0, -999).otherwise(day - 2).alias("list"),
+        F.unix_millis(ts).alias("mstime"),
+        F.col("event_id").alias("seq"),
+        pick(KINDS, F.col("event_id")).alias("type"),
+        F.when(F.col("user_id") % 2 == 0, "STIM").otherwise("NON-STIM").alias("phase"),
+        (F.col("value") > 20).cast("long").alias("recalled"),
+        (k % 3 - 1).alias("intrusion"),
+        (k % 12 + 1).alias("serialpos"),
+        F.when(F.col("event_id") % 40 == 0, -1).otherwise(F.col("event_id")).alias("eegoffset"),
+        (k % 2 == 0).alias("matched"),
+        (k % 4 - 1).alias("correct"),
+        F.when(k % 5 == 0, -999).otherwise(k * 10).alias("RT"),
+        (k % 5).alias("category_num"),
+        F.when(k % 7 == 0, "").otherwise("eeg").alias("eegfile"),
+        F.concat(F.lit("w"), k.cast("string")).alias("item_name"),
+        F.lit(0).cast("long").alias("rectime"),
+        F.col("value"),
+    )
+
+
+FULL_LOG = f"""full_log AS (SELECT 'S' || CAST(user_id % 5 AS VARCHAR) AS subject, ['FR1', 'PAL1', 'catFR1', 'FR2', 'PS5_FR', 'TICL_FR'][user_id % 6 + 1] AS experiment, user_id AS session,
+  CASE WHEN day(ts) % 12 = 0 THEN -999 ELSE day(ts) % 12 - 2 END AS list, epoch_us(ts) // 1000 AS mstime, event_id AS seq, {KINDS}[event_id % {len(KINDS)} + 1] AS type,
+  CASE user_id % 2 WHEN 0 THEN 'STIM' ELSE 'NON-STIM' END AS phase, CAST(value > 20 AS BIGINT) AS recalled, k % 3 - 1 AS intrusion, k % 12 + 1 AS serialpos,
+  CASE WHEN event_id % 40 = 0 THEN -1 ELSE event_id END AS eegoffset, k % 2 = 0 AS matched, k % 4 - 1 AS correct, CASE WHEN k % 5 = 0 THEN -999 ELSE k * 10 END AS RT, k % 5 AS category_num,
+  CASE WHEN k % 7 = 0 THEN '' ELSE 'eeg' END AS eegfile, 'w' || k AS item_name, 0 AS rectime, value
+  FROM (SELECT *, CAST(regexp_extract(props, '(\\d+)', 1) AS BIGINT) AS k FROM events))"""

@@ -146,7 +146,9 @@ def recall_log(spark, d):
 
 @query()
 def matched_deliberation(spark, d):
-    return retrieval.matched_deliberation(recall_log(spark, d), ["subject", "session"], ["mstime", "seq"], period=45_000, inclusion_before=0, inclusion_after=0)
+    # a session is a user's month, so that matching stays small however long a user's log is
+    log = recall_log(spark, d).withColumn("session", F.concat_ws("-", "session", F.date_format(F.timestamp_millis("mstime"), "yyyyMM")))
+    return retrieval.matched_deliberation(log, ["subject", "session"], ["mstime", "seq"], period=45_000, inclusion_before=0, inclusion_after=0)
 
 
 FREE = """t AS (SELECT subject, session, list, CAST((mstime - min(mstime) OVER (PARTITION BY subject, session, list)) / 2000 AS DOUBLE) AS r0 FROM session_log),

@@ -367,3 +367,73 @@ def test_outputs_and_thresholds(spark):
     assert [(r.classifier_output, r.thresh) for r in got] == [(0.25, 0.4), (None, 0.5)]
     channels = spark.createDataFrame([(5.0, 0.0001), (1.0, 0.4)], "t_stat double, p double")
     assert tuple(behavior.tstats_by_condition(channels).first()) == ([5.0], [1.0])
+
+
+def test_weights_of_folds_are_those_of_the_rows_left_in(spark):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    kinds = ["WORD", "REC_EVENT", "REC_BASE", "STIM_ON"]
+    rows = [(i, "A" if i % 2 else "B", i % 5, ["FR1", "PAL1"][int(r.integers(2))], kinds[int(r.integers(4))], int(r.integers(2))) for i in range(200)]
+    df = spark.createDataFrame(rows, "event_id long, subject string, session long, experiment string, type string, recalled long")
+    for kind in ("FR", "PAL"):
+        made = {(x.subject, x.fold, x.family, x.phase, x.recalled): x.weight for x in model.fold_weights(df, ["subject"], "session", kind).collect()}
+        for subject in "AB":
+            for fold in range(5):
+                left = df.where((F.col("subject") == subject) & (F.col("session") != fold))
+                for x in model.sample_weights(left, [], kind).where("type <> 'STIM_ON'").collect():
+                    key = (subject, fold, "pal" if kind == "PAL" and x.experiment == "PAL1" else "fr", "enc" if x.type == "WORD" else "ret", x.recalled)
+                    assert abs(made[key] - x.weight) < 1e-9
+                own = left.toPandas()
+                classes = model.class_of(own["experiment"].to_numpy(), own["type"].to_numpy(), own["recalled"].to_numpy(), kind == "PAL")
+                want = {x.event_id: x.weight for x in model.sample_weights(left, [], kind).collect()}
+                assert np.allclose(model.weights_in_sample(classes, kind == "PAL", 4.375, 1.93), [want[i] for i in own["event_id"]])
+
+
+def test_baseline_rows_are_whole_rows(spark):
+    rows = []
+    for trial in range(3):
+        begun = 100_000 * trial
+        rows.append(("S", 0, trial, begun, 0, "REC_START", 0, begun, 0, "X"))
+        rows += [("S", 0, trial, begun + t, t, "REC_WORD", 0, begun + t, 1, f"w{t}") for t in ((5000, 12_000), (9000,), (20_000, 25_000))[trial]]
+        rows.append(("S", 0, trial, begun + 45_000, 45_000, "REC_END", 0, begun + 45_000, 0, "X"))
+    rows.append(("S", 0, 0, 50, -999, "WORD", 0, 50, 1, "word"))
+    df = spark.createDataFrame(rows, "subject string, session long, list long, mstime long, rectime long, type string, intrusion long, eegoffset long, recalled long, item_name string")
+    got = retrieval.insert_baseline(df, ["subject", "session"], ["mstime"], duration=500, pre=1000, post=500, period=45_000)
+    table = got.toPandas()
+    base, recalls = table[table["type"] == "REC_BASE"], table[table["type"] == "REC_WORD"]
+    assert got.columns == [*df.columns, "matched"] and len(table) == len(rows) + len(base) and len(base) == recalls["matched"].sum() == 5
+    assert not table[~table["type"].isin(["REC_BASE", "REC_WORD"])]["matched"].any() and base["matched"].all()
+    voices = {t: [r[4] for r in rows if r[5] == "REC_WORD" and r[2] == t] for t in range(3)}
+    for x in base.itertuples():  # a period [rectime - 500, rectime) without a voice near
+        assert (x.recalled, x.item_name, x.mstime) == (0, "N/A", 100_000 * x.list + x.rectime) and x.eegoffset == x.mstime
+        assert all(not (v - 1000 < x.rectime and x.rectime - 500 < v + 500) for v in voices[x.list])
+    spans = sorted((x.list, x.rectime) for x in base.itertuples())
+    assert all(a[0] != b[0] or b[1] - a[1] >= 500 for a, b in zip(spans, spans[1:]))
+
+
+def test_start_of_a_trial_by_interval_lengths():
+    free = retrieval.FreeTime([(1, 0, 30), (1, 50, 80), (2, 10, 25), (3, 0, 5)], [1, 2, 3])
+    for low, high, length in ((0, 100, 10), (5, 60, 7), (0, 22, 12)):
+        listed = [t for t in (1, 2, 3) for b, e in free.spans[t] for _ in range(max(b, low), min(e, high) - length + 1)]
+        assert [retrieval.trial_of_start(free, [1, 2, 3], k, low, high, length) for k in range(len(listed))] == listed
+
+
+def test_electrodes_of_two_subjects_are_tested_apart(spark):
+    rows = [(s, p, e, e % 2, f, float((e * 7 + p * 3 + f + (s == "B") * e) % 5)) for s in "AB" for p in range(3) for e in range(12) for f in range(2)]
+    powers = spark.createDataFrame(rows, "subject string, pair_idx int, event_id long, recalled int, freq_idx int, power double")
+    pairs = spark.createDataFrame([(s, p) for s in "AB" for p in range(3)], "subject string, pair_idx int")
+    both = {(r.subject, r.pair_idx): r for r in stats.delta_hfa_table(pairs, powers, [50.0, 110.0], keys=("subject",)).collect()}
+    assert len(both) == 6
+    for s in "AB":
+        for r in stats.delta_hfa_table(pairs.where(F.col("subject") == s), powers.where(F.col("subject") == s), [50.0, 110.0]).collect():
+            assert both[s, r.pair_idx].hfa_t_stat == r.hfa_t_stat and abs(both[s, r.pair_idx].hfa_p_value - r.hfa_p_value) < 1e-12
+
+
+def test_features_of_a_stored_model(spark):
+    df = spark.createDataFrame([(1, 0, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0])], "event_id long, session long, features array<double>")
+    models = spark.createDataFrame([(0, [1.0, 0.0, 0.0, 1.0], 0.5)], "session long, coefficients array<double>, intercept double")
+    used = spark.createDataFrame([(0, 2), (0, 0)], "session long, pair_idx int")
+    cut = model.with_stored_features(df, models, used)
+    assert cut.first().features == [1.0, 2.0, 5.0, 6.0]
+    assert abs(model.post_hoc(cut, models).first().probability - 1 / (1 + 2.718281828459045 ** -7.5)) < 1e-9

@@ -11,7 +11,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver table
 
 
 def names():
-    import mnesis.plans.catalog_signal  # noqa: F401
+    import mnesis.plans.catalog_events  # noqa: F401  registers its queries, and those of the module that it takes adapters from
     from mnesis.plans import catalog
 
     return sorted(catalog.ORACLE_SQL)
