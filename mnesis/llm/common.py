@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +17,17 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which all executors see. There is no other place that they must share, so
-    a session without that setting is an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
+@lru_cache(maxsize=1)
+def own_folder(master: str) -> str:
+    if not master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which all executors see. Where that is unset, a temporary folder will do if
+    Spark runs on this machine alone, as in tests; on a cluster it is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or own_folder(spark.sparkContext.master)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
