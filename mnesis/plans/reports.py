@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ def behaviour(events: DataFrame, math: DataFrame | None = None) -> dict[str, Dat
         "session_summary": sessions.join(behavior.session_length(events, SESSION).drop("num_lists"), SESSION),
         "combined_summary": combined_summary(sessions),
         "serialpos": behavior.recall_by_serialpos(words, tuple(SESSION)),
-        "first_recall": behavior.first_recall_by_serialpos(words, ["session", "mstime"]),
+        "first_recall": behavior.first_recall_by_serialpos(words, ["mstime"], keys=tuple(SESSION)),
     }
     if math is not None:
         out["math_summary"] = behavior.math_summary(math, SESSION)
@@ -74,10 +75,11 @@ def stimulation(items: DataFrame) -> dict[str, DataFrame]:
     return {
         "stim_parameters": behavior.stim_parameters(items),
         "recall_tests": behavior.recall_tests(items),
-        "delta_recall": behavior.delta_recall(items),
-        "stim_lists": behavior.stim_list_counts(items),
-        "recalls_by_list": behavior.recalls_by_list(items).join(behavior.stim_events_by_list(items), "list"),
-        "output_by_serialpos": behavior.output_by_serialpos(items),
+        "delta_recall": behavior.delta_recall(items, ("subject",)),
+        "stim_lists": behavior.stim_list_counts(items, ("subject",)),
+        "recalls_by_list": behavior.recalls_by_list(items, keys=("subject",)).join(behavior.stim_events_by_list(items, ("subject",)), ["subject", "list"]),
+        "output_by_serialpos": behavior.output_by_serialpos(items, ("subject",)),
+        "recall_by_stim": behavior.recall_by_stim(items, ("subject",)),
     }
 
 
@@ -125,6 +127,31 @@ def location_search(stim: DataFrame, tmi: DataFrame) -> dict[str, DataFrame]:
     return {"stim_targets": target_table(stim, tmi)}
 
 
+#: The builder of each experiment's report; a name's longest known beginning counts.
+BUILDERS: dict[str, Callable[..., dict[str, DataFrame]]] = {
+    "FR1": record_only, "catFR1": record_only, "DBOY1": record_only, "CourierReinstate1": record_only, "RepFR1": repeated_words, "FR2": open_loop, "catFR2": open_loop,
+    "FR3": closed_loop, "catFR3": closed_loop, "FR5": closed_loop, "catFR5": closed_loop, "FR6": closed_loop, "catFR6": closed_loop, "TICL": ticl, "PS4": ps4, "PS5": ps5, "LocationSearch": location_search,
+}
+
+
+def builder(experiment: str) -> Callable[..., dict[str, DataFrame]]:
+    """The builder of an experiment's report."""
+    known = [name for name in BUILDERS if experiment.startswith(name)]
+    if not known:
+        raise ValueError(f"{experiment}: no report is known")
+    return BUILDERS[max(known, key=len)]
+
+
+def build(experiment: str, inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables of an experiment's report, from those of the named inputs that its builder takes."""
+    make = builder(experiment)
+    takes = signature(make).parameters
+    absent = [name for name, p in takes.items() if p.default is p.empty and name not in inputs]
+    if absent:
+        raise ValueError(f"{experiment}: needs {', '.join(absent)}")
+    return make(**{name: inputs[name] for name in takes if name in inputs})
+
+
 def make_report(build: Callable[[], dict[str, DataFrame]], root: str, wanted: DataFrame, data_types: list[str], rerun: bool = False) -> dict[str, DataFrame]:
     """The stored products of the wanted sessions, built and stored first where any is missing or rerun is asked for."""
     spark = wanted.sparkSession
