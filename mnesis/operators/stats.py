@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +37,8 @@ def pair_t_table(powers: DataFrame, lowest: int, highest: int, keys: tuple[str,
 def benjamini_hochberg(table: DataFrame, p: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """adjusted: the least p * m / rank over this and all greater p, at most 1. One montage's pairs are a group."""
     own = Window.partitionBy(*keys)
-    ranked = table.withColumns({"_m": F.count(p).over(own), "_r": F.row_number().over(own.orderBy(F.col(p).asc_nulls_last()))})
+    ties = [c for c in table.columns if c not in (p, *keys)]  # equal p get equal values in any order; reruns agree on it
+    ranked = table.withColumns({"_m": F.count(p).over(own), "_r": F.row_number().over(own.orderBy(F.col(p).asc_nulls_last(), *ties))})
     raw = F.col(p) * F.col("_m") / F.col("_r")
     up = own.orderBy("_r").rowsBetween(0, Window.unboundedFollowing)
     return ranked.withColumn("adjusted", F.least(F.lit(1.0), F.min(raw).over(up))).drop("_m", "_r")
@@ -164,13 +169,24 @@ def reduce_powers(powers: DataFrame, pairs: DataFrame | None = None, frequencies
 
 
 def covariance(powers: DataFrame, keys: list[str]) -> DataFrame:
-    """Sample covariances of the features of each group, as a list of (i, j, value) with i <= j. A session's features are
-    some hundred, so each event's row is paired with itself inside the row."""
-    feature = F.struct((F.col("pair_idx") * 1000 + F.col("freq_idx")).alias("f"), F.col("power").alias("x"))
+    """Sample covariances of the features of each group, as a list of (i, j, value) with i <= j, over the events that have
+    all of a group's features. Each slice of events becomes one row for each pair of features, however many events it has."""
+    feature = F.struct((F.col("pair_idx") * 1000 + F.col("freq_idx")).cast("long").alias("f"), F.col("power").cast("double").alias("x"))
     rows = powers.groupBy(*keys, "event_id").agg(F.sort_array(F.collect_list(feature)).alias("v"))
-    left = rows.select(*keys, "v", F.explode("v").alias("a"))
-    both = left.select(*keys, "a", F.explode(F.filter("v", lambda b: b["f"] >= F.col("a.f"))).alias("b"))
-    return both.groupBy(*keys, F.col("a.f").alias("i"), F.col("b.f").alias("j")).agg(F.covar_samp("a.x", "b.x").alias("value"))
+    types = dict(powers.dtypes)
+    rows = rows.select(*keys, F.transform("v", lambda v: v["f"]).alias("f"), F.transform("v", lambda v: v["x"]).alias("x"))
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, part in frame.groupby([*keys, frame["f"].map(tuple)], sort=False):
+                f, x = np.array(own[-1]), np.stack(part["x"].to_numpy())
+                i, j = np.triu_indices(len(f))
+                total, cross = x.sum(axis=0), x.T @ x
+                yield pd.DataFrame({**dict(zip(keys, own[:-1], strict=True)), "i": f[i], "j": f[j], "n": len(x), "si": total[i], "sj": total[j], "sij": cross[i, j]})
+
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "i long, j long, n long, si double, sj double, sij double"])
+    sums = rows.mapInPandas(products, schema).groupBy(*keys, "i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
+    return sums.select(*keys, "i", "j", F.try_divide(F.col("sij") - F.col("si") * F.col("sj") / F.col("n"), F.col("n") - 1).alias("value"))
 
 
 def choose_location(rows: DataFrame, sham: DataFrame | None = None, level: float = 0.05) -> DataFrame:
@@ -195,8 +211,11 @@ def choose_location(rows: DataFrame, sham: DataFrame | None = None, level: float
 def effect_design(items: DataFrame, least_list: int = 4) -> DataFrame:
     """The design table of stimulation effects: session index, positions and lists from 0, lists as a share of those there,
     one column for each position, and which rows each comparison takes."""
-    key = Window.orderBy("subject", "experiment", "session")
-    sessions = items.select("subject", "experiment", "session").distinct().withColumn("session_idx", F.row_number().over(key) - 1)
+    # numbered in two steps, so that no task has the sessions of all subjects
+    names = items.select("subject", "experiment", "session").distinct()
+    ahead = names.groupBy("subject").agg(F.count("*").alias("_k")).withColumn("_k", F.sum("_k").over(Window.orderBy("subject").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = Window.partitionBy("subject").orderBy("experiment", "session")
+    sessions = names.withColumn("_i", F.row_number().over(inside) - 1).join(ahead, "subject").withColumn("session_idx", (F.col("_i") + F.coalesce("_k", F.lit(0))).cast("int")).drop("_i", "_k")
     low_pos = items.agg(F.min("serialpos").alias("_p"), F.max("serialpos").alias("_q"))
     later = items.where(F.col("list") >= least_list)
     lists = later.agg(F.min("list").alias("_l"), F.countDistinct("list").alias("_n"))

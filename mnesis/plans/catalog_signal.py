@@ -101,14 +101,37 @@ def normalized_powers(spark, d):
     return features.normalized_powers(epochs(spark, d), [6.0, 12.0, 24.0, 48.0], ["session"], buffer=0.25)
 
 
-@query()
+#: Samples of ``epochs`` with their place.
+SAMPLES = """samples AS (SELECT vec_id, vec_id // 8 AS event_id, CAST(vec_id % 8 AS INTEGER) AS pair_idx, (vec_id // 8) % 5 AS session, j, x, avg(x) OVER (PARTITION BY vec_id) AS m
+  FROM (SELECT vec_id, unnest(range(64)) AS j, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings))"""
+
+
+def tapers_sql() -> str:
+    """The tapers of multitaper_psd as rows (taper, j, w)."""
+    rows = [f"SELECT {n} AS taper, unnest(range(64)) AS j, unnest({[float(v) for v in taper]}) AS w" for n, taper in enumerate(features.slepian(64, 2.0, 3))]
+    return "tapers AS (" + " UNION ALL ".join(rows) + ")"
+
+
+@query(
+    """, z AS (SELECT event_id, pair_idx, taper, k, sum(x * w * cos(2 * pi() * k * j / 64)) AS re, sum(x * w * sin(2 * pi() * k * j / 64)) AS im FROM samples JOIN tapers USING (j) JOIN (SELECT unnest([3, 4]) AS k) ON true GROUP BY ALL),
+    s AS (SELECT event_id, pair_idx, k, avg(re * re + im * im) AS p FROM z GROUP BY ALL) SELECT event_id, pair_idx, round(avg(log10(p / 128 + 1e-12)), 6) AS power FROM s GROUP BY ALL""",
+    SAMPLES,
+    tapers_sql(),
+)
 def psd_multitaper(spark, d):
-    return features.multitaper_psd(epochs(spark, d), ["event_id", "pair_idx"])
+    return rounded(features.multitaper_psd(epochs(spark, d), ["event_id", "pair_idx"]), "power", digits=6)
 
 
-@query()
+@query(
+    """, z AS (SELECT session, event_id, pair_idx, k, sum((x - m) * h * cos(2 * pi() * k * j / 64)) AS re, -sum((x - m) * h * sin(2 * pi() * k * j / 64)) AS im
+      FROM (SELECT *, 0.5 - 0.5 * cos(2 * pi() * j / 63) AS h FROM samples) JOIN (SELECT unnest(range(2, 7)) AS k) ON true GROUP BY ALL),
+    a AS (SELECT session, pair_idx, k, sum(re * re + im * im) AS p FROM z GROUP BY ALL),
+    c AS (SELECT x.session, x.k, x.pair_idx AS i, y.pair_idx AS j, sum(x.re * y.re + x.im * y.im) AS u, sum(x.im * y.re - x.re * y.im) AS v FROM z x JOIN z y ON x.session = y.session AND x.event_id = y.event_id AND x.k = y.k AND x.pair_idx < y.pair_idx GROUP BY ALL)
+    SELECT c.session, c.i, c.j, round(avg(sqrt(u * u + v * v) / sqrt(ai.p * aj.p)), 6) AS coherence FROM c JOIN a ai ON ai.session = c.session AND ai.k = c.k AND ai.pair_idx = c.i JOIN a aj ON aj.session = c.session AND aj.k = c.k AND aj.pair_idx = c.j GROUP BY ALL""",
+    SAMPLES,
+)
 def coherence(spark, d):
-    return features.coherence(epochs(spark, d), ["session"])
+    return rounded(features.coherence(epochs(spark, d), ["session"]), "coherence", digits=6)
 
 
 @query(
@@ -124,15 +147,58 @@ def epoch_cutting(spark, d):
     return cut.select("event_id", F.aggregate("samples", F.lit(0.0), lambda s, x: s + x).alias("value"))
 
 
-@query()
-def theta_modulation(spark, d):
+def theta_design(spark, d):
     p = a.powers(spark, d)
     psd = p.withColumn("pair_idx", F.col("pair_idx") * 4 + (F.col("freq_idx") % 4)).groupBy("session", "pair_idx", "event_id").agg(F.min("power").alias("pre"), F.max("power").alias("post"))
     change = tmi.channel_change(psd, ["session"]).withColumn("stim_idx", F.lit(0))
     channels = p.select((F.col("pair_idx") * 4 + (F.col("freq_idx") % 4)).alias("pair_idx")).distinct()
     value = lambda c: channels.select(F.lit(0).alias("stim_idx"), "pair_idx", c.alias("value"))
-    rows = tmi.design(change, value((F.col("pair_idx") * 7 % 31 + 1) / 33), value(F.exp(-F.col("pair_idx") / 20)), ["session"])
-    return tmi.regress(rows, ["session"])
+    return tmi.design(change, value((F.col("pair_idx") * 7 % 31 + 1) / 33), value(F.exp(-F.col("pair_idx") / 20)), ["session"])
+
+
+@query()
+def theta_modulation(spark, d):
+    return tmi.regress(theta_design(spark, d), ["session"])
+
+
+@query(
+    """, p AS (SELECT session, pair_idx * 4 + freq_idx % 4 AS pair_idx, event_id, max(power) - min(power) AS change FROM powers GROUP BY ALL),
+    t AS (SELECT session, pair_idx, avg(change) / (stddev_samp(change) / sqrt(count(*))) AS t FROM p WHERE pair_idx <> 0 GROUP BY ALL),
+    x AS (SELECT *, exp(-pair_idx / 20.0) AS e, ln((pair_idx * 7 % 31 + 1) / 33.0 / (1 - (pair_idx * 7 % 31 + 1) / 33.0)) AS c FROM t),
+    m AS (SELECT session, count(*) AS n, var_pop(e) AS ee, var_pop(c) AS cc, covar_pop(e, c) AS ec, covar_pop(e, t) AS et, covar_pop(c, t) AS ct FROM x GROUP BY 1)
+    SELECT session, n, round((et * cc - ct * ec) / (ee * cc - ec * ec), 6) AS b_distance, round((ct * ee - et * ec) / (ee * cc - ec * ec), 6) AS b_connectivity FROM m""",
+    a.POWERS,
+)
+def theta_coefficients(spark, d):
+    """The coefficients that shuffles are compared with; a single shuffle makes no difference to them."""
+    return rounded(tmi.regress(theta_design(spark, d), ["session"], permutations=1).select("session", "n", "b_distance", "b_connectivity"), "b_distance", "b_connectivity", digits=6)
+
+
+@query(
+    """, e AS (SELECT session, event_id, pair_idx, avg(x) FILTER (WHERE j BETWEEN 24 AND 31) AS a, avg(x) FILTER (WHERE j BETWEEN 32 AND 39) AS b FROM samples GROUP BY ALL),
+    t AS (SELECT session, pair_idx, avg(b - a) / (stddev_samp(b - a) / sqrt(count(*))) AS t_stat FROM e GROUP BY ALL),
+    l AS (SELECT session, pair_idx, 0 AS g, a AS x FROM e UNION ALL SELECT session, pair_idx, 1, b FROM e), z AS (SELECT session, pair_idx, g, abs(x - median(x) OVER (PARTITION BY session, pair_idx, g)) AS z FROM l),
+    g AS (SELECT session, pair_idx, g, count(*) AS n, avg(z) AS m, var_pop(z) AS v FROM z GROUP BY ALL),
+    w AS (SELECT session, pair_idx, (sum(n) - 2) * (sum(n * m * m) - sum(n * m) * sum(n * m) / sum(n)) / sum(n * v) AS w FROM g GROUP BY ALL)
+    SELECT session, pair_idx, round(t_stat, 6) AS t_stat, round(w, 6) AS w FROM t JOIN w USING (session, pair_idx)""",
+    SAMPLES,
+)
+def channel_statistics(spark, d):
+    """t and Levene's statistic, from which channel_exclusion takes its p."""
+    mean = lambda lo, n: F.aggregate(F.slice("samples", lo, n), F.lit(0.0), lambda s, x: s + x) / n
+    ends = epochs(spark, d).select("session", "pair_idx", mean(25, 8).alias("before"), mean(33, 8).alias("after"))
+    keys = ["session", "pair_idx"]
+    return rounded(stats.paired_t(ends, keys, "before", "after").select(*keys, "t_stat").join(stats.levene(ends, keys, "before", "after").select(*keys, "w"), keys), "t_stat", "w", digits=6)
+
+
+@query(
+    """, p AS (SELECT montage, pair_idx, x * 7 % 50 / 50 AS p, row_number() OVER (PARTITION BY montage ORDER BY x * 7 % 50 / 50, pair_idx) AS r, count(*) OVER (PARTITION BY montage) AS m FROM pairs)
+    SELECT montage, pair_idx, p, round(least(1, min(p * m / r) OVER (PARTITION BY montage ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)), 9) AS adjusted FROM p""",
+    a.PAIRS,
+)
+def adjusted_p(spark, d):
+    rows = a.pairs(spark, d).select("montage", "pair_idx", (F.col("x") * 7 % 50 / 50).alias("p"))
+    return rounded(stats.benjamini_hochberg(rows, "p", ("montage",)), "adjusted")
 
 
 def recall_log(spark, d):
