@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mnesis.operators import sequence
+from mnesis.operators import masks, sequence
+from mnesis.schemas import FRParameters
 
 EPSILON = 1e-12
 
@@ -54,16 +55,20 @@ def by_length(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
                 yield own, np.stack(own["samples"].to_numpy()).astype(np.float64)
 
 
-def powers(epochs: DataFrame, keys: list[str], frequencies: list[float], width: float = 5.0, buffer: float = 0.5, log: bool = True) -> DataFrame:
-    """(keys, freq_idx, power) of epochs with samples and samplerate."""
+def powers(epochs: DataFrame, keys: list[str], frequencies: list[float], width: float = 5.0, buffer: float = 0.5, log: bool = True, recorded: bool = False) -> DataFrame:
+    """(keys, freq_idx, power) of epochs with samples and samplerate. recorded: the epochs have the buffer on both sides, so
+    that none is mirrored."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for own, x in by_length(frame):
                 rate = float(own["samplerate"].iloc[0])
-                pad = min(int(buffer * rate), x.shape[1] - 1)
-                p = morlet_power(band_stop(mirrored(x, pad), rate), rate, frequencies, width)
-                p = p[:, :, pad : pad + x.shape[1]]
+                if recorded:
+                    pad = min(int(buffer * rate), (x.shape[1] - 1) // 2)
+                    p = morlet_power(band_stop(x, rate), rate, frequencies, width)[:, :, pad : x.shape[1] - pad]
+                else:
+                    pad = min(int(buffer * rate), x.shape[1] - 1)
+                    p = morlet_power(band_stop(mirrored(x, pad), rate), rate, frequencies, width)[:, :, pad : pad + x.shape[1]]
                 p = (np.log10(p + EPSILON) if log else p).mean(axis=2)
                 out = own[keys].loc[own.index.repeat(len(frequencies))].reset_index(drop=True)
                 out["freq_idx"], out["power"] = np.tile(np.arange(len(frequencies), dtype=np.int32), len(own)), p.reshape(-1)
@@ -81,6 +86,24 @@ def normalized_powers(epochs: DataFrame, frequencies: list[float], session_keys:
     return p.withColumn("power", sequence.zscore(p, group, "power"))
 
 
+def partition_powers(events: DataFrame, chunks: DataFrame, p: FRParameters, session_keys: list[str]) -> DataFrame:
+    """(session_keys, partition, event_id, pair_idx, freq_idx, power) with each partition's own window and buffer; in sample
+    deviations within session, partition, pair and frequency if p says so. events: with event_id, eegfile and eegoffset."""
+    out = None
+    classes = masks.partitions(events)
+    for name, (start, end, buffer) in p.windows.items():
+        own = events.where(classes[name])
+        # the buffer is recorded signal on both sides, which is cut off after the transform
+        wide = cut_epochs(own, chunks, round(1000 * (start - buffer)), round(1000 * (end + buffer)))
+        rows = own.select(*session_keys, "event_id").join(wide, "event_id")
+        keys = [*dict.fromkeys([*session_keys, "event_id", "pair_idx"])]
+        got = powers(rows, keys, p.frequencies, p.width, buffer, p.log_powers, recorded=True).withColumn("partition", F.lit(name))
+        out = got if out is None else out.unionByName(got)
+    if not p.normalize_powers:
+        return out
+    return out.withColumn("power", sequence.zscore(out, [*session_keys, "partition", "pair_idx", "freq_idx"], "power"))
+
+
 def slepian(n: int, half_bandwidth: float, count: int) -> np.ndarray:
     """The first discrete prolate sequences of length n: eigenvectors of the tridiagonal matrix that commutes with the
     concentration problem."""

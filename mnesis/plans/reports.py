@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mnesis.operators import behavior, masks, model, sequence, stats
-from mnesis.schemas import FRParameters
+from mnesis.schemas import FRParameters, PS5Parameters
 from mnesis.sources import store
 
 SESSION = ["subject", "experiment", "session"]
@@ -113,7 +113,7 @@ def ps4(rows: DataFrame, sham: DataFrame | None = None) -> dict[str, DataFrame]:
     return {"decision": stats.choose_location(rows, sham), "locations": behavior.location_summary(rows, keys, "list_phase", "amplitude", "delta_classifier", "post_stim_output")}
 
 
-def ps5(events: DataFrame, items: DataFrame, powers: DataFrame, pair_idx: int, p: FRParameters = FRParameters()) -> dict[str, DataFrame]:
+def ps5(events: DataFrame, items: DataFrame, powers: DataFrame, pair_idx: int, p: FRParameters = PS5Parameters()) -> dict[str, DataFrame]:
     """Power at the trigger pair and frequency, its running threshold, and stimulation; all lists from 0 count."""
     at = next(k for k, f in enumerate(p.frequencies) if int(f) == p.trigger_frequency)
     trigger = powers.where((F.col("pair_idx") == pair_idx) & (F.col("freq_idx") == at))

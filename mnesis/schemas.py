@@ -35,9 +35,10 @@ PAIR = T.StructType([
 SEQUENCE = ["subject", "session", "list", "eegoffset"]
 
 
+#: The defaults of the classes of parameters below.
 @dataclass(frozen=True)
 class FRParameters:
-    """Defaults of free-recall analyses; times in seconds."""
+    """Defaults of free-recall analyses; times in seconds, those of baseline periods in milliseconds."""
 
     encoding_start: float = 0.0
     encoding_end: float = 1.366
@@ -59,14 +60,9 @@ class FRParameters:
     penalty: float = 7.2e-4
     n_permutations: int = 200
     encoding_multiplier: float = 4.375
-    encoding_only: bool = False
-    combine_events: bool = True
-    baseline_removal_start: int = 1000
-    retrieval_time: int = 29000
     empty_epoch: int = 500
     pre_event: int = 2000
     post_event: int = 1000
-    inter_response: int = 1000
     items_in_list: int = 12
 
     @property
@@ -74,6 +70,20 @@ class FRParameters:
         ratio = self.highest / self.lowest
         return [self.lowest * ratio ** (k / (self.n_frequencies - 1)) for k in range(self.n_frequencies)]
 
+    @property
+    def baseline(self) -> dict[str, int]:
+        """The settings of baseline insertion."""
+        return {"duration": self.empty_epoch, "pre": self.pre_event, "post": self.post_event}
+
+    @property
+    def windows(self) -> dict[str, tuple[float, float, float]]:
+        """Start, end and buffer of the epochs of each partition of events."""
+        return {
+            "fr_encoding": (self.encoding_start, self.encoding_end, self.encoding_buffer),
+            "fr_retrieval": (self.retrieval_start, self.retrieval_end, self.retrieval_buffer),
+            "post_stim": (self.post_stim_start, self.post_stim_end, self.post_stim_buffer),
+        }
+
 
 @dataclass(frozen=True)
 class PALParameters(FRParameters):
@@ -86,6 +96,13 @@ class PALParameters(FRParameters):
     encoding_multiplier: float = 7.2
     pal_multiplier: float = 1.93
 
+    @property
+    def windows(self) -> dict[str, tuple[float, float, float]]:
+        return super().windows | {
+            "pal_encoding": (self.pal_start, self.pal_end, self.pal_buffer),
+            "pal_retrieval": (self.pal_retrieval_start, self.pal_retrieval_end, self.pal_retrieval_buffer),
+        }
+
 
 @dataclass(frozen=True)
 class PS5Parameters(FRParameters):

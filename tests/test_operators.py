@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from mnesis.functions import tails, text
 from mnesis.operators import behavior, clean, features, masks, model, montage, retrieval, sequence, stats, tmi
 from mnesis.plans import reports
-from mnesis.schemas import EVENTS, FRParameters, required_columns
+from mnesis.schemas import EVENTS, FRParameters, PALParameters, required_columns
 from mnesis.sources import readers, store
 
 
@@ -437,3 +437,25 @@ def test_features_of_a_stored_model(spark):
     cut = model.with_stored_features(df, models, used)
     assert cut.first().features == [1.0, 2.0, 5.0, 6.0]
     assert abs(model.post_hoc(cut, models).first().probability - 1 / (1 + 2.718281828459045 ** -7.5)) < 1e-9
+
+
+def test_each_partition_has_its_own_window(spark):
+    rate, n = 500.0, 20_000
+    wave = [math.sin(2 * math.pi * 30 * k / rate) * (1.0 if k < n // 2 else 3.0) for k in range(n)]
+    chunks = spark.createDataFrame([("f", 0, rate, c, wave[1000 * c : 1000 * (c + 1)]) for c in range(n // 1000)], "eegfile string, pair_idx int, samplerate double, chunk_id long, samples array<double>")
+    rows = [(0, "WORD", 3000), (1, "REC_EVENT", 15_000), (2, "STIM_OFF", 3000)]
+    events = spark.createDataFrame([(i, 0, t, "FR1", 1, True, "f", at) for i, t, at in rows], "event_id long, session long, type string, experiment string, list long, matched boolean, eegfile string, eegoffset long")
+    p = FRParameters(normalize_powers=False, lowest=30.0, highest=60.0, n_frequencies=2)
+    got = {(r.partition, r.event_id): r.power for r in features.partition_powers(events, chunks, p, ["session"]).where("freq_idx = 0").collect()}
+    assert set(got) == {("fr_encoding", 0), ("fr_retrieval", 1), ("post_stim", 2)}
+    assert abs(got["fr_retrieval", 1] - got["fr_encoding", 0] - math.log10(9)) < 0.02 and abs(got["post_stim", 2] - got["fr_encoding", 0]) < 0.02
+    assert set(PALParameters().windows) == set(masks.partitions(events))
+    assert FRParameters().baseline == {"duration": 500, "pre": 2000, "post": 1000}
+
+
+def test_reports_by_experiment():
+    assert reports.builder("catFR1") is reports.record_only and reports.builder("PS5_catFR") is reports.ps5 and reports.builder("RepFR1") is reports.repeated_words
+    with pytest.raises(ValueError):
+        reports.builder("none")
+    with pytest.raises(ValueError):
+        reports.build("FR2", {})
