@@ -331,7 +331,8 @@ def all_left(d: DataFrame, counts: DataFrame, least: float, popular: int, last:
     # a group that hardly shrinks is seen next time from those members that have its most frequent shingle outside the core, too
     left = looks.where("waits").select("g", "b", "focus", "inside")
     kept = left.groupBy("g").agg(F.count("*").alias("kept")).join(d.groupBy("g").agg(F.count("*").alias("of")), "g").where("4 * kept > 3 * of")
-    often = shared.join(kept, "g").join(left.where("inside").select("g", "b"), ["g", "b"]).groupBy("g", "u").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("u", F.struct("k", "u")).alias("next"))
+    slow = left.where("inside").join(kept, "g").select("g", "b")
+    often = shared.join(slow, ["g", "b"]).groupBy("g", "u").agg(F.count("*").alias("k")).groupBy("g").agg(F.max_by("u", F.struct("k", "u")).alias("next"))
     ahead = F.when(F.col("next").isNotNull(), F.concat("focus", F.array("next"))).otherwise(F.array().cast("array<long>"))
     return as_pairs(found.union(missing)), left.join(often, "g", "left").select("g", "b", ahead.alias("focus"))
 
