@@ -150,10 +150,11 @@ def test_math_totals_and_percent(spark):
     assert (got[1].percent_correct, got[2].num_problems, got[None].num_problems, got[None].num_correct) == (50.0, 1, 3, 2)
 
 
-def test_nearest_region_is_exact(spark):
+@pytest.mark.parametrize("small", [0, 5000])
+def test_nearest_region_is_exact(spark, small):
     r = np.random.default_rng(0)
     e, v = r.uniform(-80, 80, (60, 3)).round(2), np.vstack((r.uniform(-80, 80, (30, 3)).round(2), [[500.0, 0, 0]]))
-    near = montage.nearest_region(spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(e)], "i long, x double, y double, z double"), spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(v)], "region long, x double, y double, z double"), "i", cell=4.0)
+    near = montage.nearest_region(spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(e)], "i long, x double, y double, z double"), spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(v)], "region long, x double, y double, z double"), "i", cell=4.0, small=small)
     assert {x.i: x.region for x in near.collect()} == {i: int(np.argmin(((v - x) ** 2).sum(axis=1))) for i, x in enumerate(e)}
 
 
