@@ -266,9 +266,9 @@ def stim_outputs(items: DataFrame, post: bool = False, phases: list[str] | None
     return items.where(F.col("post_stim_output").isNotNull()).select("post_stim_output") if post else items.where("is_stim_item").select("classifier_output")
 
 
-def tstats_by_condition(channels: DataFrame, level: float = 0.001) -> DataFrame:
+def tstats_by_condition(channels: DataFrame, level: float = 0.001, keys: tuple[str, ...] = ()) -> DataFrame:
     """Arrays of t over channels with p below the level and of the others."""
-    return channels.agg(F.array_sort(F.collect_list(F.when(F.col("p") < level, F.col("t_stat")))).alias("significant"), F.array_sort(F.collect_list(F.when(F.col("p") >= level, F.col("t_stat")))).alias("others"))
+    return channels.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(F.col("p") < level, F.col("t_stat")))).alias("significant"), F.array_sort(F.collect_list(F.when(F.col("p") >= level, F.col("t_stat")))).alias("others"))
 
 
 def location_search_table(events: DataFrame, stim: DataFrame, pairs: DataFrame) -> DataFrame:
