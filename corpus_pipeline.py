@@ -18,24 +18,31 @@ from mnesis.llm import dartminhash, mixing, packing, quality, toxicity
 from mnesis.llm.common import settled
 
 TOXIC = 0.7
-#: A name that no column of documents has.
-SCORE = "__score__"
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """name, lengthened until no column of docs has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, keep=docs.columns, name=SCORE).where(F.col(SCORE) < TOXIC).select(*docs.columns)
+    model, score = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), free_name(docs, "score")
+    return toxicity.score(docs, model, keep=docs.columns, name=score).where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, keep=docs.columns, name=SCORE).where(F.col(SCORE) >= quality.CUT).select(*docs.columns)
+    model, score = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), free_name(docs, "score")
+    return quality.score(docs, model, keep=docs.columns, name=score).where(F.col(score) >= quality.CUT).select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text = free_name(docs, "text_hash")
     first = dartminhash.rows_with_classes(docs).where(F.col("doc_id") == F.col("class_id"))
-    first = first.groupBy("doc_id", F.coalesce("comp", "text_hash").alias("of")).agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash").distinct()
-    kept = docs.withColumn("text_hash", dartminhash.text_hash()).join(first, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select(*docs.columns)
+    first = first.groupBy("doc_id", F.coalesce("comp", "text_hash").alias("of")).agg(F.min("text_hash").alias(text)).select("doc_id", text).distinct()
+    kept = docs.withColumn(text, dartminhash.text_hash()).join(first, ["doc_id", text]).dropDuplicates(["doc_id", text]).select(*docs.columns)
     return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
