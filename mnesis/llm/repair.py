@@ -54,60 +54,67 @@ class Grammar:
 
 
 def every_other(places: np.ndarray) -> np.ndarray:
-    """The first, third, fifth, ... of each run of successive places."""
+    """True for the first, third, fifth, ... of each run of successive places."""
     begun = np.maximum.accumulate(np.where(np.append(True, np.diff(places) != 1)[: len(places)], places, 0))
-    return places[(places - begun) % 2 == 0]
+    return (places - begun) % 2 == 0
 
 
-def repeated_pairs(pair: np.ndarray, free: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    """The pairs that occur at two places at least which don't overlap, the most frequent last. free: where a pair stands.
-    slot: a number for each pair; those with a slot of their own aren't sorted."""
-    counted = free.copy()
-    counted[every_other(np.flatnonzero((pair[1:] == pair[:-1]) & free[1:] & free[:-1]) + 1)] = False  # of aaa, the second aa overlaps the first
-    ordered = np.sort(pair[counted & (np.bincount(slot[counted], minlength=1 << SLOTS) > 1)[slot]])
+def slot_of(pair: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def by_frequency(pairs: np.ndarray) -> np.ndarray:
+    """The pairs that occur twice or more, the most frequent last."""
+    ordered = np.sort(pairs)
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
     count = np.diff(np.append(starts, len(ordered)))
     often = np.flatnonzero(count >= 2)
     return ordered[starts[often[np.argsort(count[often], kind="stable")]]]
 
 
-def slot_of(pair: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
-
-
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.ndarray]:
-    """The grammar and the symbols of ids; last: true where a document ends. base: above all ids."""
-    symbols, last = ids.astype(np.uint64), last.copy()
+    """The grammar and the symbols of ids; last: true where a document ends. base: above all ids.
+
+    A round looks only at pairs that may occur twice. A pair that has been found once never occurs again: all pairs that a
+    round makes have a symbol of that round."""
+    symbols, last, alive = ids.astype(np.uint64), last.copy(), np.ones(len(ids), bool)
     left, right, bounds = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [0]
     rng = np.random.default_rng(0)
-    while len(symbols) > 1:
-        pair, free = (symbols[:-1] << np.uint64(32)) | symbols[1:], ~last[:-1]
-        slot = slot_of(pair)
-        chosen = repeated_pairs(pair, free, slot)[-PER_ROUND:]
+    while True:
+        at = np.flatnonzero(alive[:-1] & ~last[:-1])
+        pair = (symbols[at] << np.uint64(32)) | symbols[at + 1]
+        slot, counted = slot_of(pair), np.ones(len(at), bool)
+        inside = np.flatnonzero((pair[1:] == pair[:-1]) & (at[1:] == at[:-1] + 1)) + 1
+        counted[inside[every_other(inside)]] = False  # of aaa, the second aa overlaps the first
+        twice = (np.bincount(slot[counted], minlength=1 << SLOTS) > 1)[slot]
+        alive[at] = twice
+        chosen = by_frequency(pair[counted & twice])[-PER_ROUND:]
         if not len(chosen):
             break
         while True:
             table = np.full(1 << SLOTS, ~np.uint64(0))
             table[slot_of(chosen)] = chosen  # of two pairs in a slot the more frequent stays, the other waits for the next round
-            use = every_other(np.flatnonzero((table[slot] == pair) & free))
+            use = np.flatnonzero(table[slot] == pair)
+            use = use[every_other(at[use])]
             count = np.bincount(slot[use], minlength=1 << SLOTS)
-            twice = np.flatnonzero(count >= 2)
-            if len(twice):
+            made = np.flatnonzero(count >= 2)
+            if len(made):
                 break
             chosen = rng.permutation(chosen)[: -(-len(chosen) // 2)]  # all were in each other's way; one alone never is
-        twice = twice[np.argsort(table[twice])]
+        made = made[np.argsort(table[made])]
         number = np.zeros(1 << SLOTS, np.uint64)
-        number[twice] = np.arange(len(twice), dtype=np.uint64) + np.uint64(base + bounds[-1])
+        number[made] = np.arange(len(made), dtype=np.uint64) + np.uint64(base + bounds[-1])
         use = use[count[slot[use]] >= 2]
-        symbols[use] = number[slot[use]]
-        last[use] = last[use + 1]
+        place = at[use]
+        symbols[place], last[place] = number[slot[use]], last[place + 1]
+        alive[place] = alive[np.maximum(place - 1, 0)] = True
         keep = np.ones(len(symbols), bool)
-        keep[use + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        left.append(table[twice] >> np.uint64(32))
-        right.append(table[twice] & np.uint64(0xFFFFFFFF))
-        bounds.append(bounds[-1] + len(twice))
+        keep[place + 1] = False
+        symbols, last, alive = symbols[keep], last[keep], alive[keep]
+        left.append(table[made] >> np.uint64(32))
+        right.append(table[made] & np.uint64(0xFFFFFFFF))
+        bounds.append(bounds[-1] + len(made))
     lengths = np.ones(base + bounds[-1], np.int64)
     for k in range(1, len(bounds)):
         lengths[base + bounds[k - 1] : base + bounds[k]] = lengths[left[k].astype(np.int64)] + lengths[right[k].astype(np.int64)]
