@@ -232,7 +232,13 @@ def free_recall_time(spark, d):
     return sequence.vocalization_free(recall_log(spark, d), LIST_KEYS, 45_000, 2000, 2000)
 
 
-@query()
+@query(
+    """, p AS (SELECT *, CASE WHEN recalled = 1 THEN serialpos * 50 ELSE -999 END AS rt FROM session_log WHERE type = 'REC_WORD'),
+    r AS (SELECT subject, session, list_sort(list(rt) FILTER (WHERE recalled = 1 AND rt <> -999)) AS rts FROM p GROUP BY 1, 2),
+    q AS (SELECT p.*, CASE WHEN rt <> -999 THEN rt ELSE coalesce(rts[CAST('0x' || substr(md5(subject || '|' || session || '|' || mstime || '|' || seq || '|0'), 1, 8) AS BIGINT) % greatest(coalesce(len(rts), 0), 1) + 1], -999) END AS drawn FROM p JOIN r USING (subject, session))
+    SELECT subject, session, seq, mstime, seq + drawn AS eegoffset, recalled AS correct, drawn AS "RT", 'REC_EVENT' AS type FROM q""",
+    a.SESSION_LOG,
+)
 def surrogate_rt(spark, d):
     log = a.session_log(spark, d).where(masks.kind("REC_WORD"))
     rows = log.select("subject", "session", "seq", "mstime", F.col("seq").alias("eegoffset"), F.col("recalled").alias("correct"), F.when(F.col("recalled") == 1, F.col("serialpos") * 50).otherwise(-999).alias("RT"), "type")
