@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task handles at a time, whatever the size of the batches that Spark sends.
 SLICE_BYTES = 4 << 20
+#: How bulky tables of bytes are written that are read once or twice: small, in long pages.
+ZSTD = {"parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(8 << 20), "parquet.enable.dictionary": "false"}
 
 
 @lru_cache(maxsize=1)
@@ -36,7 +38,7 @@ def settled(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     work that was done before. The results that are made of it read it when they run, so it stays; the folder is for
     scratch data and is cleared as a whole."""
     path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **(ZSTD if compression == "zstd" else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
