@@ -93,12 +93,14 @@ def epochs(spark, d):
 
 @query()
 def morlet_powers(spark, d):
-    return features.powers(epochs(spark, d), ["event_id", "pair_idx"], [6.0, 12.0, 24.0, 48.0], buffer=0.25)
+    fast = epochs(spark, d).withColumn("samplerate", F.lit(512.0))
+    return features.powers(fast, ["event_id", "pair_idx"], FRParameters().frequencies, buffer=0.0625)
 
 
 @query()
 def normalized_powers(spark, d):
-    return features.normalized_powers(epochs(spark, d), [6.0, 12.0, 24.0, 48.0], ["session"], buffer=0.25)
+    fast = epochs(spark, d).withColumn("samplerate", F.lit(512.0))
+    return features.normalized_powers(fast, FRParameters().frequencies, ["session"], buffer=0.0625)
 
 
 #: Samples of ``epochs`` with their place.
