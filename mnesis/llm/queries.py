@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import dartminhash, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
+from mnesis.llm import coalescence, dartminhash, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
 from mnesis.llm.common import crc32_of
 
 
@@ -80,6 +80,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_coalescence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, lost = coalescence.damaged(table(spark, sf_dir, "conversations"))
+    edits = coalescence.repaired(rows, lost=lost)
+    return coalescence.digests(edits).select(F.col("conv").alias("conv_id"), *coalescence.COUNTS[:-1], "audit", "repaired_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -91,10 +97,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_dartminhash": op9_dartminhash,
     "op10_packing": op10_packing,
+    "op11_coalescence": op11_coalescence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_multi_index": multi_index.SQL,
     "op5_warc": OP5_SQL,
     "op8_mixing": mixing.SQL,
+    "op11_coalescence": coalescence.SQL,
 }
