@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import coalescence, dartminhash, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
+from mnesis.llm import coalescence, dartminhash, divergence, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
 from mnesis.llm.common import crc32_of
 
 
@@ -86,6 +86,10 @@ def op11_coalescence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coalescence.digests(edits).select(F.col("conv").alias("conv_id"), *coalescence.COUNTS[:-1], "audit", "repaired_sha256")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_dartminhash": op9_dartminhash,
     "op10_packing": op10_packing,
     "op11_coalescence": op11_coalescence,
+    "op12_divergence": op12_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -105,4 +110,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_warc": OP5_SQL,
     "op8_mixing": mixing.SQL,
     "op11_coalescence": coalescence.SQL,
+    "op12_divergence": divergence.SQL,
 }
