@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnesis.llm import coalescence, dartminhash, divergence, mixing, multi_index, packing, quality, repair, telephony, tokencount, toxicity, warc
+from mnesis.llm import coalescence, dartminhash, divergence, mixing, multi_index, packing, private, quality, repair, telephony, tokencount, toxicity, warc
 from mnesis.llm.common import crc32_of
 
 
@@ -90,6 +90,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = private.fit(private.examples(spark))
+    return private.digest(private.find(table(spark, sf_dir, "documents"), field, ["doc_id"]), ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_coalescence": op11_coalescence,
     "op12_divergence": op12_divergence,
+    "op13_private": op13_private,
 }
 
 ORACLE_SQL: dict[str, str] = {
