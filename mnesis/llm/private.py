@@ -462,13 +462,12 @@ def find(docs: DataFrame, field: Field, keep: list[str], name: str = "spans") ->
     """The columns of keep, and every text's spans as an array under ``name``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "0"):
-            spans = spans_in(part.column("0"), field)
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], spans], [*part.schema.names[1:], name])
+        for part in slices(batches):
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], spans_in(part.column("text"), field)], [*keep, name])
 
-    kept = docs.select(text_or_empty("text").alias("0"), *[F.col(f"`{c}`") for c in keep])
-    kinds = ", ".join(f"`{c}` {kind}" for c, kind in kept.dtypes[1:])
-    return kept.mapInArrow(run, ", ".join(filter(None, [kinds, f"`{name}` {SPANS}"])))
+    kept = docs.select(text_or_empty("text").alias("text"), *[F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)])
+    kinds = [f"`{c}` {kind}" for c, (_, kind) in zip(keep, kept.dtypes[1:], strict=True)]
+    return kept.mapInArrow(run, ", ".join([*kinds, f"`{name}` {SPANS}"]))
 
 
 def listed(spans: Column) -> Column:
