@@ -34,7 +34,7 @@ SLICE = 8 << 20
 #: Parts of up to LEAF pointers are sorted at once, and all parts of up to FEW together.
 LEAF, FEW = 32768, 256
 #: Terms of a block of the pair sums, about, and entries of one of its matrices.
-BLOCK, ENTRIES = 512, 1 << 20
+BLOCK, ENTRIES = 128, 1 << 20
 UNIT, PRIOR = 1_000_000_000, 5
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -195,12 +195,11 @@ def audit(docs: DataFrame, least: int = 30, ranks: int = 50) -> DataFrame:
     groups = counts.where(F.col("term") == "").select("lang", "source").join(sizes.drop("v"), ["lang", "source"], "left").join(of_lang, "lang", "left").na.fill(0)
     groups = groups.select("lang", "source", (F.col("n") + PRIOR * F.col("v")).alias("whole"), (F.col("lang_n") + PRIOR * F.col("v")).alias("lang_whole"), "v")
     groups = settled(groups.withColumn("p0", F.when(F.col("v") > 0, share("0", "nullif(whole, 0)")).otherwise(F.lit(0))).repartition(1), "divergence-groups")
-    shares = kept.join(groups, ["lang", "source"]).select("lang", "source", "term", share("n", "whole").alias("p"), share("lang_n", "lang_whole").alias("q"))
+    shares = kept.join(groups, ["lang", "source"]).select("lang", "source", "term", "v", share("n", "whole").alias("p"), share("lang_n", "lang_whole").alias("q"))
 
-    blocks = 1 + (groups.select("lang", "v").distinct().agg(F.sum("v")).first()[0] or 0) // BLOCK
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks))
-    mine = shares.select("lang", block.alias("block"), "term", "source", "p").groupBy("lang", "block")
-    all_sources = groups.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "source", "p0").groupBy("lang", "block")
+    last = F.floor(F.col("v") / BLOCK).cast("long")  # the number of a language's last block
+    mine = shares.select("lang", F.pmod(F.xxhash64("term"), last + 1).alias("block"), "term", "source", "p").groupBy("lang", "block")
+    all_sources = groups.select("lang", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"), "source", "p0").groupBy("lang", "block")
     sums = mine.cogroup(all_sources).applyInArrow(pair_sums, "lang string, a string, b string, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"))))
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
