@@ -15,6 +15,15 @@ STIM_PARAMETERS = ["stimAnodeTag", "stimCathodeTag", "location", "amplitude", "s
 REPEAT_POSITIONS = (3, 23)
 
 
+#: What tells recordings apart. Operators on recordings use those of these columns that all their tables have, unless told.
+RECORDING = ("subject", "experiment", "session")
+
+
+def shared_keys(*tables: DataFrame, among: tuple[str, ...] = RECORDING) -> list[str]:
+    """The columns of ``among`` that all tables have."""
+    return [c for c in among if all(c in t.columns for t in tables)]
+
+
 def count_if(mask: Column) -> Column:
     return F.count(F.when(mask, 1))
 
@@ -89,12 +98,13 @@ def repeated_words(df: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys, "repeats").agg(F.count("*").alias("num_words"), count_if(masks.recalled()).alias("num_correct"))
 
 
-def binned_recall(items: DataFrame, column: str, group: str, bins: int, values: list | None = None) -> DataFrame:
-    """Mean recall by equal-width bin of a column (right-closed, numbered from 1) and by the values of a group, as columns."""
-    ends = items.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+def binned_recall(items: DataFrame, column: str, group: str, bins: int, values: list | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Mean recall by equal-width bin of a column (right-closed, numbered from 1) and by the values of a group, as columns;
+    with keys, each group of keys has bins of its own."""
+    ends = items.groupBy(*keys).agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
     place = F.greatest(F.lit(1), F.ceil((F.col(column) - F.col("_lo")) * bins / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0)))).cast("int")
-    rows = items.join(F.broadcast(ends), F.lit(True)).withColumn("bin", F.coalesce(place, F.lit(1)))
-    return rows.groupBy("bin").pivot(group, values).agg(F.avg("recalled"))
+    rows = (items.join(ends, list(keys)) if keys else items.join(F.broadcast(ends), F.lit(True))).withColumn("bin", F.coalesce(place, F.lit(1)))
+    return rows.groupBy(*keys, "bin").pivot(group, values).agg(F.avg("recalled"))
 
 
 def category_times(recalls: DataFrame, keys: list[str], order: list[str], category: str = "category_num") -> DataFrame:
@@ -141,26 +151,29 @@ def stim_params_by_list(items: DataFrame) -> DataFrame:
     return items.drop(*STIM_PARAMETERS).join(sets, keys, "left")
 
 
-def stim_parameters(items: DataFrame) -> DataFrame:
-    """Stimulations and trials of each parameter set and kind of list; sets with a missing part don't count."""
+def stim_parameters(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Stimulations and trials of each parameter set and kind of list; sets with a missing part don't count. With keys, for
+    each group of keys; without, over all items."""
     rows = stim_params_by_list(items).na.fill({"location": "--"}).na.drop(subset=[*STIM_PARAMETERS, "is_stim_list"])
-    return rows.groupBy(*STIM_PARAMETERS, "is_stim_list").agg(count_if(F.col("is_stim_item")).alias("n_stimulations"), F.count("subject").alias("n_trials"))
+    return rows.groupBy(*keys, *STIM_PARAMETERS, "is_stim_list").agg(count_if(F.col("is_stim_item")).alias("n_stimulations"), F.count("subject").alias("n_trials"))
 
 
-def recall_tests(items: DataFrame, least_list: int = 4) -> DataFrame:
+def recall_tests(items: DataFrame, least_list: int = 4, keys: tuple[str, ...] = ()) -> DataFrame:
     """Chi-square statistics of recall after stimulation against controls, for each parameter set: stim lists against other
-    lists, and stim items and post-stim items against items of low output without stimulation."""
+    lists, and stim items and post-stim items against items of low output without stimulation. With keys, each group of keys
+    is tested against its own controls; without, all items are pooled."""
     rows = stim_params_by_list(items).where(F.col("list") >= least_list)
     by = [c for c in STIM_PARAMETERS if c != "location"]
     low = ~F.col("is_stim_item") & (F.col("classifier_output") < F.col("thresh"))
     two = lambda name, mask: [F.coalesce(F.sum(F.when(mask, F.col("recalled"))), F.lit(0)).cast("long").alias(f"{name}_c"), F.count(F.when(mask, F.col("recalled"))).alias(f"{name}_n")]
-    controls = rows.agg(*two("list", ~F.col("is_stim_list")), *two("low", low))
-    sets = rows.na.drop(subset=by).groupBy(*by).agg(*two("stim_list", F.col("is_stim_list")), *two("stim_item", F.col("is_stim_item")), *two("post_item", F.col("is_post_stim_item")))
+    controls = rows.groupBy(*keys).agg(*two("list", ~F.col("is_stim_list")), *two("low", low))
+    sets = rows.na.drop(subset=by).groupBy(*keys, *by).agg(*two("stim_list", F.col("is_stim_list")), *two("stim_item", F.col("is_stim_item")), *two("post_item", F.col("is_post_stim_item")))
     tests = F.array(*[
         F.struct(F.lit(name).alias("comparison"), F.col(f"{own}_c").alias("stim_correct"), F.col(f"{own}_n").alias("stim_items"), F.col(f"{other}_c").alias("control_correct"), F.col(f"{other}_n").alias("control_items"))
         for name, own, other in (("stim lists", "stim_list", "list"), ("stim items", "stim_item", "low"), ("post-stim items", "post_item", "low"))
     ])
-    flat = sets.join(F.broadcast(controls), F.lit(True)).select(*by, F.explode(tests).alias("t")).select(*by, "t.*")
+    both = sets.join(controls, list(keys)) if keys else sets.join(F.broadcast(controls), F.lit(True))
+    flat = both.select(*keys, *by, F.explode(tests).alias("t")).select(*keys, *by, "t.*")
     tested = flat.withColumn("chi2", two_proportions(F.col("stim_correct"), F.col("stim_items"), F.col("control_correct"), F.col("control_items")))
     return tested.withColumn("p_value", tails.chi2_1_pvalue("chi2"))
 
@@ -207,8 +220,8 @@ def per_session(df: DataFrame, keys: list[str], summaries: dict) -> DataFrame:
     return df.groupBy(*keys).agg(*[column.alias(name) for name, column in summaries.items()])
 
 
-def stim_count_by_phase(df: DataFrame) -> DataFrame:
-    return df.where(masks.kind("STIM_ON")).groupBy("phase").agg(F.count("*").alias("n_stims"))
+def stim_count_by_phase(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return df.where(masks.kind("STIM_ON")).groupBy(*keys, "phase").agg(F.count("*").alias("n_stims"))
 
 
 def location_summary(df: DataFrame, keys: list[str], phase: str, amplitude: str, delta: str, post: str) -> DataFrame:
@@ -240,24 +253,28 @@ def subject_level(sessions: DataFrame, metric: str) -> DataFrame:
     return sessions.groupBy("subject", "experiment").agg(F.sort_array(F.collect_set("session")).alias("sessions"), F.count("*").alias("n_sessions"), F.avg(metric).alias("mean"))
 
 
-def stim_item_table(items: DataFrame, stim: DataFrame, locations: DataFrame, order: list[str]) -> DataFrame:
-    """Word rows with the parameters of their stimulation (the first in ``order`` for a session, list and item), its location
-    by anode and cathode, and null parameters where there was none. stim: (session, list, item_name, stimAnodeTag,
-    stimCathodeTag, amplitude, stim_duration, pulse_freq and order). locations: (label, location)."""
-    keys = ["session", "list", "item_name"]
+def stim_item_table(items: DataFrame, stim: DataFrame, locations: DataFrame, order: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Word rows with the parameters of their stimulation (the first in ``order`` for a recording, list and item), its location
+    by anode and cathode, and null parameters where there was none. stim: (recording, list, item_name, stimAnodeTag,
+    stimCathodeTag, amplitude, stim_duration, pulse_freq and order). locations: (label, location), and subject or montage
+    where labels repeat over them. keys: by default what both tables have of RECORDING, and list and item_name."""
+    keys = [*shared_keys(items, stim), "list", "item_name"] if keys is None else keys
     values = [c for c in STIM_PARAMETERS if c != "location"]
     first = stim.groupBy(*keys).agg(F.min_by(F.struct(*values), F.struct(*order)).alias("_p")).select(*keys, *[F.col(f"_p.{c}").alias(c) for c in values])
-    known = locations.select(F.col("label").alias("_label"), "location").dropDuplicates(["_label"])
+    own = shared_keys(items, locations, among=("subject", "montage"))
+    known = locations.groupBy(*own, F.col("label").alias("_label")).agg(F.min("location").alias("location"))
     rows = items.join(first, keys, "left").withColumn("_label", F.concat(F.col("stimAnodeTag"), F.lit("-"), F.col("stimCathodeTag")))
-    return rows.join(known, "_label", "left").drop("_label")
+    return rows.join(known, [*own, "_label"], "left").drop("_label")
 
 
 def with_outputs(items: DataFrame, outputs: DataFrame, thresholds: DataFrame | None = None, keys: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Items with their classifier output, and their session's threshold (0.5 where there is none)."""
+    """Items with their classifier output, and their recording's threshold (0.5 where there is none); recordings are told
+    apart by what both tables have of RECORDING."""
     rows = items.join(outputs.select(*keys, F.col("probability").alias("classifier_output")), list(keys), "left")
     if thresholds is None:
         return rows.withColumn("thresh", F.lit(0.5))
-    return rows.join(thresholds.select("session", F.col("threshold").alias("_t")), "session", "left").withColumn("thresh", F.coalesce("_t", F.lit(0.5))).drop("_t")
+    own = shared_keys(items, thresholds)
+    return rows.join(thresholds.select(*own, F.col("threshold").alias("_t")), own, "left").withColumn("thresh", F.coalesce("_t", F.lit(0.5))).drop("_t")
 
 
 def stim_outputs(items: DataFrame, post: bool = False, phases: list[str] | None = None) -> DataFrame:
@@ -272,11 +289,14 @@ def tstats_by_condition(channels: DataFrame, level: float = 0.001, keys: tuple[s
 
 
 def location_search_table(events: DataFrame, stim: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Distinct targets of a location search by session, with the pair of their contact numbers. stim: (event_id,
-    anode_number, cathode_number, amplitude)."""
+    """Distinct targets of a location search by recording, with the pair of their contact numbers. stim: (event_id,
+    anode_number, cathode_number, amplitude). Events' columns of RECORDING tell recordings apart; where pairs have subject or
+    montage as events do, contact numbers count within them."""
     rows = events.join(stim, "event_id")
-    known = pairs.select(F.col("channel_1").alias("anode_number"), F.col("channel_2").alias("cathode_number"), F.col("pair_idx").alias("stim_idx"), "label")
-    return rows.join(known, ["anode_number", "cathode_number"], "left").groupBy("session", "anode_number", "cathode_number", "stim_idx", "label").agg(F.count("*").alias("n_stims"), F.max("amplitude").alias("amplitude"))
+    own = shared_keys(events, pairs, among=("subject", "montage"))
+    known = pairs.select(*own, F.col("channel_1").alias("anode_number"), F.col("channel_2").alias("cathode_number"), F.col("pair_idx").alias("stim_idx"), "label")
+    by = [*dict.fromkeys([*shared_keys(events), *own])]
+    return rows.join(known, [*own, "anode_number", "cathode_number"], "left").groupBy(*by, "anode_number", "cathode_number", "stim_idx", "label").agg(F.count("*").alias("n_stims"), F.max("amplitude").alias("amplitude"))
 
 
 def classifier_regions(pairs: DataFrame) -> DataFrame:

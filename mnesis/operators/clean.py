@@ -44,10 +44,13 @@ def empty_stim_events(spark) -> DataFrame:
     return spark.createDataFrame([], STIM_EVENTS)
 
 
-def fill_subject(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The subject on every row of a group, from a row that has one."""
+def fill_subject(df: DataFrame, recording: list[str]) -> DataFrame:
+    """Rows without a subject get that of their recording (its event file, say), where all rows that name one name the same.
+    Others keep none: session numbers repeat over subjects, so a session alone may be two people's."""
     own = F.when(F.col("subject") != "", F.col("subject"))
-    return df.withColumn("subject", F.max(own).over(Window.partitionBy(*keys)))
+    all_rows = Window.partitionBy(*recording)
+    found = F.when(F.min(own).over(all_rows) == F.max(own).over(all_rows), F.max(own).over(all_rows))
+    return df.withColumn("subject", F.coalesce(own, found))
 
 
 def combine_retrieval(df: DataFrame) -> DataFrame:
@@ -136,17 +139,22 @@ def biomarkers(df: DataFrame) -> DataFrame:
     return rows.select(first["position"].alias("position"), "phase", first["biomarker_value"].alias("biomarker_value"), first["id"].alias("id"))
 
 
-def clean_fr(df: DataFrame, partition: list[str], order: list[str], keep_intrusions: bool = False, baseline: dict | None = None) -> DataFrame:
+#: Of experiments that get baseline periods: free recall and its courier variant, but not where classifiers trigger stimulation.
+WITH_BASELINE, WITHOUT_BASELINE = ("FR", "DBOY"), "TICL"
+
+
+def clean_fr(df: DataFrame, partition: list[str], order: list[str], keep_intrusions: bool = False, baseline: dict | bool | None = True) -> DataFrame:
     """The free-recall branch: no bad offsets, voice detections, practice or unfinished lists, and no intrusions. PS5 keeps
-    its practice list -1. With baseline (settings of retrieval.insert_baseline, {} for the defaults) periods of failure to
-    recall come in as REC_BASE rows before intrusions go; TICL experiments have none."""
+    its practice list -1. Periods of failure to recall come in as REC_BASE rows before intrusions go (baseline: settings of
+    retrieval.insert_baseline, True for the defaults where the table has rectime, which they need, None for no such rows); TICL experiments have none."""
     ps5 = F.col("experiment").contains("PS5")
     rows = df.transform(masks.remove_negative_offsets).transform(masks.remove_voice_detection).where(F.col("list") >= F.when(ps5, -1).otherwise(0))
     rows = masks.remove_incomplete_lists(rows, [*dict.fromkeys([*partition, "list"])])
-    if baseline is not None:
-        ticl = F.col("experiment").contains("TICL")
-        with_base = retrieval.insert_baseline(rows.where(~ticl), partition, order, **baseline)
-        rows = with_base.unionByName(rows.where(ticl), allowMissingColumns=True)
+    if baseline is not None and baseline is not False and (isinstance(baseline, dict) or "rectime" in rows.columns):
+        named = [F.col("experiment").contains(name) for name in WITH_BASELINE]
+        takes = F.coalesce((named[0] | named[1]) & ~F.col("experiment").contains(WITHOUT_BASELINE), F.lit(False))
+        with_base = retrieval.insert_baseline(rows.where(takes), partition, order, **(baseline if isinstance(baseline, dict) else {}))
+        rows = with_base.unionByName(rows.where(~takes), allowMissingColumns=True)
     rows = rows if keep_intrusions else masks.remove_intrusions(rows, partition, order)
     return rows.transform(recall_outcome).transform(normalize_fr)
 
@@ -159,10 +167,13 @@ def clean_pal(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     return normalize_pal(study.unionByName(probes))
 
 
-def clean_events(df: DataFrame, partition: list[str], order: list[str], seed: int = 0, baseline: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(events, stim rows) of a table that may hold free recall and paired associates. A column trial stands for list, and
-    every row of a group gets the subject that one of its rows has. baseline: see ``clean_fr``."""
-    named = fill_subject(trial_column(df), [k for k in partition if k != "subject"]) if "subject" in df.columns else trial_column(df)
+def clean_events(df: DataFrame, partition: list[str], order: list[str], seed: int = 0, baseline: dict | bool | None = True, recording: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(events, stim rows) of a table that may hold free recall and paired associates. A column trial stands for list. Rows
+    without a subject get their recording's: of the same ``recording`` columns, by default the event file (``file``) where
+    the table has it, else the partition without its subject. baseline: see ``clean_fr``."""
+    if recording is None:
+        recording = ["file"] if "file" in df.columns else [k for k in partition if k != "subject"]
+    named = fill_subject(trial_column(df), recording) if "subject" in df.columns and recording else trial_column(df)
     events, stim = separate_stim(named)
     pal = F.col("experiment").contains("PAL")
     parts = [clean_fr(events.where(~pal), partition, order, baseline=baseline)]
@@ -171,10 +182,10 @@ def clean_events(df: DataFrame, partition: list[str], order: list[str], seed: in
     return union_sessions(parts), stim
 
 
-def training_events(df: DataFrame, partition: list[str], order: list[str], encoding_only: bool = False, baseline: dict | None = None) -> DataFrame:
+def training_events(df: DataFrame, partition: list[str], order: list[str], encoding_only: bool = False, baseline: dict | bool | None = True, recording: list[str] | None = None) -> DataFrame:
     """Record-only experiments, cleaned and combined, as word (and retrieval) rows. With baseline, retrieval rows are recalls
     that found a match, and their matches."""
-    events, _ = clean_events(df.where(F.col("experiment").isin("FR1", "catFR1", "PAL1")), partition, order, baseline=None if encoding_only else baseline)
+    events, _ = clean_events(df.where(F.col("experiment").isin("FR1", "catFR1", "PAL1")), partition, order, baseline=None if encoding_only else baseline, recording=recording)
     return events.where(masks.word_event(events, encoding_only))
 
 
@@ -183,10 +194,21 @@ def trial_column(df: DataFrame) -> DataFrame:
     return df.withColumn("list", F.coalesce("trial", "list")).drop("trial") if "trial" in df.columns else df
 
 
-def test_events(df: DataFrame, partition: list[str], order: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(all events without practice and with their list's phase, word and retrieval rows, stim rows), from one scan."""
+def test_events(df: DataFrame, partition: list[str], order: list[str], joint: str | None = None, step: int = 100, baseline: dict | bool | None = True, recording: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(all events without practice and with their list's phase, word and retrieval rows, stim rows), from one scan.
+
+    joint: a series, such as "5", whose free recall (FR5) and categorised free recall (catFR5) are tested together; a
+    subject's categorised sessions are raised by ``step`` where it has both, as ``union_experiments`` does for one subject."""
     from mnesis.operators import sequence
 
+    if joint is not None:
+        df = raised_sessions(df.where(F.col("experiment").isin(f"FR{joint}", f"catFR{joint}")), f"catFR{joint}", step)
     everything = sequence.list_phase(masks.remove_negative_offsets(df).where("list > -1"), [*partition, "list"], order)
-    events, stim = clean_events(df, partition, order)
+    events, stim = clean_events(df, partition, order, baseline=baseline, recording=recording)
     return everything, events.where(masks.word_event(events, encoding_only=False)), stim
+
+
+def raised_sessions(df: DataFrame, experiment: str, step: int = 100) -> DataFrame:
+    """Sessions of an experiment raised by step for the subjects that have others, too."""
+    other = F.max((F.col("experiment") != experiment).cast("int")).over(Window.partitionBy("subject"))
+    return df.withColumn("session", F.col("session") + F.when((F.col("experiment") == experiment) & (other == 1), step).otherwise(0))

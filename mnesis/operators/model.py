@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mnesis.operators import masks, stats
+from mnesis.operators import behavior, masks, stats
 
 #: Permutations of a fold that one task fits; each task gets the group's rows once.
 PERMUTATIONS = 50
@@ -243,20 +243,28 @@ def latest_model(registry: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def with_stored_features(df: DataFrame, models: DataFrame, used: DataFrame) -> DataFrame:
-    """df's features cut to the pairs that each session's stored model uses, in their order. used: (session, pair_idx) of each
-    model; a feature array holds the frequencies of pair 0, then of pair 1, and so on."""
-    pairs = used.groupBy("session").agg(F.sort_array(F.collect_set("pair_idx")).alias("_p"))
-    rows = df.join(pairs, "session").join(models.select("session", F.size("coefficients").alias("_n")), "session")
+    """df's features cut to the pairs that each recording's stored model uses, in their order. used: (recording, pair_idx) of
+    each model; a feature array holds the frequencies of pair 0, then of pair 1, and so on. Recordings are told apart by what
+    all three tables have of subject, experiment and session."""
+    keys = behavior.shared_keys(df, models, used)
+    pairs = used.groupBy(*keys).agg(F.sort_array(F.collect_set("pair_idx")).alias("_p"))
+    rows = df.join(pairs, keys).join(models.select(*keys, F.size("coefficients").alias("_n")), keys)
     each = (F.col("_n") / F.size("_p")).cast("int")
     cut = F.flatten(F.transform("_p", lambda k: F.slice("features", k * each + 1, each)))
     return rows.withColumn("features", cut).drop("_p", "_n")
 
 
 def post_hoc(df: DataFrame, models: DataFrame, retrained: DataFrame | None = None) -> DataFrame:
-    """Outputs of each session's stored model, or of the retrained one where a session has none (or retrained is all there is)."""
+    """Outputs of each recording's stored model, or of the retrained one of its subject (of the only one, where retrained has
+    no subject) where a recording has none. Recordings are told apart by what df and models have of subject, experiment and
+    session."""
+    keys = behavior.shared_keys(df, models)
     if retrained is None:
-        return predict(df, models, ["session"])
-    sessions = df.select("session").distinct()
-    stored = sessions.join(models, "session", "left").join(retrained.select(F.col("coefficients").alias("_c"), F.col("intercept").alias("_i")), F.lit(True))
-    used = stored.select("session", F.coalesce("coefficients", "_c").alias("coefficients"), F.coalesce("intercept", "_i").alias("intercept"))
-    return predict(df, used, ["session"])
+        return predict(df, models, keys)
+    again = retrained.select(*behavior.shared_keys(df, retrained), F.col("coefficients").alias("_c"), F.col("intercept").alias("_i"))
+    own = behavior.shared_keys(df, again)
+    every = [*dict.fromkeys([*keys, *own])]
+    stored = df.select(*every).distinct().join(models, keys, "left")
+    stored = stored.join(again, own, "left") if own else stored.join(again, F.lit(True))
+    used = stored.select(*every, F.coalesce("coefficients", "_c").alias("coefficients"), F.coalesce("intercept", "_i").alias("intercept"))
+    return predict(df, used, every)

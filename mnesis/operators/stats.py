@@ -189,22 +189,23 @@ def covariance(powers: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, "i", "j", F.try_divide(F.col("sij") - F.col("si") * F.col("sj") / F.col("n"), F.col("n") - 1).alias("value"))
 
 
-def choose_location(rows: DataFrame, sham: DataFrame | None = None, level: float = 0.05) -> DataFrame:
-    """Which of two locations is better. rows: (loc_name, amplitude, delta_classifier). A location's value is its best mean
-    over amplitudes with that amplitude's standard error; a difference that isn't significant is a tie, which the lesser
-    error wins; the winner is compared with sham."""
-    by = rows.groupBy("loc_name", "amplitude").agg(F.avg("delta_classifier").alias("m"), (F.stddev_samp("delta_classifier") / F.sqrt(F.count("*").cast("double"))).alias("sem"))
-    best = by.groupBy("loc_name").agg(F.max_by(F.struct("m", "sem", "amplitude"), F.struct("m", "amplitude")).alias("b"))
-    two = best.agg(F.sort_array(F.collect_list(F.struct("loc_name", "b"))).alias("l")).select(F.col("l")[0].alias("x"), F.col("l")[1].alias("y"))
+def choose_location(rows: DataFrame, sham: DataFrame | None = None, level: float = 0.05, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Which of two locations is better, for each group of keys. rows: (keys, loc_name, amplitude, delta_classifier). A
+    location's value is its best mean over amplitudes with that amplitude's standard error; a difference that isn't
+    significant is a tie, which the lesser error wins; the winner is compared with its group's sham. A group with another
+    number of locations has no decision and gets no row."""
+    by = rows.groupBy(*keys, "loc_name", "amplitude").agg(F.avg("delta_classifier").alias("m"), (F.stddev_samp("delta_classifier") / F.sqrt(F.count("*").cast("double"))).alias("sem"))
+    best = by.groupBy(*keys, "loc_name").agg(F.max_by(F.struct("m", "sem", "amplitude"), F.struct("m", "amplitude")).alias("b"))
+    two = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("loc_name", "b"))).alias("l")).where(F.size("l") == 2).select(*keys, F.col("l")[0].alias("x"), F.col("l")[1].alias("y"))
     t = F.try_divide(F.col("x.b.m") - F.col("y.b.m"), F.sqrt(F.pow("x.b.sem", F.lit(2)) + F.pow("y.b.sem", F.lit(2))))
     got = two.withColumn("t_stat", t).withColumn("p_val", tails.normal_lower(-F.abs("t_stat"))).withColumn("tie", (F.coalesce(F.col("p_val"), F.lit(1.0)) >= level).cast("int"))
     first = F.when(F.col("tie") == 0, F.col("t_stat") > 0).otherwise(F.col("x.b.sem") < F.col("y.b.sem"))
     got = got.withColumn("_w", F.when(first, F.col("x")).otherwise(F.col("y")))
-    out = got.select("t_stat", "p_val", "tie", F.col("_w.loc_name").alias("best_location"), F.col("_w.b.m").alias("_m"), F.col("_w.b.sem").alias("_s"))
+    out = got.select(*keys, "t_stat", "p_val", "tie", F.col("_w.loc_name").alias("best_location"), F.col("_w.b.m").alias("_m"), F.col("_w.b.sem").alias("_s"))
     if sham is None:
         return out.drop("_m", "_s")
-    control = sham.agg(F.avg("delta_classifier").alias("sham_mean"), (F.stddev_samp("delta_classifier") / F.sqrt(F.count("*").cast("double"))).alias("sham_sem"))
-    rows = out.join(control, F.lit(True)).withColumn("t_stat_sham", F.try_divide(F.col("_m") - F.col("sham_mean"), F.sqrt(F.pow("_s", F.lit(2)) + F.pow("sham_sem", F.lit(2)))))
+    control = sham.groupBy(*keys).agg(F.avg("delta_classifier").alias("sham_mean"), (F.stddev_samp("delta_classifier") / F.sqrt(F.count("*").cast("double"))).alias("sham_sem"))
+    rows = (out.join(control, list(keys), "left") if keys else out.join(control, F.lit(True))).withColumn("t_stat_sham", F.try_divide(F.col("_m") - F.col("sham_mean"), F.sqrt(F.pow("_s", F.lit(2)) + F.pow("sham_sem", F.lit(2)))))
     return rows.withColumn("p_val_sham", tails.normal_lower(-F.abs("t_stat_sham"))).drop("_m", "_s")
 
 

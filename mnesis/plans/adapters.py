@@ -166,6 +166,15 @@ def full_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """full_log with session numbers that all subjects share; file tells recordings apart."""
+    log = full_log(spark, sf_dir)
+    return log.withColumns({"file": F.concat(F.lit("u"), F.col("session").cast("string")), "session": F.floor(F.col("session") / 5)})
+
+
+SHARED_LOG = "shared_log AS (SELECT * REPLACE (session // 5 AS session), 'u' || session AS file FROM full_log)"
+
+
 FULL_LOG = f"""full_log AS (SELECT 'S' || CAST(user_id % 5 AS VARCHAR) AS subject, ['FR1', 'PAL1', 'catFR1', 'FR2', 'PS5_FR', 'TICL_FR'][user_id % 6 + 1] AS experiment, user_id AS session,
   CASE WHEN day(ts) % 12 = 0 THEN -999 ELSE day(ts) % 12 - 2 END AS list, epoch_us(ts) // 1000 AS mstime, event_id AS seq, {KINDS}[event_id % {len(KINDS)} + 1] AS type,
   CASE user_id % 2 WHEN 0 THEN 'STIM' ELSE 'NON-STIM' END AS phase, CAST(value > 20 AS BIGINT) AS recalled, k % 3 - 1 AS intrusion, k % 12 + 1 AS serialpos,

@@ -91,7 +91,7 @@ def raw_log(spark, d):
 @query("SELECT * FROM clean_fr", a.FULL_LOG, CLEAN_FR)
 def clean_fr(spark, d):
     log = raw_log(spark, d).where(~F.col("experiment").contains("PAL"))
-    return clean.clean_fr(log, SESSION, ["mstime", "eegoffset"]).select(*CLEANED)
+    return clean.clean_fr(log, SESSION, ["mstime", "eegoffset"], baseline=None).select(*CLEANED)
 
 
 @query("SELECT * FROM clean_pal", a.FULL_LOG, CLEAN_PAL)
@@ -104,7 +104,7 @@ def clean_pal(spark, d):
 def clean_events(spark, d):
     """Both branches, with a third of the subjects missing and filled from their sessions."""
     log = raw_log(spark, d).withColumn("subject", F.when(F.col("eegoffset") % 3 == 1, "").otherwise(F.col("subject")))
-    events, _ = clean.clean_events(log, SESSION, ["mstime", "eegoffset"])
+    events, _ = clean.clean_events(log, SESSION, ["mstime", "eegoffset"], baseline=None)
     # sessions without any row that names the subject have none
     known = a.full_log(spark, d).groupBy("session").agg(F.max("subject").alias("_s"))
     return events.join(known, "session").withColumn("subject", F.coalesce("subject", "_s")).select(*CLEANED)
@@ -117,7 +117,7 @@ def clean_events(spark, d):
     CLEAN_PAL,
 )
 def training_events(spark, d):
-    return clean.training_events(raw_log(spark, d), SESSION, ["mstime", "eegoffset"]).select(*CLEANED)
+    return clean.training_events(raw_log(spark, d), SESSION, ["mstime", "eegoffset"], baseline=None).select(*CLEANED)
 
 
 def months(log):

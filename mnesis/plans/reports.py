@@ -71,10 +71,10 @@ def electrodes(pairs: DataFrame, powers: DataFrame, p: FRParameters) -> dict[str
     return {"target_selection_table": stats.target_selection(table)}
 
 
-def stimulation(items: DataFrame) -> dict[str, DataFrame]:
+def stimulation(items: DataFrame, least_list: int = 4) -> dict[str, DataFrame]:
     return {
-        "stim_parameters": behavior.stim_parameters(items),
-        "recall_tests": behavior.recall_tests(items),
+        "stim_parameters": behavior.stim_parameters(items, ("subject",)),
+        "recall_tests": behavior.recall_tests(items, least_list, ("subject",)),
         "delta_recall": behavior.delta_recall(items, ("subject",)),
         "stim_lists": behavior.stim_list_counts(items, ("subject",)),
         "recalls_by_list": behavior.recalls_by_list(items, keys=("subject",)).join(behavior.stim_events_by_list(items, ("subject",)), ["subject", "list"]),
@@ -100,25 +100,26 @@ def open_loop(events: DataFrame, math: DataFrame, items: DataFrame) -> dict[str,
 
 def closed_loop(events: DataFrame, math: DataFrame, items: DataFrame, scored: DataFrame) -> dict[str, DataFrame]:
     """FR3, FR5, FR6: stimulation, and the outputs of each session's model. scored: rows of model.post_hoc."""
-    return {**open_loop(events, math, items), "classifier_output": scored, "classifier_auc": stats.auc(scored.where(masks.encoding()), ["session"], "probability", "recalled"), "effect_design": stats.effect_design(items)}
+    return {**open_loop(events, math, items), "classifier_output": scored, "classifier_auc": stats.auc(scored.where(masks.encoding()), behavior.shared_keys(scored), "probability", "recalled"), "effect_design": stats.effect_design(items)}
 
 
 def ticl(events: DataFrame, math: DataFrame, items: DataFrame, scored: DataFrame, biomarkers: DataFrame) -> dict[str, DataFrame]:
-    return {**closed_loop(events, math, items, scored), "matched_biomarkers": behavior.matched_biomarkers(biomarkers), "stim_counts": behavior.stim_count_by_phase(events)}
+    return {**closed_loop(events, math, items, scored), "matched_biomarkers": behavior.matched_biomarkers(biomarkers), "stim_counts": behavior.stim_count_by_phase(events, tuple(SESSION))}
 
 
 def ps4(rows: DataFrame, sham: DataFrame | None = None) -> dict[str, DataFrame]:
     """rows: (subject, session, loc_name, list_phase, amplitude, delta_classifier, post_stim_output)."""
     keys = [c for c in ("subject", "session", "loc_name") if c in rows.columns]
-    return {"decision": stats.choose_location(rows, sham), "locations": behavior.location_summary(rows, keys, "list_phase", "amplitude", "delta_classifier", "post_stim_output")}
+    own = tuple(c for c in ("subject", "experiment") if c in rows.columns)
+    return {"decision": stats.choose_location(rows, sham, keys=own), "locations": behavior.location_summary(rows, keys, "list_phase", "amplitude", "delta_classifier", "post_stim_output")}
 
 
 def ps5(events: DataFrame, items: DataFrame, powers: DataFrame, pair_idx: int, p: FRParameters = PS5Parameters()) -> dict[str, DataFrame]:
     """Power at the trigger pair and frequency, its running threshold, and stimulation; all lists from 0 count."""
     at = next(k for k, f in enumerate(p.frequencies) if int(f) == p.trigger_frequency)
     trigger = powers.where((F.col("pair_idx") == pair_idx) & (F.col("freq_idx") == at))
-    threshold = trigger.withColumn("thresh", sequence.running_threshold(["session"], ["event_id"], "power"))
-    return {**behaviour(events), **stimulation(items), "recall_tests": behavior.recall_tests(items, least_list=0), "trigger_power": threshold}
+    threshold = trigger.withColumn("thresh", sequence.running_threshold(behavior.shared_keys(trigger), ["event_id"], "power"))
+    return {**behaviour(events), **stimulation(items, least_list=0), "trigger_power": threshold}
 
 
 def location_search(stim: DataFrame, tmi: DataFrame) -> dict[str, DataFrame]:

@@ -31,16 +31,16 @@ def completed_sessions(index: DataFrame, subject: str, experiment: str) -> DataF
     return index.where((F.col("subject") == subject) & (F.col("experiment") == experiment)).select("session").distinct()
 
 
-def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True) -> DataFrame:
+def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True, with_file: bool = False) -> DataFrame:
     """Events of all sessions of an index that have a file, one scan over their JSON files, with subject, experiment and session
-    of the index. The list of files is what the driver holds: one path for each session. No session gives an empty table. multiline: a file is one JSON array; else a row a line."""
+    of the index. The list of files is what the driver holds: one path for each session. No session gives an empty table. multiline: a file is one JSON array; else a row a line. with_file: also the path, which tells recordings apart whatever their rows say."""
     plain = lambda c: F.regexp_replace(c, "^(file:/+|/+)", "/")  # noqa: E731  file:///a, file:/a and /a are one path
     known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.concat(F.lit(root), F.col(file_type)).alias("_path"))
     paths = [r["_path"] for r in known.select("_path").distinct().collect()]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([*schema, T.StructField("file", _S)]) if with_file else schema)
     rows = spark.read.schema(schema).json(paths, multiLine=multiline).withColumn("_file", F.col("_metadata.file_path"))
-    rows = rows.drop("subject", "experiment", "session").withColumn("_file", plain("_file")).join(known.withColumn("_file", plain("_path")), "_file").select(*[f.name for f in schema])
+    rows = rows.drop("subject", "experiment", "session").withColumn("_file", plain("_file")).join(known.withColumn("_file", plain("_path")), "_file").select(*[f.name for f in schema], *([F.col("_file").alias("file")] if with_file else []))
     return rows.where(F.col("eegfile") != "") if with_eeg else rows
 
 

@@ -337,7 +337,7 @@ def stim_items(spark):
 
 def test_stimulation_report(spark):
     got = reports.stimulation(stim_items(spark))
-    assert tuple(got["stim_lists"].first()) == (5, 5)
+    assert tuple(got["stim_lists"].first()) == ("S", 5, 5)
     one_set = got["stim_parameters"].collect()
     assert len(one_set) == 1 and one_set[0].location == "--" and one_set[0].n_trials == 60 and one_set[0].n_stimulations == 15
     assert {r.comparison for r in got["recall_tests"].collect()} == {"stim lists", "stim items", "post-stim items"}

@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver table
 def names():
     import mnesis.plans.catalog_epochs
     import mnesis.plans.catalog_events
-    import mnesis.plans.catalog_files  # noqa: F401  registers its queries, and those of the module that it takes adapters from
+    import mnesis.plans.catalog_files
+    import mnesis.plans.catalog_shared  # noqa: F401  registers its queries, and those of the module that it takes adapters from
     from mnesis.plans import catalog
 
     return sorted(catalog.ORACLE_SQL)
