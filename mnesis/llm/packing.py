@@ -3,8 +3,10 @@
 Documents are encoded where they are read; only (document, piece, length) travels. Pieces are dealt at random to groups
 of about ``GROUP`` pieces, and each group is packed by itself: best fit in falling order of length, then a local search
 over the bins that aren't full. It moves pieces, exchanges one piece for one, two for one or one for two between two bins
-whenever the sum of squared fills rises, so that full bins get fuller and thin bins end empty. What then still stands in
-thin bins (under ``KEEP_FILL`` full) is dealt to groups again, as the few bins that each group leaves can be joined.
+whenever the sum of squared fills rises, so that full bins get fuller and thin bins end empty. Pieces of one length in a
+bin are alike, so a bin's pairs are those of its distinct lengths: 63 at most in 2048 tokens, however many pieces it has.
+What then still stands in thin bins (under ``KEEP_FILL`` full) is dealt to groups again, as the few bins that each group
+leaves can be joined, until one group holds it or a round saves fewer sequences than it has groups.
 
 A document over the limit is cut; its first piece takes what is over a multiple of the limit, the others are full.
 
@@ -29,8 +31,6 @@ from mnesis.llm.encoding import encoder_of, with_ends
 
 LIMIT = 2048
 GROUP = 6000
-#: In bins of so many pieces or fewer, two pieces are exchanged at a time, too; fuller of small pieces, one at a time will do.
-PAIRED = 12
 KEEP_FILL = 0.995
 PIECE = "piece int, start long, length long, ids_crc32 long"
 
@@ -110,19 +110,37 @@ class Search:
         self.room, self.bin_of = np.array(room, np.int64), np.zeros(len(lengths), np.int64)
         for b, own in enumerate(items):
             self.bin_of[own] = b
-        few = [own for own in items if len(own) <= PAIRED]
-        self.first, self.second = (np.array([p[k] for own in few for p in combinations(own, 2)], np.int64) for k in (0, 1))
+        self.first, self.second = self.pairs(range(len(items)))
+
+    def alike(self, b: int, each: int) -> list[int]:
+        """The pieces of a bin, at most ``each`` of one length."""
+        seen: dict[int, int] = {}
+        out = []
+        for i in self.items[b]:
+            n = int(self.size[i])
+            seen[n] = seen.get(n, 0) + 1
+            if seen[n] <= each:
+                out.append(i)
+        return out
+
+    def pairs(self, bins) -> tuple[np.ndarray, np.ndarray]:
+        """Two pieces of a bin for every two lengths that it has."""
+        found = []
+        for b in bins:
+            of = {(self.size[i], self.size[j]): (i, j) for i, j in combinations(sorted(self.alike(b, 2), key=lambda i: self.size[i]), 2)}
+            found += of.values()
+        return tuple(np.array([p[k] for p in found], np.int64) for k in (0, 1))
 
     def best(self, thin: int) -> tuple[int, int, tuple[int, ...], tuple[int, ...]] | None:
         """(gain, bin, pieces given to it, pieces taken): of all exchanges of ``thin`` with a bin that isn't thinner, the one
         that fills the other most: one or two pieces moved, one or two for one, one for two."""
-        own = self.items[thin]
-        gives = [(i,) for i in own] + (list(combinations(own, 2)) if len(own) <= PAIRED else [])
+        own = self.alike(thin, 1)
+        gives = [(i,) for i in own] + [(int(i), int(j)) for i, j in zip(*self.pairs([thin]), strict=True)]
         open_bin = (self.room > 0) & (self.room <= self.room[thin])
         open_bin[thin] = False
         bins = np.flatnonzero(open_bin)
         pieces = np.flatnonzero(open_bin[self.bin_of])
-        pairs = np.flatnonzero((self.bin_of[self.first] == self.bin_of[self.second]) & open_bin[self.bin_of[self.first]])
+        pairs = np.flatnonzero(open_bin[self.bin_of[self.first]])
         left, right = self.first[pairs], self.second[pairs]
         found = None
         for n, (at, taken, given) in enumerate((
@@ -149,8 +167,8 @@ class Search:
         self.bin_of[list(give)], self.bin_of[list(take)] = other, thin
         self.room[thin] += gain
         self.room[other] -= gain
-        fresh = [(i, j) for b, moved in ((other, give), (thin, take)) if len(self.items[b]) <= PAIRED for i in moved for j in self.items[b] if j != i]
-        self.first, self.second = (np.concatenate((x, np.array([p[k] for p in fresh], np.int64))) for k, x in enumerate((self.first, self.second)))
+        rest = ~np.isin(self.bin_of[self.first], (thin, other)) & (self.bin_of[self.first] == self.bin_of[self.second])
+        self.first, self.second = (np.concatenate((x[rest], fresh)) for x, fresh in zip((self.first, self.second), self.pairs((thin, other)), strict=True))
 
 
 def local_search(items: list[list[int]], room: list[int], lengths: np.ndarray, limit: int) -> tuple[list[list[int]], list[int]]:
@@ -191,19 +209,22 @@ def packed_group(limit: int):
 
 def pack(cut: DataFrame, limit: int = LIMIT, group: int = GROUP) -> DataFrame:
     """The rows of ``pieces`` with sequence_id and offset. What stands in thin bins is dealt and packed again until one group
-    holds it or its pieces don't become half as many."""
+    holds it, or a round saves fewer sequences than it has groups: then groups are as well packed as the search can."""
     cut = settled(cut, "pieces")
     types = ", ".join(f"`{c}` {t}" for c, t in cut.dtypes)
     packed = cut.where(F.col("length") == limit).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     dealt = F.xxhash64(F.monotonically_increasing_id(), F.lit(3))  # so that equal rows spread, too
-    left, first, before = cut.where(F.col("length") < limit), 0, None
+    left, first, took = cut.where(F.col("length") < limit), 0, None
     n = left.count()
     while n:
         groups = -(-n // group)
         own = left.withColumn("grp", first + F.pmod(dealt, F.lit(groups))).groupBy("grp").applyInArrow(packed_group(limit), f"{types}, grp long, sequence_id long, offset long, fill long")
         own = settled(own, "packed")
-        thin = F.lit(groups > 1 and (before is None or 2 * n <= before)) & (F.col("fill") < int(KEEP_FILL * limit))
+        is_thin = F.col("fill") < int(KEEP_FILL * limit)
+        ends = own.select("sequence_id", is_thin.alias("thin")).distinct().agg(F.count("*"), F.count_if("thin")).first()
+        saves = took is None or took - ends[0] >= groups
+        thin, took = F.lit(groups > 1 and saves) & is_thin, ends[1]
         packed = packed.unionByName(own.where(~thin).drop("grp", "fill"))
-        left, first, before = own.where(thin).select(*cut.columns), first + groups, n
+        left, first = own.where(thin).select(*cut.columns), first + groups
         n = left.count()
     return packed

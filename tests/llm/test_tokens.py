@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers as files
@@ -153,6 +154,26 @@ def test_local_search_empties_bins_that_best_fit_leaves():
             assert after < before
 
 
+def test_pairs_of_bins_of_any_size():
+    r = np.random.default_rng(2)
+    lengths = np.concatenate((np.full(40, 3), r.integers(1, 9, 500), [50, 49]))
+    items, room = packing.best_fit(lengths, 60)
+    s = packing.Search(items, room, lengths)
+    for b, own in enumerate(items):
+        at = s.bin_of[s.first] == b
+        got = sorted(tuple(sorted((int(lengths[i]), int(lengths[j])))) for i, j in zip(s.first[at], s.second[at]))
+        assert got == sorted({tuple(sorted((int(lengths[i]), int(lengths[j])))) for i, j in combinations(own, 2)})
+    assert max(map(len, items)) > 12
+    # two threes of a bin of many small pieces make room for the six that is left over
+    assert searched(np.array([*[3] * 20, 54, 6, 6]), 60)[1] == 3
+
+
+def test_rounds_end_where_nothing_can_be_saved(spark):
+    rows = [(i, 0, 0, 220 + i % 7, 7) for i in range(900)]  # no two fit a sequence
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"), limit=400, group=100)
+    assert got.count() == 900 == got.select("sequence_id").distinct().count()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 30), max_size=40))
 def test_local_search_keeps_every_piece(lengths):
