@@ -5,7 +5,9 @@ rest is mixed to the sources' target weights, which repeats or leaves out docume
 stages but the last return the columns of documents.
 
 Defined results: each stage treats nulls, empty and repeated rows as its operator does. The near-copy stage keeps one row
-of each class, of a doc_id with texts of several classes one for each class that it names, and every row without a doc_id. An empty table passes through as an empty table.
+of each class, of a doc_id with texts of several classes one for each class that it names, and every row without a doc_id.
+Of rows that share doc_id and text the one with the least hash of its other columns stays, in every run. An empty table
+passes through as an empty table.
 """
 
 from __future__ import annotations
@@ -39,11 +41,17 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    text = free_name(docs, "text_hash")
+    text, row, copies = free_name(docs, "text_hash"), free_name(docs, "row_hash"), free_name(docs, "copies")
     first = dartminhash.rows_with_classes(docs).where(F.col("doc_id") == F.col("class_id"))
     first = first.groupBy("doc_id", F.coalesce("comp", "text_hash").alias("of")).agg(F.min("text_hash").alias(text)).select("doc_id", text).distinct()
-    kept = docs.withColumn(text, dartminhash.text_hash()).join(first, ["doc_id", text]).dropDuplicates(["doc_id", text]).select(*docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    # of the rows of a doc_id and text the least by a hash of all other columns; rows equal in that, too, are one row's copies
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]), {"ignoreNullFields": "false"})
+    hashed = docs.withColumns({text: dartminhash.text_hash(), row: F.md5(others.cast("binary"))})
+    found = hashed.select("doc_id", text, row).join(first, ["doc_id", text], "left_semi").groupBy("doc_id", text, row).agg(F.count("*").alias(copies))
+    chosen = found.groupBy("doc_id", text).agg(F.min(F.struct(row, copies)).alias(row)).select("doc_id", text, f"{row}.*")
+    kept = hashed.join(chosen, ["doc_id", text, row])
+    kept = kept.where(F.col(copies) == 1).unionByName(kept.where(F.col(copies) > 1).dropDuplicates(["doc_id", text, row]))
+    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
