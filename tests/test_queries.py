@@ -15,7 +15,8 @@ def names():
     import mnesis.plans.catalog_events
     import mnesis.plans.catalog_files
     import mnesis.plans.catalog_reports
-    import mnesis.plans.catalog_shared  # noqa: F401  registers its queries, and those of the module that it takes adapters from
+    import mnesis.plans.catalog_shared
+    import mnesis.plans.catalog_user  # noqa: F401  registers its queries, and those of the module that it takes adapters from
     from mnesis.plans import catalog
 
     return sorted(catalog.ORACLE_SQL)
