@@ -250,3 +250,36 @@ def psd_pair(before: DataFrame, after: DataFrame) -> DataFrame:
     """(event_id, pair_idx, pre, post): multitaper power of epochs before and after stimulation."""
     keys = ["event_id", "pair_idx"]
     return multitaper_psd(before, keys).withColumnRenamed("power", "pre").join(multitaper_psd(after, keys).withColumnRenamed("power", "post"), keys)
+
+
+def common_average(epochs: DataFrame, keys: list[str] | None = None, excluded: DataFrame | None = None) -> DataFrame:
+    """epochs with the mean over an event's channels taken from each sample; keys: what an event is (event_id, unless told).
+
+    Sums of samples are made in Arrow batches first, a row for each event that a batch has, and those are added up: no event's
+    epochs need to meet in one row or task. Channels of ``excluded`` (pair_idx, and keys if they are bad for an event alone)
+    don't count in the mean but are referenced, too. Null samples stay null and don't count; epochs of an event that differ in
+    length are averaged by length; an event without a channel that counts keeps its samples."""
+    keys = ["event_id"] if keys is None else keys
+    sized = epochs.withColumn("_n", F.size("samples"))
+    by = [*keys, "_n"]
+    counted = sized.where(F.col("samples").isNotNull())
+    if excluded is not None:
+        counted = counted.join(excluded, [c for c in excluded.columns if c in epochs.columns], "left_anti")
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for length, same in frame.groupby("_n", sort=False):
+                if not length:
+                    continue
+                code, names = pd.factorize(pd.MultiIndex.from_frame(same[keys]))
+                total = np.zeros((len(names), length))
+                np.add.at(total, code, np.stack(same["samples"].to_numpy()).astype(np.float64))
+                yield pd.DataFrame(list(names), columns=keys).assign(_n=length, _k=np.bincount(code), _s=list(total))
+
+    types = dict(epochs.dtypes)
+    shape = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "_n int, _k long, _s array<double>"])
+    parts = counted.select(*by, "samples").mapInPandas(sums, shape).groupBy(*by).agg(F.sum("_k").alias("_k"), F.collect_list("_s").alias("_p"))
+    zero = F.transform(F.get("_p", F.lit(0)), lambda x: F.lit(0.0))
+    mean = F.transform(F.aggregate("_p", zero, lambda acc, x: F.zip_with(acc, x, lambda p, q: p + q)), lambda x: x / F.col("_k"))
+    rows = sized.join(parts.select(*by, mean.alias("_m")), by, "left")
+    return rows.withColumn("samples", F.when(F.col("_m").isNull(), F.col("samples")).otherwise(F.zip_with("samples", "_m", lambda x, m: x - m))).select(*epochs.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -237,3 +238,70 @@ def stim_effect(design: DataFrame, comparison: str, features: list[str]) -> Data
     data = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(rows)
     model = GeneralizedLinearRegression(family="binomial", regParam=1e-6).fit(data)
     return design.sparkSession.createDataFrame([*zip(columns, map(float, model.coefficients), strict=True), ("intercept", float(model.intercept))], "term string, coefficient double")
+
+
+#: A comparison of stimulation: its flag, and which rows of the design take part.
+COMPARISONS = {"is_stim_list": None, "is_stim_item": "in_stim_comparison", "is_post_stim_item": "in_post_stim_comparison"}
+
+
+def effect_cells(design: DataFrame, features: list[str], levels: dict[str, list[str]], comparisons: dict[str, str | None] | None = None) -> DataFrame:
+    """Recalls by cell: (level, the levels' columns, comparison, flag, features, n, y). All comparisons are counted in one pass
+    over the design; levels (a name and its columns, each within the one before) are added up from the first's cells."""
+    comparisons = COMPARISONS if comparisons is None else comparisons
+    keys = [*dict.fromkeys(c for own in levels.values() for c in own)]
+    part = F.array_compact(F.array(*[F.when(F.lit(True) if rows is None else F.col(rows), F.struct(F.lit(name).alias("comparison"), F.col(name).cast("int").alias("flag"))) for name, rows in comparisons.items()]))
+    named = [F.col(f).cast("double").alias(f) for f in features]
+    rows = design.where(F.col("recalled").isNotNull()).select(*keys, *named, "recalled", F.explode(part).alias("c")).select(*keys, "c.*", *features, "recalled")
+    by = ["comparison", "flag", *features]
+    cells = rows.where(F.col("flag").isNotNull()).groupBy(*keys, *by).agg(F.count("*").alias("n"), F.sum("recalled").alias("y"))
+    out = None
+    for name, own in levels.items():
+        one = cells.groupBy(*own, *by).agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
+        one = one.select(F.lit(name).alias("level"), *[(F.col(k) if k in own else F.lit(None)).cast(dict(design.dtypes)[k]).alias(k) for k in keys], *by, "n", "y")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def stim_effects(design: DataFrame, features: list[str], levels: dict[str, list[str]], comparisons: dict[str, str | None] | None = None, most: int = 100, tolerance: float = 1e-9) -> DataFrame:
+    """Logistic regressions of recall on each comparison's flag and features, one for every comparison and group of every
+    level, in one job: (level, the levels' columns, comparison, term, coefficient, error, n, converged).
+
+    A fit iterates reweighted sums over its cells, whose number is that of the features' values however many rows there are.
+    Terms that don't vary in a group get the least-norm solution; where outcomes are separated, coefficients grow until
+    ``most`` steps and converged is false."""
+    cells = effect_cells(design, features, levels, comparisons)
+    keys = [*dict.fromkeys(c for own in levels.values() for c in own)]
+    by, terms = ["level", *keys, "comparison"], ["flag", *features, "intercept"]
+
+    def fit(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(["flag", *features])
+        x = np.column_stack((own[["flag", *features]].to_numpy(np.float64), np.ones(len(own))))
+        n, y = own["n"].to_numpy(np.float64), own["y"].to_numpy(np.float64)
+        b, done = np.zeros(x.shape[1]), False
+        for _ in range(most):
+            p = 1 / (1 + np.exp(-np.clip(x @ b, -40, 40)))
+            score, spread = x.T @ (y - n * p), (x * (n * p * (1 - p))[:, None]).T @ x
+            done = bool(np.abs(score).max() <= tolerance * max(1.0, n.sum()))
+            if done:
+                break
+            b = b + np.linalg.lstsq(spread, score, rcond=1e-12)[0]
+        error = np.sqrt(np.clip(np.diag(np.linalg.pinv(spread, hermitian=True)), 0, None))
+        head = {k: own[k].iloc[0] for k in by}
+        return pd.DataFrame({**{k: [v] * len(terms) for k, v in head.items()}, "term": terms, "coefficient": b, "error": error, "n": int(n.sum()), "converged": done})
+
+    types = dict(cells.dtypes)
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in by), "term string, coefficient double, error double, n long, converged boolean"])
+    return cells.groupBy(*by).applyInPandas(fit, schema)
+
+
+def effect_scores(cells: DataFrame, effects: DataFrame, features: list[str], keys: list[str]) -> DataFrame:
+    """(level, keys, comparison, term, score): the sums of x (y - n p) of a fit over its cells, 0 where it is the most likely."""
+    by = ["level", *keys, "comparison"]
+    weights = effects.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("b"))
+    same = reduce(lambda a, b: a & b, [cells[k].eqNullSafe(weights[k]) for k in by])
+    rows = cells.join(weights, same).select(*[cells[k] for k in by], "flag", *features, "n", "y", "b")
+    terms = {**{t: F.col(t).cast("double") for t in ("flag", *features)}, "intercept": F.lit(1.0)}
+    size = reduce(lambda a, b: a + b, [F.col("b")[t] * x for t, x in terms.items()])
+    left = F.col("y") - F.col("n") / (1 + F.exp(-size))
+    parts = F.explode(F.array(*[F.struct(F.lit(t).alias("term"), (x * left).alias("s")) for t, x in terms.items()])).alias("t")
+    return rows.select(*by, parts).groupBy(*by, "t.term").agg(F.sum("t.s").alias("score"))

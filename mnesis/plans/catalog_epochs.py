@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mnesis.operators import behavior, features, model, retrieval, sequence, tmi
+from mnesis.operators import behavior, features, model, montage, retrieval, sequence, tmi
 from mnesis.plans import adapters as a
 from mnesis.plans.catalog import query, rounded
 
@@ -23,12 +23,12 @@ def recording(spark, d):
     e = a.table(spark, d, "events").select("event_id", F.round(F.col("value") * 100).alias("v"))
     chunks = e.groupBy(F.floor(F.col("event_id") / 50).alias("chunk_id")).agg(F.sort_array(F.collect_list(F.struct("event_id", "v"))).alias("s"))
     chunks = chunks.withColumn("pair_idx", F.explode(F.array(F.lit(0), F.lit(1)))).select(F.lit("f").alias("eegfile"), "pair_idx", F.lit(1000.0).alias("samplerate"), "chunk_id", F.transform("s", lambda x: x["v"] * (F.col("pair_idx") + 1)).alias("samples"))
-    return e.where("event_id % 9 = 0").select("event_id", F.lit("f").alias("eegfile"), F.col("event_id").alias("eegoffset")), chunks
+    return e.select("event_id", F.lit("f").alias("eegfile"), F.col("event_id").alias("eegoffset")), chunks
 
 
 @query(
     """SELECT e.event_id, p AS pair_idx, k = 1 AS after, sum((p + 1) * f.v) AS total FROM r e JOIN (SELECT unnest([0, 1]) AS p) ON true JOIN (SELECT unnest([0, 1]) AS k) ON true
-    JOIN r f ON CASE k WHEN 1 THEN f.event_id BETWEEN e.event_id + 35 AND e.event_id + 54 ELSE f.event_id BETWEEN e.event_id - 25 AND e.event_id - 6 END WHERE e.event_id % 9 = 0 GROUP BY 1, 2, 3 HAVING count(*) = 20""",
+    JOIN r f ON CASE k WHEN 1 THEN f.event_id BETWEEN e.event_id + 35 AND e.event_id + 54 ELSE f.event_id BETWEEN e.event_id - 25 AND e.event_id - 6 END GROUP BY 1, 2, 3 HAVING count(*) = 20""",
     "r AS (SELECT event_id, round(value * 100) AS v FROM events)",
 )
 def stim_epochs(spark, d):
@@ -143,3 +143,54 @@ def recall_periods(spark, d):
     log = a.session_log(spark, d).withColumn("rectime", F.col("serialpos"))
     rows = retrieval.with_recall_ends(retrieval.with_recall_starts(log, keys, a.LOG_ORDER), keys)
     return rows.where(F.col("type").isin("REC_START", "REC_END")).select(*keys, "list", "type", "mstime")
+
+
+@query(
+    """, e AS (SELECT vec_id, vec_id // 4 AS event_id, vec_id % 4 AS pair_idx, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+    m AS (SELECT event_id, i, avg(x) AS m FROM e WHERE pair_idx <> 2 OR event_id % 3 <> 0 GROUP BY 1, 2)
+    SELECT e.event_id, pair_idx, e.i, round(x - coalesce(m, 0), 9) AS value FROM e LEFT JOIN m ON m.event_id = e.event_id AND m.i = e.i""",
+    "one AS (SELECT 1)",
+)
+def common_average(spark, d):
+    """Epochs less their event's mean over four channels, one of which is bad in every third event."""
+    e = a.table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("event_id"), (F.col("vec_id") % 4).alias("pair_idx"), F.transform("embedding", lambda x: x.cast("double")).alias("samples"))
+    got = features.common_average(e, excluded=e.where("pair_idx = 2 AND event_id % 3 = 0").select("event_id", "pair_idx"))
+    return got.select("event_id", "pair_idx", F.posexplode("samples").alias("i", "value")).withColumn("value", F.round("value", 9))
+
+
+def recorded_subjects(spark, d):
+    """(stim, resting, chunks, pairs): the embeddings as recordings of 16 pairs of a subject at 64 samples a second, with
+    countdowns and stimulations."""
+    v = F.col("vec_id")
+    chunks = a.table(spark, d, "embeddings").select(
+        F.concat(F.lit("f"), F.floor(v / 512).cast("string")).alias("eegfile"), (v % 16).cast("int").alias("pair_idx"), F.lit(64.0).alias("samplerate"), F.floor(v % 512 / 16).alias("chunk_id"), F.transform("embedding", lambda x: x.cast("double")).alias("samples"),
+    )
+    files = chunks.select("eegfile").distinct().withColumn("subject", F.col("eegfile"))
+    second = F.explode(F.sequence(F.lit(0), F.lit(29))).alias("at")
+    rows = files.select("subject", "eegfile", second).withColumns({"experiment": F.lit("FR1"), "session": F.lit(0), "event_id": F.xxhash64("eegfile", "at"), "mstime": F.col("at") * 1000, "eegoffset": (F.col("at") * 64).cast("long")})
+    kinds = rows.withColumn("type", F.when(F.col("at") % 10 == 0, "COUNTDOWN_START").when(F.col("at") % 3 == 1, "STIM_ON"))
+    site = F.when(F.col("at") % 2 == 0, F.lit(0)).otherwise(F.lit(5))
+    stim = kinds.where("type = 'STIM_ON'").withColumns({"anode_label": F.concat(F.lit("A"), site), "cathode_label": F.concat(F.lit("B"), site)})
+    place = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("pair_idx")
+    pairs = files.select("subject", place).select("subject", "pair_idx", F.concat(F.lit("A"), "pair_idx", F.lit("-B"), "pair_idx").alias("label"), *[(F.col("pair_idx") * k % 7 * 10).cast("double").alias(c) for k, c in ((1, "x"), (3, "y"), (5, "z"))])
+    return stim, kinds.where("type = 'COUNTDOWN_START'"), chunks, pairs
+
+
+@query()
+def session_theta_modulation(spark, d):
+    """From recordings to the modulation of every session's targets."""
+    return tmi.session_tmi(*recorded_subjects(spark, d), samplerate=64.0, order=["mstime"])
+
+
+@query(
+    """, t AS (SELECT DISTINCT 'f' || vec_id // 512 AS subject FROM embeddings), c AS (SELECT subject, p, (p * 1) % 7 * 10 AS x, (p * 3) % 7 * 10 AS y, (p * 5) % 7 * 10 AS z FROM t, range(16) r(p))
+    SELECT a.subject, 0 AS session, a.p AS stim_idx, b.p AS pair_idx, round(exp(-sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) / 120), 9) AS distance FROM c a JOIN c b ON a.subject = b.subject AND a.p <> b.p AND a.p IN (0, 5)""",
+    "one AS (SELECT 1)",
+)
+def session_theta_targets(spark, d):
+    """Every target of a session with every other pair and their distance, from the same plan."""
+    stim, _, _, pairs = recorded_subjects(spark, d)
+    label = F.concat_ws("-", "anode_label", "cathode_label").alias("label")
+    targets = stim.select("subject", "session", label).distinct().join(pairs.select("subject", "label", F.col("pair_idx").alias("stim_idx")), ["subject", "label"])
+    apart = tmi.both_ways(montage.pair_distances(pairs, ["subject"]), "adjacency")
+    return targets.join(apart, ["subject", "stim_idx"]).select("subject", "session", "stim_idx", "pair_idx", F.round("value", 9).alias("distance"))

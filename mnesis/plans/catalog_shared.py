@@ -169,3 +169,25 @@ def location_targets_shared(spark, d):
     stim = named.select("event_id", "anode_number", "cathode_number", "amplitude").distinct()
     pairs = a.pairs(spark, d).withColumn("subject", F.col("montage") % 4)
     return behavior.location_search_table(named.select("event_id", "subject", "session"), stim, pairs)
+
+
+EFFECT_LEVELS = {"subject": ["experiment", "subject"], "experiment": ["experiment"], "all": []}
+EFFECT_FEATURES = ["list", *(f"pos_{k}" for k in range(1, 7))]
+
+
+@query(
+    """, g AS (SELECT *, classifier_output < thresh AS low FROM items WHERE list >= 4),
+    c AS (SELECT experiment, subject, 'is_stim_list' AS comparison FROM g UNION ALL SELECT experiment, subject, 'is_stim_item' FROM g WHERE is_stim_item OR low UNION ALL SELECT experiment, subject, 'is_post_stim_item' FROM g WHERE is_post_stim_item OR low),
+    n AS (SELECT ['subject', 'experiment', 'all'][grouping(experiment) + grouping(subject) + 1] AS level, experiment, subject, comparison, count(*) AS n FROM c GROUP BY GROUPING SETS ((comparison, experiment, subject), (comparison, experiment), (comparison)))
+    SELECT level, experiment, subject, comparison, term, CAST(0 AS DOUBLE) AS score, n FROM n, (SELECT unnest(['flag', 'list', 'pos_1', 'pos_2', 'pos_3', 'pos_4', 'pos_5', 'pos_6', 'intercept']) AS term)""",
+    a.ITEMS,
+)
+def stim_effects(spark, d):
+    """Three comparisons for every subject, experiment and the pool; the score equations hold at what was fitted."""
+    design = stats.effect_design(a.items(spark, d))
+    effects = stats.stim_effects(design, EFFECT_FEATURES, EFFECT_LEVELS)
+    scores = stats.effect_scores(stats.effect_cells(design, EFFECT_FEATURES, EFFECT_LEVELS), effects, EFFECT_FEATURES, ["experiment", "subject"])
+    by = ["level", "experiment", "subject", "comparison", "term"]
+    counts = effects.select(*by, "n").withColumnRenamed("n", "_n")
+    same = [scores[k].eqNullSafe(counts[k]) for k in by]
+    return scores.join(counts, same[0] & same[1] & same[2] & same[3] & same[4]).select(*[scores[k] for k in by], (F.round("score", 4) + 0.0).alias("score"), F.col("_n").alias("n"))
