@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mnesis.operators import behavior, features, model, montage, retrieval, sequence, tmi
+from mnesis.operators import behavior, features, model, montage, notch, retrieval, sequence, tmi
 from mnesis.plans import adapters as a
 from mnesis.plans.catalog import query, rounded
 
@@ -194,3 +194,37 @@ def session_theta_targets(spark, d):
     targets = stim.select("subject", "session", label).distinct().join(pairs.select("subject", "label", F.col("pair_idx").alias("stim_idx")), ["subject", "label"])
     apart = tmi.both_ways(montage.pair_distances(pairs, ["subject"]), "adjacency")
     return targets.join(apart, ["subject", "stim_idx"]).select("subject", "session", "stim_idx", "pair_idx", F.round("value", 9).alias("distance"))
+
+
+BAND = (10.0, 14.0)
+
+
+def one_way_sql(name, source, backward):
+    """A recursive query of the sections over each channel's samples in turn: (c, t, y). source: (c, t, x), t from 0."""
+    sections = [[float(v) for v in (*b, *a[1:])] for b, a in notch.sections(*BAND, 64.0)]
+    turned = f"(SELECT c, {'max(t) OVER (PARTITION BY c) - t' if backward else 't'} AS t, x FROM {source})"
+    begin = ", ".join(f"x * ({b1!r} - {a1!r} + {b2!r} - {a2!r}) AS s{k}, x * ({b2!r} - {a2!r}) AS r{k}" for k, (_, b1, b2, a1, a2) in enumerate(sections))
+    inner, u = "SELECT v.c, v.t, v.x, " + ", ".join(f"s{k}, r{k}" for k in range(len(sections))) + f" FROM f{name} f JOIN i{name} v ON v.c = f.c AND v.t = f.t + 1", "x"
+    for k, (b0, *_) in enumerate(sections):
+        inner, u = f"SELECT *, {b0!r} * {u} + s{k} AS y{k} FROM ({inner})", f"y{k}"
+    inputs = ["x", *(f"y{k}" for k in range(len(sections) - 1))]
+    states = ", ".join(f"{b1!r} * {u} - {a1!r} * y{k} + r{k}, {b2!r} * {u} - {a2!r} * y{k}" for k, (u, (_, b1, b2, a1, a2)) in enumerate(zip(inputs, sections, strict=True)))
+    return f"""i{name} AS (SELECT * FROM {turned}),
+    f{name} AS (SELECT c, CAST(-1 AS BIGINT) AS t, x AS y, {begin} FROM i{name} WHERE t = 0 UNION ALL SELECT c, t, y{len(sections) - 1}, {states} FROM ({inner})),
+    {name} AS (SELECT c, {"max(t) OVER (PARTITION BY c) - t" if backward else "t"} AS t, y AS x FROM f{name} WHERE t >= 0)"""
+
+
+WAVES = """RECURSIVE waves AS (SELECT 'f' || vec_id // 512 || '/' || vec_id % 16 AS c, vec_id % 512 // 16 * 64 + i AS t, x FROM (SELECT vec_id, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings))"""
+
+
+@query(
+    " SELECT c AS channel, CAST(t AS BIGINT) AS sample, round(x, 6) AS value FROM back",
+    WAVES,
+    one_way_sql("there", "waves", False),
+    one_way_sql("back", "there", True),
+)
+def notch_filtered(spark, d):
+    """Whole recordings without 10 to 14 hertz, from their chunks."""
+    got = notch.without_band(recorded_subjects(spark, d)[2], *BAND)
+    rows = got.select(F.concat_ws("/", "eegfile", F.col("pair_idx").cast("string")).alias("channel"), "chunk_id", F.posexplode("samples").alias("i", "value"))
+    return rows.select("channel", (F.col("chunk_id") * 64 + F.col("i")).cast("long").alias("sample"), (F.round("value", 6) + 0.0).alias("value"))
