@@ -109,9 +109,17 @@ def partitions(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def select_session(df: DataFrame, session: int) -> DataFrame:
+def select_baseline_retrieval(df: DataFrame, checks=None) -> DataFrame:
+    """Baseline rows; with checks (operators.checks) there must be some."""
+    rows = df.where(baseline_retrieval())
+    return rows if checks is None else checks.some(rows, "no baseline retrieval events")
+
+
+def select_session(df: DataFrame, session: int, checks=None) -> DataFrame:
     """A session's rows; there must be some."""
     rows = df.where(in_session(session))
+    if checks is not None:
+        return checks.some(rows, f"no session {session}")
     if rows.isEmpty():
         raise ValueError(f"no session {session}")
     return rows

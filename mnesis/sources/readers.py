@@ -117,9 +117,12 @@ def artifact_detection(rows: DataFrame) -> DataFrame:
     return found.groupBy("subject", "experiment", "session").agg(F.map_from_entries(F.collect_set(F.struct("type", "mstime"))).alias("info"))
 
 
-def stim_events(rows: DataFrame) -> DataFrame:
-    """Stimulations with a recording; an error where there is none."""
+def stim_events(rows: DataFrame, checks=None) -> DataFrame:
+    """Stimulations with a recording; an error where there is none: when the block of ``checks`` (operators.checks) ends, or,
+    without checks, at once, which looks for a row first."""
     found = rows.where((F.col("type") == "STIM_ON") & (F.coalesce("eegfile", F.lit("")) != ""))
+    if checks is not None:
+        return checks.some(found, "no stimulation with a recording")
     if found.isEmpty():
         raise ValueError("no stimulation with a recording")
     return found
