@@ -1,8 +1,8 @@
 """Recall classifiers: sample weights, logistic regression, cross-validation and permutation tests.
 
 A training table has one row for each event: event_id, session, list, type, recalled, weight and an array of features. A
-fold's fits are tasks of their own: the grid of (permutations, fold) is distributed, and each task gets the group's rows, which
-are those of one subject's sessions (some thousand rows of some hundred features).
+group's rows, which are those of one subject's sessions (some thousand rows of some hundred features), meet in one task, which
+fits all its folds; where permutations are fitted, too, blocks of them are tasks of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mnesis.operators import behavior, masks, stats
 
-#: Permutations of a fold that one task fits; each task gets the group's rows once.
+#: Permutations that one task fits; each task gets the group's rows once.
 PERMUTATIONS = 50
 
 
@@ -173,52 +173,57 @@ def predict(df: DataFrame, models: DataFrame, keys: list[str]) -> DataFrame:
 def cross_validate(df: DataFrame, keys: list[str], by: str, c: float = 7.2e-4, permutations: int = 0, permute_training: bool = False, seed: int = 0, weights: str | None = None, encoding_multiplier: float = 4.375, pal_multiplier: float = 1.93) -> DataFrame:
     """Out-of-fold probabilities of word rows: (keys, perm, fold, event_id, outcome, probability). by: ``list`` leaves out a
     session's list, ``session`` a session. perm 0 has the true outcomes; in perm 1, 2, ... they are shuffled within session
-    (and list) by a hash of seed, permutation and event, for scoring, and with permute_training for learning, too. A task
-    fits up to ``PERMUTATIONS`` permutations of a fold; without permute_training a fold is fit once for all of them. weights:
+    (and list) by seed and permutation, for scoring, and with permute_training for learning, too. A task has a group's rows
+    once and fits all its folds, for up to ``PERMUTATIONS`` permutations; without permute_training a fold is fit once for all
+    of them, and one task does it. weights:
     the scheme (FR or PAL, which need a column experiment; EQUAL) by which a fold's rows are weighed, from the rows outside
     the fold alone and their true outcomes; None takes the column weight as it is."""
     types = dict(df.dtypes)
     fold_of = ["session", "list"] if by == "list" else ["session"]
-    fold = F.dense_rank().over(Window.partitionBy(*keys).orderBy(*fold_of)) - 1
-    rows = df.withColumn("fold", fold)
-    last = rows.groupBy(*keys).agg(F.max("fold").alias("_last"))
+    rows = df.withColumn("fold", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*fold_of)) - 1)
     parts = permutations // PERMUTATIONS if permute_training else 0
-    grid = last.select(*keys, F.explode(F.sequence(F.lit(0), "_last")).alias("_fold")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts))))
-    work = rows.join(grid, keys)
+    work = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts)))) if parts else rows.withColumn("_part", F.lit(0))
 
     def run(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("event_id").reset_index(drop=True)
-        part, hold = int(own["_part"].iloc[0]), int(own["_fold"].iloc[0])
+        part, fold = int(own["_part"].iloc[0]), own["fold"].to_numpy()
         perms = range(part * PERMUTATIONS, min((part + 1) * PERMUTATIONS, permutations + 1)) if permute_training else range(permutations + 1)
-        true, weight = own["recalled"].to_numpy(), own["weight"].to_numpy() if weights is None else np.ones(len(own))
-        x, out = np.stack(own["features"].to_numpy()).astype(float), (own["fold"] == hold).to_numpy()
-        test = out & (own["type"] == "WORD").to_numpy()
-        columns = [*keys, "perm", "fold", "event_id", "outcome", "probability"]
-        if not test.any() or out.all():
-            return pd.DataFrame({c: [] for c in columns}).astype({"perm": "int32", "fold": "int32"})
-        if weights in ("FR", "PAL"):
-            classes = class_of(own["experiment"].to_numpy(), own["type"].to_numpy(), true, weights == "PAL")
-            weight[~out] = weights_in_sample(classes[~out], weights == "PAL", encoding_multiplier, pal_multiplier)
+        true, word = own["recalled"].to_numpy(), (own["type"] == "WORD").to_numpy()
+        x = np.stack(own["features"].to_numpy()).astype(float)
         groups = [at for _, at in own.groupby(fold_of, sort=True).indices.items()]
-        outcomes, probabilities, w = [], [], None
+        outcomes = []
         for perm in perms:
             outcome = true.copy()
             if perm:
                 rng = np.random.default_rng([seed, perm])
                 for at in groups:
                     outcome[at] = true[rng.permutation(at)]
-            if w is None or permute_training:
-                w = fit_logistic(x[~out], (outcome if permute_training else true)[~out], weight[~out], c)
-            outcomes.append(outcome[test].astype(np.int64))
-            probabilities.append(1 / (1 + np.exp(-(x[test] @ w[:-1] + w[-1]))))
-        got = pd.concat([own.loc[test, [*keys, "event_id"]]] * len(perms), ignore_index=True)
-        got["perm"], got["fold"] = np.repeat(np.array(perms, np.int32), int(test.sum())), np.int32(hold)
-        got["outcome"], got["probability"] = np.concatenate(outcomes), np.concatenate(probabilities)
-        return got[columns]
+            outcomes.append(outcome)
+        classes = class_of(own["experiment"].to_numpy(), own["type"].to_numpy(), true, weights == "PAL") if weights in ("FR", "PAL") else None
+        found = []
+        for hold in np.unique(fold):
+            out = fold == hold
+            test = out & word
+            if not test.any() or out.all():
+                continue
+            weight = own["weight"].to_numpy()[~out] if weights is None else np.ones(int((~out).sum()))
+            if classes is not None:
+                weight = weights_in_sample(classes[~out], weights == "PAL", encoding_multiplier, pal_multiplier)
+            w, n = None, int(test.sum())
+            for perm, outcome in zip(perms, outcomes, strict=True):
+                if w is None or permute_training:
+                    w = fit_logistic(x[~out], (outcome if permute_training else true)[~out], weight, c)
+                    probability = 1 / (1 + np.exp(-(x[test] @ w[:-1] + w[-1])))
+                head = own.loc[test, [*keys, "event_id"]]
+                found.append(head.assign(perm=np.int32(perm), fold=np.int32(hold), outcome=outcome[test].astype(np.int64), probability=probability))
+        columns = [*keys, "perm", "fold", "event_id", "outcome", "probability"]
+        if not found:
+            return pd.DataFrame({c: [] for c in columns}).astype({"perm": "int32", "fold": "int32"})
+        return pd.concat(found, ignore_index=True)[columns]
 
     schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "perm int, fold int, event_id long, outcome long, probability double"])
-    needed = [*dict.fromkeys([*keys, "session", "list"]), "_part", "_fold", "fold", "event_id", "type", "recalled", *(["weight"] if weights is None else []), *(["experiment"] if weights in ("FR", "PAL") else []), "features"]
-    return work.select(*needed).groupBy(*keys, "_part", "_fold").applyInPandas(run, schema)
+    needed = [*dict.fromkeys([*keys, "session", "list"]), "_part", "fold", "event_id", "type", "recalled", *(["weight"] if weights is None else []), *(["experiment"] if weights in ("FR", "PAL") else []), "features"]
+    return work.select(*needed).groupBy(*keys, "_part").applyInPandas(run, schema)
 
 
 def scheme_of_validation(df: DataFrame, keys: list[str]) -> DataFrame:

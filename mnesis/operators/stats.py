@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -111,6 +112,34 @@ def auc(df: DataFrame, keys: list[str], score: str, outcome: str) -> DataFrame:
     return got.select(*keys, F.try_divide(F.col("u"), (F.col("np") * F.col("nq")).cast("double")).alias("auc"))
 
 
+def permuted_aucs(df: DataFrame, keys: list[str], score: str, outcome: str, within: list[str], permutations: int, seed: int = 0, tie: str = "event_id") -> DataFrame:
+    """(keys, perm, auc): AUC with true outcomes (perm 0) and with outcomes shuffled within groups of ``within``.
+
+    Scores are ranked once for each group of keys, ties by their mean rank; a group of ``within`` multiplies its ranks by the
+    matrix of its shuffled outcomes, and the sums are added up: rows are sorted once, not once a permutation. tie orders a
+    group's rows, so that reruns draw the same."""
+    by_score = Window.partitionBy(*keys).orderBy(score)
+    rank = F.rank().over(by_score) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, score)) - 1) / 2
+    types, groups = dict(df.dtypes), [*dict.fromkeys([*keys, *within])]
+    ranked = df.where(F.col(score).isNotNull() & F.col(outcome).isNotNull()).select(*groups, tie, (F.col(outcome) == 1).cast("int").alias("_hit"), rank.alias("_rank"))
+
+    def sums(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values(tie)
+        hit, ranks = own["_hit"].to_numpy(), own["_rank"].to_numpy()
+        name = zlib.crc32("|".join(str(own[g].iloc[0]) for g in groups).encode())
+        rng = np.random.default_rng([seed, name])
+        drawn = np.column_stack([hit, *(rng.permutation(hit) for _ in range(permutations))])
+        return pd.DataFrame({**{k: [own[k].iloc[0]] for k in keys}, "_s": [ranks @ drawn], "_p": [int(hit.sum())], "_n": [len(hit)]})
+
+    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "_s array<double>, _p long, _n long"])
+    parts = ranked.groupBy(*groups).applyInPandas(sums, schema)
+    sizes = parts.groupBy(*keys).agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+    total = parts.select(*keys, F.posexplode("_s").alias("perm", "_s")).groupBy(*keys, "perm").agg(F.sum("_s").alias("_s"))
+    rows = total.join(sizes, keys) if keys else total.join(F.broadcast(sizes), F.lit(True))
+    beaten, others = F.col("_s") - F.col("_p") * (F.col("_p") + 1) / 2, F.col("_n") - F.col("_p")
+    return rows.select(*keys, "perm", F.try_divide(beaten, (F.col("_p") * others).cast("double")).alias("auc"))
+
+
 def roc_curve(df: DataFrame, keys: list[str], score: str, outcome: str) -> DataFrame:
     """threshold, false and true positive rate for every distinct score, highest first."""
     each = df.groupBy(*keys, F.col(score).alias("threshold")).agg(F.sum((F.col(outcome) == 1).cast("long")).alias("p"), F.sum((F.col(outcome) != 1).cast("long")).alias("q"))

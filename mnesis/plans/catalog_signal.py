@@ -62,6 +62,32 @@ def lolo_cv(spark, d):
     return model.summary(model.cross_validate(training(spark, d), ["subject"], "list"), ["subject"]).drop("p_value")
 
 
+def by_score(spark, d):
+    """Items with scores that tie, numbered."""
+    order = ["orderkey", "serialpos", "shipdate", "partkey", "session", "price"]
+    return a.items(spark, d).select("subject", "experiment", "recalled", F.round(F.col("classifier_output") * 3 + F.col("serialpos")).cast("double").alias("score"), F.concat_ws("|", *order).alias("n"))
+
+
+@query(
+    """, t AS (SELECT subject, recalled, round(classifier_output * 3 + serialpos) AS score FROM items), r AS (SELECT *, rank() OVER (PARTITION BY subject ORDER BY score) + (count(*) OVER (PARTITION BY subject, score) - 1) / 2 AS k FROM t)
+    SELECT subject, round((sum(k) FILTER (recalled = 1) - count(*) FILTER (recalled = 1) * (count(*) FILTER (recalled = 1) + 1) / 2) / (count(*) FILTER (recalled = 1) * count(*) FILTER (recalled <> 1)), 9) AS auc, 201 AS n FROM r GROUP BY 1""",
+    a.ITEMS,
+)
+def permuted_aucs(spark, d):
+    """The true AUC, and how many were drawn, from ranks that are made once."""
+    got = stats.permuted_aucs(by_score(spark, d), ["subject"], "score", "recalled", ["experiment"], 200, tie="n")
+    return got.groupBy("subject").agg(F.round(F.max(F.when(F.col("perm") == 0, F.col("auc"))), 9).alias("auc"), F.count("auc").cast("int").alias("n"))
+
+
+@query()
+def permuted_lolo(spark, d):
+    """Leaving out lists, with outcomes shuffled within lists 200 times."""
+    rows = training(spark, d)
+    scored = model.cross_validate(rows, ["subject"], "list").join(rows.select("event_id", "session", "list"), "event_id")
+    aucs = stats.permuted_aucs(scored, ["subject"], "probability", "outcome", ["session", "list"], FRParameters().n_permutations)
+    return stats.permutation_pvalue(aucs.where("perm > 0"), aucs.where("perm = 0").drop("perm"), ["subject"])
+
+
 @query()
 def perm_cv(spark, d):
     cv = model.cross_validate(training(spark, d), ["subject"], "session", permutations=FRParameters().n_permutations, permute_training=True)

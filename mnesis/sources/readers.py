@@ -44,6 +44,56 @@ def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events",
     return rows.where(F.col("eegfile") != "") if with_eeg else rows
 
 
+def file_texts(paths: DataFrame, path: str, per_task: int = 100) -> DataFrame:
+    """paths with the text of the file that the column ``path`` names, or why it can't be read: (its columns, text, error).
+
+    Files are opened where they are dealt to, by tasks of about ``per_task`` files, so neither the driver nor the planner has
+    a list of them, and a missing file is a row, not an error. A row without a path has neither text nor error. Paths are of a
+    file system that pyarrow knows (local, HDFS, S3, GCS); for another, ``events`` lets Spark read. A file is one row, so it
+    must fit a task's memory, as a session's events do."""
+    names = [*paths.columns, "text", "error"]
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            texts, errors, size, start = [], [], 0, 0
+            at = batch.column(batch.schema.get_field_index(path)).to_pylist()
+            for i, name in enumerate(at):
+                got = why = None
+                if name is not None:
+                    try:
+                        store, inner = fs.FileSystem.from_uri(name)
+                        with store.open_input_stream(inner) as f:
+                            got = f.read().decode("utf-8", "replace")
+                    except (OSError, pa.ArrowInvalid) as e:
+                        why = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+                texts.append(got)
+                errors.append(why)
+                size += len(got or "")
+                if size > 16 << 20 or i + 1 == len(at):
+                    yield pa.RecordBatch.from_arrays([*batch.slice(start, i + 1 - start).columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())], names)
+                    texts, errors, size, start = [], [], 0, i + 1
+
+    shape = ", ".join(f"`{c}` {t}" for c, t in [*paths.dtypes, ("text", "string"), ("error", "string")])
+    return paths.repartition(max(1, -(-paths.count() // per_task)), path).mapInArrow(read, shape)
+
+
+def events_by_tasks(index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(events, unread files): as ``events``, but tasks read the files of an index of any length, see ``file_texts``. Unread
+    files are rows of the index with their path and the reason; sessions without a file aren't among them."""
+    known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.concat(F.lit(root), F.col(file_type)).alias("file"))
+    texts = file_texts(known, "file")
+    lines = F.when(F.lit(multiline), F.array("text")).otherwise(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
+    rows = texts.where(F.col("text").isNotNull()).select("subject", "experiment", "session", "file", F.explode(lines).alias("text"))
+    parsed = rows.select("subject", "experiment", "session", F.explode(F.from_json("text", T.ArrayType(schema))).alias("e"))
+    own = ("subject", "experiment", "session")
+    found = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own else F.col(f"e.{f.name}").alias(f.name) for f in schema])
+    unread = texts.where(F.col("error").isNotNull()).select(*own, "file", "error")
+    return found.where(F.col("eegfile") != "") if with_eeg else found, unread
+
+
 def parameter_search_events(rows: DataFrame) -> DataFrame:
     return rows.where("list > -1")
 

@@ -36,6 +36,27 @@ def test_fits_of_all_levels(spark):
     assert got["subject", "FR5", "A", "is_stim_list", "flag"][0] > 0.5 > -0.5 > got["subject", "FR5", "B", "is_stim_list", "flag"][0]
 
 
+def test_permuted_aucs_equal_the_sort(spark):
+    import zlib
+
+    r = np.random.default_rng(7)
+    rows = [(s, int(g), k, float(r.integers(6)), int(r.integers(2))) for s in "AB" for k, g in enumerate(r.integers(0, 5, 90))]
+    df = spark.createDataFrame(rows, "subject string, list long, event_id long, score double, outcome long")
+    got = {(q.subject, q.perm): q.auc for q in stats.permuted_aucs(df.repartition(5), ["subject"], "score", "outcome", ["list"], 7, seed=3).collect()}
+    drawn = []
+    for s in "AB":
+        for g in range(5):
+            own = sorted(q for q in rows if q[0] == s and q[1] == g)
+            own.sort(key=lambda q: q[2])
+            hit = np.array([q[4] for q in own])
+            rng = np.random.default_rng([3, zlib.crc32(f"{s}|{g}".encode())])
+            for perm, out in enumerate([hit, *(rng.permutation(hit) for _ in range(7))]):
+                drawn += [(s, perm, q[3], int(o)) for q, o in zip(own, out, strict=True)]
+    want = stats.auc(spark.createDataFrame(drawn, "subject string, perm long, score double, outcome long"), ["subject", "perm"], "score", "outcome").collect()
+    assert len(got) == len(want) == 16 and all(abs(got[q.subject, q.perm] - q.auc) < 1e-12 for q in want)
+    assert len({got["A", p] for p in range(8)}) > 4
+
+
 def test_separated_and_constant_terms(spark):
     rows = [("A", k % 2 == 0, 0.0, int(k % 2 == 0)) for k in range(20)] + [("B", k % 2 == 0, 0.0, int(k % 3 == 0)) for k in range(30)]
     df = spark.createDataFrame(rows, "subject string, is_stim_list boolean, never double, recalled long")
