@@ -63,8 +63,10 @@ class Encoder:
         missing = [i for i, ids in enumerate(got) if ids is None]
         if len(self.parts) + len(missing) > KEPT_PARTS:
             self.parts.clear()
+        tokenize, part = self.model.tokenize, self.part
         for i in missing:
-            got[i] = self.parts[texts[i]] = self.part(texts[i])
+            text = texts[i]
+            got[i] = self.parts[text] = array("I", [t.id for t in tokenize(text)]).tobytes() if text.isascii() and text.isalpha() else part(text)
         return got
 
     def direct(self, texts: list[str]) -> list[bytes]:

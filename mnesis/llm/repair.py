@@ -37,8 +37,9 @@ from mnesis.llm.encoding import encoder_of, with_ends
 
 MAGIC = b"RPG1"
 SHARD = 1 << 20
-PER_ROUND = 32_768
-SLOTS = 19
+PER_ROUND = 131_072
+#: Bits of the table of pairs: as many as a round's pairs ask for, from the least to the most.
+SLOTS = (10, 19)
 ARRAYS = ("left", "right", "lengths", "bounds", "symbols", "doc_symbols", "doc_tokens", "doc_ids", "doc_null")
 
 
@@ -59,9 +60,9 @@ def every_other(places: np.ndarray) -> np.ndarray:
     return (places - begun) % 2 == 0
 
 
-def slot_of(pair: np.ndarray) -> np.ndarray:
+def slot_of(pair: np.ndarray, bits: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+        return ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def by_frequency(pairs: np.ndarray) -> np.ndarray:
@@ -84,26 +85,27 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.
     while True:
         at = np.flatnonzero(alive[:-1] & ~last[:-1])
         pair = (symbols[at] << np.uint64(32)) | symbols[at + 1]
-        slot, counted = slot_of(pair), np.ones(len(at), bool)
+        bits = min(SLOTS[1], max(SLOTS[0], len(at).bit_length()))
+        slot, counted, slots = slot_of(pair, bits), np.ones(len(at), bool), 1 << bits
         inside = np.flatnonzero((pair[1:] == pair[:-1]) & (at[1:] == at[:-1] + 1)) + 1
         counted[inside[every_other(inside)]] = False  # of aaa, the second aa overlaps the first
-        twice = (np.bincount(slot[counted], minlength=1 << SLOTS) > 1)[slot]
+        twice = (np.bincount(slot[counted], minlength=slots) > 1)[slot]
         alive[at] = twice
         chosen = by_frequency(pair[counted & twice])[-PER_ROUND:]
         if not len(chosen):
             break
         while True:
-            table = np.full(1 << SLOTS, ~np.uint64(0))
-            table[slot_of(chosen)] = chosen  # of two pairs in a slot the more frequent stays, the other waits for the next round
+            table = np.full(slots, ~np.uint64(0))
+            table[slot_of(chosen, bits)] = chosen  # of two pairs in a slot the more frequent stays, the other waits for the next round
             use = np.flatnonzero(table[slot] == pair)
             use = use[every_other(at[use])]
-            count = np.bincount(slot[use], minlength=1 << SLOTS)
+            count = np.bincount(slot[use], minlength=slots)
             made = np.flatnonzero(count >= 2)
             if len(made):
                 break
             chosen = rng.permutation(chosen)[: -(-len(chosen) // 2)]  # all were in each other's way; one alone never is
         made = made[np.argsort(table[made])]
-        number = np.zeros(1 << SLOTS, np.uint64)
+        number = np.zeros(slots, np.uint64)
         number[made] = np.arange(len(made), dtype=np.uint64) + np.uint64(base + bounds[-1])
         use = use[count[slot[use]] >= 2]
         place = at[use]
@@ -141,7 +143,7 @@ def expand(g: Grammar, symbols: np.ndarray) -> np.ndarray:
 
 
 def to_bytes(arrays: dict[str, np.ndarray], base: int) -> bytes:
-    packed = {k: zstandard.ZstdCompressor(level=3).compress(arrays[k].tobytes()) for k in ARRAYS}
+    packed = {k: zstandard.ZstdCompressor(level=1).compress(arrays[k].tobytes()) for k in ARRAYS}
     head = json.dumps({"base": base, "arrays": [[k, arrays[k].dtype.str, len(packed[k])] for k in ARRAYS]}).encode()
     return MAGIC + struct.pack("<I", len(head)) + head + b"".join(packed[k] for k in ARRAYS)
 
