@@ -72,6 +72,19 @@ def fr_summary(df: DataFrame, keys: list[str]) -> DataFrame:
     ).withColumn("percent_recalled", safe_divide(100.0 * F.col("num_correct"), F.col("num_words")))
 
 
+def intrusion_events(df: DataFrame) -> DataFrame:
+    """Recalls of words that their list doesn't have: of earlier lists (intrusion over 0) or of none (-1)."""
+    return df.where(masks.kind("REC_WORD") & (F.col("intrusion") != -999) & (F.col("intrusion") != 0))
+
+
+def repetition_ratios(events: DataFrame, subjects: DataFrame | None = None, experiment: str = "catFR1", order: tuple[str, ...] = ("mstime", "type")) -> DataFrame:
+    """(subject, session, list, ratio) of an experiment's recalled rows, of all its subjects or of those of a table, such as
+    ``readers.subjects_of`` an index; null for a list with one recall."""
+    rows = events.where((F.col("experiment") == experiment) & masks.recalled())
+    rows = rows if subjects is None else rows.join(subjects.select("subject"), "subject", "left_semi")
+    return sequence.repetition_ratio(rows, ["subject", "session", "list"], list(order))
+
+
 def recall_by_serialpos(items: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return items.groupBy(*keys, "serialpos").agg(F.avg("recalled").alias("probability"))
 

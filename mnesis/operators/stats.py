@@ -78,6 +78,23 @@ def paired_t(df: DataFrame, keys: list[str], before: str, after: str, least: int
     return got.select(*keys, "n", F.try_divide(F.col("_m"), F.col("_s") / F.sqrt(F.col("n").cast("double"))).alias("t_stat"), (F.col("n") - 1).alias("df"))
 
 
+#: The list number of stimulations before the first list, and how many of them a session's test needs.
+ARTIFACT_LIST, LEAST_STIMULATIONS = -999, 30
+
+
+def stim_tstats(stim: DataFrame, before: DataFrame, after: DataFrame, keys: list[str], before_experiment: bool = True, least: int = LEAST_STIMULATIONS) -> DataFrame:
+    """(keys, pair_idx, n, t_stat, p_value) of the paired change of channels' mean levels from before to after stimulation.
+    stim: (keys, event_id, list); before and after: (event_id, pair_idx, samples). With before_experiment only stimulations of
+    list -999 count, and groups of keys with fewer than ``least`` of them have no rows."""
+    events = stim.where(F.col("list") == ARTIFACT_LIST) if before_experiment else stim
+    if before_experiment:
+        events = events.join(events.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= least).select(*keys), keys, "left_semi")
+    level = lambda t, name: t.select("event_id", "pair_idx", F.try_divide(F.aggregate("samples", F.lit(0.0), lambda s, x: s + x), F.size("samples")).alias(name))
+    rows = level(before, "pre").join(level(after, "post"), ["event_id", "pair_idx"]).join(events.select(*keys, "event_id"), "event_id")
+    got = paired_t(rows, [*keys, "pair_idx"], "pre", "post")
+    return got.select(*keys, "pair_idx", "n", "t_stat", tails.t_pvalue("t_stat", F.col("df").cast("double")).alias("p_value"))
+
+
 def levene(df: DataFrame, keys: list[str], before: str, after: str) -> DataFrame:
     """Levene's statistic of two columns' spreads about their medians, with its degrees of freedom."""
     long = df.select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("g"), F.col(before).alias("x")), F.struct(F.lit(1).alias("g"), F.col(after).alias("x")))).alias("s")).select(*keys, "s.*").where("x IS NOT NULL")

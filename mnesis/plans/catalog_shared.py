@@ -191,3 +191,37 @@ def stim_effects(spark, d):
     counts = effects.select(*by, "n").withColumnRenamed("n", "_n")
     same = [scores[k].eqNullSafe(counts[k]) for k in by]
     return scores.join(counts, same[0] & same[1] & same[2] & same[3] & same[4]).select(*[scores[k] for k in by], (F.round("score", 4) + 0.0).alias("score"), F.col("_n").alias("n"))
+
+
+@query("SELECT seq, subject, session, list, intrusion FROM shared_log WHERE type = 'REC_WORD' AND intrusion NOT IN (0, -999)", a.FULL_LOG, a.SHARED_LOG)
+def intrusion_events(spark, d):
+    return behavior.intrusion_events(a.shared_log(spark, d)).select("seq", "subject", "session", "list", "intrusion")
+
+
+@query(
+    """, r AS (SELECT subject, session, list, CAST(category_num = lag(category_num) OVER (PARTITION BY subject, session, list ORDER BY mstime, seq) AS INTEGER) AS same FROM shared_log WHERE experiment = 'catFR1' AND recalled = 1 AND subject IN ('S0', 'S2', 'S4'))
+    SELECT subject, session, list, round(sum(same) / count(same), 9) AS ratio FROM r GROUP BY ALL""",
+    a.FULL_LOG,
+    a.SHARED_LOG,
+)
+def repetition_ratios(spark, d):
+    """Of every second subject of the log, as an index would name them."""
+    log = a.shared_log(spark, d)
+    named = log.select("subject").distinct().where(F.substring("subject", 2, 1).cast("int") % 2 == 0)
+    return rounded(behavior.repetition_ratios(log, named, order=("mstime", "seq")), "ratio")
+
+
+@query(
+    """, e AS (SELECT vec_id // 4 AS event_id, vec_id % 4 AS pair_idx, vec_id // 4 % 3 AS session, list_avg(list_transform(embedding[1:32], lambda x: CAST(x AS DOUBLE))) AS pre, list_avg(list_transform(embedding[33:64], lambda x: CAST(x AS DOUBLE))) AS post FROM embeddings),
+    k AS (SELECT * FROM e WHERE event_id % 3 < 2 AND NOT (session = 1 AND event_id // 3 >= 20))
+    SELECT session, pair_idx, count(*) AS n, round(avg(post - pre) / (stddev_samp(post - pre) / sqrt(count(*))), 6) AS t_stat FROM k WHERE session <> 1 GROUP BY 1, 2""",
+    "one AS (SELECT 1)",
+)
+def stim_tstats(spark, d):
+    """Channels around the stimulations before the first list; one session has too few of them, another none."""
+    e = a.table(spark, d, "embeddings").select(F.floor(F.col("vec_id") / 4).alias("event_id"), (F.col("vec_id") % 4).alias("pair_idx"), F.transform("embedding", lambda x: x.cast("double")).alias("s"))
+    early = (F.col("event_id") % 3 < 2) & ~((F.col("session") == 1) & (F.floor(F.col("event_id") / 3) >= 20))
+    stim = e.select("event_id", (F.col("event_id") % 3).alias("session")).distinct().withColumn("list", F.when(early, -999).otherwise(1))
+    half = lambda start: e.select("event_id", "pair_idx", F.slice("s", start, 32).alias("samples"))
+    got = stats.stim_tstats(stim, half(1), half(33), ["session"])
+    return got.select("session", "pair_idx", "n", F.round("t_stat", 6).alias("t_stat"))

@@ -92,3 +92,27 @@ def test_reports_hold_all_subjects(spark, two):
     events = clean.fill_subject(two, ["file"]).withColumn("category_num", F.col("serialpos"))
     got = reports.behaviour(events)["session_summary"].collect()
     assert sorted((r.subject, r.num_words) for r in got) == [("A", 9), ("B", 9)] and masks.encoding() is not None
+
+
+def test_stimulations_before_the_first_list(spark):
+    import math
+
+    rows = [(s, e + 100 * s, -999 if e < (40 if s == 0 else 29) else 3) for s in (0, 1) for e in range(60)]
+    stim = spark.createDataFrame(rows, "session long, event_id long, list long")
+    before = spark.createDataFrame([(e, p, [0.0, 1.0 * (e % 3)]) for _, e, _ in rows for p in (0, 1)], "event_id long, pair_idx int, samples array<double>")
+    after = spark.createDataFrame([(e, p, [float(p) + e % 5, 2.0]) for _, e, _ in rows for p in (0, 1)], "event_id long, pair_idx int, samples array<double>")
+    got = {(r.session, r.pair_idx): r for r in stats.stim_tstats(stim, before, after, ["session"]).collect()}
+    assert set(got) == {(0, 0), (0, 1)} and got[0, 0].n == 40  # the other session has 29 of them
+    d = [(1 + e % 5 + 2) / 2 - (e % 3) / 2 for e in range(40)]
+    m = sum(d) / 40
+    want = m / (math.sqrt(sum((x - m) ** 2 for x in d) / 39) / math.sqrt(40))
+    assert abs(got[0, 1].t_stat - want) < 1e-9 and got[0, 1].p_value < 1e-6
+    assert stats.stim_tstats(stim, before, after, ["session"], before_experiment=False).where("session = 1").first().n == 60
+
+
+def test_intrusions_and_ratios_of_an_index(spark):
+    rows = [("A", 0, 1, "catFR1", "REC_WORD", k, i, 1, c) for k, (i, c) in enumerate([(0, 1), (2, 1), (-1, 2), (-999, 2)])] + [("A", 0, 1, "catFR1", "WORD", 9, 3, 0, 1), ("B", 0, 1, "catFR1", "REC_WORD", 1, 0, 1, 1), ("A", 0, 2, "FR1", "REC_WORD", 1, 0, 1, 1)]
+    df = spark.createDataFrame(rows, "subject string, session long, list long, experiment string, type string, mstime long, intrusion long, recalled long, category_num long")
+    assert sorted(r.intrusion for r in behavior.intrusion_events(df).collect()) == [-1, 2]
+    assert [tuple(r) for r in behavior.repetition_ratios(df, spark.createDataFrame([("A",)], "subject string")).collect()] == [("A", 0, 1, 2 / 3)]
+    assert {r.subject: r.ratio for r in behavior.repetition_ratios(df).collect()} == {"A": 2 / 3, "B": None}
