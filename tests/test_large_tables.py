@@ -29,3 +29,12 @@ def test_a_small_atlas_is_one_of_few_places(spark):
     electrodes = spark.range(20).select("id", *[(F.col("id") % 7).cast("double").alias(c) for c in "xyz"])
     near = montage.nearest_region(electrodes, voxels, "id", small=10)
     assert "MapInPandas" in near._jdf.queryExecution().toString() and sorted({q.region for q in near.collect()}) == [0, 1, 2, 3, 4]
+
+
+def test_pair_distances_in_blocks(spark):
+    """A group of several blocks has each of its pairs once, and its work is dealt to as many tasks as it needs."""
+    df = spark.range(90).select(F.col("id").alias("pair_idx"), F.when(F.col("id") < 70, "a").otherwise("b").alias("g"), *[(F.col("id") * k % 17).cast("double").alias(c) for k, c in enumerate("xyz", 1)])
+    got = montage.pair_distances(df, ["g"], block=8).collect()
+    assert len(got) == len({(q.g, q.i, q.j) for q in got}) == 70 * 69 // 2 + 20 * 19 // 2
+    at = {q.pair_idx: np.array([q.x, q.y, q.z]) for q in df.collect()}
+    assert all(q.i < q.j and abs(q.distance - np.linalg.norm(at[q.i] - at[q.j])) < 1e-9 for q in got)
