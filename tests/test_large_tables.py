@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mnesis.operators import montage
+from mnesis.sources import store
 
 
 @pytest.mark.parametrize("small", [0, 5000])
@@ -38,3 +39,17 @@ def test_pair_distances_in_blocks(spark):
     assert len(got) == len({(q.g, q.i, q.j) for q in got}) == 70 * 69 // 2 + 20 * 19 // 2
     at = {q.pair_idx: np.array([q.x, q.y, q.z]) for q in df.collect()}
     assert all(q.i < q.j and abs(q.distance - np.linalg.norm(at[q.i] - at[q.j])) < 1e-9 for q in got)
+
+
+def test_saves_replace_sessions_without_a_folder_each(spark, tmp_path):
+    """Files go with rows, not sessions; a later save replaces the sessions it has and no others, append adds to them."""
+    root = f"{tmp_path}/db"
+    rows = spark.range(400).select((F.col("id") % 7).cast("string").alias("subject"), F.lit("FR1").alias("experiment"), (F.col("id") % 200).alias("session"), F.lit(1).alias("n"))
+    store.save(rows, root, "items")
+    store.save(rows.where("session < 3 or session > 250").withColumn("n", F.lit(2)), root, "items")
+    store.save(rows.where("session = 5").withColumn("n", F.lit(3)), root, "items", mode="append")
+    assert len(list(tmp_path.rglob("*.parquet"))) < 20
+    got = store.load(spark, root, "items")
+    assert got.columns == rows.columns and {(q["session"], q["n"]): q["count"] for q in got.groupBy("session", "n").count().collect()} == {**{(k, 2 if k < 3 else 1): 2 for k in range(200)}, (5, 3): 2}
+    wanted = spark.createDataFrame([("1", "FR1", 1), ("1", "FR1", 500)], "subject string, experiment string, session long")
+    assert store.load(spark, root, "items", wanted).count() == 1 and [q.session for q in store.missing(spark, root, "items", wanted).collect()] == [500]
