@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mnesis.operators import montage
+from mnesis.operators import montage, stats
 from mnesis.sources import store
 
+RATES = (0.02, 0.2)
+
 
 @pytest.mark.parametrize("small", [0, 5000])
 def test_nearest_region_of_repeated_places_and_keys(spark, small):
@@ -53,3 +55,14 @@ def test_saves_replace_sessions_without_a_folder_each(spark, tmp_path):
     assert got.columns == rows.columns and {(q["session"], q["n"]): q["count"] for q in got.groupBy("session", "n").count().collect()} == {**{(k, 2 if k < 3 else 1): 2 for k in range(200)}, (5, 3): 2}
     wanted = spark.createDataFrame([("1", "FR1", 1), ("1", "FR1", 500)], "subject string, experiment string, session long")
     assert store.load(spark, root, "items", wanted).count() == 1 and [q.session for q in store.missing(spark, root, "items", wanted).collect()] == [500]
+
+
+def test_scores_of_many_rows_are_zero(spark):
+    """A fit ends where the score equations hold, not where they nearly hold in proportion to the rows."""
+    chance = F.when(F.col("is_stim_list"), F.lit(RATES[0])).otherwise(F.lit(RATES[1]))
+    df = spark.range(3_000_000).select((F.col("id") % 2 == 0).alias("is_stim_list"), (F.col("id") % 7).cast("double").alias("place"), F.col("id"))
+    df = df.select("is_stim_list", "place", (F.floor(F.col("id") / 14) % 1000 < chance * 1000 + F.col("place") * 20).cast("long").alias("recalled"))
+    names = {"all": []}, {"is_stim_list": None}
+    got = stats.stim_effects(df, ["place"], *names)
+    scores = stats.effect_scores(stats.effect_cells(df, ["place"], *names), got, ["place"], []).collect()
+    assert len(scores) == 3 and all(abs(q.score) < 5e-5 for q in scores) and got.first().converged
