@@ -66,3 +66,13 @@ def test_scores_of_many_rows_are_zero(spark):
     got = stats.stim_effects(df, ["place"], *names)
     scores = stats.effect_scores(stats.effect_cells(df, ["place"], *names), got, ["place"], []).collect()
     assert len(scores) == 3 and all(abs(q.score) < 5e-5 for q in scores) and got.first().converged
+
+
+def test_adjusted_p_takes_one_pass(spark):
+    """A frame that reaches to the end is read anew for each row; results are those of the plain formula."""
+    df = spark.range(50).select(F.col("id"), (F.col("id") * 7 % 20 / 20).alias("p"))
+    got = stats.benjamini_hochberg(df, "p")
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower().replace("specifiedwindowframe(rowframe, unboundedpreceding$(), unboundedfollowing$())", "").replace("unboundedpreceding$(), unboundedfollowing$()", "")
+    p = sorted((q.p, q.id) for q in df.collect())
+    want = {i: min(1.0, min(p[k][0] * 50 / (k + 1) for k in range(r, 50))) for r, (_, i) in enumerate(p)}
+    assert all(abs(q.adjusted - want[q.id]) < 1e-12 for q in got.collect())
