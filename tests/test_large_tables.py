@@ -68,6 +68,17 @@ def test_scores_of_many_rows_are_zero(spark):
     assert len(scores) == 3 and all(abs(q.score) < 5e-5 for q in scores) and got.first().converged
 
 
+def test_outcomes_shuffled_over_slices(spark):
+    """Groups of many rows are dealt to tasks: the true AUC stays, drawings of all slices together have the moments of a
+    shuffle within groups, and reruns agree."""
+    df = spark.range(600).select(F.lit("A").alias("subject"), (F.col("id") % 2).alias("list"), F.col("id").alias("event_id"), (F.col("id") * 7 % 31).cast("double").alias("score"), (F.col("id") % 5 == 0).cast("long").alias("outcome"))
+    draw = lambda most: {q.perm: q.auc for q in stats.permuted_aucs(df.repartition(3), ["subject"], "score", "outcome", ["list"], 300, most=most).collect()}
+    whole, dealt = draw(1000), draw(25)
+    assert len(dealt) == 301 and abs(whole[0] - dealt[0]) < 1e-12 and dealt == draw(25)
+    a, b = (np.array([v for k, v in sorted(x.items()) if k]) for x in (whole, dealt))
+    assert abs(a.mean() - b.mean()) < 0.01 and 0.8 < a.std() / b.std() < 1.25 and len(set(b)) > 100
+
+
 def test_adjusted_p_takes_one_pass(spark):
     """A frame that reaches to the end is read anew for each row; results are those of the plain formula."""
     df = spark.range(50).select(F.col("id"), (F.col("id") * 7 % 20 / 20).alias("p"))
