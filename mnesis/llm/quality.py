@@ -5,7 +5,7 @@ marks that a word is made of, hashed), of words that repeat the one before, of d
 logarithms of its sizes. The model gives a document the score w . x; of a good and a bad document, the good one is
 preferred with the probability of the logistic function of w . (x_good - x_bad), and w minimises the logistic loss over
 many such pairs, with an L2 term. No bias is learnt, as it cancels in differences; the threshold comes from the scores
-themselves: it is their quantile at the share of bad documents in the sample. A score is reported on a scale from 0 to
+themselves: it is their quantile at the share of bad documents among all labelled rows. A score is reported on a scale from 0 to
 1 on which the threshold is ``CUT``.
 
 Defined results: a null or empty text has the description of no words, all shares zero, and its score; repeated rows get
@@ -29,8 +29,8 @@ from mnesis.llm.toxicity import training_rows
 
 CUT = 0.3
 SHAPES = 256
-#: The bound of the training sample, and how many pairs each of its documents takes part in.
-MAX_DOCS, PAIRS = 20_000, 4
+#: About how many labelled rows a task learns from at once, and how many pairs each of them takes part in.
+PART_DOCS, PAIRS = 20_000, 4
 STEPS, L2 = 150, 1e-4
 OWN = 9
 
@@ -106,9 +106,12 @@ def bradley_terry(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, steps: in
     return w * scale
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep=None, max_docs: int = MAX_DOCS) -> tuple[np.ndarray, float, float]:
-    """(weights, threshold, scale): learnt from at most about max_docs labelled rows, in one task, from their
-    descriptions alone."""
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep=None, max_docs: int | None = None) -> tuple[np.ndarray, float, float]:
+    """(weights, threshold, scale), learnt from the descriptions of all labelled rows (max_docs: of at most about so many).
+
+    Rows are dealt by hash to parts of about PART_DOCS, of both labels alike. Each part ranks its own pairs in a task, and the
+    weights are the parts' mean by their rows; a table that fits one part is learnt whole. The threshold and the scale are
+    quantiles over the scores of all rows, in Spark."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -116,23 +119,33 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", keep=None, m
             rows = [pa.array([v.astype(np.float32).tobytes() for v in x], pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), *rows], ["doc_id", "label", "x"])
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), pa.schema([("doc_id", pa.int64()), ("label", pa.float64()), ("x", pa.binary())]))
+    def matrix(x: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
+        return np.frombuffer(b"".join(x.to_pylist()), np.float32).reshape(n, SHAPES + OWN).astype(np.float64)
+
+    def learn(held: pa.Table) -> pa.Table:
         held = held.sort_by([("doc_id", "ascending"), ("x", "ascending")])  # so that reruns learn from the same pairs
-        x = np.frombuffer(b"".join(held.column("x").to_pylist()), np.float32).reshape(held.num_rows, SHAPES + OWN).astype(np.float64)
-        good = held.column("label").to_numpy() == 1
-        w = bradley_terry(x, good)
-        s = x @ w
-        threshold, scale = -np.inf, 1.0
-        if good.any() and not good.all():
-            threshold = float(np.quantile(s, 1 - good.mean()))
-            below, above = np.median(s[~good]), np.median(s[good])
-            scale = 6.0 / max(float(above - below), 1e-9)
-        yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([threshold]), pa.array([scale])], ["w", "threshold", "scale"])
-
-    sample = settled(training_rows(docs, labels, label, max_docs, keep).mapInArrow(describe, "doc_id long, label double, x binary"), "quality")
-    row = sample.repartition(1).mapInArrow(learn, "w binary, threshold double, scale double").first()
-    return (np.zeros(SHAPES + OWN), float("-inf"), 1.0) if row is None else (np.frombuffer(row.w), row.threshold, row.scale)
+        w = bradley_terry(matrix(held.column("x"), held.num_rows), held.column("label").to_numpy() == 1)
+        return pa.table({"part": held.column("part")[:1], "n": pa.array([held.num_rows], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
+
+    rows = settled(training_rows(docs, labels, label, max_docs, keep).mapInArrow(describe, "doc_id long, label double, x binary"), "quality")
+    kinds = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    none = (np.zeros(SHAPES + OWN), float("-inf"), 1.0)
+    if len(kinds) < 2:
+        return none
+    parts = -(-sum(kinds.values()) // PART_DOCS)
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)))
+    learnt = dealt.groupBy("part").applyInArrow(learn, "part long, n long, w binary").orderBy("part").collect()
+    w = np.average([np.frombuffer(r.w) for r in learnt], axis=0, weights=[r.n for r in learnt])
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(matrix(b.column("x"), b.num_rows) @ w)], ["label", "s"])
+
+    # in steps of 1e-5, so that quantiles hold a count for each step and not every score
+    of = rows.select("label", "x").mapInArrow(scores, "label double, s double").withColumn("s", F.round("s", 5))
+    share = kinds[1.0] / sum(kinds.values())
+    got = of.agg(F.percentile("s", F.lit(1 - share)).alias("cut"), F.median(F.when(F.col("label") == 0, F.col("s"))).alias("below"), F.median(F.when(F.col("label") == 1, F.col("s"))).alias("above")).first()
+    return w, float(got.cut), 6.0 / max(float(got.above - got.below), 1e-9)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float, float], keep: list[str] | None = None, name: str = "score") -> DataFrame:

@@ -21,23 +21,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnesis.llm.common import mix, shared_folder, slices, word_codes
+from mnesis.llm.common import mix, settled, slices, word_codes
 
 STEMS = (4, 6)
-#: Files of the training sample.
-PARTS = 16
+#: About how many labelled rows a task learns from, and how many turns they take.
+PART_DOCS, PARTS = 20_000, 16
 MARKS = re.compile(r"[^\w\n]+|_+")
 
 
 @dataclass(frozen=True)
 class Ftrl:
     """bits: of a feature's hash. alpha, beta: of the rates. l1, l2: of the penalties. epochs: passes over the sample.
-    max_docs: labelled rows that are learnt from, chosen by hash; the bound of the training sample."""
+    max_docs: labelled rows that are learnt from, chosen by hash; all of them if it is None."""
 
     bits: int = 20
     alpha: float = 3.0
@@ -45,7 +43,7 @@ class Ftrl:
     l1: float = 5.0
     l2: float = 0.1
     epochs: int = 4
-    max_docs: int = 20_000
+    max_docs: int | None = None
 
 
 def word_hashes(words: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -97,50 +95,55 @@ class State:
         self.n[at] = n + slope * slope
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, p_docs: int, keep=None) -> DataFrame:
-    """(doc_id, text, label) of at most about ``p_docs`` labelled rows for which the column ``keep`` holds. The rows are chosen by
-    hash, so their number alone bounds what is broadcast."""
+def labelled(labels: DataFrame, label: str, keep=None) -> DataFrame:
+    """(doc_id, label) of the usable labels, one row a document."""
     keep = F.lit(True) if keep is None else keep
-    usable = labels.where(keep & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
+    return labels.where(keep & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, p_docs: int | None, keep=None) -> DataFrame:
+    """(doc_id, text, label) of all labelled rows for which the column ``keep`` holds or, with ``p_docs``, of at most about so
+    many, which are chosen by hash and broadcast."""
+    usable = labelled(labels, label, keep)
+    if p_docs is None:
+        return docs.select("doc_id", "text").join(usable, "doc_id")
     share = min(1.0, p_docs / max(1, usable.count()))
     chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep=None, p: Ftrl = Ftrl()) -> tuple[np.ndarray, np.ndarray]:
-    """Coordinates and weights that aren't zero, the bias last. The features of the sample are written in hash order to
-    files in the shared folder. Learning is one task that reads them as often as there are epochs, a row at a time; only the
-    sums of the coordinates stay in its memory, and only the weights come to the driver."""
+    """Coordinates and weights that aren't zero, the bias last, learnt from all labelled rows (with ``max_docs``, of at most about
+    so many).
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+    Rows are dealt by hash to parts of about PART_DOCS. Each part is learnt in a task, a row at a time in hash order; the
+    weights are the parts' mean by their rows, added up in Spark, and only they come to the driver. A table that fits one part
+    is learnt whole."""
+
+    def learn(held: pa.Table) -> pa.Table:
+        held = held.sort_by([(c, "ascending") for c in ("file", "turn", "o", "doc_id", "h")]).combine_chunks()
+        s, bias, found = State(p), np.array([1 << p.bits]), []
+        for b in slices(iter(held.to_batches())):
             row, at = features(b.column("text"), p.bits)
-            ends = np.searchsorted(row, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.ListArray.from_arrays(ends, at.astype(np.int32))], ["doc_id", "label", "at"])
-
-    folder = shared_folder(docs.sparkSession, "toxicity")
-    sample = training_rows(docs, labels, label, p.max_docs, keep).mapInArrow(featured, "doc_id long, label double, at array<int>")
-    order = [F.xxhash64("doc_id", F.lit(5)), "doc_id", F.xxhash64("at")]
-    sample.withColumn("turn", F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(PARTS))).repartition(PARTS, "turn").sortWithinPartitions("turn", *order).select("label", "at").write.parquet(folder)
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _ in batches:
-            s, bias = State(p), np.array([1 << p.bits])
-            store, path = pafs.FileSystem.from_uri(folder)
-            files = sorted(f.path for f in store.get_file_info(pafs.FileSelector(path)) if f.base_name.startswith("part-"))
-            for name in [*files] * p.epochs:
-                with store.open_input_file(name) as f:
-                    for b in pq.ParquetFile(f).iter_batches(256):
-                        lists, ys = b.column("at"), b.column("label").to_numpy()
-                        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-                        for i, y in enumerate(ys):
-                            s.learn(np.concatenate((flat[ends[i] : ends[i + 1]], bias)), y)
-            w = s.weights()
-            at = np.union1d(np.flatnonzero(w), bias)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(w[at])], ["at", "w"])
-
-    rows = docs.sparkSession.range(0, 1, 1, 1).mapInArrow(learn, "at long, w double").collect()
-    return np.array([r.at for r in rows], np.int64), np.array([r.w for r in rows])
+            ends, at = np.searchsorted(row, np.arange(b.num_rows + 1)), at.astype(np.int32)
+            found += [(at[ends[i] : ends[i + 1]], y) for i, y in enumerate(b.column("label").to_numpy())]
+        for _ in range(p.epochs):
+            for at, y in found:
+                s.learn(np.concatenate((at, bias)), y)
+        w = s.weights()
+        at = np.union1d(np.flatnonzero(w), bias)
+        return pa.table({"part": pa.array([held.column("part")[0].as_py()] * len(at), pa.int64()), "n": pa.array([held.num_rows] * len(at), pa.int64()), "at": pa.array(at.astype(np.int64)), "w": pa.array(w[at])})
+
+    sizes = labelled(labels, label, keep).agg(F.count("*")).first()[0]
+    parts = max(1, -(-min(sizes, p.max_docs or sizes) // PART_DOCS))
+    turn = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(PARTS))
+    order = [F.pmod(F.hash(turn), F.lit(PARTS)).alias("file"), turn.alias("turn"), F.xxhash64("doc_id", F.lit(5)).alias("o"), F.xxhash64("text").alias("h")]
+    rows = training_rows(docs, labels, label, p.max_docs, keep).select("doc_id", "label", "text", *order, F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(parts)).alias("part"))
+    models = settled(rows.groupBy("part").applyInArrow(learn, "part long, n long, at long, w double"), "toxicity")
+    total = models.select("part", "n").distinct().agg(F.sum("n")).first()[0] or 1
+    got = sorted(models.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("part", (F.col("w") * F.col("n")).alias("x")))).alias("l")).select("at", F.aggregate("l", F.lit(0.0), lambda x, v: x + v["x"]).alias("w")).collect())
+    got = got or [(1 << p.bits, 0.0)]
+    return np.array([r[0] for r in got], np.int64), np.array([r[1] for r in got]) / total
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], p: Ftrl = Ftrl(), keep: list[str] | None = None, name: str = "score") -> DataFrame:

@@ -154,3 +154,22 @@ def test_bradley_terry_orders_by_the_feature_that_tells():
     w = quality.bradley_terry(x, good)
     s = x @ w
     assert np.median(s[good]) > np.median(s[~good]) and abs(w[2]) == max(abs(w))
+
+
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """Parts together have all rows; a mark that one row in a part alone has moves the model, and so does the threshold."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(90).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("vile words here w"), F.col("id").cast("string"))).otherwise(F.concat(F.lit("A nice day. w"), F.col("id").cast("string"))).alias("text"))
+    labels = df.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"), (F.col("doc_id") % 3 != 0).cast("int").alias("quality"))
+    for module in (toxicity, quality):
+        monkeypatch.setattr(module, "PART_DOCS", 20)
+    assert toxicity.training_rows(df, labels, "toxic", toxicity.Ftrl().max_docs).count() == 90
+    at, w = toxicity.fit(df, labels, p=toxicity.Ftrl(l1=0.0))
+    _, own = toxicity.features(pa.array([f"w{i}" for i in range(90)]), 20)
+    assert set(own) <= set(at[w != 0]) and at[-1] == 1 << 20
+    scores = {r.doc_id: r.score for r in toxicity.score(df, (at, w)).collect()}
+    assert min(v for k, v in scores.items() if k % 3 == 0) > max(v for k, v in scores.items() if k % 3)
+    weights, threshold, _ = quality.fit(df, labels)
+    s = quality.described(pa.array([r.text for r in df.orderBy("doc_id").collect()])) @ weights
+    assert abs(np.quantile(s, 1 / 3) - threshold) < 2e-5
