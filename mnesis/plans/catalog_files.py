@@ -14,12 +14,14 @@ from mnesis.sources import readers, scratch, store
 
 #: Files of a written index, pair tables and configurations.
 FILES = 5
+#: Files that a task writes.
+FILES_A_TASK = 500
 
 
 def written(df, spark, name):
-    """df's one text column as files, one row each; their folder."""
+    """df's one text column as files, one row each, by tasks of some hundred files; their folder."""
     path = scratch.folder(spark, name)
-    df.write.option("maxRecordsPerFile", 1).text(path)
+    df.repartition(max(1, -(-df.count() // FILES_A_TASK))).write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 

@@ -87,3 +87,13 @@ def test_adjusted_p_takes_one_pass(spark):
     p = sorted((q.p, q.id) for q in df.collect())
     want = {i: min(1.0, min(p[k][0] * 50 / (k + 1) for k in range(r, 50))) for r, (_, i) in enumerate(p)}
     assert all(abs(q.adjusted - want[q.id]) < 1e-12 for q in got.collect())
+
+
+def test_files_are_written_by_many_tasks(spark, monkeypatch):
+    """A table of one partition still has its files written by several tasks."""
+    from mnesis.plans import catalog_files
+
+    monkeypatch.setattr(catalog_files, "FILES_A_TASK", 5)
+    path = catalog_files.written(spark.range(30).coalesce(1).select(F.col("id").cast("string").alias("value")), spark, "many")
+    names = spark.read.text(path).select(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task"), F.input_file_name().alias("file"), "value").collect()
+    assert len({q.file for q in names}) == len({q.value for q in names}) == 30 and len({q.task for q in names}) == 6
