@@ -7,13 +7,49 @@ hundred recalls and intervals.
 
 from __future__ import annotations
 
-import pandas as pd
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from mnesis.operators import masks, sequence
 
 
+def by_session(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[list[tuple]], list[tuple]], schema: str, rows: int = 10_000) -> DataFrame:
+    """fn(rows) of each session, its rows being tuples of df's other columns in ``order``: keys and the columns of schema.
+
+    Sessions are small and many, so a task walks through its sessions in their order and hands results on in batches of about
+    ``rows``; a table for each session would cost more than what is done with it."""
+    own = [c for c in df.columns if c not in keys]
+    whole = StructType([*[df.schema[k] for k in keys], *StructType.fromDDL(schema)])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, key, held, out = to_arrow_schema(whole), None, [], []
+
+        def shaped() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out), kinds)], schema=kinds)
+
+        for b in batches:
+            columns = [c.to_pylist() for c in b.columns]
+            for k, row in zip(zip(*columns[: len(keys)]), zip(*columns[len(keys) :])):
+                if k != key:
+                    out += [(*key, *x) for x in fn(held)] if held else []
+                    key, held = k, []
+                    if len(out) >= rows:
+                        yield shaped()
+                        out.clear()
+                held.append(row)
+        out += [(*key, *x) for x in fn(held)] if held else []
+        if out:
+            yield shaped()
+
+    return df.select(*keys, *own).repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(walk, whole)
+
+
 def with_recall_starts(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Trials without a REC_START get one at their first recall's mstime - rectime."""
     trial = [*keys, "list"]
@@ -53,7 +89,12 @@ class FreeTime:
             self.spans.setdefault(trial, []).append((begin, end))
 
     def holds(self, trial: int, start: int, stop: int) -> bool:
-        return any(b <= start and stop <= e for b, e in self.spans[trial])
+        for b, e in self.spans[trial]:  # in order
+            if b > start:
+                return False
+            if stop <= e:
+                return True
+        return False
 
     def take(self, trial: int, start: int, stop: int) -> None:
         left = []
@@ -63,8 +104,12 @@ class FreeTime:
 
     def first_within(self, trial: int, low: int, high: int, length: int) -> int | None:
         """The first start of a free stretch of ``length`` inside [low, high)."""
-        starts = [max(b, low) for b, e in self.spans[trial] if min(e, high) - max(b, low) >= length]
-        return min(starts, default=None)
+        for b, e in self.spans[trial]:  # in order
+            if b + length > high:
+                return None
+            if min(e, high) - max(b, low) >= length:
+                return max(b, low)
+        return None
 
 
 def match_session(recalls: list[tuple[int, int]], free: FreeTime, trials: list[int], before: int, after: int, tolerance: int, period: int) -> list[tuple[int, int, int, int] | None]:
@@ -126,30 +171,22 @@ def matched_deliberation(df: DataFrame, keys: list[str], order: list[str], perio
     together = (
         part(recalls, 0, list="list", mstime="mstime", rectime="rectime").unionByName(part(free, 1, list="list", begin="begin", end="end")).unionByName(part(trials, 2, list="list", begun="begun"))
     )
-    types = dict(df.dtypes)
-
-    def match(own: pd.DataFrame) -> pd.DataFrame:
-        r = own[own["part"] == 0].sort_values(["list", "mstime", "rectime"])
-        f, t = own[own["part"] == 1], own[own["part"] == 2].sort_values("list")
-        numbers = [int(x) for x in t["list"]]
-        begun = {int(a): b for a, b in zip(t["list"], t["begun"], strict=True)}
-        spans = [(int(a), int(b), int(c)) for a, b, c in zip(f["list"], f["begin"], f["end"], strict=True)]
-        found = match_session([(int(a), int(b)) for a, b in zip(r["list"], r["rectime"], strict=True)], FreeTime(spans, numbers), numbers, -start, end, tolerance, period)
+
+    def match(own: list[tuple]) -> list[tuple]:
+        r = [x[1:4] for x in own if x[0] == 0]
+        spans = [(x[1], *x[4:6]) for x in own if x[0] == 1]
+        begun = {x[1]: x[6] for x in own if x[0] == 2}
+        found = match_session([(lst, rec) for lst, _, rec in r], FreeTime(spans, list(begun)), list(begun), -start, end, tolerance, period)
         out = []
-        for (lst, ms, rec), got in zip(zip(r["list"], r["mstime"], r["rectime"], strict=True), found, strict=True):
+        for (lst, ms, rec), got in zip(r, found, strict=True):
             if got is not None:
                 trial, a, _, exact = got
-                at = a - start
-                base = begun.get(trial)
-                out.append((int(lst), int(ms), int(rec), "REC_WORD", trial, at, exact))
-                out.append((trial, int(base) + at if base is not None and not pd.isna(base) else None, at, "REC_BASE", int(lst), int(rec), exact))
-        table = pd.DataFrame(out, columns=["list", "mstime", "rectime", "type", "matched_list", "matched_rectime", "exact"])
-        for k in reversed(keys):
-            table.insert(0, k, own[k].iloc[0])
-        return table
+                at, base = a - start, begun.get(trial)
+                out.append((lst, ms, rec, "REC_WORD", trial, at, exact))
+                out.append((trial, base + at if base is not None else None, at, "REC_BASE", lst, rec, exact))
+        return out
 
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "list long, mstime long, rectime long, type string, matched_list long, matched_rectime long, exact int"])
-    return together.groupBy(*keys).applyInPandas(match, schema)
+    return by_session(together, keys, ["part", "list", "mstime", "rectime"], match, "list long, mstime long, rectime long, type string, matched_list long, matched_rectime long, exact int")
 
 
 def insert_baseline(df: DataFrame, keys: list[str], order: list[str], duration: int = 500, pre: int = 2000, post: int = 1000, inclusion: int = 1000, **settings) -> DataFrame:
@@ -177,33 +214,59 @@ def insert_baseline(df: DataFrame, keys: list[str], order: list[str], duration:
 
 def free_epoch_baseline(df: DataFrame, keys: list[str], order: list[str], duration: int = 500, pre: int = 2000, post: int = 1000, reach: int = 3000) -> DataFrame:
     """The older search: each recall takes the first unused free epoch within ``reach`` milliseconds of its own time since the
-    start of recall, in the nearest other list. The candidates come from an equi-join on time blocks of ``reach``."""
+    start of recall, in the nearest other list. Recalls take turns by mstime; of those at one time, the one nearest to an epoch
+    is first. A session's recalls and the gaps between its voices meet in a task, not each recall with each epoch."""
     trial = [*keys, "list"]
-    starts = df.where(masks.kind("REC_START")).groupBy(*trial).agg(F.min("mstime").alias("_s"))
-    voices = df.where(masks.vocalization() | masks.kind("REC_START", "REC_END")).select(*trial, "mstime")
-    epochs = sequence.free_periods(voices, trial, "mstime", duration, pre, post).join(starts, trial).select(*keys, F.col("list").alias("e_list"), (F.col("start") - F.col("_s")).alias("e_at"), F.col("start").alias("e_ms"))
-    recalls = df.where(masks.kind("REC_WORD") & (F.col("intrusion") == 0)).join(starts, trial).select(*trial, "mstime", (F.col("mstime") - F.col("_s")).alias("at"))
-    block = lambda c: F.floor(F.col(c) / reach).cast("long")
-    near = recalls.withColumn("_b", F.explode(F.array(*[block("at") + k for k in (-1, 0, 1)])))
-    pairs = near.join(epochs.withColumn("_b", block("e_at")), [*keys, "_b"]).where((F.abs(F.col("e_at") - F.col("at")) <= reach) & (F.col("e_list") != F.col("list")))
-    types = dict(df.dtypes)
-
-    def choose(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.assign(far=(own["e_list"] - own["list"]).abs()).sort_values(["mstime", "far", "e_list", "e_at"])
-        used, out = set(), []
-        for (lst, ms), rows in own.groupby(["list", "mstime"], sort=False):
-            for e in rows.itertuples():
-                if (e.e_list, e.e_ms) not in used:
-                    used.add((e.e_list, e.e_ms))
-                    out.append((int(lst), int(ms), int(e.e_list), int(e.e_ms)))
-                    break
-        table = pd.DataFrame(out, columns=["list", "mstime", "base_list", "base_mstime"])
-        for k in reversed(keys):
-            table.insert(0, k, own[k].iloc[0])
-        return table
-
-    schema = ", ".join([*(f"`{k}` {types[k]}" for k in keys), "list long, mstime long, base_list long, base_mstime long"])
-    return pairs.select(*keys, "list", "mstime", "e_list", "e_at", "e_ms").groupBy(*keys).applyInPandas(choose, schema)
+    voice, recall = masks.vocalization() | masks.kind("REC_START", "REC_END"), masks.kind("REC_WORD") & (F.col("intrusion") == 0)
+    flag = lambda mask: F.coalesce(mask, F.lit(False))
+    rows = df.select(*trial, "mstime", "type", flag(voice).alias("_voice"), flag(recall).alias("_recall")).where("_voice OR _recall").na.drop(subset=trial).repartition(*keys)
+    rows = rows.withColumn("_s", F.min(F.when(masks.kind("REC_START"), F.col("mstime"))).over(Window.partitionBy(*trial)))
+    rows = rows.withColumn("_next", F.lead("mstime").over(sequence.window([*trial, "_voice"], ["mstime"])))
+    at, first, last = F.col("mstime") - F.col("_s"), F.col("mstime") + post - F.col("_s"), F.col("_next") - pre - duration - F.col("_s")
+    gap = flag(F.col("_voice") & (last > first))
+    rows = rows.where(at.isNotNull()).select(*keys, *[c.cast("long").alias(n) for n, c in {"list": F.col("list"), "mstime": F.col("mstime"), "at": at, "first": F.when(gap, first), "last": last}.items()], "_recall").where("_recall OR first IS NOT NULL")
+
+    def choose(own: list[tuple]) -> list[tuple]:
+        gaps: dict[int, list[tuple[int, int, int]]] = {}
+        for lst, ms, when, first, last, _ in own:
+            if first is not None:
+                gaps.setdefault(lst, []).append((first, last, ms - when))
+        lists, used = sorted(gaps), set()
+        recalls = {(ms, lst): when for lst, ms, when, _, _, is_recall in own if is_recall}
+        turns = sorted(recalls)
+        crowded = {a[0] for a, b in zip(turns, turns[1:]) if a[0] == b[0]}
+        if crowded:
+            none = (float("inf"),)
+            turns.sort(key=lambda r: (r[0], (nearest_epoch(gaps, lists, r[1], recalls[r], duration, reach, ()) or none)[:3] if r[0] in crowded else (), r[1]))
+        out = []
+        for ms, lst in turns:
+            if got := nearest_epoch(gaps, lists, lst, recalls[ms, lst], duration, reach, used):
+                used.add((got[1], got[3]))
+                out.append((lst, ms, got[1], got[3]))
+        return out
+
+    return by_session(rows, keys, ["list", "first"], choose, "list long, mstime long, base_list long, base_mstime long")
+
+
+def nearest_epoch(gaps: dict[int, list[tuple[int, int, int]]], lists: list[int], own: int, at: int, duration: int, reach: int, used) -> tuple[int, int, int, int] | None:
+    """(distance, list, time since the start of recall, mstime) of the first epoch within ``reach`` of ``at`` that isn't in
+    ``used`` (pairs of list and mstime), in the nearest list but ``own``; of two equally near, the lesser. gaps: of each list
+    in order, the first epoch's time, the time that all epochs begin before, and the mstime of the start of recall."""
+    j = bisect_left(lists, own)
+    i, j = j - 1, j + (j < len(lists) and lists[j] == own)
+    while i >= 0 or j < len(lists):
+        if j == len(lists) or i >= 0 and own - lists[i] <= lists[j] - own:
+            lst, i = lists[i], i - 1
+        else:
+            lst, j = lists[j], j + 1
+        for first, last, begun in gaps[lst]:
+            if first > at + reach:
+                break
+            late = at - reach - first
+            for x in range(first + (-(-late // duration) * duration if late > 0 else 0), min(last, at + reach + 1), duration):
+                if (lst, x + begun) not in used:
+                    return abs(lst - own), lst, x, x + begun
+    return None
 
 
 def inherit_from_previous(rows: DataFrame, made: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
