@@ -103,10 +103,11 @@ def labelled(labels: DataFrame, label: str, keep=None) -> DataFrame:
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, p_docs: int | None, keep=None) -> DataFrame:
     """(doc_id, text, label) of all labelled rows for which the column ``keep`` holds or, with ``p_docs``, of at most about so
-    many, which are chosen by hash and broadcast."""
+    many, which are chosen by hash and broadcast. All labelled rows meet their texts by a merge at every size: labels grow as
+    documents do, so the plan of a small table is that of a large one, and its disk grows in proportion."""
     usable = labelled(labels, label, keep)
     if p_docs is None:
-        return docs.select("doc_id", "text").join(usable, "doc_id")
+        return docs.select("doc_id", "text").join(usable.hint("merge"), "doc_id")
     share = min(1.0, p_docs / max(1, usable.count()))
     chosen = usable.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int(share * (1 << 30)))
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
