@@ -25,6 +25,13 @@ def written(df, spark, name):
     return path
 
 
+def event_files(spark, log):
+    """log as event files, one for each session, of a row a line; their index."""
+    lines = log.select("session", "mstime", "seq", F.to_json(F.struct("session", "type", "mstime", "eegfile")).alias("line"))
+    files = store.save_lines(lines, "session", "line", scratch.folder(spark, "events"), a.LOG_ORDER)
+    return files.select(F.lit("S").alias("subject"), F.lit("FR1").alias("experiment"), "session", F.col("path").alias("all_events"))
+
+
 @query(
     """SELECT 'S' || c_custkey AS subject, CASE WHEN o_orderkey % 2 = 0 THEN 'FR1' ELSE 'PAL1' END AS experiment, o_orderkey AS session, '/' || o_orderkey || '.json' AS all_events, o_orderstatus AS montage,
     NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_custkey = c_custkey AND x.o_orderkey % 2 = 0) AS pal_only FROM customer JOIN orders ON c_custkey = o_custkey"""
@@ -45,11 +52,7 @@ def session_index(spark, d):
 @query("SELECT session, count(*) AS n, CAST(sum(mstime) AS BIGINT) AS total FROM full_log WHERE eegfile <> '' GROUP BY 1", a.FULL_LOG)
 def indexed_events(spark, d):
     """Event files of an index, one for each session; rows without a recording don't count."""
-    log = a.full_log(spark, d)
-    root = scratch.folder(spark, "events")
-    log.select("session", "type", "mstime", "eegfile", F.col("session").alias("file")).repartition("file").write.partitionBy("file").json(root)
-    files = spark.read.format("binaryFile").load(root).select(F.col("path"), F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("session"))
-    index = files.select(F.lit("S").alias("subject"), F.lit("FR1").alias("experiment"), "session", F.col("path").alias("all_events"))
+    index = event_files(spark, a.full_log(spark, d))
     rows = readers.events(spark, index, multiline=False)
     return rows.groupBy("session").agg(F.count("*").alias("n"), F.sum("mstime").alias("total"))
 

@@ -31,20 +31,45 @@ def completed_sessions(index: DataFrame, subject: str, experiment: str) -> DataF
     return index.where((F.col("subject") == subject) & (F.col("experiment") == experiment)).select("session").distinct()
 
 
-def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True, with_file: bool = False) -> DataFrame:
-    """Events of all sessions of an index that have a file, one scan over their JSON files, with subject, experiment and session
-    of the index. The list of files is what the driver holds: one path for each session. No session gives an empty table. multiline: a file is one JSON array; else a row a line. with_file: also the path, which tells recordings apart whatever their rows say."""
+#: Files that ``events`` lets the driver list; more are opened by tasks.
+LISTED = 1000
+
+
+def events(spark: SparkSession, index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True, with_file: bool = False, listed: int = LISTED) -> DataFrame:
+    """Events of all sessions of an index that have a file, with subject, experiment and session of the index. No session gives
+    an empty table. multiline: a file is one JSON array; else a row a line. with_file: also the path, which tells recordings
+    apart whatever their rows say.
+
+    Up to ``listed`` files are one scan, whose paths the driver holds. More are opened by tasks (see ``event_rows``) where
+    pyarrow knows the file system; a file that can't be read is an error then, too, when the plan runs."""
     plain = lambda c: F.regexp_replace(c, "^(file:/+|/+)", "/")  # noqa: E731  file:///a, file:/a and /a are one path
     known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.concat(F.lit(root), F.col(file_type)).alias("_path"))
-    paths = [r["_path"] for r in known.select("_path").distinct().collect()]
+    names = known.select("_path").distinct()
+    paths = [r["_path"] for r in names.limit(listed + 1).collect()]
     if not paths:
         return spark.createDataFrame([], T.StructType([*schema, T.StructField("file", _S)]) if with_file else schema)
+    columns = [f.name for f in schema]
+    if len(paths) > listed and _opens(paths[0]):
+        rows = event_rows(index, file_type, root, with_eeg, schema, multiline).where(F.assert_true(F.col("error").isNull(), F.concat_ws(": ", "file", "error")).isNull())
+        return rows.select(*columns, *([plain("file").alias("file")] if with_file else []))
+    paths = paths if len(paths) <= listed else [r["_path"] for r in names.collect()]
     rows = spark.read.schema(schema).json(paths, multiLine=multiline).withColumn("_file", F.col("_metadata.file_path"))
-    rows = rows.drop("subject", "experiment", "session").withColumn("_file", plain("_file")).join(known.withColumn("_file", plain("_path")), "_file").select(*[f.name for f in schema], *([F.col("_file").alias("file")] if with_file else []))
+    rows = rows.drop("subject", "experiment", "session").withColumn("_file", plain("_file")).join(known.withColumn("_file", plain("_path")), "_file").select(*columns, *([F.col("_file").alias("file")] if with_file else []))
     return rows.where(F.col("eegfile") != "") if with_eeg else rows
 
 
-def file_texts(paths: DataFrame, path: str, per_task: int = 100) -> DataFrame:
+def _opens(path: str) -> bool:
+    """Whether pyarrow knows the file system of a path."""
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs
+
+    try:
+        fs.FileSystem.from_uri(path)
+    except (OSError, ArrowInvalid, ArrowNotImplementedError):
+        return False
+    return True
+
+
+def file_texts(paths: DataFrame, path: str, per_task: int = 500) -> DataFrame:
     """paths with the text of the file that the column ``path`` names, or why it can't be read: (its columns, text, error).
 
     Files are opened where they are dealt to, by tasks of about ``per_task`` files, so neither the driver nor the planner has
@@ -80,18 +105,25 @@ def file_texts(paths: DataFrame, path: str, per_task: int = 100) -> DataFrame:
     return paths.repartition(max(1, -(-paths.count() // per_task)), path).mapInArrow(read, shape)
 
 
-def events_by_tasks(index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(events, unread files): as ``events``, but tasks read the files of an index of any length, see ``file_texts``. Unread
-    files are rows of the index with their path and the reason; sessions without a file aren't among them."""
+def event_rows(index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True) -> DataFrame:
+    """A row for each event of an index's files, and one for each file that can't be read: the schema's columns, file, error
+    (null for events). Each file is opened once, by tasks, see ``file_texts``. Sessions without a file give nothing."""
     known = index.where(F.col(file_type).isNotNull()).select("subject", "experiment", "session", F.concat(F.lit(root), F.col(file_type)).alias("file"))
-    texts = file_texts(known, "file")
-    lines = F.when(F.lit(multiline), F.array("text")).otherwise(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
-    rows = texts.where(F.col("text").isNotNull()).select("subject", "experiment", "session", "file", F.explode(lines).alias("text"))
-    parsed = rows.select("subject", "experiment", "session", F.explode(F.from_json("text", T.ArrayType(schema))).alias("e"))
-    own = ("subject", "experiment", "session")
-    found = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own else F.col(f"e.{f.name}").alias(f.name) for f in schema])
-    unread = texts.where(F.col("error").isNotNull()).select(*own, "file", "error")
-    return found.where(F.col("eegfile") != "") if with_eeg else found, unread
+    own, broken = ("subject", "experiment", "session"), F.col("error").isNotNull()
+    nothing = lambda kind: F.array(F.lit(None).cast(kind))  # noqa: E731  keeps an unread file's row
+    lines = F.array("text") if multiline else F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    rows = file_texts(known, "file").select(*own, "file", "error", F.explode(F.when(broken, nothing("string")).otherwise(lines)).alias("text"))
+    parsed = rows.select(*own, "file", "error", F.explode(F.when(broken, nothing(schema)).otherwise(F.from_json("text", T.ArrayType(schema)))).alias("e"))
+    found = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in own else F.col(f"e.{f.name}").alias(f.name) for f in schema], "file", "error")
+    return found.where(F.col("error").isNotNull() | (F.col("eegfile") != "")) if with_eeg else found
+
+
+def events_by_tasks(index: DataFrame, file_type: str = "all_events", root: str = "", with_eeg: bool = True, schema: T.StructType = EVENTS, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(events, unread files): as ``events``, but tasks read the files of an index of any length. Unread files are rows of the
+    index with their path and the reason; sessions without a file aren't among them. Each of the two opens all files;
+    ``event_rows`` has both in one pass."""
+    rows = event_rows(index, file_type, root, with_eeg, schema, multiline)
+    return rows.where("error IS NULL").drop("file", "error"), rows.where("error IS NOT NULL").select("subject", "experiment", "session", "file", "error")
 
 
 def parameter_search_events(rows: DataFrame) -> DataFrame:
