@@ -61,14 +61,10 @@ def indexed_events(spark, d):
 def events_read_by_tasks(spark, d):
     """Event files that tasks open; every fifth session's file is missing, which makes a row of the report of unread files."""
     log = a.full_log(spark, d)
-    root = scratch.folder(spark, "events")
-    log.where("session % 5 <> 0").select("session", "type", "mstime", "eegfile", F.col("session").alias("file")).repartition("file").write.partitionBy("file").json(root)
-    files = spark.read.format("binaryFile").load(root).select(F.col("path"), F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("session"))
-    gone = log.where("session % 5 = 0").select("session").distinct().select(F.concat(F.lit(f"{root}/none-"), F.col("session").cast("string"), F.lit(".json")).alias("path"), "session")
-    index = files.unionByName(gone).select(F.lit("S").alias("subject"), F.lit("FR1").alias("experiment"), "session", F.col("path").alias("all_events"))
-    rows, unread = readers.events_by_tasks(index, multiline=False)
-    read = rows.groupBy("session").agg(F.count("*").alias("n"), F.sum("mstime").alias("total")).withColumn("n_unread", F.lit(0))
-    return read.unionByName(unread.groupBy("session").agg(F.count("*").cast("int").alias("n_unread")).select("session", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("total"), "n_unread"))
+    gone = log.where("session % 5 = 0").select(F.lit("S").alias("subject"), F.lit("FR1").alias("experiment"), "session").distinct()
+    gone = gone.withColumn("all_events", F.concat(F.lit(f"{scratch.folder(spark, 'events')}/none-"), F.col("session").cast("string"), F.lit(".json")))
+    rows = readers.event_rows(event_files(spark, log.where("session % 5 <> 0")).unionByName(gone), multiline=False)
+    return rows.groupBy("session").agg(F.count(F.when(F.col("error").isNull(), 1)).alias("n"), F.sum("mstime").alias("total"), F.count("error").cast("int").alias("n_unread"))
 
 
 @query(
