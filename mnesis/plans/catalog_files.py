@@ -16,6 +16,8 @@ from mnesis.sources import readers, scratch, store
 FILES = 5
 #: Files that a task writes.
 FILES_A_TASK = 500
+#: Rows of a bucket of settled items.
+ROWS_A_TASK = 200_000
 
 
 def written(df, spark, name):
@@ -180,12 +182,15 @@ def open_loop_report(spark, d):
 @query()
 def reports_by_experiment(spark, d):
     """The number of rows of every table of the reports of closed loops and of comparisons of locations, through the dispatch
-    by experiment."""
+    by experiment. Tables of stimulation share items that are joined and dealt by recording once."""
     log = a.full_log(spark, d)
+    items = a.items(spark, d).drop("orderkey", "shipdate", "partkey", "price")
+    items = store.dealt(items, reports.SESSION, "items", max(1, -(-a.table(spark, d, "lineitem").count() // ROWS_A_TASK)))
     inputs = report_inputs(spark, d) | {
+        "items": items,
         "scored": log.select("seq", "session", "type", "recalled", (F.col("value") / 100).alias("probability")),
         "biomarkers": log.select(F.when(F.col("seq") % 2 == 0, "pre").otherwise("post").alias("position"), "phase", F.floor(F.col("seq") / 2).cast("string").alias("id")),
-        "rows": a.items(spark, d).select("subject", "session", F.when(F.col("is_stim_list"), "A").otherwise("B").alias("loc_name"), F.lit("STIM").alias("list_phase"), F.col("serialpos").cast("double").alias("amplitude"), F.col("classifier_output").alias("delta_classifier"), F.col("classifier_output").alias("post_stim_output")),
+        "rows": items.select("subject", "session", F.when(F.col("is_stim_list"), "A").otherwise("B").alias("loc_name"), F.lit("STIM").alias("list_phase"), F.col("serialpos").cast("double").alias("amplitude"), F.col("classifier_output").alias("delta_classifier"), F.col("classifier_output").alias("post_stim_output")),
     }
     out = None
     for experiment in ("catFR5", "TICL_FR", "PS4_FR"):
