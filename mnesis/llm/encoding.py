@@ -8,6 +8,7 @@ text.
 
 from __future__ import annotations
 
+import codecs
 import json
 from array import array
 from functools import lru_cache
@@ -46,6 +47,7 @@ class Encoder:
             rules = json.load(f)
         self.keeps_blanks = rules["pre_tokenizer"]["type"] == "ByteLevel"
         self.model, self.letters, self.parts = self.whole.model, byte_letters(), {}
+        self.lines = "".join("\n" if b == 10 else letter for b, letter in enumerate(self.letters))
 
     def part(self, text: str) -> bytes:
         """The ids of a stem or of marks."""
@@ -63,10 +65,15 @@ class Encoder:
         missing = [i for i, ids in enumerate(got) if ids is None]
         if len(self.parts) + len(missing) > KEPT_PARTS:
             self.parts.clear()
+        new = [texts[i] for i in missing]
+        spelt = codecs.charmap_decode("\n".join(new).encode(), "strict", self.lines)[0].split("\n")  # all at once
         tokenize, part = self.model.tokenize, self.part
-        for i in missing:
-            text = texts[i]
-            got[i] = self.parts[text] = array("I", [t.id for t in tokenize(text)]).tobytes() if text.isascii() and text.isalpha() else part(text)
+        if len(spelt) != len(new):  # a line feed is part of a text
+            made = map(part, new)
+        else:
+            made = (array("I", [t.id for t in tokenize(letters)]).tobytes() if letters else b"" for letters in spelt)
+        for i, text, ids in zip(missing, new, made):
+            got[i] = self.parts[text] = ids
         return got
 
     def direct(self, texts: list[str]) -> list[bytes]:

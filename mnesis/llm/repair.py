@@ -79,12 +79,12 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.
 
     A round looks only at pairs that may occur twice. A pair that has been found once never occurs again: all pairs that a
     round makes have a symbol of that round."""
-    symbols, last, alive = ids.astype(np.uint64), last.copy(), np.ones(len(ids), bool)
+    symbols, last, alive = ids.astype(np.uint32), last.copy(), np.ones(len(ids), bool)
     left, right, bounds = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [0]
     rng = np.random.default_rng(0)
     while True:
         at = np.flatnonzero(alive[:-1] & ~last[:-1])
-        pair = (symbols[at] << np.uint64(32)) | symbols[at + 1]
+        pair = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
         bits = min(SLOTS[1], max(SLOTS[0], len(at).bit_length()))
         slot, counted, slots = slot_of(pair, bits), np.ones(len(at), bool), 1 << bits
         inside = np.flatnonzero((pair[1:] == pair[:-1]) & (at[1:] == at[:-1] + 1)) + 1
@@ -121,7 +121,7 @@ def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.
     for k in range(1, len(bounds)):
         lengths[base + bounds[k - 1] : base + bounds[k]] = lengths[left[k].astype(np.int64)] + lengths[right[k].astype(np.int64)]
     grammar = Grammar(base, np.concatenate(left).astype(np.uint32), np.concatenate(right).astype(np.uint32), lengths[base:].astype(np.uint32), np.array(bounds, np.uint32))
-    return grammar, symbols.astype(np.uint32)
+    return grammar, symbols
 
 
 def symbol_lengths(g: Grammar, symbols: np.ndarray) -> np.ndarray:
