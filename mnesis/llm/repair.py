@@ -74,26 +74,35 @@ def by_frequency(pairs: np.ndarray) -> np.ndarray:
     return ordered[starts[often[np.argsort(count[often], kind="stable")]]]
 
 
+def may_be_in(some: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """True for pairs that are in some, and for at most one in 32 of the others or so."""
+    bits = len(some).bit_length() + 5
+    marked = np.zeros(1 << bits, bool)
+    marked[slot_of(some, bits)] = True
+    return marked[slot_of(pairs, bits)]
+
+
 def compress(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[Grammar, np.ndarray]:
     """The grammar and the symbols of ids; last: true where a document ends. base: above all ids.
 
-    A round looks only at pairs that may occur twice. A pair that has been found once never occurs again: all pairs that a
-    round makes have a symbol of that round."""
+    A round looks only at pairs that the last one made and at those that it found twice. A pair that has been found once
+    never occurs again: all pairs that a round makes have a symbol of that round."""
     symbols, last, alive = ids.astype(np.uint32), last.copy(), np.ones(len(ids), bool)
     left, right, bounds = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [0]
     rng = np.random.default_rng(0)
     while True:
         at = np.flatnonzero(alive[:-1] & ~last[:-1])
         pair = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        bits = min(SLOTS[1], max(SLOTS[0], len(at).bit_length()))
-        slot, counted, slots = slot_of(pair, bits), np.ones(len(at), bool), 1 << bits
+        counted = np.ones(len(at), bool)
         inside = np.flatnonzero((pair[1:] == pair[:-1]) & (at[1:] == at[:-1] + 1)) + 1
         counted[inside[every_other(inside)]] = False  # of aaa, the second aa overlaps the first
-        twice = (np.bincount(slot[counted], minlength=slots) > 1)[slot]
-        alive[at] = twice
-        chosen = by_frequency(pair[counted & twice])[-PER_ROUND:]
-        if not len(chosen):
+        often = by_frequency(pair[counted])
+        if not len(often):
             break
+        alive[at] = twice = may_be_in(often, pair)
+        at, pair, chosen = at[twice], pair[twice], often[-PER_ROUND:]
+        bits = min(SLOTS[1], max(SLOTS[0], len(at).bit_length() + 1))
+        slot, slots = slot_of(pair, bits), 1 << bits
         while True:
             table = np.full(slots, ~np.uint64(0))
             table[slot_of(chosen, bits)] = chosen  # of two pairs in a slot the more frequent stays, the other waits for the next round
@@ -131,8 +140,24 @@ def symbol_lengths(g: Grammar, symbols: np.ndarray) -> np.ndarray:
     return out
 
 
+def joined(ids: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of n ids from each start, one after another."""
+    ends = np.cumsum(n)
+    return ids[np.repeat(starts - (ends - n), n) + np.arange(ends[-1])]
+
+
 def expand(g: Grammar, symbols: np.ndarray) -> np.ndarray:
-    """The ids that symbols stand for: the rules of the last round are undone first."""
+    """The ids that symbols stand for. Where all rules' ids together are fewer, each rule is spelt once, those of the first
+    round first; else, as for a piece of a document, the symbols' rules are undone, those of the last round first."""
+    if g.lengths.sum(dtype=np.int64) < symbol_lengths(g, symbols).sum():
+        n = np.concatenate((np.ones(g.base, np.int64), g.lengths.astype(np.int64)))
+        starts = np.cumsum(n) - n
+        ids = np.empty(n.sum(), np.uint32)
+        ids[: g.base] = np.arange(g.base)
+        for lo, hi in zip(g.bounds[:-1].astype(np.int64), g.bounds[1:].astype(np.int64), strict=True):
+            both = np.stack((g.left[lo:hi], g.right[lo:hi]), axis=1).reshape(-1)
+            ids[starts[g.base + lo] : starts[g.base + hi - 1] + n[g.base + hi - 1]] = joined(ids, starts[both], n[both])
+        return joined(ids, starts[symbols], n[symbols])
     for k in range(len(g.bounds) - 1, 0, -1):
         rule = symbols >= g.base + g.bounds[k - 1]
         at = symbols[rule] - g.base
