@@ -7,8 +7,9 @@ hundred recalls and intervals.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -259,7 +260,8 @@ def nearest_epoch(gaps: dict[int, list[tuple[int, int, int]]], lists: list[int],
             lst, i = lists[i], i - 1
         else:
             lst, j = lists[j], j + 1
-        for first, last, begun in gaps[lst]:
+        for k in range(bisect_right(gaps[lst], at - reach, key=itemgetter(1)), len(gaps[lst])):  # those before end too early
+            first, last, begun = gaps[lst][k]
             if first > at + reach:
                 break
             late = at - reach - first

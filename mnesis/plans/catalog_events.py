@@ -134,7 +134,8 @@ def clean_fr_with_baseline(spark, d):
 
 @query()
 def free_epoch_baseline(spark, d):
-    log = months(recall_log(spark, d)).withColumn("mstime", F.col("rectime"))
+    """A session is all of a user's log: recalls of every month find epochs of every month."""
+    log = recall_log(spark, d).withColumn("mstime", F.col("rectime"))
     return retrieval.free_epoch_baseline(log, SESSION, ["mstime", "seq"], duration=500, pre=200, post=200)
 
 
